@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -31,6 +30,16 @@ PREVALENCE_OF_DRUG_IN_DISEASE = "Prevalence of Drug in Disease Cohort"
 INCIDENCE_OF_DRUG_IN_DISEASE = "incidence of Drug in Disease Cohort"
 ABSENT = "Nil"
 
+# For each analysis, which entries of diseases and drugs it counts.
+ANALYSES = {
+    INCIDENCE_OF_DISEASE: (FIRST, None),
+    PREVALENCE_OF_DISEASE: (ANY, None),
+    INCIDENCE_OF_DRUG: (None, FIRST),
+    PREVALENCE_OF_DRUG: (None, ANY),
+    PREVALENCE_OF_DRUG_IN_DISEASE: (ANY, ANY),
+    INCIDENCE_OF_DRUG_IN_DISEASE: (ANY, FIRST),
+}
+
 _BITS_PER_WORD = 62
 
 
@@ -93,62 +102,107 @@ def stratum_profiles(prepared: DataFrame, cohort_ids: Sequence[int], grain: str)
     return Profiles(counted, cohort_ids)
 
 
-def _with_counts(denominator: DataFrame, counts: DataFrame, ids: list[str]) -> DataFrame:
-    """Left join on stratum with unknown age matching unknown age; missing counts are zero."""
-    d, c = denominator.alias("d"), counts.alias("c")
-    keys = [*ids, "calDate", "age_band", "gender"]
-    matches = [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-    return (
-        d.join(c, reduce(lambda a, b: a & b, matches), "left")
-        .select("d.*", F.coalesce("c.Counts", F.lit(0)).alias("Counts"))
-        .withColumn("rate", F.col("Counts") / F.col("totalPatients"))
-    )
+_STRATUM = ["calDate", "age_band", "gender"]
+_IDS = ["analysis", "diseaseId", "drugId"]
 
 
-def cohort_counts_by_stratum(profiles: Profiles, wanted: Sequence[int], kind: str, id_name: str) -> DataFrame:
-    return (
-        profiles.counted.withColumn(id_name, F.explode(profiles.members(kind, wanted)))
-        .groupBy(id_name, "calDate", "age_band", "gender")
-        .agg(F.sum("n_subjects").alias("Counts"))
+def _unique(values) -> list[int]:
+    return list(dict.fromkeys(values))
+
+
+def _diseases(pairs: Sequence[tuple[int, int]]) -> list[int]:
+    return _unique(disease for disease, _ in pairs)
+
+
+def _drugs(pairs: Sequence[tuple[int, int]]) -> list[int]:
+    return _unique(drug for _, drug in pairs)
+
+
+def _identity(analysis: str, disease: Column | int | None, drug: Column | int | None) -> Column:
+    def as_id(value) -> Column:
+        return (value if isinstance(value, Column) else F.lit(value)).cast("int")
+
+    return F.struct(
+        F.lit(analysis).alias("analysis"), as_id(disease).alias("diseaseId"), as_id(drug).alias("drugId")
     )
 
 
-def cohort_rates(
-    population: DataFrame, profiles: Profiles, wanted: Sequence[int], kind: str, id_name: str
+def analysis_counts(
+    profiles: Profiles, pairs: Sequence[tuple[int, int]], analyses: Sequence[str]
 ) -> DataFrame:
-    """Subjects of each cohort over the observed population, for every stratum of the latter.
+    """Subjects per analysis, cohort or pair of cohorts, period and stratum."""
+    diseases, drugs = _diseases(pairs), _drugs(pairs)
+
+    def entered(analysis: str) -> Column:
+        of_disease, of_drug = ANALYSES[analysis]
+        if of_drug is None:
+            return F.transform(profiles.members(of_disease, diseases), lambda d: _identity(analysis, d, None))
+        with_drugs = profiles.members(of_drug, drugs)
+        if of_disease is None:
+            return F.transform(with_drugs, lambda g: _identity(analysis, None, g))
+        return F.flatten(
+            F.transform(
+                profiles.members(of_disease, diseases),
+                lambda d: F.transform(with_drugs, lambda g: _identity(analysis, d, g)),
+            )
+        )
 
-    ``kind`` is ``FIRST`` for incidence and ``ANY`` for prevalence.
-    """
-    denominator = population.withColumn(id_name, F.explode(F.array(*[F.lit(i) for i in wanted])))
-    return _with_counts(denominator, cohort_counts_by_stratum(profiles, wanted, kind, id_name), [id_name])
+    return (
+        profiles.counted.select(F.inline(F.concat(*[entered(a) for a in analyses])), *_STRATUM, "n_subjects")
+        .groupBy(*_IDS, *_STRATUM)
+        .agg(F.sum("n_subjects").alias("Counts"))
+    )
 
 
 def _pairs_frame(spark: SparkSession, pairs: Sequence[tuple[int, int]]) -> DataFrame:
     return F.broadcast(local_frame(spark, pairs, "diseaseId int, drugId int"))
 
 
-def pair_rates(profiles: Profiles, pairs: Sequence[tuple[int, int]], kind: str) -> DataFrame:
-    """Subjects with a drug entry in the period of a disease entry, over subjects with the latter.
+def compute_rates(
+    population: DataFrame | None,
+    profiles: Profiles,
+    pairs: Sequence[tuple[int, int]],
+    analyses: Sequence[str] = tuple(ANALYSES),
+) -> DataFrame:
+    """Counts over denominators for each analysis.
 
-    ``kind`` picks the drug entries; the denominator counts all disease entries.
+    Cohorts are set against every stratum of the observed population, with zero
+    where nobody entered. Pairs are set against the subjects with an entry of the
+    disease in the period, whichever drug entries they count. Unknown age matches
+    unknown age.
     """
-    spark = profiles.counted.sparkSession
-    diseases = list(dict.fromkeys(disease for disease, _ in pairs))
-    drugs = list(dict.fromkeys(drug for _, drug in pairs))
-    denominator = (
-        cohort_counts_by_stratum(profiles, diseases, ANY, "diseaseId")
-        .withColumnRenamed("Counts", "totalPatients")
-        .join(_pairs_frame(spark, pairs), "diseaseId")
-    )
-    counts = (
-        profiles.counted.withColumn("diseaseId", F.explode(profiles.members(ANY, diseases)))
-        .withColumn("drugId", F.explode(profiles.members(kind, drugs)))
-        .join(_pairs_frame(spark, pairs), ["diseaseId", "drugId"], "left_semi")
-        .groupBy("diseaseId", "drugId", "calDate", "age_band", "gender")
-        .agg(F.sum("n_subjects").alias("Counts"))
+    single = [a for a in analyses if None in ANALYSES[a]]
+    paired = [a for a in analyses if None not in ANALYSES[a]]
+    needed = _unique([*analyses, *([PREVALENCE_OF_DISEASE] if paired else [])])
+    counts = analysis_counts(profiles, pairs, needed)
+    denominators = []
+    if single:
+        identities = [
+            _identity(a, d, None) for a in single if ANALYSES[a][1] is None for d in _diseases(pairs)
+        ] + [_identity(a, None, g) for a in single if ANALYSES[a][0] is None for g in _drugs(pairs)]
+        denominators.append(
+            population.select(F.inline(F.array(*identities)), *_STRATUM, "totalPatients")
+        )
+    if paired:
+        with_disease = counts.where(F.col("analysis") == PREVALENCE_OF_DISEASE)
+        denominators.append(
+            with_disease.select("diseaseId", *_STRATUM, F.col("Counts").alias("totalPatients"))
+            .join(_pairs_frame(profiles.counted.sparkSession, pairs), "diseaseId")
+            .select(
+                F.explode(F.array(*[F.lit(a) for a in paired])).alias("analysis"),
+                "diseaseId", "drugId", *_STRATUM, "totalPatients",
+            )
+        )
+    denominator = denominators[0] if len(denominators) == 1 else denominators[0].unionByName(denominators[1])
+    d, c = denominator.alias("d"), counts.alias("c")
+    same = F.lit(True)
+    for key in (*_IDS, *_STRATUM):
+        same = same & F.col(f"d.{key}").eqNullSafe(F.col(f"c.{key}"))
+    return (
+        d.join(c, same, "left")
+        .select("d.*", F.coalesce("c.Counts", F.lit(0)).alias("Counts"))
+        .withColumn("rate", F.col("Counts") / F.col("totalPatients"))
     )
-    return _with_counts(denominator, counts, ["diseaseId", "drugId"])
 
 
 def registry_frame(spark: SparkSession, names: Sequence[tuple[int, str]]) -> DataFrame:
@@ -156,28 +210,28 @@ def registry_frame(spark: SparkSession, names: Sequence[tuple[int, str]]) -> Dat
     return F.broadcast(local_frame(spark, names, "cohortId int, name string"))
 
 
-def format_rates(rates: DataFrame, registry: DataFrame, database: str, analysis: str) -> DataFrame:
-    """Result rows with names, labels and ``Nil`` for the cohort an analysis does not have."""
+def format_rates(rates: DataFrame, registry: DataFrame, database: str) -> DataFrame:
+    """Result rows with names and labels, and ``Nil`` for the cohort an analysis does not have.
+
+    Cohorts missing from the registry drop out.
+    """
     named = rates
     for id_name, name in (("diseaseId", "diseaseCohortName"), ("drugId", "drugCohortName")):
-        if id_name in rates.columns:
-            names = registry.select(F.col("cohortId").alias(id_name), F.col("name").alias(name))
-            named = named.join(names, id_name)
-        else:
-            named = named.withColumns({id_name: F.lit(ABSENT), name: F.lit(ABSENT)})
+        names = registry.select(F.col("cohortId").alias(id_name), F.col("name").alias(name))
+        named = named.join(names, id_name, "left").where(F.col(id_name).isNull() | F.col(name).isNotNull())
     return named.select(
         F.lit(database).alias("database"),
-        F.col("diseaseId").cast("string").alias("diseaseId"),
-        "diseaseCohortName",
-        F.col("drugId").cast("string").alias("drugId"),
-        "drugCohortName",
+        F.coalesce(F.col("diseaseId").cast("string"), F.lit(ABSENT)).alias("diseaseId"),
+        F.coalesce("diseaseCohortName", F.lit(ABSENT)).alias("diseaseCohortName"),
+        F.coalesce(F.col("drugId").cast("string"), F.lit(ABSENT)).alias("drugId"),
+        F.coalesce("drugCohortName", F.lit(ABSENT)).alias("drugCohortName"),
         "calDate",
         band_label(F.col("age_band")).alias("ageGroup"),
         F.col("gender").alias("Gender"),
         "totalPatients",
         "Counts",
         "rate",
-        F.lit(analysis).alias("analysis"),
+        "analysis",
     )
 
 
@@ -189,17 +243,4 @@ def combined_rates(
     database: str,
 ) -> DataFrame:
     """The six analyses of one grain in one frame."""
-    diseases = list(dict.fromkeys(disease for disease, _ in pairs))
-    drugs = list(dict.fromkeys(drug for _, drug in pairs))
-    analyses = {
-        INCIDENCE_OF_DISEASE: cohort_rates(population, profiles, diseases, FIRST, "diseaseId"),
-        PREVALENCE_OF_DISEASE: cohort_rates(population, profiles, diseases, ANY, "diseaseId"),
-        INCIDENCE_OF_DRUG: cohort_rates(population, profiles, drugs, FIRST, "drugId"),
-        PREVALENCE_OF_DRUG: cohort_rates(population, profiles, drugs, ANY, "drugId"),
-        PREVALENCE_OF_DRUG_IN_DISEASE: pair_rates(profiles, pairs, ANY),
-        INCIDENCE_OF_DRUG_IN_DISEASE: pair_rates(profiles, pairs, FIRST),
-    }
-    return reduce(
-        DataFrame.unionByName,
-        [format_rates(rates, registry, database, analysis) for analysis, rates in analyses.items()],
-    )
+    return format_rates(compute_rates(population, profiles, pairs), registry, database)

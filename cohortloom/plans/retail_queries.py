@@ -219,19 +219,21 @@ def dataset_counts(spark, root):
     return pop.dataset_counts(Study(spark, root).population)
 
 
-def _cohort_rates(definitions, id_name: str, kind: str, grain: str):
+def _rates(analysis: str, grain: str):
+    """One analysis on its own; only the cohorts it needs are built."""
+    of_disease, of_drug = rates.ANALYSES[analysis]
+
     def run(spark: SparkSession, root: str) -> DataFrame:
         s = Study(spark, root)
-        wanted = [d.cohort_id for d in definitions]
-        return rates.cohort_rates(s.denominators(grain), s.profiles(grain, definitions), wanted, kind, id_name)
+        definitions = study.DISEASES if of_drug is None else study.DRUGS if of_disease is None else study.DEFINITIONS
+        population = None if of_disease and of_drug else s.denominators(grain)
+        found = rates.compute_rates(population, s.profiles(grain, definitions), study.PAIRS, [analysis])
+        absent = [name for name, kind in (("diseaseId", of_disease), ("drugId", of_drug)) if kind is None]
+        return found.drop("analysis", *absent)
 
     return run
 
 
-def _pair_rates(kind: str, grain: str):
-    return lambda spark, root: rates.pair_rates(Study(spark, root).profiles(grain), study.PAIRS, kind)
-
-
 def _combined(grain: str, start=study.WINDOW_START, end=study.WINDOW_END):
     return lambda spark, root: Study(spark, root, start, end).combined(grain)
 
@@ -375,12 +377,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "population_by_month": _population(rates.MONTH),
     "population_by_month_narrow": _population(rates.MONTH, NARROW_START, NARROW_END),
     "dataset_counts": dataset_counts,
-    **_named_by_grain("disease_incidence", lambda g: _cohort_rates(study.DISEASES, "diseaseId", rates.FIRST, g)),
-    **_named_by_grain("disease_prevalence", lambda g: _cohort_rates(study.DISEASES, "diseaseId", rates.ANY, g)),
-    **_named_by_grain("drug_incidence", lambda g: _cohort_rates(study.DRUGS, "drugId", rates.FIRST, g)),
-    **_named_by_grain("drug_prevalence", lambda g: _cohort_rates(study.DRUGS, "drugId", rates.ANY, g)),
-    **_named_by_grain("drug_in_disease_incidence", lambda g: _pair_rates(rates.FIRST, g)),
-    **_named_by_grain("drug_in_disease_prevalence", lambda g: _pair_rates(rates.ANY, g)),
+    **_named_by_grain("disease_incidence", lambda g: _rates(rates.INCIDENCE_OF_DISEASE, g)),
+    **_named_by_grain("disease_prevalence", lambda g: _rates(rates.PREVALENCE_OF_DISEASE, g)),
+    **_named_by_grain("drug_incidence", lambda g: _rates(rates.INCIDENCE_OF_DRUG, g)),
+    **_named_by_grain("drug_prevalence", lambda g: _rates(rates.PREVALENCE_OF_DRUG, g)),
+    **_named_by_grain("drug_in_disease_incidence", lambda g: _rates(rates.INCIDENCE_OF_DRUG_IN_DISEASE, g)),
+    **_named_by_grain("drug_in_disease_prevalence", lambda g: _rates(rates.PREVALENCE_OF_DRUG_IN_DISEASE, g)),
     **_named_by_grain("rates_combined", _combined),
     "rates_combined_year_narrow": _combined(rates.YEAR, NARROW_START, NARROW_END),
     **_named_by_grain("rates_margins", _margins),
