@@ -45,7 +45,9 @@ CODESETS_PER_DEFINITION = 1000
 def read_definitions(spark: SparkSession, path: str) -> DataFrame:
     """Definition files as rows, with the file's name without its ending in ``name``."""
     documents = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
-    return documents.withColumn("name", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", ""))
+    # The file name is percent-encoded, with a plain plus sign for itself.
+    file_name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return documents.withColumn("name", F.regexp_replace(file_name, r"\.json$", ""))
 
 
 def parse_definitions(documents: DataFrame, text: str) -> DataFrame:

@@ -1,0 +1,172 @@
+import re
+
+from conftest import day, rows
+
+from cohortloom.plans import patch_study
+from cohortloom.plans.study import DoseSettings, StudyParameters, run_study
+from cohortloom.schemas import COHORT, DATASET_COUNTS, RATES_MONTH, RATES_YEAR, SOURCE_TABLES
+from cohortloom.session import checked_broadcast, local_frame
+from cohortloom.sources import store
+from cohortloom.sources.tables import conform, jdbc_options, read_parquet_tables
+
+
+def cohort(spark, *listed):
+    return local_frame(spark, [(c, s, day("2012-01-01"), day("2012-01-02")) for c, s in listed], COHORT)
+
+
+def test_replacing_cohorts(spark, tmp_path):
+    path = str(tmp_path / "cohort")
+    store.create_cohort_table(spark, path)
+    assert rows(store.read_cohorts(spark, path)) == []
+    assert store.write_cohorts(cohort(spark, (1, 5), (2, 6), (3, 7)), path, [1, 2, 3]) == {(1,): 1, (2,): 1, (3,): 1}
+    assert store.write_cohorts(cohort(spark, (1, 8), (1, 9), (3, 99)), path, [1, 2]) == {(1,): 2, (2,): 0}
+    columns = ("cohort_definition_id", "subject_id")
+    assert rows(store.read_cohorts(spark, path), *columns) == [(1, 8), (1, 9), (3, 7)]
+    assert rows(store.read_cohorts(spark, path, [3]), *columns) == [(3, 7)]
+    assert store.write_cohorts(cohort(spark, (2, 4)), path, [2]) == {(2,): 1}
+    assert rows(store.read_cohorts(spark, path, [2]), *columns) == [(2, 4)]
+    store.create_cohort_table(spark, path)
+    assert rows(store.read_cohorts(spark, path)) == []
+
+
+def test_slices_by_two_keys(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "cohort_definition_id int, mode_id int, n bigint"
+    first = local_frame(spark, [(1, 0, 10), (1, 1, 11), (2, 0, 20)], schema)
+    store.replace_slices(first, path, store.IMPACT_KEYS, [(1, 0), (1, 1), (2, 0)])
+    store.replace_slices(local_frame(spark, [(1, 0, 12)], schema), path, store.IMPACT_KEYS, [(1, 0), (1, 1)])
+    stored = spark.read.schema(schema).parquet(path)
+    assert rows(stored, "cohort_definition_id", "mode_id", "n") == [(1, 0, 12), (2, 0, 20)]
+
+
+def test_cohort_scan_reads_only_the_folders_asked_for(spark, tmp_path):
+    path = str(tmp_path / "cohort")
+    store.write_cohorts(cohort(spark, (1, 5), (2, 6)), path, [1, 2])
+    plan = store.read_cohorts(spark, path, [2])._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*cohort_definition_id#\d+ = 2", plan)
+
+
+def test_results_are_reused_when_complete(spark, tmp_path):
+    path, calls = str(tmp_path / "counts.csv"), []
+
+    def compute():
+        calls.append(1)
+        return local_frame(spark, [(3, 4)], DATASET_COUNTS)
+
+    for _ in range(2):
+        assert rows(store.reuse_or_write_csv(spark, path, DATASET_COUNTS, compute)) == [(3, 4)]
+    assert calls == [1]
+
+
+def test_result_csv_keeps_types_and_unknown_ages(spark, tmp_path):
+    path = str(tmp_path / "r.csv")
+    one = ("db", "1", "a, \"b\"", "Nil", "Nil", day("2012-01-01"), None, "Male", 3, 1, 1 / 3, "x")
+    store.write_csv(local_frame(spark, [one], RATES_MONTH), path)
+    assert rows(store.read_csv(spark, path, RATES_MONTH)) == [one]
+
+
+def test_source_tables_round_trip(spark, make_tables, tmp_path):
+    tables = make_tables(death=[{"person_id": 1, "death_date": day("2012-01-01")}])
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    read = read_parquet_tables(spark, str(tmp_path))
+    assert set(read) == set(SOURCE_TABLES)
+    assert rows(read["death"]) == [(1, day("2012-01-01"))]
+
+
+def test_database_columns_are_conformed(spark):
+    found = local_frame(spark, [(1, "2012-01-01", 0)], "PERSON_ID int, DEATH_DATE string, EXTRA int")
+    fixed = conform(found, "death")
+    assert fixed.schema == SOURCE_TABLES["death"]
+    assert rows(fixed) == [(1, day("2012-01-01"))]
+
+
+def test_database_scans_are_split_by_person():
+    options = jdbc_options("jdbc:x", "cdm.death", person_bounds=(1, 900), partitions=9, user="me")
+    assert options["partitionColumn"] == "person_id" and options["numPartitions"] == "9"
+    assert options["user"] == "me" and "partitionColumn" not in jdbc_options("jdbc:x", "cdm.concept")
+
+
+def test_broadcast_is_checked(spark):
+    small = local_frame(spark, [(i,) for i in range(5)], "i int")
+    assert "broadcast" in checked_broadcast(small, 5)._jdf.queryExecution().toString()
+    assert "broadcast" not in checked_broadcast(small, 4)._jdf.queryExecution().toString()
+
+
+def clinical(make_tables):
+    """Two patients on patches of two strengths, one of them with cancer, and a third person."""
+    def period(p):
+        return {
+            "person_id": p, "observation_period_start_date": day("2010-01-01"),
+            "observation_period_end_date": day("2020-12-31"),
+        }
+
+    def ill(p, concept, start):
+        return {"person_id": p, "condition_concept_id": concept, "condition_start_date": day(start)}
+
+    def patch(p, code, start):
+        return {"person_id": p, "drug_source_value": code, "drug_exposure_start_date": day(start)}
+
+    return make_tables(
+        person=[{"person_id": p, "gender_concept_id": 8507, "year_of_birth": 1970} for p in (1, 2, 3)],
+        observation_period=[period(p) for p in (1, 2, 3)],
+        concept=[{"concept_id": c} for c in (440383, 436665, 75897, 4112752, 900, 901)],
+        concept_ancestor=[
+            {"ancestor_concept_id": 440383, "descendant_concept_id": 900},
+            {"ancestor_concept_id": 440383, "descendant_concept_id": 901},
+            {"ancestor_concept_id": 436665, "descendant_concept_id": 901},
+        ],
+        condition_occurrence=[
+            ill(1, 75897, "2011-05-05"), ill(2, 75897, "2011-05-05"), ill(2, 4112752, "2019-01-01"),
+            ill(1, 900, "2013-02-03"), ill(3, 900, "2013-07-07"), ill(3, 901, "2014-07-07"),
+        ],
+        drug_exposure=[
+            patch(1, "622700340", "2013-06-06"), patch(1, "641605280", "2014-01-05"),
+            patch(2, "622700340", "2013-06-06"), patch(3, "nothing", "2013-06-06"),
+        ],
+    )
+
+
+def test_shipped_study_runs_from_tables_to_results(spark, make_tables, tmp_path):
+    tables = clinical(make_tables)
+    parameters = StudyParameters(database="site", year_start="2010-01-01", min_cell_count=2, rule_impact=True)
+    dose = DoseSettings(patch_study.ANY_PATCH[0], patch_study.ANY_PATCH[1], patch_study.strengths())
+    arguments = (
+        spark, tables, patch_study.codes(spark, tables), patch_study.definitions(), patch_study.pairs(), str(tmp_path),
+    )
+    paths = run_study(*arguments, parameters, dose)
+
+    cohorts = store.read_cohorts(spark, paths["cohort"])
+    assert rows(cohorts, "cohort_definition_id", "subject_id", "cohort_start_date") == [
+        (1239, 1, day("2013-06-06")), (1239, 1, day("2014-01-05")), (1284, 1, day("2013-06-06")),
+        (1289, 1, day("2013-02-03")), (1289, 3, day("2013-07-07")), (1292, 3, day("2014-07-07")),
+        (1301, 1, day("2011-05-05")), (1301, 2, day("2011-05-05")),
+        (1304, 1, day("2011-05-05")), (1304, 2, day("2011-05-05")), (1346, 1, day("2014-01-05")),
+    ]
+    counts = spark.read.option("header", True).csv(paths["cohort_counts"])
+    assert ("1289", "depression", "2") in rows(counts)
+
+    by_year = store.read_csv(spark, paths["by_year"], RATES_YEAR)
+    years = {r[0] for r in rows(by_year, "calDate")}
+    assert years == set(range(2012, 2021))
+    in_depression = by_year.where(
+        "diseaseId = '1289' AND drugId = '1239' AND calDate = 2013 AND analysis = 'Prevalence of Drug in Disease Cohort'"
+    )
+    assert rows(in_depression, "ageGroup", "Gender", "totalPatients", "Counts", "rate") == [
+        ("35-44", "Male", 2, 1, 0.5)
+    ]
+    masked = spark.read.option("header", True).csv(paths["by_year_masked"])
+    assert {r[0] for r in rows(masked.where("Counts != '0'"), "Counts")} <= {"<2", "2"}
+    assert spark.read.parquet(paths["display_by_month"]).where("ageGroup = 'All'").count() > 0
+    dosed = spark.read.option("header", True).csv(paths.dose("fentanyl"))
+    assert rows(dosed, "calDate", "totalPatients", "Counts_12", "Counts_100", "rate") == [
+        ("2013", "1", "1", "0", "12.0"), ("2014", "1", "0", "1", "100.0"),
+    ]
+    profile = spark.read.option("header", True).csv(paths.demographics("fentanyl"))
+    assert ("1289", "(34,44]", "1", "2", "2.0") in rows(profile, "diseaseId", "ageGroup", "totalPatients", "Counts", "rate")
+    summary = spark.read.schema(
+        "cohort_definition_id int, mode_id int, base_count bigint, final_count bigint"
+    ).parquet(paths["summary_stats"])
+    assert (1239, 0, 3, 2) in rows(summary, "cohort_definition_id", "mode_id", "base_count", "final_count")
+
+    again = run_study(*arguments, StudyParameters(database="other", create_cohorts=False), dose)
+    assert rows(store.read_csv(spark, again["by_year"], RATES_YEAR), "database")[0] == ("site",)
