@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.functions.dates import event_end
+from cohortloom.session import checked_broadcast
 from cohortloom.sources.tables import Tables
 
 
@@ -29,6 +30,8 @@ DRUG_SOURCE = "drug_source"
 DRUG = "drug"
 OBSERVATION = "observation"
 PROCEDURE = "procedure"
+# Deaths have no codes; they are events that end stays.
+DEATH = "death"
 
 DOMAINS: Mapping[str, Domain] = {
     CONDITION: Domain(
@@ -47,6 +50,10 @@ DOMAINS: Mapping[str, Domain] = {
 }
 
 
+def _code_column(domain_name: str) -> str:
+    return "source_code" if DOMAINS[domain_name].source_coded else "concept_id"
+
+
 def _end(domain: Domain) -> Column:
     start = F.col(domain.start)
     candidates = []
@@ -58,19 +65,20 @@ def _end(domain: Domain) -> Column:
 
 
 def domain_events(tables: Tables, domain_name: str, codes: DataFrame) -> DataFrame:
-    """Events of one domain whose code is in a codeset, once per codeset they belong to.
+    """Events of one domain whose code is among ``codes``, with the other columns of ``codes``.
 
-    ``codes`` holds ``(codeset_id, concept_id)`` or, for source-coded domains,
-    ``(codeset_id, source_code)``; the caller decides whether it is broadcast.
+    ``codes`` holds ``concept_id``, or ``source_code`` for source-coded domains, and
+    ``codeset_id`` (an event then appears once per codeset) or ``codesets`` (once in
+    all). The caller decides whether it is broadcast.
     """
     domain = DOMAINS[domain_name]
-    code = "source_code" if domain.source_coded else "concept_id"
+    code = _code_column(domain_name)
     return (
         tables[domain.table]
         .join(codes, F.col(domain.code) == codes[code])
         .select(
             F.lit(domain_name).alias("domain"),
-            codes["codeset_id"],
+            *[codes[column] for column in codes.columns if column != code],
             "person_id",
             F.col(domain.start).alias("start_date"),
             _end(domain).alias("end_date"),
@@ -88,14 +96,23 @@ def death_events(death: DataFrame) -> DataFrame:
     )
 
 
+def codesets_by_code(codes: DataFrame, domain_name: str, wanted: set[int]) -> DataFrame:
+    """Each code once, with the array of wanted codesets it is in (no longer than the study's list)."""
+    return (
+        codes.where(F.col("codeset_id").isin(sorted(wanted)))
+        .groupBy(_code_column(domain_name))
+        .agg(F.sort_array(F.collect_set("codeset_id")).alias("codesets"))
+    )
+
+
 def event_days(events: DataFrame) -> DataFrame:
-    """Events counted by person, codeset and start date.
+    """Events counted by person, start date and codesets.
 
     Everything after entry depends on the start date alone, so equal days are
     added up before any shuffle by person. A person then has at most one row per
-    codeset and calendar day, however many events they have.
+    calendar day and combination of codesets, however many events they have.
     """
-    return events.groupBy("domain", "codeset_id", "person_id", "start_date").agg(
+    return events.groupBy("domain", "codesets", "person_id", "start_date").agg(
         F.count(F.lit(1)).alias("n_events")
     )
 
@@ -106,15 +123,21 @@ def tagged_event_days(
     concept_codes: DataFrame | None,
     source_codes: DataFrame | None,
 ) -> DataFrame:
-    """Event days of every codeset in use, reading each domain's table once.
+    """Event days of every codeset in use, and of deaths, reading each domain's table once.
 
-    ``used`` maps domain names to the codesets needed from that domain.
+    ``used`` maps domain names to the codesets needed from that domain. Codes are
+    broadcast if they are few enough.
     """
-    parts = []
-    for domain_name, codesets in sorted(used.items()):
+    found = []
+    for domain_name, wanted in sorted(used.items()):
         codes = source_codes if DOMAINS[domain_name].source_coded else concept_codes
         if codes is None:
             raise ValueError(f"domain {domain_name!r} needs codes that were not given")
-        wanted = codes.where(F.col("codeset_id").isin(sorted(codesets)))
-        parts.append(event_days(domain_events(tables, domain_name, wanted)))
-    return reduce(DataFrame.unionByName, parts)
+        tagged = checked_broadcast(codesets_by_code(codes, domain_name, wanted))
+        found.append(event_days(domain_events(tables, domain_name, tagged)))
+    if "death" in tables:
+        deaths = death_events(tables["death"]).select(
+            F.lit(DEATH).alias("domain"), F.array().cast("array<bigint>").alias("codesets"), "person_id", "start_date"
+        )
+        found.append(event_days(deaths))
+    return reduce(DataFrame.unionByName, found)

@@ -4,6 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cohortloom.operators.events import DEATH
+
+
+def with_next_death(placed: DataFrame) -> DataFrame:
+    """Adds ``censor_date``: the first death on or after each row's day within its period.
+
+    Deaths are rows of the same frame, sorted after other events of their day, so
+    the next one is found in the order the rules count in.
+    """
+    return placed.withColumn("death_day", F.when(F.col("domain") == DEATH, F.col("start_date"))).withColumn(
+        "censor_date",
+        F.expr(
+            "lead(death_day) IGNORE NULLS OVER "
+            "(PARTITION BY person_id, op_start_date, op_end_date ORDER BY day_key)"
+        ),
+    ).drop("death_day")
+
 
 def offset_exit(days: Column | int = 1) -> Column:
     """A fixed number of days after the start, not beyond the observation period."""
@@ -11,19 +28,7 @@ def offset_exit(days: Column | int = 1) -> Column:
     return F.least(F.date_add("start_date", offset), F.col("op_end_date"))
 
 
-def first_death() -> Column:
-    """The earliest death on or after the start and within the observation period."""
-    return F.array_min(
-        F.filter(
-            "death_dates",
-            lambda day: (day >= F.col("start_date")) & (day <= F.col("op_end_date")),
-        )
-    )
-
-
-def with_exit(events: DataFrame, days: Column | int = 1, censored: Column | bool = True) -> DataFrame:
-    """Adds ``exit_date``, the earlier of the offset exit and, where censored, the death."""
+def first_exit(days: Column | int = 1, censored: Column | bool = True) -> Column:
+    """The earlier of the offset exit and, where censored, the next death."""
     censored = F.lit(censored) if isinstance(censored, bool) else censored
-    return events.withColumn(
-        "exit_date", F.least(offset_exit(days), F.when(censored, first_death()))
-    )
+    return F.least(offset_exit(days), F.when(censored, F.col("censor_date")))

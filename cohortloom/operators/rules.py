@@ -20,19 +20,17 @@ def distinct_rules(definitions: Iterable[CohortDefinition]) -> list[Rule]:
 
 def count_rule_events(placed: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds ``hits_<i>``: criterion events in the window of ``rules[i]`` around each row."""
-    ordered = Window.partitionBy("person_id", "op_start_date", "op_end_date").orderBy(
-        F.unix_date("start_date")
-    )
+    history = Window.partitionBy("person_id", "op_start_date", "op_end_date").orderBy("day_key")
     hits = {}
     for number, rule in enumerate(rules):
         if rule.days_after is None:
-            frame = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            frame = history.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         else:
-            frame = ordered.rangeBetween(Window.unboundedPreceding, rule.days_after)
-        counted = F.when(
-            (F.col("domain") == rule.domain) & (F.col("codeset_id") == rule.codeset_id), F.col("n_events")
+            frame = history.rangeBetween(Window.unboundedPreceding, 2 * rule.days_after + 1)
+        matching = (F.col("domain") == rule.domain) & F.array_contains(
+            "codesets", F.lit(rule.codeset_id).cast("bigint")
         )
-        hits[f"hits_{number}"] = F.coalesce(F.sum(counted).over(frame), F.lit(0))
+        hits[f"hits_{number}"] = F.coalesce(F.sum(F.when(matching, F.col("n_events"))).over(frame), F.lit(0))
     return placed.withColumns(hits)
 
 

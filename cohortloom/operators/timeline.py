@@ -4,30 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cohortloom.operators.events import DEATH
 
-def observation_spans(observation_period: DataFrame, death: DataFrame | None = None) -> DataFrame:
-    """Observation periods with the person's death dates attached.
 
-    Equal periods become one row with their number in ``copies``. Death dates are
-    a sorted array without repeats; a person can have no more of them than there
-    are calendar days. Events then need a single join to learn both.
-    """
-    spans = observation_period.groupBy(
+def observation_spans(observation_period: DataFrame) -> DataFrame:
+    """Observation periods, equal ones as one row with their number in ``copies``."""
+    return observation_period.groupBy(
         "person_id",
         F.col("observation_period_start_date").alias("op_start_date"),
         F.col("observation_period_end_date").alias("op_end_date"),
     ).agg(F.count(F.lit(1)).alias("copies"))
-    if death is None:
-        return spans.withColumn("death_dates", F.array().cast("array<date>"))
-    deaths = death.groupBy("person_id").agg(F.sort_array(F.collect_set("death_date")).alias("death_dates"))
-    return spans.join(deaths, "person_id", "left")
 
 
 def place_in_periods(days: DataFrame, spans: DataFrame) -> DataFrame:
-    """Each event day joined to every observation period of the person that covers it."""
-    return days.join(spans, "person_id").where(
+    """Each event day joined to every observation period of the person that covers it.
+
+    ``day_key`` orders the days of a period, with deaths after other events of their
+    day; it grows by two from day to day.
+    """
+    placed = days.join(spans, "person_id").where(
         F.col("start_date").between(F.col("op_start_date"), F.col("op_end_date"))
     )
+    is_death = F.when(F.col("domain") == DEATH, 1).otherwise(0)
+    return placed.withColumn("day_key", F.unix_date("start_date") * 2 + is_death)
 
 
 def has_look_back(placed: DataFrame, prior_days="prior_days", post_days="post_days") -> DataFrame:

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from cohortloom.model import CohortDefinition
 from cohortloom.operators.eras import collapse_eras
 from cohortloom.operators.events import tagged_event_days
-from cohortloom.operators.exits import with_exit
+from cohortloom.operators.exits import first_exit, with_next_death
 from cohortloom.operators.rules import count_rule_events, distinct_rules, meets_all_rules, rule_mask
 from cohortloom.operators.timeline import has_look_back, keep_first, observation_spans, place_in_periods
-from cohortloom.session import checked_broadcast, local_frame
+from cohortloom.session import local_frame
 from cohortloom.sources.tables import Tables
 
 
@@ -29,9 +29,6 @@ class Codes:
     concepts: DataFrame | None = None
     sources: DataFrame | None = None
 
-    def broadcast(self) -> "Codes":
-        return Codes(*[None if df is None else checked_broadcast(df) for df in (self.concepts, self.sources)])
-
 
 _PARAMETERS = T.StructType(
     [
@@ -73,24 +70,24 @@ def _codesets_by_domain(definitions: Sequence[CohortDefinition]) -> dict[str, se
 
 
 def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition]) -> DataFrame:
-    """Index events of all cohorts, per day and observation period, with their rule mask.
+    """Index events of all cohorts by day and observation period, with rule mask and next death.
 
-    ``n_events`` is the number of source events behind a row.
+    ``n_events`` is the number of source events behind a row; a day has several
+    rows where its events differ in their codesets.
     """
     spark = tables["observation_period"].sparkSession
-    codes = codes.broadcast()
     days = tagged_event_days(tables, _codesets_by_domain(definitions), codes.concepts, codes.sources)
-    spans = observation_spans(tables["observation_period"], tables.get("death"))
-    placed = place_in_periods(days, spans)
+    placed = place_in_periods(days, observation_spans(tables["observation_period"]))
     rules = distinct_rules(definitions)
-    if rules:
-        placed = count_rule_events(placed, rules)
-    entered = placed.join(_parameters(spark, definitions), ["domain", "codeset_id"])
+    placed = count_rule_events(with_next_death(placed), rules)
+    entered = placed.withColumn("codeset_id", F.explode("codesets")).join(
+        _parameters(spark, definitions), ["domain", "codeset_id"]
+    )
     in_dates = F.col("start_date").between(
         F.coalesce("start_from", "start_date"), F.coalesce("start_to", "start_date")
     )
     qualified = has_look_back(entered.where(in_dates)).select(
-        "cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", "death_dates",
+        "cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", "censor_date",
         (F.col("n_events") * F.col("copies")).alias("n_events"),
         rule_mask(definitions, rules).alias("rule_mask"),
         "full_mask", "first_only", "exit_days", "censored", "era_pad",
@@ -103,11 +100,11 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
 def build_cohorts(tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition]) -> DataFrame:
     """Cohort rows ``(cohort_definition_id, subject_id, cohort_start_date, cohort_end_date)``."""
     included = meets_all_rules(qualified_events(tables, codes, definitions))
-    stays = with_exit(included, F.col("exit_days"), F.col("censored")).select(
+    stays = included.select(
         F.col("cohort_id").alias("cohort_definition_id"),
         F.col("person_id").alias("subject_id"),
         F.col("start_date").alias("cohort_start_date"),
-        F.col("exit_date").alias("cohort_end_date"),
+        first_exit(F.col("exit_days"), F.col("censored")).alias("cohort_end_date"),
         "era_pad",
     )
     return collapse_eras(

@@ -19,7 +19,7 @@ from cohortloom.operators.eras import collapse_eras
 from cohortloom.operators.events import (
     CONDITION, DRUG_SOURCE, OBSERVATION, PROCEDURE, death_events, domain_events,
 )
-from cohortloom.operators.exits import first_death, offset_exit, with_exit
+from cohortloom.operators.exits import first_exit, offset_exit
 from cohortloom.operators.margins import add_margins
 from cohortloom.operators.profile import diagnosis_profile
 from cohortloom.operators.rules import meets_all_rules
@@ -131,46 +131,54 @@ def death_events_query(spark, root):
     return death_events(Study(spark, root).tables["death"])
 
 
-_INDEX = ["cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", "n_events"]
+def _per_day(events: DataFrame, *more: str) -> DataFrame:
+    return events.groupBy("cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", *more).agg(
+        F.sum("n_events").alias("n_events")
+    )
 
 
 def primary_events_lookback(spark, root):
-    return Study(spark, root).qualified().select(*_INDEX)
+    return _per_day(Study(spark, root).qualified())
 
 
 def _meeting(bit: int):
     def run(spark: SparkSession, root: str) -> DataFrame:
         events = Study(spark, root).qualified(study.DRUGS)
-        return events.where(F.col("rule_mask").bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0).select(*_INDEX)
+        return _per_day(events.where(F.col("rule_mask").bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0))
 
     return run
 
 
 def inclusion_mask(spark, root):
-    return Study(spark, root).qualified().select(*_INDEX, "rule_mask")
+    return _per_day(Study(spark, root).qualified(), "rule_mask")
 
 
 def included_events(spark, root):
-    return meets_all_rules(Study(spark, root).qualified()).select(*_INDEX)
+    return _per_day(meets_all_rules(Study(spark, root).qualified()))
 
 
 def date_offset_exit(spark, root):
     events = meets_all_rules(Study(spark, root).qualified())
-    return events.select("cohort_id", "person_id", "start_date", "op_end_date", offset_exit(1).alias("end_date"))
+    return events.select(
+        "cohort_id", "person_id", "start_date", "op_end_date", offset_exit(1).alias("end_date")
+    ).distinct()
 
 
 def death_censor(spark, root):
     events = meets_all_rules(Study(spark, root).qualified())
-    return events.select(
-        "cohort_id", "person_id", "start_date", "op_end_date", first_death().alias("censor_date")
-    ).where("censor_date IS NOT NULL")
+    return (
+        events.where("censor_date IS NOT NULL")
+        .select("cohort_id", "person_id", "start_date", "op_end_date", "censor_date")
+        .distinct()
+    )
 
 
-def first_exit(spark, root):
+def first_exit_query(spark, root):
     events = meets_all_rules(Study(spark, root).qualified())
-    return with_exit(events, F.col("exit_days"), F.col("censored")).select(
-        "cohort_id", "person_id", "start_date", "exit_date"
-    )
+    return events.select(
+        "cohort_id", "person_id", "start_date",
+        first_exit(F.col("exit_days"), F.col("censored")).alias("exit_date"),
+    ).distinct()
 
 
 def _drug_eras(pad: int):
@@ -361,7 +369,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "included_events": included_events,
     "date_offset_exit": date_offset_exit,
     "death_censor": death_censor,
-    "first_exit": first_exit,
+    "first_exit": first_exit_query,
     "era_collapse": _drug_eras(0),
     "era_collapse_padded": _drug_eras(30),
     "cohort_disease": _cohorts(study.DISEASES),
