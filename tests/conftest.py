@@ -18,6 +18,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.ui.showConsoleProgress": "false",
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
