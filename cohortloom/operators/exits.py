@@ -2,24 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
-from cohortloom.operators.events import DEATH
 
-
-def with_next_death(placed: DataFrame) -> DataFrame:
-    """Adds ``censor_date``: the first death on or after each row's day within its period.
+def next_death() -> Column:
+    """The first death on or after a placed row's day within its period.
 
     Deaths are rows of the same frame, sorted after other events of their day, so
     the next one is found in the order the rules count in.
     """
-    return placed.withColumn("death_day", F.when(F.col("domain") == DEATH, F.col("start_date"))).withColumn(
-        "censor_date",
-        F.expr(
-            "lead(death_day) IGNORE NULLS OVER "
-            "(PARTITION BY person_id, op_start_date, op_end_date ORDER BY day_key)"
-        ),
-    ).drop("death_day")
+    return F.expr(
+        "lead(death_date) IGNORE NULLS OVER "
+        "(PARTITION BY person_id, op_start_date, op_end_date ORDER BY day_key)"
+    )
 
 
 def offset_exit(days: Column | int = 1) -> Column:

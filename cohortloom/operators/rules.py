@@ -18,8 +18,8 @@ def distinct_rules(definitions: Iterable[CohortDefinition]) -> list[Rule]:
     return list(dict.fromkeys(rule for definition in definitions for rule in definition.rules))
 
 
-def count_rule_events(placed: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Adds ``hits_<i>``: criterion events in the window of ``rules[i]`` around each row."""
+def rule_hits(rules: list[Rule]) -> dict[str, Column]:
+    """``hits_<i>``: criterion events in the window of ``rules[i]`` around each placed row."""
     history = Window.partitionBy("person_id", "op_start_date", "op_end_date").orderBy("day_key")
     hits = {}
     for number, rule in enumerate(rules):
@@ -31,7 +31,7 @@ def count_rule_events(placed: DataFrame, rules: list[Rule]) -> DataFrame:
             "codesets", F.lit(rule.codeset_id).cast("bigint")
         )
         hits[f"hits_{number}"] = F.coalesce(F.sum(F.when(matching, F.col("n_events"))).over(frame), F.lit(0))
-    return placed.withColumns(hits)
+    return hits
 
 
 def _holds(rule: Rule, hits: Column) -> Column:

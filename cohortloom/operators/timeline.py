@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortloom.operators.events import DEATH
@@ -20,13 +22,32 @@ def place_in_periods(days: DataFrame, spans: DataFrame) -> DataFrame:
     """Each event day joined to every observation period of the person that covers it.
 
     ``day_key`` orders the days of a period, with deaths after other events of their
-    day; it grows by two from day to day.
+    day; it grows by two from day to day. ``death_date`` is set on deaths.
     """
     placed = days.join(spans, "person_id").where(
         F.col("start_date").between(F.col("op_start_date"), F.col("op_end_date"))
     )
-    is_death = F.when(F.col("domain") == DEATH, 1).otherwise(0)
-    return placed.withColumn("day_key", F.unix_date("start_date") * 2 + is_death)
+    is_death = F.col("domain") == DEATH
+    return placed.withColumns(
+        {
+            "day_key": F.unix_date("start_date") * 2 + is_death.cast("int"),
+            "death_date": F.when(is_death, F.col("start_date")),
+        }
+    )
+
+
+def may_matter(placed: DataFrame, prior_days: int, criteria: Iterable[tuple[str, int]]) -> DataFrame:
+    """Drops rows that are too early to enter any cohort and that no rule counts.
+
+    ``prior_days`` is the shortest look-back asked for, ``criteria`` the domains and
+    codesets of the rules.
+    """
+    counted = F.col("domain") == DEATH
+    for domain, codeset_id in sorted(set(criteria)):
+        counted = counted | (
+            (F.col("domain") == domain) & F.array_contains("codesets", F.lit(codeset_id).cast("bigint"))
+        )
+    return placed.where((F.date_add("op_start_date", prior_days) <= F.col("start_date")) | counted)
 
 
 def has_look_back(placed: DataFrame, prior_days="prior_days", post_days="post_days") -> DataFrame:

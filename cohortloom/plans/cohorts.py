@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from cohortloom.model import CohortDefinition
 from cohortloom.operators.eras import collapse_eras
 from cohortloom.operators.events import tagged_event_days
-from cohortloom.operators.exits import first_exit, with_next_death
-from cohortloom.operators.rules import count_rule_events, distinct_rules, meets_all_rules, rule_mask
-from cohortloom.operators.timeline import has_look_back, keep_first, observation_spans, place_in_periods
+from cohortloom.operators.exits import first_exit, next_death
+from cohortloom.operators.rules import distinct_rules, meets_all_rules, rule_hits, rule_mask
+from cohortloom.operators.timeline import (
+    has_look_back, keep_first, may_matter, observation_spans, place_in_periods,
+)
 from cohortloom.session import local_frame
 from cohortloom.sources.tables import Tables
 
@@ -79,7 +81,11 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
     days = tagged_event_days(tables, _codesets_by_domain(definitions), codes.concepts, codes.sources)
     placed = place_in_periods(days, observation_spans(tables["observation_period"]))
     rules = distinct_rules(definitions)
-    placed = count_rule_events(with_next_death(placed), rules)
+    placed = may_matter(
+        placed,
+        min(d.prior_days for d in definitions),
+        [(rule.domain, rule.codeset_id) for rule in rules],
+    ).withColumns({"censor_date": next_death(), **rule_hits(rules)})
     entered = placed.withColumn("codeset_id", F.explode("codesets")).join(
         _parameters(spark, definitions), ["domain", "codeset_id"]
     )
@@ -97,10 +103,9 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
     return qualified
 
 
-def build_cohorts(tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition]) -> DataFrame:
+def cohorts_of(qualified: DataFrame) -> DataFrame:
     """Cohort rows ``(cohort_definition_id, subject_id, cohort_start_date, cohort_end_date)``."""
-    included = meets_all_rules(qualified_events(tables, codes, definitions))
-    stays = included.select(
+    stays = meets_all_rules(qualified).select(
         F.col("cohort_id").alias("cohort_definition_id"),
         F.col("person_id").alias("subject_id"),
         F.col("start_date").alias("cohort_start_date"),
@@ -114,3 +119,8 @@ def build_cohorts(tables: Tables, codes: Codes, definitions: Sequence[CohortDefi
         "cohort_end_date",
         F.col("era_pad"),
     )
+
+
+def build_cohorts(tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition]) -> DataFrame:
+    """Cohort rows straight from the source tables."""
+    return cohorts_of(qualified_events(tables, codes, definitions))

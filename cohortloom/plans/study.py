@@ -16,7 +16,7 @@ from cohortloom.operators.disclosure import mask_small_cells
 from cohortloom.operators.dose import Strength, dose_summary
 from cohortloom.operators.margins import add_margins
 from cohortloom.operators.profile import diagnosis_profile
-from cohortloom.plans.cohorts import Codes, build_cohorts, qualified_events
+from cohortloom.plans.cohorts import Codes, cohorts_of, qualified_events
 from cohortloom.schemas import DATASET_COUNTS, RATES_MONTH, RATES_YEAR
 from cohortloom.sources import store
 from cohortloom.sources.tables import Tables
@@ -65,6 +65,9 @@ class StudyPaths:
 
 _FILES = {
     "cohort": "cohort",
+    "concept_codes": "tmpData/concept_codes",
+    "source_codes": "tmpData/source_codes",
+    "qualified": "tmpData/qualified",
     "population": "tmpData/population",
     "prepared": "tmpData/prepared",
     "cohort_counts": "CohortCounts.csv",
@@ -81,10 +84,29 @@ _FILES = {
 }
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """Writes ``df`` and reads it back, so that what follows starts from files."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_qualified(
+    tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition], paths: StudyPaths
+) -> DataFrame:
+    """Codes, then index events, each computed once for all that needs them."""
+    codes = Codes(
+        *[
+            None if df is None else _stored(df, paths[name])
+            for name, df in (("concept_codes", codes.concepts), ("source_codes", codes.sources))
+        ]
+    )
+    return _stored(qualified_events(tables, codes, definitions), paths["qualified"])
+
+
 def create_all_cohorts(
     spark: SparkSession,
     tables: Tables,
-    codes: Codes,
+    qualified: DataFrame,
     definitions: Sequence[CohortDefinition],
     paths: StudyPaths,
     parameters: StudyParameters,
@@ -92,7 +114,7 @@ def create_all_cohorts(
     """Cohort table, counts, population and prepared rows."""
     ids = [d.cohort_id for d in definitions]
     store.create_cohort_table(spark, paths["cohort"])
-    store.write_cohorts(build_cohorts(tables, codes, definitions), paths["cohort"], ids)
+    store.write_cohorts(cohorts_of(qualified), paths["cohort"], ids)
     cohort = store.read_cohorts(spark, paths["cohort"])
     registry = rates.registry_frame(spark, [(d.cohort_id, d.name) for d in definitions])
     store.write_csv(cohort_counts(cohort, registry), paths["cohort_counts"])
@@ -103,8 +125,7 @@ def create_all_cohorts(
         as_date(parameters.year_start).year,
         as_date(parameters.year_end).year,
     )
-    population.write.mode("overwrite").parquet(paths["population"])
-    prepared = pop.attach_demographics(cohort, spark.read.schema(population.schema).parquet(paths["population"]))
+    prepared = pop.attach_demographics(cohort, _stored(population, paths["population"]))
     (
         prepared.hint("rebalance", *store.COHORT_KEYS)
         .write.mode("overwrite")
@@ -115,14 +136,12 @@ def create_all_cohorts(
 
 def write_rule_impact(
     spark: SparkSession,
-    tables: Tables,
-    codes: Codes,
+    qualified: DataFrame,
     definitions: Sequence[CohortDefinition],
     paths: StudyPaths,
 ) -> None:
     """Counts per rule mask, rule and cohort, for all events and for best events."""
     ruled = [d for d in definitions if d.rules]
-    qualified = qualified_events(tables, codes, ruled)
     catalogue = impact.rule_catalogue(spark, ruled)
     modes = (impact.ALL_EVENTS, impact.BEST_EVENT)
     slices = [(d.cohort_id, mode) for d in ruled for mode in modes]
@@ -222,10 +241,12 @@ def run_study(
     monthly and dataset counts are kept, not recomputed.
     """
     paths = StudyPaths(output)
+    if parameters.create_cohorts or parameters.rule_impact:
+        qualified = store_qualified(tables, codes, definitions, paths)
     if parameters.create_cohorts:
-        create_all_cohorts(spark, tables, codes, definitions, paths, parameters)
+        create_all_cohorts(spark, tables, qualified, definitions, paths, parameters)
     if parameters.rule_impact:
-        write_rule_impact(spark, tables, codes, definitions, paths)
+        write_rule_impact(spark, qualified, definitions, paths)
     if parameters.run_prevalence:
         compute_prevalence(spark, definitions, pairs, dose, paths, parameters)
     return paths

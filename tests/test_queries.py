@@ -78,7 +78,7 @@ def test_one_shuffle_by_person_carries_rules_exits_and_eras(spark, shuffled_join
     joined = next(line for line in plan.splitlines() if "SortMergeJoin [person_id" in line)
     above = ancestors(plan, joined.strip(" :+-"))
     assert not [line for line in above if line.startswith("Exchange")]
-    assert len([line for line in above if line.startswith("Window")]) == 4
+    assert len([line for line in above if line.startswith("Window")]) == 3
     assert len([line for line in above if line.startswith("Sort ")]) == 2
 
 
