@@ -487,6 +487,18 @@ SQL: dict[str, str] = {
     "primary_events_lookback": of_base(f"SELECT {_INDEX} FROM index_event", 4),
     "rule_at_least_one": of_base(f"SELECT {_INDEX} FROM qualified WHERE rule_0", 4),
     "rule_exactly_zero": of_base(f"SELECT {_INDEX} FROM qualified WHERE rule_1", 4),
+    "rules_counting_occurrences": of_base(
+        f"""SELECT {_INDEX},
+               CASE WHEN (SELECT COUNT(*) FROM condition_event i
+                          WHERE i.codeset_id = 3 AND i.person_id = q.person_id
+                            AND i.start_date BETWEEN q.op_start_date AND LEAST(q.op_end_date, q.start_date + 30)) >= 2
+                    THEN 1::BIGINT ELSE 0 END
+             + CASE WHEN (SELECT COUNT(*) FROM condition_event i
+                          WHERE i.codeset_id = 1 AND i.person_id = q.person_id
+                            AND i.start_date BETWEEN q.op_start_date AND q.start_date) = 1
+                    THEN 2::BIGINT ELSE 0 END AS rule_mask
+            FROM index_event q WHERE cohort_id = 10""", 4
+    ),
     "inclusion_mask": of_base(f"SELECT {_INDEX}, rule_mask FROM qualified", 4),
     "included_events": of_base(f"SELECT {_INDEX} FROM included", 4),
     "date_offset_exit": of_base(

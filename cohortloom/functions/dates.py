@@ -43,9 +43,14 @@ def birth_date(year: Column, month: Column, day: Column) -> Column:
 
 
 def age_in_year(dob: Column, year: Column) -> Column:
-    """Completed years on 1 July of ``year``, cut off towards zero for later births."""
-    reference = F.make_date(year, F.lit(AGE_MONTH), F.lit(AGE_DAY))
-    return (F.months_between(reference, dob) / 12).cast("int")
+    """Completed years on 1 July of ``year``, cut off towards zero for later births.
+
+    The reference day being the first of a month, a month is complete unless the
+    birth is later than the first of its month.
+    """
+    months = year * 12 + (AGE_MONTH - 1) - month_index(dob)
+    complete = F.when((months > 0) & (F.dayofmonth(dob) > AGE_DAY), months - 1).otherwise(months)
+    return (complete / 12).cast("int")
 
 
 def event_end(start: Column, *candidates: Column) -> Column:

@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.model import DISEASE, CohortDefinition, Criterion
+from cohortloom.model import AT_LEAST, DISEASE, DRUG, EXACTLY, CohortDefinition, Criterion, Rule
 from cohortloom.operators import impact, population as pop, rates, views
 from cohortloom.operators.concepts import concept_items, resolve_concept_sets
 from cohortloom.operators.counts import cohort_counts
@@ -39,6 +39,14 @@ MULTI_DOMAIN = CohortDefinition(
     first_only=True,
 )
 
+TWICE_INDICATED = CohortDefinition(
+    study.ANY_STRENGTH,
+    "indicated twice",
+    DRUG,
+    (Criterion(DRUG_SOURCE, study.ANY_STRENGTH),),
+    (Rule(CONDITION, study.INDICATIONS, AT_LEAST, 2, days_after=30), Rule(CONDITION, 1, EXACTLY, 1, days_after=0)),
+)
+
 
 @dataclass
 class Study:
@@ -149,6 +157,10 @@ def _meeting(bit: int):
     return run
 
 
+def rules_counting_occurrences(spark, root):
+    return _per_day(Study(spark, root).qualified((TWICE_INDICATED,)), "rule_mask")
+
+
 def inclusion_mask(spark, root):
     return _per_day(Study(spark, root).qualified(), "rule_mask")
 
@@ -365,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "primary_events_lookback": primary_events_lookback,
     "rule_at_least_one": _meeting(0),
     "rule_exactly_zero": _meeting(1),
+    "rules_counting_occurrences": rules_counting_occurrences,
     "inclusion_mask": inclusion_mask,
     "included_events": included_events,
     "date_offset_exit": date_offset_exit,
