@@ -96,12 +96,10 @@ def death_events(death: DataFrame) -> DataFrame:
     )
 
 
-def codesets_by_code(codes: DataFrame, domain_name: str, wanted: set[int]) -> DataFrame:
-    """Each code once, with the array of wanted codesets it is in (no longer than the study's list)."""
-    return (
-        codes.where(F.col("codeset_id").isin(sorted(wanted)))
-        .groupBy(_code_column(domain_name))
-        .agg(F.sort_array(F.collect_set("codeset_id")).alias("codesets"))
+def codesets_by_code(codes: DataFrame, domain_name: str) -> DataFrame:
+    """Each code once, with the array of codesets it is in (no longer than the study's list)."""
+    return codes.groupBy(_code_column(domain_name)).agg(
+        F.sort_array(F.collect_set("codeset_id")).alias("codesets")
     )
 
 
@@ -133,7 +131,8 @@ def tagged_event_days(
         codes = source_codes if DOMAINS[domain_name].source_coded else concept_codes
         if codes is None:
             raise ValueError(f"domain {domain_name!r} needs codes that were not given")
-        tagged = checked_broadcast(codesets_by_code(codes, domain_name, wanted))
+        codes = codes.where(F.col("codeset_id").isin(sorted(wanted)))
+        tagged = checked_broadcast(codesets_by_code(codes, domain_name), measured=codes)
         found.append(event_days(domain_events(tables, domain_name, tagged)))
     if "death" in tables:
         deaths = death_events(tables["death"]).select(

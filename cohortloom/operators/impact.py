@@ -74,8 +74,7 @@ def inclusion_stats(result: DataFrame, catalogue: DataFrame, mode: int) -> DataF
     mask, bit = F.col("inclusion_rule_mask"), F.col("rule_bit")
     all_rules = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("total_rules")) - 1
     return (
-        F.broadcast(catalogue)
-        .withColumn("rule_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("rule_sequence")))
+        catalogue.withColumn("rule_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("rule_sequence")))
         .withColumn("all_but_this", all_rules - F.col("rule_bit"))
         .join(result.drop("mode_id"), "cohort_definition_id", "left")
         .groupBy("cohort_definition_id", "rule_sequence")

@@ -61,6 +61,7 @@ CONCEPT_ITEM = _schema(
 )
 SOURCE_CODE = _schema(codeset_id=_LONG, source_code=_STR)
 
+# Columns of the settings files.
 REGISTRY = _schema(atlasId=_INT, atlasName=_STR, cohortId=_INT, name=_STR, cohortType=_STR)
 PAIRS = _schema(diseaseId=_INT, diseaseCohort=_STR, drugId=_INT, drugCohort=_STR)
 

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A study makes more generated classes than the default cache holds.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
 }
 
@@ -32,14 +34,18 @@ def build_session(app_name: str, master: str | None = None, **settings) -> Spark
     return builder.getOrCreate()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, measured: DataFrame | None = None
+) -> DataFrame:
     """Broadcast ``df`` if it has at most ``max_rows`` rows.
 
-    The count reads at most ``max_rows + 1`` rows. Beyond the bound ``df`` comes
-    back without a hint, and the join runs as a shuffled one with AQE's skew
-    handling.
+    Where rows of ``df`` hold arrays, ``measured`` is the frame with one row per
+    element, and its rows are counted. The count reads at most ``max_rows + 1``
+    rows. Beyond the bound ``df`` comes back without a hint, and the join runs as a
+    shuffled one with AQE's skew handling.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    measured = df if measured is None else measured
+    if measured.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 

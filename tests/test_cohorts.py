@@ -4,6 +4,7 @@ from conftest import day, rows
 from pyspark.sql import functions as F
 
 from cohortloom.model import AT_LEAST, DISEASE, DRUG, EXACTLY, CohortDefinition, Criterion, Rule
+from cohortloom.operators import events
 from cohortloom.operators.concepts import source_codes
 from cohortloom.operators.events import CONDITION, DRUG as DRUG_CONCEPT, DRUG_SOURCE, OBSERVATION, domain_events
 from cohortloom.operators.rules import meets_all_rules
@@ -283,3 +284,20 @@ def test_full_mask_is_required(spark, make_tables):
     events = qualified_events(tables, codes(spark), (PATCH_COHORT,))
     assert rows(events, "rule_mask", "full_mask") == [(2, 3)]
     assert meets_all_rules(events).count() == 0
+
+
+def test_codes_too_many_to_broadcast_give_the_same_cohorts(spark, make_tables, monkeypatch):
+    tables = make_tables(
+        observation_period=[period(p) for p in (1, 2)],
+        drug_exposure=[exposure(1, "2012-03-03"), exposure(2, "2012-03-03", "C")],
+        condition_occurrence=[condition(p, c, "2011-02-02") for p in (1, 2) for c in (100, 200)],
+    )
+    expected = built(spark, tables, DISEASE_COHORT, PATCH_COHORT)
+    monkeypatch.setattr(events, "checked_broadcast", lambda df, **_: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = build_cohorts(tables, codes(spark), (DISEASE_COHORT,))._jdf.queryExecution().toString()
+        assert "SortMergeJoin [condition_concept_id" in plan
+        assert built(spark, tables, DISEASE_COHORT, PATCH_COHORT) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
