@@ -11,15 +11,15 @@ WITH lines AS (
   FROM lines WHERE line <> ''
   GROUP BY line HAVING count(DISTINCT coalesce(source, '')) >= {MIN_SITES}
 ), parts AS (
-  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS at,
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS nth,
          unnest(string_split(text, chr(10))) AS line
   FROM documents
 ), marked AS (
-  SELECT p.doc_id, p.at, p.line, f.line IS NOT NULL AS gone
+  SELECT p.doc_id, p.nth, p.line, f.line IS NOT NULL AS gone
   FROM parts p LEFT JOIN flagged f ON trim(p.line) = f.line AND p.doc_id <> f.first_doc
 ), kept AS (
-  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
-         coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '') AS text
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (WHERE NOT gone), '') AS text
   FROM marked GROUP BY doc_id
 )"""
 
