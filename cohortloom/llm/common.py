@@ -49,3 +49,11 @@ def whole_text(text: str | Column) -> Column:
 def normal_words(text: str | None) -> list[bytes]:
     """Lower-case words of letters, digits and characters beyond ASCII; none for null."""
     return text.encode("utf-8", "surrogatepass").translate(LETTERS_AND_DIGITS).split() if text else []
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as make it a new column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

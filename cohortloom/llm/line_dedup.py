@@ -80,14 +80,15 @@ def remove_boilerplate(
     id_col: str = "doc_id",
     text_col: str = "text",
     site_col: str = "source",
+    count_col: str = "n_removed_lines",
 ) -> DataFrame:
     """``docs`` with lines of many sites removed from all documents but the first that holds them.
 
     The document of smallest id keeps the line, so text that stands on many sites isn't lost, and of a
     document copied to many sites one copy stays whole. All other columns are returned unchanged, next
-    to ``text_col`` as it is after removal and a new last column ``n_removed_lines``. Every row stays: a text can become empty,
-    null stays null, blank lines stay. Rows given twice are treated alike. A null site counts as one
-    site; rows of null id are never the first.
+    to ``text_col`` as it is after removal and a new last column ``count_col``. Every row stays: a text
+    can become empty, null stays null, blank lines stay. Rows given twice are treated alike. A null site
+    counts as one site; rows of null id are never the first.
     """
     text = whole_text(text_col)
     flagged = boilerplate_lines(docs, min_sites, lg_k, id_col, text_col, site_col)
@@ -113,5 +114,5 @@ def remove_boilerplate(
     n_removed = F.when(F.col("keys_").isNull(), F.lit(0)).otherwise(F.size(before) - F.size(kept)).cast("long")
     return joined.select(
         *[(after if c == text_col else F.col("row_").getField(c)).alias(c) for c in docs.columns],
-        n_removed.alias("n_removed_lines"),
+        n_removed.alias(count_col),
     )

@@ -170,8 +170,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return FactorizationMachine.from_row(rows[0])
 
 
-def score_texts(docs: DataFrame, model: FactorizationMachine, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) as last column. Whole texts are scored where they are read.
+def score_texts(
+    docs: DataFrame, model: FactorizationMachine, text_col: str = "text", score_col: str = "score"
+) -> DataFrame:
+    """``docs`` with ``score_col`` (0 to 1) as last column. Whole texts are scored where they are read.
 
     A null or empty text has no terms and gets the score of the bias, the share of toxic documents.
     Rows, ties and repeated rows are kept as they are.
@@ -185,7 +187,7 @@ def score_texts(docs: DataFrame, model: FactorizationMachine, text_col: str = "t
         for texts in batches:
             yield pd.Series(machine.scores([term_ids(t) for t in texts]) if len(texts) else [], dtype="float64")
 
-    return docs.withColumn("score", score(F.col(text_col)))
+    return docs.withColumn(score_col, score(F.col(text_col)))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
