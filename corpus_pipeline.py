@@ -1,36 +1,72 @@
-"""A corpus pipeline: each stage works on all that the stage before kept."""
+"""A corpus pipeline: each stage works on all that the stage before kept.
+
+Every stage takes documents (doc_id, text, lang, source, n_chars and whatever else they have) and returns
+the columns it got, but for the last, which returns packed sequences. Rows of null id or text go through
+as the stage's operator says; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.llm import line_dedup, toxicity
-from cohortloom.llm.common import table, written
+from cohortloom.llm import decontamination, line_dedup, near_dedup, packing, toxicity
+from cohortloom.llm.common import fresh, table, written
+from cohortloom.llm.tokens import tokenizer_path
+
+TOXIC = 0.5
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but for those whose id is in the one column of ``ids``; rows of null id stay."""
+    gone = fresh(docs, "gone")
+    return docs.join(ids.toDF(gone), F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model finds toxic go. It is fitted on the labels of the folder."""
+    """Documents that the model finds toxic go. It is fitted on the folder's labels of the documents."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_texts(docs, model)
-    return scored.where(F.col("score") < 0.5).drop("score")
+    score = fresh(docs, "score")
+    return toxicity.score_texts(docs, model, score_col=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites go from all documents but the first."""
-    cleaned = line_dedup.remove_boilerplate(docs).drop("n_removed_lines")
-    return cleaned.withColumn("n_chars", F.length("text").cast("long"))
+    """Lines that stand on many sites go from all documents but the first that holds them."""
+    cleaned = line_dedup.remove_boilerplate(docs, count_col=fresh(docs, "n_removed"))
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document of smallest id stays."""
+    classes = near_dedup.near_duplicates(docs)
+    copies = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id")
+    return _without(docs, copies)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, leaks.select("doc_id").distinct())
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents' tokens in sequences of 1024 at most."""
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
 STAGES = [
     ("toxicity", without_toxic),
     ("line dedup", without_boilerplate),
+    ("near dedup", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
 ]
 
-# The model's scores can't be had in SQL.
+# The model's scores and the token ids can't be had in SQL; tests/llm tests the stages by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the folder's documents, each one's result written as Parquet for the next."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
