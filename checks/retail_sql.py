@@ -453,13 +453,67 @@ first_of AS (
 
 DOCUMENT_SETS = statement(
     (SOURCES,),
-    """SELECT p_partkey * 1000 + 7 AS codeset_id, 10000 + p_partkey AS concept_id FROM part
+    """SELECT p_partkey * 4294967296 + 7 AS codeset_id, 10000 + p_partkey AS concept_id FROM part
        UNION ALL
-       SELECT p_partkey * 1000 + 7, 100 + CAST(replace(p_brand, 'Brand#', '') AS BIGINT)
+       SELECT p_partkey * 4294967296 + 7, 100 + CAST(replace(p_brand, 'Brand#', '') AS BIGINT)
        FROM part WHERE p_size <= 25""",
 )
 
 
+# One row per stay, however many observation periods the person has.
+ONCE = """
+once AS (
+    SELECT DISTINCT cohort_id, subject_id, opened, "calDate", age_band, gender FROM inside)"""
+
+USERS = """
+users AS (
+    SELECT * FROM inside WHERE subject_id IN (SELECT subject_id FROM inside WHERE cohort_id = 10))"""
+
+_SPARSE = 'VALUES (1, 10), (2, 11), (3, 16)'
+SPARSE_RATES = statement(
+    rate_ctes("year"),
+    " UNION ALL ".join(
+        f"""SELECT '{analysis}' AS analysis, r.* FROM ({pair_rates(counts)}) r
+            SEMI JOIN ({_SPARSE}) p(a, b) ON r."diseaseId" = p.a AND r."drugId" = p.b"""
+        for analysis, counts in (
+            ("Prevalence of Drug in Disease Cohort", "pair_prevalent"),
+            ("incidence of Drug in Disease Cohort", "pair_incident"),
+        )
+    ),
+)
+
+
+def from_documents() -> str:
+    """The two written cohorts, word by word."""
+    written = """
+entered AS (
+    SELECT 21 AS cohort_id, person_id, MIN(start_date) AS start_date
+    FROM (SELECT t.person_id, t.start_date, op.s, op.e
+          FROM (SELECT person_id, start_date FROM condition_event WHERE codeset_id = 1
+                UNION ALL SELECT person_id, start_date FROM observation_event WHERE codeset_id = 1
+                UNION ALL SELECT person_id, start_date FROM procedure_event WHERE codeset_id = 1) t
+          JOIN op ON op.person_id = t.person_id AND t.start_date BETWEEN op.s AND op.e)
+    WHERE s + 365 <= start_date AND start_date >= DATE '1997-01-01' GROUP BY person_id
+    UNION ALL
+    SELECT 22, l.person_id, l.ship_date
+    FROM line l JOIN codeset c ON c.codeset_id = 2 AND c.concept_id = 10000 + l.l_partkey
+    JOIN op ON op.person_id = l.person_id AND l.ship_date BETWEEN op.s AND op.e
+    WHERE l.l_linenumber % 2 = 0 AND op.s + 180 <= l.ship_date AND l.ship_date + 30 <= op.e),
+ended AS (
+    SELECT t.cohort_id, t.person_id, t.start_date,
+           CASE WHEN t.cohort_id = 22 THEN LEAST(t.start_date + 10, op.e)
+                ELSE LEAST(t.start_date + 1, op.e,
+                           COALESCE((SELECT MIN(d.death_date) FROM death d WHERE d.person_id = t.person_id
+                                     AND d.death_date BETWEEN t.start_date AND op.e), op.e)) END AS exit_date
+    FROM entered t JOIN op ON op.person_id = t.person_id AND t.start_date BETWEEN op.s AND op.e)"""
+    era = eras("written_era", "ended", "cohort_id, person_id", "start_date", "exit_date")
+    return statement(
+        (SOURCES, RESOLVED, EVENTS, written, era),
+        """SELECT cohort_id AS cohort_definition_id, person_id AS subject_id, opened AS cohort_start_date,
+                  closed AS cohort_end_date FROM written_era""",
+    )
+
+
 def with_margins(grain: str, select: str) -> str:
     return statement((*rate_ctes(grain), COMBINED_CTE, MARGINS_CTE), select)
 
@@ -581,10 +635,22 @@ SQL: dict[str, str] = {
     "available_choices": statement(
         (*rate_ctes("year"), COMBINED_CTE),
         """SELECT DISTINCT 'disease' AS kind, "diseaseCohortName" AS name FROM combined
-           WHERE analysis = 'Prevalence of Disease'
+           WHERE analysis = 'Prevalence of Disease' AND "calDate" > 1996
            UNION ALL
            SELECT DISTINCT 'drug', "drugCohortName" FROM combined
-           WHERE analysis = 'Prevalence of Drug in Disease Cohort' AND "diseaseCohortName" = 'disease one'""",
+           WHERE analysis = 'Prevalence of Drug in Disease Cohort' AND "diseaseCohortName" = 'disease one'
+             AND "calDate" > 1996""",
+    ),
+    "cohort_from_definitions": from_documents(),
+    "rates_sparse_pairs": SPARSE_RATES,
+    "rates_floor_year": statement(
+        (*rate_ctes("year", ("1997-01-01", WINDOW[1])), COMBINED_CTE), "SELECT * FROM combined"
+    ),
+    "dose_summary_per_person": statement(
+        (*BASE, population(), PREPARED, in_window("year"), ONCE), DOSE.replace("FROM inside GROUP", "FROM once GROUP")
+    ),
+    "diagnosis_profile_in_drug": statement(
+        (*BASE, population(), PREPARED, in_window("year"), USERS), PROFILE.replace("FROM inside GROUP BY ALL) d", "FROM users GROUP BY ALL) d")
     ),
 }
 

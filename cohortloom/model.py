@@ -12,6 +12,9 @@ from dataclasses import dataclass
 DISEASE = "Disease"
 DRUG = "Drug"
 
+# Rules are bits of bigint words; a cohort of more rules has more words.
+RULES_PER_WORD = 62
+
 AT_LEAST = "at_least"
 EXACTLY = "exactly"
 
@@ -71,8 +74,16 @@ class CohortDefinition:
             raise ValueError(f"unknown cohort type {self.cohort_type!r}")
         if self.exit_days < 0:
             raise ValueError("an exit before the index date would drop the event")
-        if len(self.rules) > 62:
-            raise ValueError("the rule mask is a bigint: at most 62 rules per cohort")
+
+
+def word_names(name: str, words: int) -> list[str]:
+    """Columns of a mask: the first has the plain name, further words are numbered."""
+    return [name if w == 0 else f"{name}_{w}" for w in range(words)]
+
+
+def rule_words(definitions) -> int:
+    """Words that the masks of these cohorts' rules take, at least one."""
+    return max([1, *(-(-len(d.rules) // RULES_PER_WORD) for d in definitions)])
 
 
 def cohort_ids(definitions, cohort_type: str) -> list[int]:

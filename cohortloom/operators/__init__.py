@@ -1,2 +1 @@
-"""Operators: each takes DataFrames and returns a DataFrame, without running anything
-except the bounded size checks of ``session.checked_broadcast``."""
+"""Operators: each takes DataFrames and returns a DataFrame, and none starts a job."""

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.schemas import CONCEPT_ITEM, SOURCE_CODE
-from cohortloom.session import checked_broadcast, local_frame
+from cohortloom.session import local_frame
 
 
 def concept_items(
@@ -33,9 +33,7 @@ def resolve_concept_sets(concept: DataFrame, concept_ancestor: DataFrame, items:
     listed = items.select("codeset_id", "concept_id", "is_excluded", F.lit(True).alias("is_listed"))
     expanding = items.where("include_descendants").select("codeset_id", "concept_id", "is_excluded")
     reached = (
-        concept_ancestor.join(
-            checked_broadcast(expanding), F.col("ancestor_concept_id") == F.col("concept_id")
-        )
+        concept_ancestor.join(expanding, F.col("ancestor_concept_id") == F.col("concept_id"))
         .select(
             "codeset_id",
             F.col("descendant_concept_id").alias("concept_id"),

@@ -19,14 +19,18 @@ class Strength:
     amount: float
 
 
-def dose_summary(prepared: DataFrame, any_strength: int, strengths: Sequence[Strength]) -> DataFrame:
+def dose_summary(
+    prepared: DataFrame, any_strength: int, strengths: Sequence[Strength], fanout: bool = True
+) -> DataFrame:
     """Patients, eras per strength and amount per patient, by year, age and gender.
 
-    Eras count once per observation period of the patient. Only strata with a
+    Eras count once per observation period of the patient, or just once without
+    ``fanout``. Only strata with a
     patient of the any-strength cohort appear. Subjects are added up first, so the
     distinct count needs no second pass and a stratum is never one task.
     """
     cohort = F.col("cohort_definition_id")
+    times = F.col("n_periods") if fanout else F.lit(1).cast("bigint")
     eras = {s.label: f"Counts_{s.label}" for s in strengths}
     per_subject = (
         prepared.where(cohort.isin([any_strength, *{s.cohort_id for s in strengths}]))
@@ -34,7 +38,7 @@ def dose_summary(prepared: DataFrame, any_strength: int, strengths: Sequence[Str
         .agg(
             F.max(F.when(cohort == any_strength, 1).otherwise(0)).alias("is_patient"),
             *[
-                F.sum(F.when(cohort == s.cohort_id, F.col("n_periods")).otherwise(0)).alias(eras[s.label])
+                F.sum(F.when(cohort == s.cohort_id, times).otherwise(0)).alias(eras[s.label])
                 for s in strengths
             ],
         )

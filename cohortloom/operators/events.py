@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.functions.dates import event_end
-from cohortloom.session import checked_broadcast
 from cohortloom.sources.tables import Tables
 
 
@@ -120,11 +119,12 @@ def tagged_event_days(
     used: Mapping[str, set[int]],
     concept_codes: DataFrame | None,
     source_codes: DataFrame | None,
+    small_codes: bool = False,
 ) -> DataFrame:
     """Event days of every codeset in use, and of deaths, reading each domain's table once.
 
-    ``used`` maps domain names to the codesets needed from that domain. Codes are
-    broadcast if they are few enough.
+    ``used`` maps domain names to the codesets needed from that domain. Codes known to
+    be few (``small_codes``) are broadcast; otherwise Spark chooses the join.
     """
     found = []
     for domain_name, wanted in sorted(used.items()):
@@ -132,8 +132,8 @@ def tagged_event_days(
         if codes is None:
             raise ValueError(f"domain {domain_name!r} needs codes that were not given")
         codes = codes.where(F.col("codeset_id").isin(sorted(wanted)))
-        tagged = checked_broadcast(codesets_by_code(codes, domain_name), measured=codes)
-        found.append(event_days(domain_events(tables, domain_name, tagged)))
+        tagged = codesets_by_code(codes, domain_name)
+        found.append(event_days(domain_events(tables, domain_name, F.broadcast(tagged) if small_codes else tagged)))
     if "death" in tables:
         deaths = death_events(tables["death"]).select(
             F.lit(DEATH).alias("domain"), F.array().cast("array<bigint>").alias("codesets"), "person_id", "start_date"

@@ -6,11 +6,14 @@ through counts per mask, of which a cohort has few.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortloom.model import CohortDefinition
+from cohortloom.model import RULES_PER_WORD, CohortDefinition
+from cohortloom.operators.rules import mask_columns
 from cohortloom.session import local_frame
 
 ALL_EVENTS, BEST_EVENT = 0, 1
@@ -24,23 +27,27 @@ def rule_catalogue(spark: SparkSession, definitions: Iterable[CohortDefinition])
     return local_frame(spark, rows, "cohort_definition_id int, rule_sequence int, total_rules int")
 
 
-def _rule_count() -> Column:
-    return F.bit_count("rule_mask")
+def _rule_count(masks: list[str]) -> Column:
+    return sum((F.bit_count(mask) for mask in masks[1:]), F.bit_count(masks[0]))
 
 
-def _lowest_rule() -> Column:
-    """Number of the lowest set bit, 0 for an empty mask."""
-    mask = F.col("rule_mask")
-    below = mask.bitwiseAND(-mask) - 1
-    return F.when(mask == 0, 0).otherwise(F.bit_count(below))
+def _lowest_rule(masks: list[str]) -> Column:
+    """Number of the lowest set bit over all words, 0 for an empty mask."""
+    lowest = F.when(F.lit(False), F.lit(0))
+    for word, name in enumerate(masks):
+        mask = F.col(name)
+        below = mask.bitwiseAND(-mask) - 1
+        lowest = lowest.when(mask != 0, F.bit_count(below) + word * RULES_PER_WORD)
+    return lowest.otherwise(0)
 
 
 def best_events(qualified: DataFrame) -> DataFrame:
     """One event per cohort and person: most rules, then earliest rule, then earliest start."""
+    masks = mask_columns(qualified, "rule_mask")
     rank = F.struct(
-        (-_rule_count()).alias("fewer_rules"),
-        _lowest_rule().alias("min_rule_id"),
-        "start_date", "op_start_date", "op_end_date", "rule_mask",
+        (-_rule_count(masks)).alias("fewer_rules"),
+        _lowest_rule(masks).alias("min_rule_id"),
+        "start_date", "op_start_date", "op_end_date", *masks,
     )
     best = qualified.groupBy("cohort_id", "person_id").agg(F.min(rank).alias("best"))
     return best.select(
@@ -51,7 +58,7 @@ def best_events(qualified: DataFrame) -> DataFrame:
         F.col("best.op_end_date").alias("op_end_date"),
         (-F.col("best.fewer_rules")).alias("rule_count"),
         F.col("best.min_rule_id").alias("min_rule_id"),
-        F.col("best.rule_mask").alias("rule_mask"),
+        *[F.col(f"best.{mask}").alias(mask) for mask in masks],
         F.lit(1).cast("bigint").alias("n_events"),
     )
 
@@ -60,10 +67,23 @@ def inclusion_result(qualified: DataFrame, mode: int) -> DataFrame:
     """Events, or best events, per cohort and rule mask."""
     events = best_events(qualified) if mode == BEST_EVENT else qualified
     return events.groupBy(
-        F.col("cohort_id").alias("cohort_definition_id"), F.col("rule_mask").alias("inclusion_rule_mask")
+        F.col("cohort_id").alias("cohort_definition_id"),
+        *[F.col(mask).alias(f"inclusion_{mask}") for mask in mask_columns(qualified, "rule_mask")],
     ).agg(F.sum("n_events").alias("person_count")).withColumn("mode_id", F.lit(mode))
 
 
+def _ones(count: Column) -> Column:
+    """A word with that many low bits set; none for less than one."""
+    held = F.greatest(F.lit(0), F.least(count, F.lit(RULES_PER_WORD)))
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), held) - 1
+
+
+def _equal(result: DataFrame, wanted: Callable[[int], Column]) -> Column:
+    """Whether every word of the mask is what ``wanted`` makes of its number."""
+    masks = mask_columns(result, "inclusion_rule_mask")
+    return reduce(and_, (F.col(mask) == wanted(word) for word, mask in enumerate(masks)))
+
+
 def _counts_or_zero(condition: Column | None = None) -> Column:
     counted = F.col("person_count") if condition is None else F.when(condition, F.col("person_count"))
     return F.coalesce(F.sum(counted), F.lit(0))
@@ -71,16 +91,22 @@ def _counts_or_zero(condition: Column | None = None) -> Column:
 
 def inclusion_stats(result: DataFrame, catalogue: DataFrame, mode: int) -> DataFrame:
     """Per rule: events meeting it, events it alone keeps out, and all events."""
-    mask, bit = F.col("inclusion_rule_mask"), F.col("rule_bit")
-    all_rules = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("total_rules")) - 1
+    masks = mask_columns(result, "inclusion_rule_mask")
+    total, rule = F.col("total_rules"), F.col("rule_sequence")
+
+    def own_bit(word: int) -> Column:
+        here = rule - word * RULES_PER_WORD
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.greatest(here, F.lit(0)))
+        return F.when(here.between(0, RULES_PER_WORD - 1), bit).otherwise(F.lit(0).cast("bigint"))
+
+    meets = reduce(or_, (F.col(mask).bitwiseAND(own_bit(word)) != 0 for word, mask in enumerate(masks)))
+    alone_out = _equal(result, lambda word: _ones(total - word * RULES_PER_WORD) - own_bit(word))
     return (
-        catalogue.withColumn("rule_bit", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("rule_sequence")))
-        .withColumn("all_but_this", all_rules - F.col("rule_bit"))
-        .join(result.drop("mode_id"), "cohort_definition_id", "left")
+        catalogue.join(result.drop("mode_id"), "cohort_definition_id", "left")
         .groupBy("cohort_definition_id", "rule_sequence")
         .agg(
-            _counts_or_zero(mask.bitwiseAND(bit) != 0).alias("person_count"),
-            _counts_or_zero(mask == F.col("all_but_this")).alias("gain_count"),
+            _counts_or_zero(meets).alias("person_count"),
+            _counts_or_zero(alone_out).alias("gain_count"),
             _counts_or_zero().alias("person_total"),
         )
         .withColumn("mode_id", F.lit(mode))
@@ -90,14 +116,10 @@ def inclusion_stats(result: DataFrame, catalogue: DataFrame, mode: int) -> DataF
 def attrition_summary(result: DataFrame, catalogue: DataFrame, mode: int) -> DataFrame:
     """Events before and after all rules, per cohort."""
     cohorts = catalogue.select("cohort_definition_id", "total_rules").distinct()
-    all_rules = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("total_rules")) - 1
+    meets_all = _equal(result, lambda word: _ones(F.col("total_rules") - word * RULES_PER_WORD))
     return (
-        cohorts.withColumn("all_rules", all_rules)
-        .join(result.drop("mode_id"), "cohort_definition_id", "left")
+        cohorts.join(result.drop("mode_id"), "cohort_definition_id", "left")
         .groupBy("cohort_definition_id")
-        .agg(
-            _counts_or_zero().alias("base_count"),
-            _counts_or_zero(F.col("inclusion_rule_mask") == F.col("all_rules")).alias("final_count"),
-        )
+        .agg(_counts_or_zero().alias("base_count"), _counts_or_zero(meets_all).alias("final_count"))
         .withColumn("mode_id", F.lit(mode))
     )

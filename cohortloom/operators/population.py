@@ -18,13 +18,15 @@ def observed_population(
     """Observation periods overlapping the years, of persons with a known birth year.
 
     Equal periods of a person are one row with their number in ``n_periods``. The
-    overlap is written as plain date bounds so that it reaches the scan.
+    overlap is written as plain date bounds so that it reaches the scan. Periods are
+    shuffled once, by person, for combining them and for the join.
     """
     periods = (
         observation_period.where(
             (F.col("observation_period_start_date") <= F.lit(dt.date(year_to, 12, 31)))
             & (F.col("observation_period_end_date") >= F.lit(dt.date(year_from, 1, 1)))
         )
+        .repartition("person_id")
         .groupBy("person_id", "observation_period_start_date", "observation_period_end_date")
         .agg(F.count(F.lit(1)).alias("n_periods"))
     )

@@ -4,22 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortloom.functions.strata import band_interval
 
 
-def diagnosis_profile(prepared: DataFrame, drug_id: int, disease_ids: Sequence[int]) -> DataFrame:
+def diagnosis_profile(
+    prepared: DataFrame, drug_id: int, disease_ids: Sequence[int], restrict_to_drug: bool = False
+) -> DataFrame:
     """Patients of each disease over patients of the drug, by age and gender.
 
     Both sides count whoever is in the stratum; the disease patients need not use
-    the drug, so the rate may exceed one.
+    the drug, so the rate may exceed one. With ``restrict_to_drug`` only those who
+    use it, in whatever stratum, are counted.
     """
-    counts = (
+    entries = (
         prepared.where(F.col("cohort_definition_id").isin([drug_id, *disease_ids]))
         .select("cohort_definition_id", "age_band", "gender", "subject_id")
         .distinct()
-        .groupBy("cohort_definition_id", "age_band", "gender")
+    )
+    if restrict_to_drug:
+        uses = F.max(F.col("cohort_definition_id") == drug_id).over(Window.partitionBy("subject_id"))
+        entries = entries.withColumn("uses_drug", uses).where("uses_drug")
+    counts = (
+        entries.groupBy("cohort_definition_id", "age_band", "gender")
         .agg(F.count(F.lit(1)).alias("patients"))
     )
     is_drug = F.col("cohort_definition_id") == drug_id

@@ -132,6 +132,13 @@ def analysis_counts(
 ) -> DataFrame:
     """Subjects per analysis, cohort or pair of cohorts, period and stratum."""
     diseases, drugs = _diseases(pairs), _drugs(pairs)
+    paired_with = F.create_map(
+        *[
+            F.lit(x)
+            for disease in diseases
+            for x in (disease, _unique(drug for d, drug in pairs if d == disease))
+        ]
+    )
 
     def entered(analysis: str) -> Column:
         of_disease, of_drug = ANALYSES[analysis]
@@ -140,10 +147,13 @@ def analysis_counts(
         with_drugs = profiles.members(of_drug, drugs)
         if of_disease is None:
             return F.transform(with_drugs, lambda g: _identity(analysis, None, g))
+        # Per disease in the set, the drugs it is paired with that are in the set too.
         return F.flatten(
             F.transform(
                 profiles.members(of_disease, diseases),
-                lambda d: F.transform(with_drugs, lambda g: _identity(analysis, d, g)),
+                lambda d: F.transform(
+                    F.array_intersect(F.element_at(paired_with, d), with_drugs), lambda g: _identity(analysis, d, g)
+                ),
             )
         )
 

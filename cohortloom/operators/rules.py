@@ -8,10 +8,12 @@ cost stays one sort however many events a person has.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortloom.model import AT_LEAST, CohortDefinition, Rule
+from cohortloom.model import AT_LEAST, RULES_PER_WORD, CohortDefinition, Rule, rule_words, word_names
 
 
 def distinct_rules(definitions: Iterable[CohortDefinition]) -> list[Rule]:
@@ -38,21 +40,30 @@ def _holds(rule: Rule, hits: Column) -> Column:
     return hits >= rule.occurrences if rule.kind == AT_LEAST else hits == rule.occurrences
 
 
-def rule_mask(definitions: Iterable[CohortDefinition], rules: list[Rule]) -> Column:
-    """Bit i is set when the cohort's i-th rule holds; cohorts are told by ``cohort_id``."""
+def rule_masks(definitions: Iterable[CohortDefinition], rules: list[Rule]) -> dict[str, Column]:
+    """Bit i of the words is set when the cohort's i-th rule holds; cohorts are told by ``cohort_id``."""
+    definitions = list(definitions)
     sharing: dict[tuple[Rule, ...], list[int]] = {}
     for definition in definitions:
         sharing.setdefault(definition.rules, []).append(definition.cohort_id)
-    mask = F.lit(0).cast("bigint")
+    names = word_names("rule_mask", rule_words(definitions))
+    masks = {name: F.lit(0).cast("bigint") for name in names}
     for own_rules, cohorts in sharing.items():
-        for bit, rule in enumerate(own_rules):
+        for number, rule in enumerate(own_rules):
+            word, bit = divmod(number, RULES_PER_WORD)
             holds = _holds(rule, F.col(f"hits_{rules.index(rule)}"))
-            mask = mask + F.when(
+            masks[names[word]] = masks[names[word]] + F.when(
                 F.col("cohort_id").isin(cohorts) & holds, F.lit(1 << bit).cast("bigint")
             ).otherwise(F.lit(0).cast("bigint"))
-    return mask
+    return masks
+
+
+def mask_columns(df: DataFrame, name: str) -> list[str]:
+    """The columns of a mask in a frame, in the order of their words."""
+    return word_names(name, sum(c == name or c.startswith(f"{name}_") for c in df.columns))
 
 
 def meets_all_rules(qualified: DataFrame) -> DataFrame:
     """Index events whose mask has every bit of their cohort's rules."""
-    return qualified.where(F.col("rule_mask") == F.col("full_mask"))
+    words = zip(mask_columns(qualified, "rule_mask"), mask_columns(qualified, "full_mask"))
+    return qualified.where(reduce(and_, (F.col(mask) == F.col(full) for mask, full in words)))

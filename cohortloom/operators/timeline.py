@@ -10,8 +10,11 @@ from cohortloom.operators.events import DEATH
 
 
 def observation_spans(observation_period: DataFrame) -> DataFrame:
-    """Observation periods, equal ones as one row with their number in ``copies``."""
-    return observation_period.groupBy(
+    """Observation periods, equal ones as one row with their number in ``copies``.
+
+    They are shuffled once, by person, as the join with events needs it.
+    """
+    return observation_period.repartition("person_id").groupBy(
         "person_id",
         F.col("observation_period_start_date").alias("op_start_date"),
         F.col("observation_period_end_date").alias("op_end_date"),

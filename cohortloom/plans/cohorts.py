@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.model import CohortDefinition
+from cohortloom.model import RULES_PER_WORD, CohortDefinition, rule_words, word_names
 from cohortloom.operators.eras import collapse_eras
 from cohortloom.operators.events import tagged_event_days
 from cohortloom.operators.exits import first_exit, next_death
-from cohortloom.operators.rules import distinct_rules, meets_all_rules, rule_hits, rule_mask
+from cohortloom.operators.rules import distinct_rules, meets_all_rules, rule_hits, rule_masks
 from cohortloom.operators.timeline import (
     has_look_back, keep_first, may_matter, observation_spans, place_in_periods,
 )
@@ -26,41 +26,40 @@ from cohortloom.sources.tables import Tables
 
 @dataclass(frozen=True)
 class Codes:
-    """Resolved codesets: vocabulary concepts and local source codes."""
+    """Resolved codesets: vocabulary concepts and local source codes.
+
+    ``small`` says that both are known to be few enough to broadcast.
+    """
 
     concepts: DataFrame | None = None
     sources: DataFrame | None = None
+    small: bool = False
 
 
-_PARAMETERS = T.StructType(
-    [
-        T.StructField("cohort_id", T.IntegerType()),
-        T.StructField("domain", T.StringType()),
-        T.StructField("codeset_id", T.LongType()),
-        T.StructField("start_from", T.DateType()),
-        T.StructField("start_to", T.DateType()),
-        T.StructField("prior_days", T.IntegerType()),
-        T.StructField("post_days", T.IntegerType()),
-        T.StructField("first_only", T.BooleanType()),
-        T.StructField("full_mask", T.LongType()),
-        T.StructField("exit_days", T.IntegerType()),
-        T.StructField("censored", T.BooleanType()),
-        T.StructField("era_pad", T.IntegerType()),
-    ]
+_PARAMETERS = (
+    "cohort_id int, domain string, codeset_id bigint, start_from date, start_to date, prior_days int, "
+    "post_days int, first_only boolean, exit_days int, censored boolean, era_pad int"
 )
 
 
+def _full_masks(definition: CohortDefinition, words: int) -> list[int]:
+    everything = (1 << len(definition.rules)) - 1
+    return [everything >> w * RULES_PER_WORD & (1 << RULES_PER_WORD) - 1 for w in range(words)]
+
+
 def _parameters(spark, definitions: Sequence[CohortDefinition]) -> DataFrame:
     """One row per cohort and entry criterion: as long as the study's settings, so broadcast."""
+    words = rule_words(definitions)
+    schema = ", ".join([_PARAMETERS, *(f"{name} bigint" for name in word_names("full_mask", words))])
     rows = [
         (
             d.cohort_id, c.domain, c.codeset_id, c.start_from, c.start_to, d.prior_days, d.post_days,
-            d.first_only, (1 << len(d.rules)) - 1, d.exit_days, d.censor_at_death, d.era_pad,
+            d.first_only, d.exit_days, d.censor_at_death, d.era_pad, *_full_masks(d, words),
         )
         for d in definitions
         for c in d.primary
     ]
-    return F.broadcast(local_frame(spark, rows, _PARAMETERS))
+    return F.broadcast(local_frame(spark, rows, schema))
 
 
 def _codesets_by_domain(definitions: Sequence[CohortDefinition]) -> dict[str, set[int]]:
@@ -78,7 +77,9 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
     rows where its events differ in their codesets.
     """
     spark = tables["observation_period"].sparkSession
-    days = tagged_event_days(tables, _codesets_by_domain(definitions), codes.concepts, codes.sources)
+    days = tagged_event_days(
+        tables, _codesets_by_domain(definitions), codes.concepts, codes.sources, codes.small
+    )
     placed = place_in_periods(days, observation_spans(tables["observation_period"]))
     rules = distinct_rules(definitions)
     placed = may_matter(
@@ -95,8 +96,8 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
     qualified = has_look_back(entered.where(in_dates)).select(
         "cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", "censor_date",
         (F.col("n_events") * F.col("copies")).alias("n_events"),
-        rule_mask(definitions, rules).alias("rule_mask"),
-        "full_mask", "first_only", "exit_days", "censored", "era_pad",
+        *[mask.alias(name) for name, mask in rule_masks(definitions, rules).items()],
+        *word_names("full_mask", rule_words(definitions)), "first_only", "exit_days", "censored", "era_pad",
     )
     if any(d.first_only for d in definitions):
         qualified = keep_first(qualified)

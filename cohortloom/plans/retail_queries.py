@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cohortloom.functions.dates import floor_start
 from cohortloom.model import AT_LEAST, DISEASE, DRUG, EXACTLY, CohortDefinition, Criterion, Rule
 from cohortloom.operators import impact, population as pop, rates, views
 from cohortloom.operators.concepts import concept_items, resolve_concept_sets
@@ -25,11 +27,14 @@ from cohortloom.operators.profile import diagnosis_profile
 from cohortloom.operators.rules import meets_all_rules
 from cohortloom.plans import retail_study as study
 from cohortloom.plans.cohorts import Codes, build_cohorts, qualified_events
-from cohortloom.session import checked_broadcast
+from cohortloom.plans.file_study import study_of_documents
+from cohortloom.session import local_frame
 from cohortloom.sources.definitions import definition_items, parse_definitions
 from cohortloom.sources.retail import BRAND_BASE, PART_BASE, retail_tables
 
 NARROW_START, NARROW_END = dt.date(1997, 3, 1), dt.date(2000, 10, 31)
+FLOOR = dt.date(1997, 1, 1)
+SPARSE_PAIRS = ((1, 10), (2, 11), (3, 16))
 MINIMUM_CELL = 5
 MULTI_DOMAIN = CohortDefinition(
     5,
@@ -123,14 +128,14 @@ def _events(domain: str):
     def run(spark: SparkSession, root: str) -> DataFrame:
         s = Study(spark, root)
         wanted = s.codes.sources if domain == DRUG_SOURCE else s.codes.concepts
-        return domain_events(s.tables, domain, checked_broadcast(wanted)).drop("domain")
+        return domain_events(s.tables, domain, wanted).drop("domain")
 
     return run
 
 
 def multi_domain_events(spark, root):
     s = Study(spark, root)
-    wanted = checked_broadcast(s.codes.concepts.where(F.col("codeset_id") == 1))
+    wanted = s.codes.concepts.where(F.col("codeset_id") == 1)
     found = [domain_events(s.tables, d, wanted) for d in (CONDITION, OBSERVATION, PROCEDURE)]
     return found[0].unionByName(found[1]).unionByName(found[2]).drop("codeset_id")
 
@@ -194,11 +199,11 @@ def first_exit_query(spark, root):
 
 
 def _drug_eras(pad: int):
-    """Eras of all drug exposures of a person, whatever the drug."""
+    """Eras of a person's exposures to the study's drug, of whatever strength."""
 
     def run(spark: SparkSession, root: str) -> DataFrame:
         s = Study(spark, root)
-        every = checked_broadcast(s.codes.sources.where(F.col("codeset_id") == study.ANY_STRENGTH))
+        every = s.codes.sources.where(F.col("codeset_id") == study.ANY_STRENGTH)
         exposures = domain_events(s.tables, DRUG_SOURCE, every).where("end_date >= start_date")
         return collapse_eras(exposures, ["person_id"], "start_date", "end_date", pad)
 
@@ -270,44 +275,56 @@ def _masked(grain: str, margins: bool):
     return run
 
 
-def dose(spark, root):
-    return dose_summary(Study(spark, root).in_window(study.DRUGS), study.ANY_STRENGTH, study.STRENGTHS)
+def _dose(fanout: bool):
+    return lambda spark, root: dose_summary(
+        Study(spark, root).in_window(study.DRUGS), study.ANY_STRENGTH, study.STRENGTHS, fanout
+    )
 
 
-def profile(spark, root):
-    return diagnosis_profile(
-        Study(spark, root).in_window(), study.ANY_STRENGTH, [d.cohort_id for d in study.DISEASES]
+def _profile(restrict_to_drug: bool):
+    return lambda spark, root: diagnosis_profile(
+        Study(spark, root).in_window(),
+        study.ANY_STRENGTH,
+        [d.cohort_id for d in study.DISEASES],
+        restrict_to_drug,
     )
 
 
+def rates_sparse_pairs(spark, root):
+    """Pair analyses of a few listed pairs among cohorts that make up many more."""
+    s = Study(spark, root)
+    paired = [a for a, kinds in rates.ANALYSES.items() if None not in kinds]
+    return rates.compute_rates(None, s.profiles(rates.YEAR), SPARSE_PAIRS, paired)
+
+
+def rates_floor_year(spark, root):
+    """Rates whose yearly window begins before the earliest day allowed."""
+    start = floor_start(study.WINDOW_START, FLOOR)
+    return Study(spark, root, start, study.WINDOW_END).combined(rates.YEAR)
+
+
 def best_events(spark, root):
     return impact.best_events(Study(spark, root).qualified(study.DRUGS))
 
 
-def _result(s: Study, mode: int) -> DataFrame:
-    return impact.inclusion_result(s.qualified(study.DRUGS), mode)
+MODES = (impact.ALL_EVENTS, impact.BEST_EVENT)
 
 
-def inclusion_result(spark, root):
-    s = Study(spark, root)
-    return _result(s, impact.ALL_EVENTS).unionByName(_result(s, impact.BEST_EVENT))
+def _both_modes(summary: Callable[[Study, DataFrame, int], DataFrame]):
+    """A summary of all events and one of best events, from one set of index events."""
 
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        s = Study(spark, root)
+        qualified = s.qualified(study.DRUGS)
+        every, best = (summary(s, impact.inclusion_result(qualified, mode), mode) for mode in MODES)
+        return every.unionByName(best)
 
-def inclusion_stats(spark, root):
-    s = Study(spark, root)
-    modes = [
-        impact.inclusion_stats(_result(s, m), s.catalogue(), m) for m in (impact.ALL_EVENTS, impact.BEST_EVENT)
-    ]
-    return modes[0].unionByName(modes[1])
+    return run
 
 
-def attrition_summary(spark, root):
-    s = Study(spark, root)
-    modes = [
-        impact.attrition_summary(_result(s, m), s.catalogue(), m)
-        for m in (impact.ALL_EVENTS, impact.BEST_EVENT)
-    ]
-    return modes[0].unionByName(modes[1])
+inclusion_result = _both_modes(lambda s, result, mode: result)
+inclusion_stats = _both_modes(lambda s, result, mode: impact.inclusion_stats(result, s.catalogue(), mode))
+attrition_summary = _both_modes(lambda s, result, mode: impact.attrition_summary(result, s.catalogue(), mode))
 
 
 def rates_view_year(spark, root):
@@ -327,9 +344,9 @@ def rates_view_month(spark, root):
 
 
 def available_choices(spark, root):
-    combined = Study(spark, root).combined(rates.YEAR)
-    diseases = views.available_diseases(combined, rates.PREVALENCE_OF_DISEASE)
-    drugs = views.available_drugs(combined, rates.PREVALENCE_OF_DRUG_IN_DISEASE, "disease one")
+    shown = views.displayed(Study(spark, root).combined(rates.YEAR), after=1996)
+    diseases = views.available_diseases(shown, rates.PREVALENCE_OF_DISEASE)
+    drugs = views.available_drugs(shown, rates.PREVALENCE_OF_DRUG_IN_DISEASE, "disease one")
     return diseases.select(F.lit("disease").alias("kind"), F.col("diseaseCohortName").alias("name")).unionByName(
         drugs.select(F.lit("drug").alias("kind"), F.col("drugCohortName").alias("name"))
     )
@@ -361,6 +378,88 @@ def definition_concept_sets(spark, root):
     return resolve_concept_sets(tables["concept"], tables["concept_ancestor"], definition_items(definitions))
 
 
+# Two cohorts as documents. The first enters by three domains from a day on, once per person, until
+# death; the second by drug concepts, for ten days.
+WRITTEN_STUDY = [
+    (
+        21,
+        "brands one and two",
+        DISEASE,
+        {
+            "ConceptSets": [
+                {
+                    "id": 1000,
+                    "name": "brands",
+                    "expression": {
+                        "items": [
+                            {"concept": {"CONCEPT_ID": BRAND_BASE + 1}, "includeDescendants": True},
+                            {"concept": {"CONCEPT_ID": BRAND_BASE + 2}, "includeDescendants": True},
+                            {"concept": {"CONCEPT_ID": PART_BASE + 1}, "includeDescendants": True, "isExcluded": True},
+                        ]
+                    },
+                }
+            ],
+            "PrimaryCriteria": {
+                "CriteriaList": [
+                    {
+                        domain: {
+                            "CodesetId": 1000,
+                            "OccurrenceStartDate": {"Value": "1997-01-01", "Extent": "2001-12-31", "Op": "gte"},
+                        }
+                    }
+                    for domain in ("ConditionOccurrence", "Observation", "ProcedureOccurrence")
+                ],
+                "ObservationWindow": {"PriorDays": 365, "PostDays": 0},
+                "PrimaryCriteriaLimit": {"Type": "All"},
+            },
+            "QualifiedLimit": {"Type": "First"},
+            "ExpressionLimit": {"Type": "All"},
+            "InclusionRules": [],
+            "EndStrategy": {"DateOffset": {"DateField": "StartDate", "Offset": 1}},
+            "CensoringCriteria": [{"Death": {}}],
+            "CollapseSettings": {"CollapseType": "ERA", "EraPad": 0},
+            "CensorWindow": {},
+            "cdmVersionRange": ">=5.0.0",
+        },
+    ),
+    (
+        22,
+        "brand three",
+        DRUG,
+        {
+            "ConceptSets": [
+                {
+                    "id": 0,
+                    "name": "brand",
+                    "expression": {"items": [{"concept": {"CONCEPT_ID": BRAND_BASE + 3}, "includeDescendants": True}]},
+                }
+            ],
+            "PrimaryCriteria": {
+                "CriteriaList": [{"DrugExposure": {"CodesetId": 0}}],
+                "ObservationWindow": {"PriorDays": 180, "PostDays": 30},
+                "PrimaryCriteriaLimit": {"Type": "All"},
+            },
+            "QualifiedLimit": {"Type": "All"},
+            "ExpressionLimit": {"Type": "All"},
+            "InclusionRules": [],
+            "EndStrategy": {"DateOffset": {"DateField": "StartDate", "Offset": 10}},
+            "CensoringCriteria": [],
+            "CollapseSettings": {"CollapseType": "ERA", "EraPad": 0},
+            "CensorWindow": {},
+        },
+    ),
+]
+
+
+def cohort_from_definitions(spark, root):
+    """Cohorts from document text: concept sets, criteria, windows, limits, exits and censoring."""
+    tables = retail_tables(spark, root)
+    rows = [(i, name, kind, json.dumps(document)) for i, name, kind, document in WRITTEN_STUDY]
+    documents = local_frame(spark, rows, "definition_id int, name string, cohort_type string, text string")
+    codes, definitions = study_of_documents(tables, parse_definitions(documents, "text"))
+    return build_cohorts(tables, codes, definitions)
+
+
 def _named_by_grain(name: str, make: Callable[[str], Callable]) -> dict[str, Callable]:
     return {f"{name}_{grain}": make(grain) for grain in (rates.YEAR, rates.MONTH)}
 
@@ -370,6 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "concept_set_excluded": _one_set(1, [101, 102], [10001]),
     "codesets_union": codesets_union,
     "definition_concept_sets": definition_concept_sets,
+    "cohort_from_definitions": cohort_from_definitions,
     "condition_events": _events(CONDITION),
     "source_code_events": _events(DRUG_SOURCE),
     "multi_domain_events": multi_domain_events,
@@ -409,8 +509,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **_named_by_grain("rates_margins", _margins),
     "mask_small_cells": _masked(rates.YEAR, margins=False),
     **_named_by_grain("masked_margins", lambda g: _masked(g, margins=True)),
-    "dose_summary": dose,
-    "diagnosis_profile": profile,
+    "rates_sparse_pairs": rates_sparse_pairs,
+    "rates_floor_year": rates_floor_year,
+    "dose_summary": _dose(fanout=True),
+    "dose_summary_per_person": _dose(fanout=False),
+    "diagnosis_profile": _profile(restrict_to_drug=False),
+    "diagnosis_profile_in_drug": _profile(restrict_to_drug=True),
     "best_events": best_events,
     "inclusion_result": inclusion_result,
     "inclusion_stats": inclusion_stats,

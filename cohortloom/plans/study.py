@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from cohortloom.functions.dates import STUDY_FLOOR, as_date, floor_start
-from cohortloom.model import DISEASE, CohortDefinition, cohort_ids
+from cohortloom.model import DISEASE, CohortDefinition, cohort_ids, rule_words, word_names
 from cohortloom.operators import impact, population as pop, rates
 from cohortloom.operators.counts import cohort_counts
 from cohortloom.operators.disclosure import mask_small_cells
@@ -18,6 +19,7 @@ from cohortloom.operators.margins import add_margins
 from cohortloom.operators.profile import diagnosis_profile
 from cohortloom.plans.cohorts import Codes, cohorts_of, qualified_events
 from cohortloom.schemas import DATASET_COUNTS, RATES_MONTH, RATES_YEAR
+from cohortloom.session import fits_broadcast
 from cohortloom.sources import store
 from cohortloom.sources.tables import Tables
 
@@ -94,12 +96,11 @@ def store_qualified(
     tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition], paths: StudyPaths
 ) -> DataFrame:
     """Codes, then index events, each computed once for all that needs them."""
-    codes = Codes(
-        *[
-            None if df is None else _stored(df, paths[name])
-            for name, df in (("concept_codes", codes.concepts), ("source_codes", codes.sources))
-        ]
-    )
+    stored = [
+        None if df is None else _stored(df, paths[name])
+        for name, df in (("concept_codes", codes.concepts), ("source_codes", codes.sources))
+    ]
+    codes = Codes(*stored, small=all(fits_broadcast(df) for df in stored if df is not None))
     return _stored(qualified_events(tables, codes, definitions), paths["qualified"])
 
 
@@ -150,8 +151,9 @@ def write_rule_impact(
         store.replace_slices(frames[0].unionByName(frames[1]), path, store.IMPACT_KEYS, slices)
 
     save([impact.inclusion_result(qualified, m) for m in modes], paths["inclusion_result"])
+    masks = [f"inclusion_{name} bigint" for name in word_names("rule_mask", rule_words(ruled))]
     schema = T.StructType.fromDDL(
-        "cohort_definition_id int, mode_id int, inclusion_rule_mask bigint, person_count bigint"
+        ", ".join(["cohort_definition_id int, mode_id int", *masks, "person_count bigint"])
     )
     stored = spark.read.schema(schema).parquet(paths["inclusion_result"])
     results = {m: stored.where(stored["mode_id"] == m) for m in modes}
@@ -173,6 +175,11 @@ def _population_schema() -> T.StructType:
     )
 
 
+def _fingerprint(*settings) -> str:
+    """A digest of settings; all of them have a repr that says all they hold."""
+    return hashlib.sha256(repr(settings).encode()).hexdigest()
+
+
 def compute_prevalence(
     spark: SparkSession,
     definitions: Sequence[CohortDefinition],
@@ -190,9 +197,12 @@ def compute_prevalence(
     prepared = rates.within_months(
         spark.read.schema(_prepared_schema()).parquet(paths["prepared"]), month_start, month_end
     )
+    years = (as_date(parameters.year_start).year, as_date(parameters.year_end).year)
     store.reuse_or_write_csv(
-        spark, paths["dataset_counts"], DATASET_COUNTS, lambda: pop.dataset_counts(population)
+        spark, paths["dataset_counts"], DATASET_COUNTS, _fingerprint(years), lambda: pop.dataset_counts(population)
     )
+    window = (year_start, year_end, month_start, month_end, years)
+    settings = _fingerprint(parameters.database, window, tuple(definitions), tuple(map(tuple, pairs)))
 
     in_pairs = list(dict.fromkeys(i for pair in pairs for i in pair))
 
@@ -205,8 +215,8 @@ def compute_prevalence(
         profiles = rates.stratum_profiles(prepared, in_pairs, grain)
         return rates.combined_rates(denominator, profiles, pairs, registry, parameters.database)
 
-    by_year = store.reuse_or_write_csv(spark, paths["by_year"], RATES_YEAR, lambda: combined(rates.YEAR))
-    by_month = store.reuse_or_write_csv(spark, paths["by_month"], RATES_MONTH, lambda: combined(rates.MONTH))
+    by_year = store.reuse_or_write_csv(spark, paths["by_year"], RATES_YEAR, settings, lambda: combined(rates.YEAR))
+    by_month = store.reuse_or_write_csv(spark, paths["by_month"], RATES_MONTH, settings, lambda: combined(rates.MONTH))
 
     if dose is not None:
         store.write_csv(dose_summary(prepared, dose.any_strength, dose.strengths), paths.dose(dose.name))
@@ -238,7 +248,9 @@ def run_study(
 
     Each stage reads what the one before has stored, so a run can be taken up again
     and lost executors never cost more than the stage at hand. Stored yearly,
-    monthly and dataset counts are kept, not recomputed.
+    monthly and dataset counts are kept as long as windows, definitions, pairs and
+    database name are the same. Data are not compared: a run on new data takes a new
+    output folder.
     """
     paths = StudyPaths(output)
     if parameters.create_cohorts or parameters.rule_impact:

@@ -52,6 +52,12 @@ SOURCE_TABLES = {
     "concept_ancestor": CONCEPT_ANCESTOR,
 }
 
+# Columns that a site's tables may lack or leave null.
+OPTIONAL_COLUMNS = {
+    "year_of_birth", "month_of_birth", "day_of_birth", "condition_end_date", "drug_exposure_end_date",
+    "days_supply", "visit_occurrence_id", "invalid_reason",
+}
+
 COHORT = _schema(
     cohort_definition_id=_INT, subject_id=_LONG, cohort_start_date=_DATE, cohort_end_date=_DATE,
 )

@@ -1,11 +1,11 @@
-"""Session helpers: recommended settings, checked broadcasts."""
+"""Session helpers: recommended settings, local frames, sizes of stored code lists."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings the plans are tuned for. Sizes such as shuffle partitions and
@@ -34,20 +34,13 @@ def build_session(app_name: str, master: str | None = None, **settings) -> Spark
     return builder.getOrCreate()
 
 
-def checked_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, measured: DataFrame | None = None
-) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows.
+def fits_broadcast(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether a table of codes that has been written is small enough to broadcast.
 
-    Where rows of ``df`` hold arrays, ``measured`` is the frame with one row per
-    element, and its rows are counted. The count reads at most ``max_rows + 1``
-    rows. Beyond the bound ``df`` comes back without a hint, and the join runs as a
-    shuffled one with AQE's skew handling.
+    The rows are counted from the footers of its files. Only the study, which stores its codes first,
+    asks this; operators start no jobs and leave the choice of join to Spark.
     """
-    measured = df if measured is None else measured
-    if measured.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return stored.count() <= max_rows
 
 
 def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str) -> DataFrame:

@@ -38,26 +38,89 @@ DOCUMENT = f"""
 """
 ALL, FIRST, ERA, START_DATE = "All", "First", "ERA", "StartDate"
 
-# Codeset ids are local to a document; within a study they follow its id.
-CODESETS_PER_DEFINITION = 1000
+# The keys a document may have, by level. A list holds objects of one kind, an empty
+# object must be empty, False must not be true, and None is any plain value.
+_CRITERION_KEYS = {"CodesetId": None, "OccurrenceStartDate": {"Value": None, "Extent": None, "Op": None}}
+_CONCEPT_KEYS = dict.fromkeys(
+    ("CONCEPT_CLASS_ID", "CONCEPT_CODE", "CONCEPT_ID", "CONCEPT_NAME", "DOMAIN_ID", "INVALID_REASON",
+     "INVALID_REASON_CAPTION", "STANDARD_CONCEPT", "STANDARD_CONCEPT_CAPTION", "VOCABULARY_ID")
+)
+_ITEM_KEYS = {"concept": _CONCEPT_KEYS, "isExcluded": None, "includeDescendants": None, "includeMapped": False}
+_KEYS = {
+    "ConceptSets": [{"id": None, "name": None, "expression": {"items": [_ITEM_KEYS]}}],
+    "PrimaryCriteria": {
+        "CriteriaList": [{name: _CRITERION_KEYS for name in _DOMAIN_OF}],
+        "ObservationWindow": {"PriorDays": None, "PostDays": None},
+        "PrimaryCriteriaLimit": {"Type": None},
+    },
+    "QualifiedLimit": {"Type": None},
+    "ExpressionLimit": {"Type": None},
+    "InclusionRules": None,
+    "EndStrategy": {"DateOffset": {"DateField": None, "Offset": None}},
+    "CensoringCriteria": [{"Death": {}}],
+    "CollapseSettings": {"CollapseType": None, "EraPad": None},
+    "CensorWindow": {},
+    "cdmVersionRange": None,
+}
+_STRICT = {"mode": "FAILFAST"}
+
+# Codeset ids are local to a document. Within a study the document's id stands above 32 bits of them.
+_LOCAL_BITS = 32
+
+
+def _beyond(known: dict, text: Column, path: str) -> Column:
+    """Paths of what an object of a document has beyond the known keys."""
+    fields = F.from_json(text, "map<string,string>", _STRICT)
+    found = [
+        F.transform(
+            F.filter(F.map_keys(fields), lambda key: ~key.isin(list(known))),
+            lambda key: F.concat(F.lit(path), key),
+        )
+    ]
+    for name, inner in known.items():
+        held, below = F.try_element_at(fields, F.lit(name)), f"{path}{name}/"
+        if isinstance(inner, dict):
+            found.append(_beyond(inner, held, below))
+        elif isinstance(inner, list):
+            objects = F.from_json(held, "array<string>", _STRICT)
+            found.append(F.flatten(F.transform(objects, _beyond_of(inner[0], below))))
+        elif inner is False:
+            found.append(F.when(held == "true", F.array(F.lit(f"{path}{name}"))))
+    return F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in found])
+
+
+def _beyond_of(known: dict, path: str):
+    return lambda text: _beyond(known, text, path)
 
 
 def read_definitions(spark: SparkSession, path: str) -> DataFrame:
     """Definition files as rows, with the file's name without its ending in ``name``."""
-    documents = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
+    files = spark.read.text(path, wholetext=True)
     # The file name is percent-encoded, with a plain plus sign for itself.
     file_name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    return documents.withColumn("name", F.regexp_replace(file_name, r"\.json$", ""))
+    named = files.select(F.regexp_replace(file_name, r"\.json$", "").alias("name"), "value")
+    return parse_definitions(named, "value")
 
 
 def parse_definitions(documents: DataFrame, text: str) -> DataFrame:
-    """Definition documents held as text in a column, other columns kept."""
+    """Definition documents held as text in a column, other columns kept.
+
+    Text that isn't a document fails the query. ``unsupported`` lists what a document asks for beyond
+    the known settings; documents with any are refused by whatever uses them.
+    """
     kept = [c for c in documents.columns if c != text]
-    return documents.select(*kept, F.from_json(text, DOCUMENT).alias("document")).select(*kept, "document.*")
+    whole = F.ltrim(F.col(text), F.lit("\ufeff"))
+    return documents.select(
+        *kept,
+        F.from_json(whole, DOCUMENT, _STRICT).alias("document"),
+        _beyond(_KEYS, whole, "").alias("unsupported"),
+    ).select(*kept, "unsupported", "document.*")
 
 
-def study_codeset_id(definition_id: Column, local_id: Column) -> Column:
-    return definition_id.cast("bigint") * CODESETS_PER_DEFINITION + local_id
+def study_codeset_id(definition_id, local_id):
+    """The study's number of a document's codeset, for columns or integers."""
+    wide = definition_id.cast("bigint") if isinstance(definition_id, Column) else definition_id
+    return wide * (1 << _LOCAL_BITS) + local_id
 
 
 def definition_items(definitions: DataFrame, definition_id: str = "definition_id") -> DataFrame:
@@ -65,9 +128,20 @@ def definition_items(definitions: DataFrame, definition_id: str = "definition_id
 
     Flags absent from a document are false.
     """
-    sets = definitions.select(F.col(definition_id).alias("_definition"), F.explode("ConceptSets").alias("s"))
+    of = F.col(definition_id).cast("string")
+    sound = F.when(
+        F.size("unsupported") > 0,
+        F.raise_error(F.concat(F.lit("definition "), of, F.lit(" asks for "), F.array_join("unsupported", ", "))),
+    ).when(
+        F.col("ConceptSets").isNull(), F.raise_error(F.concat(F.lit("definition "), of, F.lit(" has no concept sets")))
+    )
+    checked = F.coalesce(sound.cast(definitions.schema["ConceptSets"].dataType), F.col("ConceptSets"))
+    sets = definitions.select(F.col(definition_id).alias("_definition"), F.explode(checked).alias("s"))
+    local = F.when(F.col("id").between(0, (1 << _LOCAL_BITS) - 1), F.col("id")).otherwise(
+        F.raise_error(F.concat(F.lit("codeset id out of range: "), F.coalesce(F.col("id").cast("string"), F.lit("none")))).cast("bigint")
+    )
     return sets.select("_definition", "s.id", F.explode("s.expression.items").alias("i")).select(
-        study_codeset_id(F.col("_definition"), F.col("id")).alias("codeset_id"),
+        study_codeset_id(F.col("_definition"), local).alias("codeset_id"),
         F.col("i.concept.CONCEPT_ID").alias("concept_id"),
         F.coalesce("i.includeDescendants", F.lit(False)).alias("include_descendants"),
         F.coalesce("i.isExcluded", F.lit(False)).alias("is_excluded"),
@@ -102,9 +176,9 @@ def _criteria(row) -> tuple[Criterion, ...]:
         if len(named) != 1:
             raise ValueError(f"definition {row.name!r} has an entry criterion of an unknown domain")
         (name, criterion), = named
-        if not 0 <= criterion.CodesetId < CODESETS_PER_DEFINITION:
-            raise ValueError(f"definition {row.name!r} has codeset id {criterion.CodesetId}")
-        codeset = row.definition_id * CODESETS_PER_DEFINITION + criterion.CodesetId
+        _require(criterion.CodesetId is not None, row, "a criterion without a codeset")
+        _require(0 <= criterion.CodesetId < 1 << _LOCAL_BITS, row, f"codeset id {criterion.CodesetId}")
+        codeset = study_codeset_id(row.definition_id, criterion.CodesetId)
         found.append(Criterion(_DOMAIN_OF[name], codeset, *_bounds(criterion.OccurrenceStartDate)))
     return tuple(found)
 
@@ -114,14 +188,29 @@ def _require(condition: bool, row, what: str) -> None:
         raise ValueError(f"definition {row.name!r}: {what} is not supported")
 
 
-def cohort_definitions(definitions: DataFrame, cohort_type: str) -> list[CohortDefinition]:
+def _part(row, path: str):
+    for name in path.split("."):
+        row = row[name]
+        if row is None:
+            return None
+    return row
+
+
+def cohort_definitions(definitions: DataFrame, cohort_type: str | None = None) -> list[CohortDefinition]:
     """Study configuration from parsed documents with columns ``definition_id`` and ``name``.
 
-    Only the settings come to the driver, one row per definition; the concept sets
+    Without ``cohort_type``, each document's type is in a column of that name. Only the settings come to the driver, one row per definition; the concept sets
     stay distributed.
     """
     built = []
     for row in definitions.drop("ConceptSets").collect():
+        _require(not row.unsupported, row, ", ".join(row.unsupported))
+        for part in (
+            "PrimaryCriteria", "PrimaryCriteria.CriteriaList", "PrimaryCriteria.ObservationWindow",
+            "PrimaryCriteria.PrimaryCriteriaLimit", "QualifiedLimit", "ExpressionLimit", "EndStrategy",
+            "CollapseSettings",
+        ):
+            _require(_part(row, part) is not None, row, f"a document without {part}")
         window, offset = row.PrimaryCriteria.ObservationWindow, row.EndStrategy.DateOffset
         _require(row.PrimaryCriteria.PrimaryCriteriaLimit.Type == ALL, row, "a primary limit")
         _require(row.ExpressionLimit.Type == ALL, row, "an expression limit")
@@ -135,7 +224,7 @@ def cohort_definitions(definitions: DataFrame, cohort_type: str) -> list[CohortD
             CohortDefinition(
                 cohort_id=row.definition_id,
                 name=row.name,
-                cohort_type=cohort_type,
+                cohort_type=cohort_type or row.cohort_type,
                 primary=_criteria(row),
                 prior_days=window.PriorDays,
                 post_days=window.PostDays,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from cohortloom.schemas import COHORT
@@ -74,21 +75,32 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write is at ``path``; Spark leaves a marker when a job commits."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+def _marked_with(spark: SparkSession, path: str) -> str | None:
+    """The fingerprint beside a stored result, or None where there is none."""
+    try:
+        lines = spark.read.text(f"{path}.fingerprint").collect()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return lines[0][0] if lines else None
 
 
 def reuse_or_write_csv(
-    spark: SparkSession, path: str, schema: T.StructType, compute: Callable[[], DataFrame]
+    spark: SparkSession, path: str, schema: T.StructType, fingerprint: str, compute: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The stored result if there is one, else the computed one, stored first.
+    """The stored result if it was made from the same settings, else the computed one, stored first.
 
-    Either way the rows are read back with the declared schema, so later steps do
-    not repeat the computation.
+    ``fingerprint`` stands for everything the result depends on. It is cleared first
+    and written last, so a result without it wasn't finished. Either way the rows are read back with
+    the declared schema, so later steps do not repeat the computation.
     """
-    if not is_complete(spark, path):
+    def mark(*lines: str) -> None:
+        kept = local_frame(spark, [(line,) for line in lines], "value string")
+        kept.coalesce(1).write.mode("overwrite").text(f"{path}.fingerprint")
+
+    if _marked_with(spark, path) != fingerprint:
+        mark()
         write_csv(compute().select(*schema.names), path)
+        mark(fingerprint)
     return read_csv(spark, path, schema)

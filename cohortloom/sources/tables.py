@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortloom.schemas import SOURCE_TABLES
+from cohortloom.schemas import OPTIONAL_COLUMNS, SOURCE_TABLES
 
 Tables = dict[str, DataFrame]
 
@@ -23,23 +23,32 @@ def jdbc_options(
     url: str,
     table: str,
     *,
-    person_bounds: tuple[int, int] | None = None,
+    split: tuple[str, int, int] | None = None,
     partitions: int = 1,
     fetch_size: int = 10_000,
     **extra: str,
 ) -> dict[str, str]:
-    """Options of one JDBC scan, split into ranges of ``person_id`` where bounds are given."""
+    """Options of one JDBC scan, in ranges of the column of ``split`` between its bounds if given."""
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **extra}
-    if person_bounds is not None:
+    if split is not None:
+        column, low, high = split
         options |= {
-            "partitionColumn": "person_id",
-            "lowerBound": str(person_bounds[0]),
-            "upperBound": str(person_bounds[1]),
+            "partitionColumn": column,
+            "lowerBound": str(low),
+            "upperBound": str(high),
             "numPartitions": str(partitions),
         }
     return options
 
 
+def split_column(name: str) -> str:
+    """The column a table's scan is split by: persons, or concepts in the vocabulary."""
+    for column in ("person_id", "concept_id", "descendant_concept_id"):
+        if column in SOURCE_TABLES[name].names:
+            return column
+    raise ValueError(f"table {name!r} has no column to split by")
+
+
 def read_jdbc_tables(
     spark: SparkSession,
     url: str,
@@ -47,16 +56,25 @@ def read_jdbc_tables(
     names: Iterable[str] = tuple(SOURCE_TABLES),
     *,
     person_bounds: tuple[int, int] | None = None,
+    concept_bounds: tuple[int, int] | None = None,
     partitions: int = 1,
     **extra: str,
 ) -> Tables:
-    """Tables in a site's database. Filters and column lists are pushed to it by Spark."""
+    """Tables in a site's database. Filters and column lists are pushed to it by Spark.
+
+    Scans are split by ids between the bounds given for persons and for concepts;
+    rows outside them are read by the first and last part.
+    """
     tables = {}
     for name in names:
-        schema = SOURCE_TABLES[name]
-        by_person = person_bounds if "person_id" in schema.names else None
+        column = split_column(name)
+        bounds = person_bounds if column == "person_id" else concept_bounds
         options = jdbc_options(
-            url, f"{database_schema}.{name}", person_bounds=by_person, partitions=partitions, **extra
+            url,
+            f"{database_schema}.{name}",
+            split=bounds and (column, *bounds),
+            partitions=partitions,
+            **extra,
         )
         scan = spark.read.format("jdbc").options(**options).load()
         tables[name] = conform(scan, name)
@@ -64,8 +82,14 @@ def read_jdbc_tables(
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Columns of ``df`` in the declared order and types; names match without regard to case."""
+    """Columns of ``df`` in the declared order and types; names match without regard to case.
+
+    A missing column is null where the table may lack it, and an error otherwise.
+    """
     found = {column.lower(): column for column in df.columns}
+    missing = [c for c in SOURCE_TABLES[name].names if c not in found and c not in OPTIONAL_COLUMNS]
+    if missing:
+        raise ValueError(f"table {name!r} lacks {', '.join(missing)}")
     return df.select(
         *[
             (F.col(found[field.name]) if field.name in found else F.lit(None))

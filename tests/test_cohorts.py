@@ -1,10 +1,11 @@
 import datetime as dt
+from dataclasses import replace
 
 from conftest import day, rows
 from pyspark.sql import functions as F
 
 from cohortloom.model import AT_LEAST, DISEASE, DRUG, EXACTLY, CohortDefinition, Criterion, Rule
-from cohortloom.operators import events
+from cohortloom.operators import impact
 from cohortloom.operators.concepts import source_codes
 from cohortloom.operators.events import CONDITION, DRUG as DRUG_CONCEPT, DRUG_SOURCE, OBSERVATION, domain_events
 from cohortloom.operators.rules import meets_all_rules
@@ -286,18 +287,47 @@ def test_full_mask_is_required(spark, make_tables):
     assert meets_all_rules(events).count() == 0
 
 
-def test_codes_too_many_to_broadcast_give_the_same_cohorts(spark, make_tables, monkeypatch):
+def test_codes_broadcast_or_not_give_the_same_cohorts(spark, make_tables):
     tables = make_tables(
         observation_period=[period(p) for p in (1, 2)],
         drug_exposure=[exposure(1, "2012-03-03"), exposure(2, "2012-03-03", "C")],
         condition_occurrence=[condition(p, c, "2011-02-02") for p in (1, 2) for c in (100, 200)],
     )
     expected = built(spark, tables, DISEASE_COHORT, PATCH_COHORT)
-    monkeypatch.setattr(events, "checked_broadcast", lambda df, **_: df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        few = replace(codes(spark), small=True)
+        plan = build_cohorts(tables, few, (DISEASE_COHORT,))._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin [condition_concept_id" in plan
+        assert rows(build_cohorts(tables, few, (DISEASE_COHORT, PATCH_COHORT))) == expected
         plan = build_cohorts(tables, codes(spark), (DISEASE_COHORT,))._jdf.queryExecution().toString()
         assert "SortMergeJoin [condition_concept_id" in plan
         assert built(spark, tables, DISEASE_COHORT, PATCH_COHORT) == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_more_rules_than_bits_in_a_word(spark, make_tables):
+    """Seventy rules, of which the last asks for what one of two persons has."""
+    first = [Rule(CONDITION, ILL, EXACTLY, n, days_after=0) for n in range(100, 169)]
+    rules = (*[replace(rule, kind=AT_LEAST, occurrences=0, days_after=i) for i, rule in enumerate(first)],
+             Rule(CONDITION, INDICATED, AT_LEAST, 1))
+    many = CohortDefinition(PATCH, "many", DRUG, (Criterion(DRUG_SOURCE, PATCH),), rules)
+    tables = make_tables(
+        observation_period=[period(p) for p in (1, 2)],
+        drug_exposure=[exposure(1, "2012-03-03"), exposure(2, "2012-03-03")],
+        condition_occurrence=[condition(1, 200, "2011-02-02")],
+    )
+    events = qualified_events(tables, codes(spark), (many,))
+    low, high = (1 << 62) - 1, (1 << 8) - 1
+    assert rows(events, "person_id", "rule_mask", "rule_mask_1", "full_mask_1") == [
+        (1, low, high, high), (2, low, high >> 1, high),
+    ]
+    assert rows(meets_all_rules(events), "person_id") == [(1,)]
+    catalogue = impact.rule_catalogue(spark, [many])
+    result = impact.inclusion_result(events, impact.ALL_EVENTS)
+    stats = rows(impact.inclusion_stats(result, catalogue, 0), "rule_sequence", "person_count", "gain_count", "person_total")
+    assert stats[0] == (0, 2, 0, 2) and stats[62] == (62, 2, 0, 2) and stats[69] == (69, 1, 1, 2)
+    assert rows(impact.attrition_summary(result, catalogue, 0), "base_count", "final_count") == [(2, 1)]
+    best = rows(impact.best_events(events), "person_id", "rule_count", "min_rule_id", "rule_mask_1")
+    assert best == [(1, 70, 0, high), (2, 69, 0, high >> 1)]

@@ -7,6 +7,8 @@ from cohortloom.model import DISEASE, DRUG, CohortDefinition, Criterion
 from cohortloom.operators.concepts import resolve_concept_sets
 from cohortloom.operators.events import CONDITION, DRUG as DRUG_CONCEPT, OBSERVATION, PROCEDURE
 from cohortloom.plans import patch_study
+from cohortloom.plans.file_study import read_study, run_file_study
+from cohortloom.plans.study import StudyParameters
 from cohortloom.sources.definitions import (
     cohort_definitions, definition_items, parse_definitions, read_definitions,
 )
@@ -50,6 +52,7 @@ def parsed(spark, *documents):
     return parse_definitions(frame, "text")
 
 
+ID = 1 << 32  # a document's id stands above its local ids
 SINCE = {"Value": "2016-01-01", "Extent": "2021-12-31", "Op": "gte"}
 
 
@@ -65,10 +68,10 @@ def test_settings_become_definitions(spark):
     assert sorted(found, key=lambda d: d.cohort_id) == [
         CohortDefinition(
             1, "d1", DISEASE,
-            (Criterion(CONDITION, 1000, start), Criterion(OBSERVATION, 1000, start), Criterion(PROCEDURE, 1000)),
+            (Criterion(CONDITION, ID, start), Criterion(OBSERVATION, ID, start), Criterion(PROCEDURE, ID)),
             first_only=True,
         ),
-        CohortDefinition(2, "d2", DISEASE, (Criterion(DRUG_CONCEPT, 2002),), censor_at_death=False),
+        CohortDefinition(2, "d2", DISEASE, (Criterion(DRUG_CONCEPT, 2 * ID + 2),), censor_at_death=False),
     ]
 
 
@@ -90,6 +93,11 @@ def test_date_operators(spark, operator, bounds):
         {"ExpressionLimit": {"Type": "First"}},
         {"EndStrategy": {"DateOffset": {"DateField": "EndDate", "Offset": 1}}},
         {"CensoringCriteria": [{"Observation": {}}]},
+        {"CensorWindow": {"StartDate": "2015-01-01"}},
+        {"AdditionalCriteria": {"Type": "ALL"}},
+        {"EndStrategy": {"DateOffset": {"DateField": "StartDate", "Offset": 1}, "CustomEra": {}}},
+        {"PrimaryCriteria": None},
+        {"QualifiedLimit": None},
     ],
 )
 def test_what_is_not_supported_is_refused(spark, change):
@@ -98,6 +106,85 @@ def test_what_is_not_supported_is_refused(spark, change):
         cohort_definitions(parsed(spark, text), DISEASE)
 
 
+@pytest.mark.parametrize("setting", [{"First": True}, {"Age": {"Value": 1, "Op": "gt"}}, {"Gender": []}, {"OccurrenceEndDate": {}}])
+def test_settings_of_criteria_are_refused(spark, setting):
+    entry = {"Observation": {"CodesetId": 0, **setting}}
+    with pytest.raises(ValueError, match=f"CriteriaList/Observation/{next(iter(setting))}"):
+        cohort_definitions(parsed(spark, document({0: [item(1)]}, [entry])), DISEASE)
+
+
+def test_mapped_concepts_are_refused_where_asked_for(spark):
+    plain = document({0: [item(1, includeMapped=False)]}, [criterion("Observation", 0)])
+    assert rows(definition_items(parsed(spark, plain)), "concept_id") == [(1,)]
+    mapped = document({0: [item(1, includeMapped=True)]}, [criterion("Observation", 0)])
+    with pytest.raises(Exception, match="includeMapped"):
+        definition_items(parsed(spark, plain, mapped)).collect()
+    with pytest.raises(ValueError, match="includeMapped"):
+        cohort_definitions(parsed(spark, plain, mapped), DISEASE)
+
+
+def test_codeset_ids_of_documents_do_not_meet(spark):
+    sets = parsed(spark, document({1000: [item(1)]}, []), document({0: [item(2)]}, []))
+    assert rows(definition_items(sets), "codeset_id", "concept_id") == [(ID + 1000, 1), (2 * ID, 2)]
+    with pytest.raises(Exception, match="out of range"):
+        definition_items(parsed(spark, document({-1: [item(1)]}, []))).collect()
+
+
+def test_broken_files_fail(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps(document({0: [item(7)]}, [criterion("Observation", 0)])))
+    (tmp_path / "broken.json").write_text('{"ConceptSets": [{"id": 0, ')
+    read = read_definitions(spark, str(tmp_path)).withColumn("definition_id", F.lit(1))
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        definition_items(read).collect()
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        cohort_definitions(read, DISEASE)
+
+
+def write_study(tmp_path, pairs="7,b c,9,d\n"):
+    (tmp_path / "documents").mkdir()
+    ill = document({0: [item(1, includeDescendants=True)]}, [criterion("ConditionOccurrence", 0)], limit="All")
+    drug = document({0: [item(50)]}, [criterion("DrugExposure", 0)], limit="All")
+    (tmp_path / "documents" / "b c.json").write_text(json.dumps(ill))
+    (tmp_path / "documents" / "d.json").write_text(json.dumps(drug))
+    (tmp_path / "documents" / "unused.json").write_text(json.dumps(ill))
+    (tmp_path / "cohorts.csv").write_text(
+        "atlasId,atlasName,cohortId,name,cohortType\n7,[a] b c,7,b c,Disease\n9,[a] d,9,d,Drug\n"
+    )
+    (tmp_path / "pairs.csv").write_text(f"diseaseId,diseaseCohort,drugId,drugCohort\n{pairs}")
+    return [str(tmp_path / name) for name in ("cohorts.csv", "pairs.csv", "documents")]
+
+
+def test_a_study_runs_from_its_files(spark, make_tables, tmp_path):
+    tables = make_tables(
+        person=[{"person_id": 1, "gender_concept_id": 8507, "year_of_birth": 1970}],
+        observation_period=[{"person_id": 1, "observation_period_start_date": day("2010-01-01"),
+                             "observation_period_end_date": day("2020-12-31")}],
+        concept=[{"concept_id": c} for c in (1, 2, 50)],
+        concept_ancestor=[{"ancestor_concept_id": 1, "descendant_concept_id": 2}],
+        condition_occurrence=[{"person_id": 1, "condition_concept_id": 2, "condition_start_date": day("2013-02-03")}],
+        drug_exposure=[{"person_id": 1, "drug_concept_id": 50, "drug_exposure_start_date": day("2013-06-06")}],
+    )
+    files = write_study(tmp_path)
+    paths = run_file_study(spark, tables, *files, str(tmp_path / "out"), StudyParameters(database="site"))
+    by_year = spark.read.option("header", True).csv(paths["by_year"])
+    paired = by_year.where("analysis = 'Prevalence of Drug in Disease Cohort'")
+    assert rows(paired, "diseaseCohortName", "drugCohortName", "calDate", "Counts", "totalPatients") == [
+        ("b c", "d", "2013", "1", "1")
+    ]
+
+
+def test_settings_files_are_held_to_their_documents(spark, make_tables, tmp_path):
+    tables, files = make_tables(), write_study(tmp_path, pairs="9,d,7,b c\n")
+    with pytest.raises(ValueError, match="pair"):
+        read_study(spark, tables, *files)
+    (tmp_path / "documents" / "d.json").unlink()
+    with pytest.raises(ValueError, match="no definition for d"):
+        read_study(spark, tables, *files)
+    (tmp_path / "cohorts.csv").write_text("atlasId,atlasName,cohortId,name,cohortType\n7,x,7,b c,Disease\n7,y,7,d,Drug\n")
+    with pytest.raises(ValueError, match="cohortId"):
+        read_study(spark, tables, *files)
+
+
 def test_items_resolve_per_document(spark, make_tables):
     tables = make_tables(
         concept=[{"concept_id": c} for c in (1, 2, 3)],
@@ -110,7 +197,7 @@ def test_items_resolve_per_document(spark, make_tables):
     )
     items = definition_items(definitions)
     assert rows(resolve_concept_sets(tables["concept"], tables["concept_ancestor"], items), "codeset_id", "concept_id") == [
-        (1000, 1), (1000, 3), (2000, 1), (2003, 3),
+        (ID, 1), (ID, 3), (2 * ID, 1), (2 * ID + 3, 3),
     ]
 
 
@@ -122,7 +209,7 @@ def test_files_are_named_after_themselves(spark, tmp_path):
         "definition_id", F.when(F.col("name") == "Low mood", 4).otherwise(5)
     )
     assert rows(read, "definition_id", "name") == [(4, "Low mood"), (5, "Other")]
-    assert rows(definition_items(read)) == [(4000, 7, True, False), (5000, 7, True, False)]
+    assert rows(definition_items(read)) == [(4 * ID, 7, True, False), (5 * ID, 7, True, False)]
 
 
 def test_csv_settings(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 import os
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -22,6 +23,8 @@ COMPARED = [
     "first_exit", "era_collapse_padded", "cohort_all", "cohort_first_of_several_domains", "cohort_demographics",
     "population_by_month_narrow", "dataset_counts", "rates_combined_month", "masked_margins_year", "dose_summary",
     "diagnosis_profile", "best_events", "inclusion_stats", "rates_view_year", "available_choices",
+    "cohort_from_definitions", "rates_sparse_pairs", "rates_floor_year", "dose_summary_per_person",
+    "diagnosis_profile_in_drug",
 ]
 
 
@@ -85,7 +88,8 @@ def test_one_shuffle_by_person_carries_rules_exits_and_eras(spark, shuffled_join
 
 def test_codes_are_broadcast_and_only_needed_columns_are_read(spark, shuffled_joins):
     tables = retail_tables(spark, ROOT)
-    plan = plan_of(build_cohorts(tables, study.codes(spark, tables), study.DISEASES))
+    few = replace(study.codes(spark, tables), small=True)
+    plan = plan_of(build_cohorts(tables, few, study.DISEASES))
     assert "BroadcastHashJoin [condition_concept_id" in plan
     (read,) = {
         schema for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "l_orderkey" in schema
@@ -109,3 +113,35 @@ def test_subjects_are_shuffled_once_for_all_rates(spark, shuffled_joins):
     above = ancestors(plan, "SortMergeJoin [subject_id")
     shuffles = [line for line in above if line.startswith("Exchange")]
     assert not [line for line in shuffles if "subject_id" in line]
+
+
+def test_no_job_runs_while_a_query_is_built(spark):
+    """Queries of the text package, which write scratch tables, are not among these."""
+    context = spark.sparkContext
+    context.setJobGroup("building", "plans only")
+    try:
+        for name, query in entry.QUERIES.items():
+            if name != "cohort_from_definitions":  # it reads the settings of its documents
+                query(spark, ROOT)
+        assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_periods_are_shuffled_once_before_the_join_with_persons(spark, make_tables, shuffled_joins, tmp_path):
+    for name in ("person", "observation_period"):
+        make_tables()[name].write.parquet(str(tmp_path / name))
+    tables = read_parquet_tables(spark, str(tmp_path), ("person", "observation_period"))
+    plan = plan_of(pop.observed_population(tables["person"], tables["observation_period"], 2012, 2021))
+    assert plan.count("Exchange hashpartitioning(person_id") == 2  # periods, and persons
+
+
+@pytest.mark.parametrize("name", ["inclusion_result", "inclusion_stats", "attrition_summary"])
+def test_rule_queries_build_their_events_once(spark, monkeypatch, name):
+    from cohortloom.plans import retail_queries
+
+    built = []
+    real = retail_queries.qualified_events
+    monkeypatch.setattr(retail_queries, "qualified_events", lambda *a: built.append(1) or real(*a))
+    entry.queries()[name](spark, ROOT)
+    assert len(built) == 1

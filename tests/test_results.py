@@ -378,3 +378,30 @@ def test_choices(spark):
     assert rows(views.available_diseases(base, "Incidence of Disease")) == [("ill",), ("worse",)]
     assert rows(views.available_drugs(base, "Incidence of Disease", "ill")) == [("Nil",)]
     assert rows(views.available_drugs(base, "Prevalence of Drug in Disease Cohort", "worse")) == [("other",)]
+
+
+def test_only_listed_pairs_are_counted(spark):
+    people = population(spark, span(1, "2010-01-01", "2015-01-01"))
+    cohort = local_frame(spark, [(c, 1, d, d) for c in (1, 2, 10, 11) for d in (day("2012-02-02"),)], COHORT)
+    profiles = rates.stratum_profiles(pop.attach_demographics(cohort, people), [1, 2, 10, 11], rates.YEAR)
+    listed = [(1, 10), (2, 11)]
+    counts = rates.analysis_counts(profiles, listed, [rates.PREVALENCE_OF_DRUG_IN_DISEASE])
+    assert rows(counts, "diseaseId", "drugId") == listed
+
+
+def test_profile_of_those_who_use_the_drug(spark):
+    prepared = local_frame(
+        spark,
+        [(10, 1, "Male", 1, 2012, 3), (1, 1, "Male", 1, 2012, 3), (1, 6, "Male", 1, 2012, 3),
+         (10, 7, "Male", 1, 2012, 2), (1, 7, "Male", 1, 2014, 3)],
+        PREPARED,
+    )
+    found = diagnosis_profile(prepared, 10, [1], restrict_to_drug=True)
+    assert rows(found) == [(1, "(24,34]", "Male", 1, 0, 0.0), (1, "(34,44]", "Male", 1, 2, 2.0)]
+
+
+def test_dose_without_a_count_per_period(spark):
+    prepared = local_frame(spark, [(10, 1, "Male", 3, 2012, 3), (11, 1, "Male", 3, 2012, 3)], PREPARED)
+    for fanout, eras in ((True, 3), (False, 1)):
+        found = dose_summary(prepared, 10, [Strength("12", 11, 12.0)], fanout)
+        assert rows(found, "totalPatients", "Counts_12", "rate") == [(1, eras, 12.0 * eras)]

@@ -1,13 +1,16 @@
 import re
 
+import pytest
+
 from conftest import day, rows
+from pyspark.sql import types as T
 
 from cohortloom.plans import patch_study
 from cohortloom.plans.study import DoseSettings, StudyParameters, run_study
 from cohortloom.schemas import COHORT, DATASET_COUNTS, RATES_MONTH, RATES_YEAR, SOURCE_TABLES
-from cohortloom.session import checked_broadcast, local_frame
+from cohortloom.session import fits_broadcast, local_frame
 from cohortloom.sources import store
-from cohortloom.sources.tables import conform, jdbc_options, read_parquet_tables
+from cohortloom.sources.tables import conform, jdbc_options, read_parquet_tables, split_column
 
 
 def cohort(spark, *listed):
@@ -53,7 +56,7 @@ def test_results_are_reused_when_complete(spark, tmp_path):
         return local_frame(spark, [(3, 4)], DATASET_COUNTS)
 
     for _ in range(2):
-        assert rows(store.reuse_or_write_csv(spark, path, DATASET_COUNTS, compute)) == [(3, 4)]
+        assert rows(store.reuse_or_write_csv(spark, path, DATASET_COUNTS, "same", compute)) == [(3, 4)]
     assert calls == [1]
 
 
@@ -80,16 +83,52 @@ def test_database_columns_are_conformed(spark):
     assert rows(fixed) == [(1, day("2012-01-01"))]
 
 
-def test_database_scans_are_split_by_person():
-    options = jdbc_options("jdbc:x", "cdm.death", person_bounds=(1, 900), partitions=9, user="me")
+def test_database_scans_are_split():
+    options = jdbc_options("jdbc:x", "cdm.death", split=("person_id", 1, 900), partitions=9, user="me")
     assert options["partitionColumn"] == "person_id" and options["numPartitions"] == "9"
     assert options["user"] == "me" and "partitionColumn" not in jdbc_options("jdbc:x", "cdm.concept")
+    assert {name: split_column(name) for name in ("death", "concept", "concept_ancestor")} == {
+        "death": "person_id", "concept": "concept_id", "concept_ancestor": "descendant_concept_id",
+    }
 
 
-def test_broadcast_is_checked(spark):
+def test_stored_codes_are_measured(spark):
     small = local_frame(spark, [(i,) for i in range(5)], "i int")
-    assert "broadcast" in checked_broadcast(small, 5)._jdf.queryExecution().toString()
-    assert "broadcast" not in checked_broadcast(small, 4)._jdf.queryExecution().toString()
+    assert fits_broadcast(small, 5) and not fits_broadcast(small, 4)
+
+
+def test_required_columns_must_be_there(spark):
+    drugs = local_frame(spark, [], "drug_exposure_id bigint, person_id bigint, drug_concept_id bigint, drug_exposure_start_date date")
+    with pytest.raises(ValueError, match="drug_source_value"):
+        conform(drugs, "drug_exposure")
+    whole = local_frame(spark, [(1,)], "concept_id bigint")
+    assert rows(conform(whole, "concept")) == [(1, None)]
+
+
+@pytest.mark.parametrize("kept", [["a"], ["a", "b"]])
+def test_results_are_kept_while_their_settings_are_the_same(spark, tmp_path, kept):
+    schema, path, made = T.StructType.fromDDL("x int"), str(tmp_path / "r.csv"), []
+
+    def compute():
+        made.append(1)
+        return local_frame(spark, [(len(made),)], schema)
+
+    for settings in (*kept, kept[-1]):
+        found = store.reuse_or_write_csv(spark, path, schema, settings, compute)
+    assert rows(found) == [(len(kept),)] and len(made) == len(kept)
+
+
+def test_an_unfinished_result_is_made_again(spark, tmp_path):
+    schema, path = T.StructType.fromDDL("x int"), str(tmp_path / "r.csv")
+
+    def fails():
+        raise RuntimeError("lost")
+
+    store.reuse_or_write_csv(spark, path, schema, "a", lambda: local_frame(spark, [(1,)], schema))
+    with pytest.raises(RuntimeError):
+        store.reuse_or_write_csv(spark, path, schema, "b", fails)
+    found = store.reuse_or_write_csv(spark, path, schema, "a", lambda: local_frame(spark, [(2,)], schema))
+    assert rows(found) == [(2,)]
 
 
 def clinical(make_tables):
@@ -169,4 +208,4 @@ def test_shipped_study_runs_from_tables_to_results(spark, make_tables, tmp_path)
     assert (1239, 0, 3, 2) in rows(summary, "cohort_definition_id", "mode_id", "base_count", "final_count")
 
     again = run_study(*arguments, StudyParameters(database="other", create_cohorts=False), dose)
-    assert rows(store.read_csv(spark, again["by_year"], RATES_YEAR), "database")[0] == ("site",)
+    assert rows(store.read_csv(spark, again["by_year"], RATES_YEAR), "database")[0] == ("other",)
