@@ -94,7 +94,7 @@ def token_pieces(
     """Pieces of every whole text's ids, numbered by length within the task that made them."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part = encoder(tokenizer, False), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer), TaskContext.get().partitionId()
         end, seen = np.array([end_id], "<u4"), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []

@@ -162,7 +162,6 @@ def write_shards(
     path: str,
     tokenizer: str,
     end_id: int = 1,
-    drops_spaces: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
     shard_tokens: int = SHARD_TOKENS,
@@ -176,7 +175,7 @@ def write_shards(
     """
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part, seq = encoder(tokenizer, drops_spaces), TaskContext.get().partitionId(), 0
+        encode, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         planes = max(encode.tokenizer.get_vocab_size() - 1, end_id).bit_length()
         end = np.array([end_id], encode.dtype)
         ids, lengths, held, total = [], [], [], 0
