@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortloom.llm.common import whole_text
+from cohortloom.llm.common import whole_text, written
 
 MIN_SITES = 10
 LG_K = 10
@@ -94,7 +94,8 @@ def remove_boilerplate(
     counts as one site; rows of null id are never the first.
     """
     text = whole_text(text_col)
-    flagged = boilerplate_lines(docs, min_sites, lg_k, id_col, text_col, site_col)
+    # Written, so that the join starts from files: a common line's partition can be split.
+    flagged = written(boilerplate_lines(docs, min_sites, lg_k, id_col, text_col, site_col))
     removed = (
         line_sites(docs, id_col, text_col, site_col)
         .drop("site_")
