@@ -112,9 +112,10 @@ def test_groups_of_changed_copies(spark):
     assert got(nd.near_duplicates(df)) == brute(rows)
 
 
-def test_buckets_of_many_unlike_texts_go_through_rounds(spark, monkeypatch):
-    """With one weak band, buckets hold members that the leader isn't like."""
-    monkeypatch.setattr(nd, "LEADERS", 1)
+@pytest.mark.parametrize("block", [2, 256])
+def test_buckets_of_many_unlike_texts(spark, monkeypatch, block):
+    """With bands that all agree, every bucket holds all texts, most unlike its leader."""
+    monkeypatch.setattr(nd, "BLOCK", block)
     monkeypatch.setattr(nd, "band_keys", lambda s: np.tile(np.arange(nd.BANDS, dtype=np.int64), (len(s), 1)))
     rng = random.Random(6)
     rows = []
