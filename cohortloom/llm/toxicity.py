@@ -19,6 +19,7 @@ MIN_Z = 3.0  # and its share among toxic documents differs by so many standard e
 EPOCHS = 30
 RATE, DECAY, SEED = 0.2, 1e-4, 11
 HELD_OUT_OF = 5
+NO_TERMS = 0.25  # the highest score of a model without terms
 
 
 def term_ids(text: str | None) -> np.ndarray:
@@ -75,8 +76,10 @@ class FactorizationMachine:
 
 
 def fit(docs: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
-    """Fit on documents' term ids by full-batch Adagrad; without both labels, a constant score.
+    """Fit on documents' term ids by full-batch Adagrad.
 
+    Without both labels, or where no term stands out, the model has no terms and nothing to tell documents
+    apart by. Its constant score is the share of toxic documents but at most ``NO_TERMS``, so it finds none toxic.
     Terms are those whose share among toxic documents stands out either way; group mentions that
     turn a sentence toxic together with an insult do so as well, and their pairs get their own weight
     through the factors.
@@ -85,7 +88,8 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
     n, toxic = len(y), labels.astype(np.float64).sum()
     prior = (toxic + 0.5) / (n + 1.0)
     bias = float(np.log(prior / (1 - prior)))
-    empty = FactorizationMachine(np.zeros(0, np.uint32), bias, np.zeros(0), np.zeros((0, FACTORS)))
+    low = min(bias, float(np.log(NO_TERMS / (1 - NO_TERMS))))
+    empty = FactorizationMachine(np.zeros(0, np.uint32), low, np.zeros(0), np.zeros((0, FACTORS)))
     if not 0 < toxic < n:
         return empty
     flat, owner = np.concatenate(docs), np.repeat(y, [len(d) for d in docs])
@@ -175,8 +179,8 @@ def score_texts(
 ) -> DataFrame:
     """``docs`` with ``score_col`` (0 to 1) as last column. Whole texts are scored where they are read.
 
-    A null or empty text has no terms and gets the score of the bias, the share of toxic documents.
-    Rows, ties and repeated rows are kept as they are.
+    A null or empty text has no terms and gets the score of the bias, the share of toxic documents; from a
+    model without terms every text gets one score below 0.5 (see ``fit``). Rows, ties and repeated rows are kept as they are.
     """
     # The model has at most BUCKETS terms of FACTORS + 1 numbers.
     shared = docs.sparkSession.sparkContext.broadcast(model.to_row())
@@ -194,7 +198,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     """Per document: doc_id, held_out, score and predicted (1 from a score of 0.5).
 
     The model is fitted on labels of documents that aren't held out (crc32 of the id mod 5 is not 0);
-    null ids count as held out. An empty table of labels gives every document the score 0.5.
+    null ids count as held out. Where the usable labels don't hold both kinds (none at all, all null or held
+    out, only toxic ones), every document gets one score of ``NO_TERMS`` at most and is predicted 0.
     """
     model = train(docs, labels, sample_rows)
     held_out = F.coalesce(

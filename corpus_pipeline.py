@@ -23,7 +23,10 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model finds toxic go. It is fitted on the folder's labels of the documents."""
+    """Documents that the model finds toxic go. It is fitted on the folder's labels of the documents.
+
+    Without usable labels of both kinds the model has no terms, and no document goes.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     score = fresh(docs, "score")
     return toxicity.score_texts(docs, model, score_col=score).where(F.col(score) < TOXIC).drop(score)

@@ -2,6 +2,7 @@
 
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from cohortloom.llm import toxicity
@@ -50,3 +51,24 @@ def test_odd_rows(spark, odd, nothing, labels):
     rows = toxicity.score_toxicity(odd, labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score_toxicity(nothing, labels).count() == 0
+
+
+@pytest.mark.parametrize(
+    "labels",
+    [
+        [],
+        [(i, None) for i in range(1, 10)],
+        [(i, 1) for i in range(1, 10) if zlib.crc32(str(i).encode()) % 5 == 0],  # all held out
+        [(77, 1), (78, 0)],  # of other documents
+        [(i, 1) for i in range(1, 10)],
+        [(i, 0) for i in range(1, 10)],
+        [(i, int(i != 5)) for i in range(1, 10)],  # both kinds, but no term stands out
+    ],
+)
+def test_a_model_without_terms_rejects_nothing(spark, odd, tmp_path, labels):
+    table = spark.createDataFrame([(i, 1, toxic) for i, toxic in labels], "doc_id long, quality int, toxic int")
+    table.write.parquet(f"{tmp_path}/labels.parquet")
+    rows = toxicity.score_toxicity(odd, table).collect()
+    assert {r.predicted for r in rows} == {0} and len({r.score for r in rows}) == 1
+    kept = corpus_pipeline.without_toxic(spark, odd, str(tmp_path))
+    assert sorted(kept.collect(), key=repr) == sorted(odd.collect(), key=repr)
