@@ -46,6 +46,11 @@ def whole_text(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def text_hash(text: str | Column) -> Column:
+    """With the id, the key of a row: 64 bits of hash of its text, null as the empty text."""
+    return F.xxhash64(whole_text(text))
+
+
 def normal_words(text: str | None) -> list[bytes]:
     """Lower-case words of letters, digits and characters beyond ASCII; none for null."""
     return text.encode("utf-8", "surrogatepass").translate(LETTERS_AND_DIGITS).split() if text else []

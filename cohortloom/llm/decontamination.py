@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.llm.common import normal_words
+from cohortloom.llm.common import normal_words, text_hash
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -221,32 +221,66 @@ def find_leaks(
     fewer than five words are one shingle. Null and empty texts hold nothing. Repeated documents and items
     are rows like others. Documents aren't shuffled.
     """
+    found = _leaks(docs, benchmark, threshold, id_col, text_col, item_id_col, item_text_col, block_words)
+    return found.drop("text_")
+
+
+def leaked_rows(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = SIMILARITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """Keys of the rows that hold an item: doc_id (null if the row's is) and text_, the hash of its text."""
+    found = _leaks(docs, benchmark, threshold, id_col, text_col, item_id_col, item_text_col, block_words)
+    return found.select("doc_id", "text_").distinct()
+
+
+def _leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float,
+    id_col: str,
+    text_col: str,
+    item_id_col: str,
+    item_text_col: str,
+    block_words: int,
+) -> DataFrame:
+    """Rows of ``find_leaks`` with the hash of their document's text as last column, text_."""
     spark, out = docs.sparkSession, None
-    schema = "doc_id long, item_id long, start_word long, n_words long, similarity double"
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    schema = "doc_id long, item_id long, start_word long, n_words long, similarity double, text_ long"
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_hash(text_col).alias("text_")
+    )
     for block in _item_blocks(benchmark, item_id_col, item_text_col, block_words):
         shared = spark.sparkContext.broadcast([(r[0], normal_words(r[1])) for r in block.collect()])
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = ItemIndex(sorted(shared.value, key=lambda x: (x[0] is None, x[0], x[1])))
 
-            def found(ids: list, texts: list[list[bytes]]) -> pd.DataFrame:
+            def found(ids: list, own: list, texts: list[list[bytes]]) -> pd.DataFrame:
                 hits = places(index, texts, threshold) if any(texts) else []
                 frame = pd.DataFrame(hits, columns=["doc_id", "item_id", "start_word", "n_words", "similarity"])
+                frame["text_"] = np.array([own[t] for t in frame["doc_id"]], np.int64)
                 frame["doc_id"] = pd.array([ids[t] for t in frame["doc_id"]], "Int64")
                 frame["item_id"] = frame["item_id"].astype("Int64")
                 return frame
 
             for batch in batches:
-                ids, texts, held = [], [], 0
-                for i, text in zip(batch["id"].astype("Int64"), batch["text"]):
+                ids, own, texts, held = [], [], [], 0
+                for i, text_, text in zip(batch["id"].astype("Int64"), batch["text_"], batch["text"]):
                     ids.append(i)
+                    own.append(text_)
                     texts.append(normal_words(text))
                     held += len(texts[-1])
                     if held >= BATCH_WORDS:
-                        yield found(ids, texts)
-                        ids, texts, held = [], [], 0
-                yield found(ids, texts)
+                        yield found(ids, own, texts)
+                        ids, own, texts, held = [], [], [], 0
+                yield found(ids, own, texts)
 
         part = rows.mapInPandas(search, schema)
         out = part if out is None else out.unionByName(part)

@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.llm.common import normal_words, partitions, written
+from cohortloom.llm.common import normal_words, partitions, text_hash, written
 from cohortloom.llm.components import components
 
 SHINGLE = 5
@@ -118,11 +118,11 @@ def component_bytes(signatures: np.ndarray) -> np.ndarray:
     return (_mixed(signatures.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
 
 
-SIGNED = "id long, text_key binary, node long, n_shingles long, keys array<long>, signature binary"
+SIGNED = "id long, text_ long, text_key binary, node long, n_shingles long, keys array<long>, signature binary"
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per document a 128-bit key of its words, its number of shingles and its band keys."""
+    """Per document the hash of its text, a 128-bit key of its words, its number of shingles and its band keys."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -139,6 +139,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 return pd.DataFrame(
                     {
                         "id": batch["id"].iloc[start:end].array,
+                        "text_": batch["text_"].iloc[start:end].array,
                         "text_key": keys,
                         "node": np.array([_node(k) for k in keys], np.int64),
                         "n_shingles": [int(c.sum()) for _, c in bags],
@@ -158,7 +159,9 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if bags:
                 yield out(len(batch))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(sign, SIGNED)
+    return docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_hash(text_col).alias("text_")
+    ).mapInPandas(sign, SIGNED)
 
 
 def _text_key(words: list[bytes]) -> bytes:
@@ -331,12 +334,40 @@ def near_duplicates(
     pairs of different components that signatures don't rule out are verified within the task, which
     gives back no more than the links that join components. So no link that the bands show is lost.
     """
+    return classified(docs, threshold, id_col, text_col).select("doc_id", "class_id", "n_shingles")
+
+
+def copies(
+    docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Keys of rows that aren't all kept if one row of each class stays: doc_id, text_, first.
+
+    The row of smallest id stays; of several texts under that id, the one of smallest hash. ``first`` is
+    true for a key that several rows have and one of them is to stay, else none of the key's rows is.
+    Rows of null id aren't among them.
+    """
+    return (
+        classified(docs, threshold, id_col, text_col)
+        .where(F.col("doc_id").isNotNull())
+        .groupBy("doc_id", "text_")
+        .agg(
+            F.min((F.col("doc_id") == F.col("class_id")) & (F.col("text_") == F.col("class_text_"))).alias("first"),
+            F.count("*").alias("n"),
+        )
+        .where(~F.col("first") | (F.col("n") > 1))
+        .select("doc_id", "text_", "first")
+    )
+
+
+def classified(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``near_duplicates`` with the hashes of their own text and of their class's first: text_, class_text_."""
     every = written(signed(docs, id_col, text_col))
     texts = written(
         every.where(F.col("id").isNotNull())
         .groupBy("text_key", "node")
         .agg(
             F.min("id").alias("id"),
+            F.min(F.struct("id", "text_")).alias("least"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("keys").alias("keys"),
             F.first("signature").alias("signature"),
@@ -351,9 +382,11 @@ def near_duplicates(
     labels = written(components(checked.where("linked"), "a", "b"))
     labelled = _component_of(members.drop("id"), "node", labels, "component")
     labels = _merged(labels, written(_open_links(labelled, texts, bags, threshold)))
-    of_texts = _component_of(texts.select("text_key", "node", "id"), "node", labels, "component").drop("node")
-    classes = of_texts.groupBy("component").agg(F.min("id").alias("class_id"))
-    keyed = of_texts.join(classes, "component").select("text_key", "class_id")
+    of_texts = _component_of(texts.select("text_key", "node", "least"), "node", labels, "component").drop("node")
+    classes = of_texts.groupBy("component").agg(F.min("least").alias("least"))
+    keyed = of_texts.drop("least").join(classes, "component").select(
+        "text_key", F.col("least.id").alias("class_id"), F.col("least.text_").alias("class_text_")
+    )
     return (
         every.drop("node")
         .join(keyed, "text_key", "left")
@@ -361,5 +394,7 @@ def near_duplicates(
             F.col("id").alias("doc_id"),
             F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
             "n_shingles",
+            "text_",
+            "class_text_",
         )
     )

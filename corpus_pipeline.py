@@ -7,19 +7,40 @@ as the stage's operator says; an empty table stays empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortloom.llm import decontamination, line_dedup, near_dedup, packing, toxicity
-from cohortloom.llm.common import fresh, table, written
+from cohortloom.llm.common import fresh, table, text_hash, written
 from cohortloom.llm.tokens import tokenizer_path
 
 TOXIC = 0.5
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for those whose id is in the one column of ``ids``; rows of null id stay."""
-    gone = fresh(docs, "gone")
-    return docs.join(ids.toDF(gone), F.col("doc_id") == F.col(gone), "left_anti")
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` but for the rows of these keys: doc_id and text_, the hash of the text."""
+    own, of = _key_matches(docs, keys)
+    return docs.join(own, of, "left_anti")
+
+
+def _key_matches(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, Column]:
+    """The keys in columns that ``docs`` lacks, and when a row has one; null ids are equal."""
+    i, t = fresh(docs, "key_id"), fresh(docs, "key_text")
+    own = keys.select(F.col("doc_id").alias(i), F.col("text_").alias(t))
+    return own, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (text_hash("text") == F.col(t))
+
+
+def _one_of_each(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row for each of these keys, the first by its columns' JSON."""
+    own, of = _key_matches(docs, keys)
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    # Put together on the map side first, so that a key of many rows is one row per task.
+    return (
+        docs.join(own, of, "left_semi")
+        .select(F.col("doc_id").alias("key_id"), text_hash("text").alias("key_text"), row.alias("row"))
+        .groupBy("key_id", "key_text")
+        .agg(F.min_by("row", F.to_json("row")).alias("row"))
+        .select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    )
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,16 +60,18 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document of smallest id stays."""
-    classes = near_dedup.near_duplicates(docs)
-    copies = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id")
-    return _without(docs, copies)
+    """Of each class of near copies one row stays.
+
+    It is the one of smallest id, and of several texts under that id the one of smallest hash. Each row is
+    judged by its own text, so other texts under a copy's id stay. Rows of null id are in no class and stay.
+    """
+    copies = written(near_dedup.copies(docs))
+    return _without(docs, copies).unionByName(_one_of_each(docs, copies.where("first")))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, leaks.select("doc_id").distinct())
+    """Rows whose text holds a benchmark item go, those of null id too; other texts under their ids stay."""
+    return _without(docs, written(decontamination.leaked_rows(docs, table(spark, sf_dir, "benchmark"))))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
