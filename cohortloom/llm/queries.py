@@ -37,7 +37,8 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wavelet.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+    docs = table(spark, sf_dir, "documents")
+    return wavelet.encode_and_read(docs, tokenizer_path("word_bpe_49k.json"), end_id=1, keep_null_ids=True)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from cohortloom.llm.common import partitions, scratch
 from cohortloom.llm.tokens import encoder
 
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
+NO_NULL_IDS = b"WVM1"  # files without the flags of ids, whose ids are all valid
 SHARD_TOKENS = 1 << 20  # a shard is closed by the document that reaches this
 RANK_BYTES = 64  # bytes of a bit-plane between entries of its rank directory
 HEADER = struct.Struct("<4sBBQQ")  # magic, planes, width of a length, documents, tokens
@@ -23,9 +24,13 @@ SECTION = struct.Struct("<Q")
 FILES = "part int, seq int, n_docs long, n_tokens long, file binary"
 
 
-def build(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, planes: int) -> bytes:
+def build(
+    doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, planes: int, valid: np.ndarray | None = None
+) -> bytes:
     """A shard's file: documents, then for each plane its zeros, bits and ranks, each section compressed.
 
+    Documents are their ids, a bit each that says whether the id is ``valid`` (all are, if not given; else
+    the document has none, and 0 stands in its place), and their lengths.
     Plane by plane from the highest bit, a stable partition puts ids with a zero before those with a
     one. The rank directory has the number of ones before every 64 bytes of a plane.
     """
@@ -38,6 +43,7 @@ def build(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, planes: int
         out.append(small)
 
     section(doc_ids.astype("<i8").tobytes())
+    section(np.packbits(np.ones(len(doc_ids), bool) if valid is None else valid.astype(bool)).tobytes())
     section(lengths.astype("<u8").tobytes())
     now = ids
     for plane in reversed(range(planes)):
@@ -62,7 +68,7 @@ class WaveletMatrix:
 
     def __init__(self, data: bytes):
         magic, self.planes, _, self.n_docs, self.n = HEADER.unpack_from(data)
-        if magic != MAGIC:
+        if magic not in (MAGIC, NO_NULL_IDS):
             raise ValueError("not a wavelet matrix file")
         unpack, at = zstandard.ZstdDecompressor().decompress, HEADER.size
 
@@ -78,6 +84,9 @@ class WaveletMatrix:
             return unpack(data[at - size : at])
 
         self.doc_ids = np.frombuffer(section(), "<i8")
+        self.valid = np.ones(self.n_docs, bool)
+        if magic == MAGIC:
+            self.valid = np.unpackbits(np.frombuffer(section(), np.uint8), count=self.n_docs).astype(bool)
         self.lengths = np.frombuffer(section(), "<u8").astype(np.int64)
         self.zeros, self.bits, self.ranks = [], [], []
         for _ in range(self.planes):
@@ -165,34 +174,37 @@ def write_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     shard_tokens: int = SHARD_TOKENS,
+    keep_null_ids: bool = False,
 ) -> None:
     """Encode whole texts and write them as shard files in ascending order of id below ``path``.
 
     Every document's ids end with ``end_id``; null and empty texts have just that. Documents are dealt by
-    ranges of id and sorted; ties are ordered by a hash of the text, repeated rows stay. Each task
-    closes a shard when it holds ``shard_tokens``, so memory is bounded by that and the longest text.
-    Spark's writer puts each shard into a file of its own and commits finished tasks only.
+    ranges of id and sorted; ties are ordered by a hash of the text, repeated rows stay. Rows of null id
+    come first with ``keep_null_ids``, as the query has it; without, they are left out. Each task closes
+    a shard when it holds ``shard_tokens``, so memory is bounded by that and the longest text. Spark's
+    writer puts each shard into a file of its own and commits finished tasks only.
     """
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         planes = max(encode.tokenizer.get_vocab_size() - 1, end_id).bit_length()
         end = np.array([end_id], encode.dtype)
-        ids, lengths, held, total = [], [], [], 0
+        ids, valid, lengths, held, total = [], [], [], [], 0
 
         def closed() -> pd.DataFrame:
-            nonlocal ids, lengths, held, total, seq
-            data = build(np.array(ids, np.int64), np.array(lengths), np.concatenate(held), planes)
+            nonlocal ids, valid, lengths, held, total, seq
+            data = build(np.array(ids, np.int64), np.array(lengths), np.concatenate(held), planes, np.array(valid))
             row = pd.DataFrame(
                 {"part": [part], "seq": [seq], "n_docs": [len(ids)], "n_tokens": [total], "file": [data]}
             )
-            ids, lengths, held, total, seq = [], [], [], 0, seq + 1
+            ids, valid, lengths, held, total, seq = [], [], [], [], 0, seq + 1
             return row
 
         for batch in batches:
-            for i, text in zip(batch["id"], batch["text"]):
+            for i, known, text in zip(batch["id"], batch["valid"], batch["text"]):
                 own = encode.ids(text)
                 ids.append(i)
+                valid.append(known)
                 lengths.append(len(own) + 1)
                 held += [own, end]
                 total += len(own) + 1
@@ -201,17 +213,18 @@ def write_shards(
         if ids:
             yield closed()
 
-    order = ["id", "tie"]
+    order = ["valid", "id", "tie"]
     (
-        docs.where(F.col(id_col).isNotNull())
+        (docs if keep_null_ids else docs.where(F.col(id_col).isNotNull()))
         .select(
-            F.col(id_col).cast("long").alias("id"),
+            F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
+            F.col(id_col).isNotNull().alias("valid"),
             F.col(text_col).alias("text"),
             F.xxhash64(text_col).alias("tie"),
         )
         .repartitionByRange(partitions(docs.sparkSession), *order)
         .sortWithinPartitions(*order)
-        .select("id", "text")
+        .select("id", "valid", "text")
         .mapInPandas(shards, FILES)
         .write.option("maxRecordsPerFile", 1)
         .option("compression", "uncompressed")
@@ -237,7 +250,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                     {
                         "part": np.int32(part),
                         "seq": np.int32(seq),
-                        "doc_id": matrix.doc_ids,
+                        "doc_id": pd.arrays.IntegerArray(matrix.doc_ids.astype(np.int64), ~matrix.valid),
                         "local_start": starts,
                         "n_tokens": matrix.lengths,
                         "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends)],

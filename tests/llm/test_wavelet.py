@@ -74,3 +74,25 @@ def test_odd_rows_in_small_shards(odd):
 
 def test_no_rows(nothing):
     assert wavelet.encode_and_read(nothing, tokenizer_path("word_bpe_49k.json")).count() == 0
+
+
+def test_query_keeps_null_ids(spark, odd, tmp_path):
+    more = [(None, None), (None, "a text of no id"), (None, "naïve text"), (-5, "x"), (0, "id zero"), (2**62 + 1, "y")]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(QUERIES["op3_wavelet_shards"](spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    every = docs.collect()
+    ids = [r.doc_id for r in rows]
+    assert ids == [None] * 4 + sorted(r.doc_id for r in every if r.doc_id is not None)
+    assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:k]) for k in range(len(rows))]
+    # Null ids are told from 0; ids and contents belong together.
+    wanted = [(r.doc_id, *brute([(0, r.text or "")], plain())[0][2:]) for r in every]
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows), key=repr) == sorted(wanted, key=repr)
+
+
+def test_files_flag_null_ids(spark, odd, tmp_path):
+    path = f"{tmp_path}/shards"
+    wavelet.write_shards(odd, path, tokenizer_path("word_bpe_49k.json"), shard_tokens=50, keep_null_ids=True)
+    shards = [wavelet.WaveletMatrix(r.file) for r in spark.read.parquet(path).orderBy("part", "seq").collect()]
+    ids = [int(i) if ok else None for s in shards for i, ok in zip(s.doc_ids, s.valid)]
+    assert ids == [None, *sorted(r.doc_id for r in odd.collect() if r.doc_id is not None)]
