@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -41,13 +40,3 @@ def make_tables(spark):
         }
 
     return make
-
-
-def day(text):
-    return dt.date.fromisoformat(text)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, nulls first."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is not None, v) for v in r])

@@ -1,7 +1,7 @@
 import datetime as dt
 from dataclasses import replace
 
-from conftest import day, rows
+from helpers import day, rows
 from pyspark.sql import functions as F
 
 from cohortloom.model import AT_LEAST, DISEASE, DRUG, EXACTLY, CohortDefinition, Criterion, Rule

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 from cohortloom.operators.concepts import concept_items, resolve_concept_sets, source_codes
 

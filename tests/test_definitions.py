@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from cohortloom.model import DISEASE, DRUG, CohortDefinition, Criterion
 from cohortloom.operators.concepts import resolve_concept_sets

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from cohortloom.operators.eras import collapse_eras

@@ -1,4 +1,4 @@
-from conftest import day, rows
+from helpers import day, rows
 
 from pyspark.sql import functions as F
 

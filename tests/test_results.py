@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from conftest import day, rows
+from helpers import day, rows
 
 from cohortloom.model import AT_LEAST, DRUG, CohortDefinition, Criterion, Rule
 from cohortloom.operators import impact, population as pop, rates, views

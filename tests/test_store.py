@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from conftest import day, rows
+from helpers import day, rows
 from pyspark.sql import types as T
 
 from cohortloom.plans import patch_study
