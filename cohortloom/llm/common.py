@@ -25,10 +25,13 @@ def partitions(spark: SparkSession) -> int:
 def scratch(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors share.
 
-    Where that is unset, as in local tests, a temporary folder takes its place.
+    Where that is unset and driver and executors are one process, as in tests, a temporary folder takes its
+    place. A cluster without it is an error, since its executors would write to folders of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"

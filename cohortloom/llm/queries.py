@@ -13,6 +13,7 @@ from cohortloom.llm import (
     line_dedup,
     near_dedup,
     packing,
+    stream_dedup,
     substring_dedup,
     topk,
     toxicity,
@@ -69,6 +70,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_packing,
         op10_near_dedup,
+        op13_stream_dedup,
     )
 }

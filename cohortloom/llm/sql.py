@@ -23,8 +23,20 @@ WITH lines AS (
   FROM marked GROUP BY doc_id
 )"""
 
+STREAM_DEDUP = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER best = 1 AS kept, text_sha256
+FROM texts
+WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST)"""
+
 SQL: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP
     + """
 SELECT doc_id, n_removed, length(text) AS n_chars_left, md5(text) AS left_md5 FROM kept""",
+    "op13_stream_dedup": STREAM_DEDUP,
 }
