@@ -11,8 +11,10 @@ from cohortloom.llm import (
     feistel_sharding,
     license_scan,
     line_dedup,
+    merkle_manifest,
     near_dedup,
     packing,
+    prefix_trie,
     stream_dedup,
     substring_dedup,
     topk,
@@ -70,6 +72,15 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = merkle_manifest.document_manifest(table(spark, sf_dir, "documents"))
+    return merkle_manifest.proofs(manifest).withColumnRenamed("key", "doc_id").drop("tree", "pos")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
 
@@ -87,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_packing,
         op10_near_dedup,
+        op11_merkle_manifest,
+        op12_prefix_trie,
         op13_stream_dedup,
     )
 }
