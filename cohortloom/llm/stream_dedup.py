@@ -5,17 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortloom.llm.common import partitions, scratch, whole_text, written
 
-SPACE = " \t\n\x0b\x0c\r"
+SPACE = r"[\x20\x09-\x0D]+"
 DIGITS = 64  # hexadecimal digits of SHA-256 that are the key of the state
 #: Input that a micro-batch takes for each shuffle partition, of which the cluster's owner has as many as the
 #: input asks for; a batch is a few dozenths of the input then.
 BATCH_BYTES = 4_000_000
+_STORE = "spark.sql.streaming.stateStore"
 _STATE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # All stores of an executor share so much memory, however many partitions it holds.
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "256",
 }
 
 
@@ -36,7 +40,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, digits: int) -> DataFrame
     """Of each row: key, text_sha256, doc_id, its place in the order of its class, its locator and its content."""
     about = docs.metadataColumn("_metadata")
     text = whole_text(docs[text_col])
-    content = F.translate(text, SPACE, "")
+    content = F.regexp_replace(text, SPACE, "")
     return docs.select(
         F.sha2(content, 256).alias("text_sha256"),
         content.alias("content"),
@@ -95,18 +99,21 @@ def entries(spark: SparkSession, state: str) -> DataFrame:
     return held.select("key.key", F.col("value.min").alias("entry"), F.col("value.count").alias("n"))
 
 
-def mixed_keys(rows: DataFrame, held: DataFrame) -> DataFrame:
+def mixed_keys(joined: DataFrame) -> DataFrame:
     """Keys under which not all rows have the retained row's content: key.
 
-    Rows whose key was hit are compared by their whole contents, which each task makes distinct before they
-    move; the retained row is found among them by its locator. Unless digests collide there is no such key.
+    Whole contents of rows whose key was hit are compared, which each task makes distinct before they move; the
+    retained row is found among them by its locator. Unless digests collide there is no such key.
     """
-    hits = held.where(F.col("n") > 1).select("key", F.col("entry.file").alias("file"), F.col("entry.row").alias("at"))
-    retained = (F.col("entry.file") == F.col("file")) & (F.col("entry.row") == F.col("at"))
-    contents = rows.join(hits, "key").groupBy("key", "content").agg(F.max(retained).alias("retained"))
+    contents = joined.where(F.col("n") > 1).groupBy("key", "content").agg(F.max(_is_best()).alias("retained"))
     return contents.where(~F.col("retained")).select("key").distinct()
 
 
+def _is_best() -> Column:
+    """Whether a row is the one to stay, by where it lies."""
+    return (F.col("entry.file") == F.col("best.file")) & (F.col("entry.row") == F.col("best.row"))
+
+
 def deduplicate(
     spark: SparkSession,
     path: str,
@@ -130,20 +137,22 @@ def deduplicate(
     """
     state = state or scratch(spark)
     update_state(spark, path, state, id_col, text_col, batch_bytes, digits)
-    held = written(entries(spark, state))
+    held = entries(spark, state).withColumnRenamed("entry", "best")
     rows = _rows(spark.read.parquet(path), id_col, text_col, digits)
-    mixed = written(mixed_keys(rows, held))
-    plain = rows.drop("content").join(
-        held.join(mixed, "key", "left_anti").withColumnRenamed("entry", "best"), "key"
+    # Rows aren't sorted by key for this, as texts travel with them; of these only the hits' are stored.
+    joined = written(
+        rows.join(held.hint("shuffle_hash"), "key").withColumn("content", F.when(F.col("n") > 1, F.col("content")))
     )
-    # Empty unless digests collide, and then not even read.
-    apart = rows.join(mixed, "key", "left_semi")
+    mixed = written(mixed_keys(joined))
+    plain = joined.join(mixed, "key", "left_anti")
+    # Empty unless digests collide.
+    apart = joined.join(mixed, "key", "left_semi").drop("best", "n")
     by_content = apart.groupBy("key", "content").agg(F.min("entry").alias("best"), F.count("*").alias("n"))
-    exact = apart.join(by_content, ["key", "content"]).select(*plain.columns)
+    exact = apart.join(by_content, ["key", "content"])
     return plain.unionByName(exact).select(
         F.col("entry.doc_id").alias("doc_id"),
         F.col("best.doc_id").alias("keep_id"),
         F.col("n").alias("group_size"),
-        ((F.col("entry.file") == F.col("best.file")) & (F.col("entry.row") == F.col("best.row"))).alias("kept"),
+        _is_best().alias("kept"),
         "text_sha256",
     )
