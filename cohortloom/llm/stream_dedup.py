@@ -20,6 +20,8 @@ _STATE = {
     # All stores of an executor share so much memory, however many partitions it holds.
     f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
     f"{_STORE}.rocksdb.maxMemoryUsageMB": "256",
+    # Else each store, however small, sets aside disk for its logs.
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
 }
 
 
