@@ -62,35 +62,31 @@ _KEYS = {
     "CensorWindow": {},
     "cdmVersionRange": None,
 }
-_STRICT = {"mode": "FAILFAST"}
-
 # Codeset ids are local to a document. Within a study the document's id stands above 32 bits of them.
 _LOCAL_BITS = 32
 
 
-def _beyond(known: dict, text: Column, path: str) -> Column:
-    """Paths of what an object of a document has beyond the known keys."""
-    fields = F.from_json(text, "map<string,string>", _STRICT)
-    found = [
-        F.transform(
-            F.filter(F.map_keys(fields), lambda key: ~key.isin(list(known))),
-            lambda key: F.concat(F.lit(path), key),
-        )
-    ]
+def _beyond(known: dict, value: Column, path: str, inside: str = "$") -> Column:
+    """Paths of what a parsed document has beyond the known keys, for the object at ``inside`` of ``value``.
+
+    Levels are reached by their path in the one parsed value; only lists are gone through.
+    """
+    keys = F.map_keys(F.variant_get(value, inside, "map<string,variant>"))
+    found = [F.transform(F.filter(keys, lambda key: ~key.isin(list(known))), lambda key: F.concat(F.lit(path), key))]
     for name, inner in known.items():
-        held, below = F.try_element_at(fields, F.lit(name)), f"{path}{name}/"
+        at, below = f"{inside}.{name}", f"{path}{name}/"
         if isinstance(inner, dict):
-            found.append(_beyond(inner, held, below))
+            found.append(_beyond(inner, value, below, at))
         elif isinstance(inner, list):
-            objects = F.from_json(held, "array<string>", _STRICT)
+            objects = F.variant_get(value, at, "array<variant>")
             found.append(F.flatten(F.transform(objects, _beyond_of(inner[0], below))))
         elif inner is False:
-            found.append(F.when(held == "true", F.array(F.lit(f"{path}{name}"))))
+            found.append(F.when(F.variant_get(value, at, "boolean"), F.array(F.lit(f"{path}{name}"))))
     return F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in found])
 
 
 def _beyond_of(known: dict, path: str):
-    return lambda text: _beyond(known, text, path)
+    return lambda value: _beyond(known, value, path)
 
 
 def read_definitions(spark: SparkSession, path: str) -> DataFrame:
@@ -105,15 +101,16 @@ def read_definitions(spark: SparkSession, path: str) -> DataFrame:
 def parse_definitions(documents: DataFrame, text: str) -> DataFrame:
     """Definition documents held as text in a column, other columns kept.
 
-    Text that isn't a document fails the query. ``unsupported`` lists what a document asks for beyond
+    Each text is parsed once, into a variant that both the settings and the check of its keys are read
+    from. Text that isn't a document fails the query. ``unsupported`` lists what a document asks for beyond
     the known settings; documents with any are refused by whatever uses them.
     """
     kept = [c for c in documents.columns if c != text]
-    whole = F.ltrim(F.col(text), F.lit("\ufeff"))
-    return documents.select(
+    parsed = documents.select(*kept, F.parse_json(F.ltrim(F.col(text), F.lit("\ufeff"))).alias("value"))
+    return parsed.select(
         *kept,
-        F.from_json(whole, DOCUMENT, _STRICT).alias("document"),
-        _beyond(_KEYS, whole, "").alias("unsupported"),
+        F.variant_get("value", "$", f"struct<{DOCUMENT}>").alias("document"),
+        _beyond(_KEYS, F.col("value"), "").alias("unsupported"),
     ).select(*kept, "unsupported", "document.*")
 
 
