@@ -1,0 +1,135 @@
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortloom.llm import merkle_manifest as mm
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_of(row, more=0):
+    values = [row[0], row[1], row[2], None if row[3] is None else row[3] + more, row[4]]
+    return sha(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+
+def levels_of(nodes, fan_out):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([sha(*levels[-1][i : i + fan_out]) for i in range(0, len(levels[-1]), fan_out)])
+    return levels
+
+
+def siblings(levels, i, fan_out):
+    out = []
+    for nodes in levels[:-1]:
+        at = i // fan_out * fan_out
+        out += [h for j, h in enumerate(nodes[at : at + fan_out], at) if j != i]
+        i //= fan_out
+    return out
+
+
+def fold(levels, i, digest, fan_out):
+    for nodes in levels[:-1]:
+        at = i // fan_out * fan_out
+        digest = sha(*[digest if j == i else h for j, h in enumerate(nodes[at : at + fan_out], at)])
+        i //= fan_out
+    return digest
+
+
+def expected(rows, fan_out=2):
+    """Rows (doc_id, source, lang, n_chars, text) to what op11 returns."""
+    langs = sorted({r[2] for r in rows}, key=lambda x: (x is not None, (x or "").encode()))
+    trees = []
+    for lang in langs:
+        own = [r for r in rows if r[2] == lang]
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r)))
+        trees.append((own, levels_of([leaf_of(r) for r in own], fan_out)))
+    tops = levels_of([levels[-1][0] for _, levels in trees], fan_out)
+    out = []
+    for t, (own, levels) in enumerate(trees):
+        for i, row in enumerate(own):
+            bad = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0
+            folded = fold(tops, t, fold(levels, i, leaf_of(row, int(bad)), fan_out), fan_out)
+            proof = sha(*siblings(levels, i, fan_out), *siblings(tops, t, fan_out))
+            root = tops[-1][0]
+            out.append((row[0], levels[0][i], levels[-1][0], root, proof, folded, folded == root))
+    return sorted(out, key=repr)
+
+
+COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def result(docs, fan_out=2):
+    found = mm.proofs(mm.document_manifest(docs, fan_out)).select(
+        "key", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+@pytest.mark.parametrize("fan_out", [2, 3])
+def test_odd_rows(odd, fan_out):
+    rows = [tuple(r) for r in odd.select(*COLUMNS).collect()]
+    names = {"chunk": "tree", "words": "key", "node": "digest", "row_": "pos", "component": "group", "number": "n"}
+    assert result(odd.withColumnsRenamed(names), fan_out) == expected(rows, fan_out)
+
+
+def test_no_rows(nothing):
+    assert result(nothing) == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 256, 257, 700])
+def test_sizes_of_one_tree(spark, n):
+    """More leaves than a group holds, so that several rounds are needed."""
+    rows = [(i, "s", "en", i, f"text {i}") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    got = result(docs)
+    assert got == expected(rows)
+    assert any(not r[-1] for r in got) == any(zlib.crc32(str(r[0]).encode()) % 7 == 0 for r in rows)
+
+
+def test_many_trees_and_repeated_rows(spark):
+    rows = [(i % 50, "s", f"l{i % 300}" if i % 9 else None, None if i % 4 else i, "ü" * (i % 5)) for i in range(900)]
+    rows += [(7, "s", "en", 3, "the same")] * 600
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    assert result(docs) == expected(rows)
+
+
+def test_whole_table(documents):
+    rows = [tuple(r) for r in documents.select(*COLUMNS).collect()]
+    assert result(documents) == expected(rows)
+
+
+def test_paths_prove_leaves(spark):
+    rows = [(i, "s", f"l{i % 3}", i, "x") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    for row in mm.proofs(mm.document_manifest(docs), keep_path=True).collect():
+        digest = row.leaf
+        for step in row.path:
+            run = [bytes(x).hex() for x in step["others"]]
+            digest = sha(*run[: step["slot"]], digest, *run[step["slot"] :])
+        assert digest == row.root
+
+
+def test_folding_hashes_right_siblings_only():
+    children = [bytes([i]) * 32 for i in range(4)]
+    parent = mm.Parent(children)
+    assert len(parent.states) == 4
+    changed = [*children[:2], b"x" * 32, children[3]]
+    assert parent.folded(2, b"x" * 32) == mm.Parent(changed).digest
+    assert parent.states[2].digest() == hashlib.sha256((children[0].hex() + children[1].hex()).encode()).digest()
+    # A state stays as it was for the next folding.
+    assert parent.folded(2, children[2]) == parent.digest
+
+
+def test_other_trees_and_keys(spark):
+    """Any table can have a manifest."""
+    rows = spark.range(20).select(
+        (F.col("id") % 2).cast("string").alias("tree"), F.col("id").alias("key"),
+        mm.leaf_digest(F.col("id")).alias("digest"), F.lit(None).cast("binary").alias("replacement"),
+    )
+    found = mm.proofs(mm.build(rows, fan_out=4))
+    assert found.where("verified").count() == 20
