@@ -229,15 +229,15 @@ def numerator(name: str, source: str) -> str:
     FROM {source} GROUP BY ALL)"""
 
 
-def pair_numerator(name: str, source: str) -> str:
+def pair_numerator(name: str, source: str, disease: str = "cohort_id < 10", drug: str = "d.cohort_id >= 10") -> str:
     return f"""
 {name} AS (
     SELECT dis.cohort_id AS "diseaseId", d.cohort_id AS "drugId", d."calDate", d.age_band, d.gender,
            COUNT(DISTINCT d.subject_id) AS n
     FROM {source} d
-    JOIN (SELECT DISTINCT cohort_id, subject_id, "calDate" FROM inside WHERE cohort_id < 10) dis
+    JOIN (SELECT DISTINCT cohort_id, subject_id, "calDate" FROM inside WHERE {disease}) dis
       ON dis.subject_id = d.subject_id AND dis."calDate" = d."calDate"
-    WHERE d.cohort_id >= 10 GROUP BY ALL)"""
+    WHERE {drug} GROUP BY ALL)"""
 
 
 def ids(name: str, values) -> str:
@@ -253,14 +253,14 @@ LEFT JOIN {counts} n ON n.cohort_id = i."{id_name}" AND n."calDate" = d."calDate
      AND n.age_band IS NOT DISTINCT FROM d.age_band AND n.gender = d.gender"""
 
 
-def pair_rates(counts: str) -> str:
+def pair_rates(counts: str, drugs=DRUGS, disease: str = "d.cohort_id < 10") -> str:
     return f"""
 SELECT d.cohort_id AS "diseaseId", g."drugId", d."calDate", CAST(d.age_band AS INTEGER) AS age_band, d.gender,
        d.n AS "totalPatients", COALESCE(n.n, 0) AS "Counts", COALESCE(n.n, 0) / d.n AS rate
-FROM prevalent d CROSS JOIN {ids("drugId", DRUGS)} g
+FROM prevalent d CROSS JOIN {ids("drugId", drugs)} g
 LEFT JOIN {counts} n ON n."diseaseId" = d.cohort_id AND n."drugId" = g."drugId" AND n."calDate" = d."calDate"
      AND n.age_band IS NOT DISTINCT FROM d.age_band AND n.gender = d.gender
-WHERE d.cohort_id < 10"""
+WHERE {disease}"""
 
 
 def rate_ctes(grain: str, window=WINDOW) -> tuple[str, ...]:
@@ -271,15 +271,15 @@ def rate_ctes(grain: str, window=WINDOW) -> tuple[str, ...]:
     )
 
 
-def name_of(column: str) -> str:
-    return "CASE " + column + " " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in NAMES.items()) + " END"
+def name_of(column: str, names=None) -> str:
+    return "CASE " + column + " " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in (names or NAMES).items()) + " END"
 
 
-def formatted(select: str, analysis: str, disease: bool, drug: bool) -> str:
+def formatted(select: str, analysis: str, disease: bool, drug: bool, names=None) -> str:
     disease_id, disease_name = (
-        ('CAST("diseaseId" AS VARCHAR)', name_of('"diseaseId"')) if disease else ("'Nil'", "'Nil'")
+        ('CAST("diseaseId" AS VARCHAR)', name_of('"diseaseId"', names)) if disease else ("'Nil'", "'Nil'")
     )
-    drug_id, drug_name = ('CAST("drugId" AS VARCHAR)', name_of('"drugId"')) if drug else ("'Nil'", "'Nil'")
+    drug_id, drug_name = ('CAST("drugId" AS VARCHAR)', name_of('"drugId"', names)) if drug else ("'Nil'", "'Nil'")
     return f"""
 SELECT 'retail' AS database, {disease_id} AS "diseaseId", {disease_name} AS "diseaseCohortName",
        {drug_id} AS "drugId", {drug_name} AS "drugCohortName", "calDate", {LABEL} AS "ageGroup",
@@ -287,16 +287,22 @@ SELECT 'retail' AS database, {disease_id} AS "diseaseId", {disease_name} AS "dis
 FROM ({select})"""
 
 
-COMBINED = "\nUNION ALL\n".join(
-    [
-        formatted(cohort_rates("diseaseId", DISEASES, "incident"), "Incidence of Disease", True, False),
-        formatted(cohort_rates("diseaseId", DISEASES, "prevalent"), "Prevalence of Disease", True, False),
-        formatted(cohort_rates("drugId", DRUGS, "incident"), "Incidence of Drug", False, True),
-        formatted(cohort_rates("drugId", DRUGS, "prevalent"), "Prevalence of Drug", False, True),
-        formatted(pair_rates("pair_prevalent"), "Prevalence of Drug in Disease Cohort", True, True),
-        formatted(pair_rates("pair_incident"), "incidence of Drug in Disease Cohort", True, True),
-    ]
-)
+def combined(diseases=DISEASES, drugs=DRUGS, names=None, disease: str = "d.cohort_id < 10") -> str:
+    """The six analyses."""
+    paired = [(c, pair_rates(f"pair_{c}", drugs, disease)) for c in ("prevalent", "incident")]
+    return "\nUNION ALL\n".join(
+        [
+            formatted(cohort_rates("diseaseId", diseases, "incident"), "Incidence of Disease", True, False, names),
+            formatted(cohort_rates("diseaseId", diseases, "prevalent"), "Prevalence of Disease", True, False, names),
+            formatted(cohort_rates("drugId", drugs, "incident"), "Incidence of Drug", False, True, names),
+            formatted(cohort_rates("drugId", drugs, "prevalent"), "Prevalence of Drug", False, True, names),
+            formatted(paired[0][1], "Prevalence of Drug in Disease Cohort", True, True, names),
+            formatted(paired[1][1], "incidence of Drug in Disease Cohort", True, True, names),
+        ]
+    )
+
+
+COMBINED = combined()
 
 COMBINED_CTE = f"\ncombined AS ({COMBINED})"
 _FIXED = 'database, "diseaseId", "diseaseCohortName", "drugId", "drugCohortName", "calDate", analysis'

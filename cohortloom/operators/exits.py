@@ -5,18 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def next_death() -> Column:
-    """The first death on or after a placed row's day within its period.
-
-    Deaths are rows of the same frame, sorted after other events of their day, so
-    the next one is found in the order the rules count in.
-    """
-    return F.expr(
-        "lead(death_date) IGNORE NULLS OVER "
-        "(PARTITION BY person_id, op_start_date, op_end_date ORDER BY day_key)"
-    )
-
-
 def offset_exit(days: Column | int = 1) -> Column:
     """A fixed number of days after the start, not beyond the observation period."""
     offset = F.lit(days) if isinstance(days, int) else days

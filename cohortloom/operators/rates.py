@@ -4,6 +4,10 @@ Each subject and period is reduced to the set of cohorts entered in it, held as
 bits, and the set entered for the first time. Those sets are counted by stratum;
 every analysis then reads the small table of counted sets, so six analyses share
 one pass over the cohort rows and no disease row ever meets a drug row.
+
+Which bit a cohort has, and which drugs a disease is paired with, are rows of small
+tables that are broadcast, so plans don't grow with the number of cohorts but for
+one word per 62 of them. (Spark's own bitmaps would take 4 KB for each set.)
 """
 
 from __future__ import annotations
@@ -56,14 +60,21 @@ class Profiles:
     counted: DataFrame
     cohort_ids: tuple[int, ...]
 
-    def members(self, kind: str, wanted: Sequence[int]) -> Column:
-        """The wanted cohorts that are in a row's set, as an array."""
-        present = []
-        for cohort_id in wanted:
-            word, bit = divmod(self.cohort_ids.index(cohort_id), _BITS_PER_WORD)
-            in_set = F.col(f"{kind}_{word}").bitwiseAND(F.lit(1 << bit).cast("bigint")) != 0
-            present.append(F.when(in_set, F.lit(cohort_id)))
-        return F.array_compact(F.array(*present))
+    @property
+    def words(self) -> range:
+        return range(-(-len(self.cohort_ids) // _BITS_PER_WORD))
+
+    def members(self, kind: str) -> Column:
+        """Places in ``cohort_ids`` of the cohorts that are in a row's set, as an array."""
+        bits = F.sequence(F.lit(0), F.lit(_BITS_PER_WORD - 1))
+
+        def of_word(word: int) -> Column:
+            def is_set(bit: Column) -> Column:
+                return F.call_function("shiftright", F.col(f"{kind}_{word}"), bit).bitwiseAND(F.lit(1)) == 1
+
+            return F.transform(F.filter(bits, is_set), lambda bit: bit + word * _BITS_PER_WORD)
+
+        return F.concat(F.array().cast("array<int>"), *[of_word(word) for word in self.words])
 
 
 def stratum_profiles(prepared: DataFrame, cohort_ids: Sequence[int], grain: str) -> Profiles:
@@ -74,13 +85,14 @@ def stratum_profiles(prepared: DataFrame, cohort_ids: Sequence[int], grain: str)
     cohort_ids = tuple(cohort_ids)
     words = range(-(-len(cohort_ids) // _BITS_PER_WORD))
     period = "start_year" if grain == YEAR else "start_month"
+    places = [
+        (cohort_id, place // _BITS_PER_WORD, 1 << place % _BITS_PER_WORD) for place, cohort_id in enumerate(cohort_ids)
+    ]
+    bits = F.broadcast(local_frame(prepared.sparkSession, places, "cohort_definition_id int, word int, bit bigint"))
+    prepared = prepared.join(bits, "cohort_definition_id")
 
     def own_bit(word: int) -> Column:
-        held = cohort_ids[word * _BITS_PER_WORD:(word + 1) * _BITS_PER_WORD]
-        bits = F.when(F.lit(False), F.lit(0).cast("bigint"))
-        for bit, cohort_id in enumerate(held):
-            bits = bits.when(F.col("cohort_definition_id") == cohort_id, F.lit(1 << bit).cast("bigint"))
-        return bits.otherwise(F.lit(0).cast("bigint"))
+        return F.when(F.col("word") == word, F.col("bit")).otherwise(F.lit(0).cast("bigint"))
 
     any_words = [f"{ANY}_{w}" for w in words]
     first_words = [f"{FIRST}_{w}" for w in words]
@@ -118,52 +130,80 @@ def _drugs(pairs: Sequence[tuple[int, int]]) -> list[int]:
     return _unique(drug for _, drug in pairs)
 
 
-def _identity(analysis: str, disease: Column | int | None, drug: Column | int | None) -> Column:
-    def as_id(value) -> Column:
-        return (value if isinstance(value, Column) else F.lit(value)).cast("int")
+_OF_DISEASE, _OF_DRUG, _OF_PAIR = "disease", "drug", "pair"
 
-    return F.struct(
-        F.lit(analysis).alias("analysis"), as_id(disease).alias("diseaseId"), as_id(drug).alias("drugId")
-    )
+
+def _role(analysis: str) -> str:
+    of_disease, of_drug = ANALYSES[analysis]
+    return _OF_DRUG if of_disease is None else _OF_DISEASE if of_drug is None else _OF_PAIR
+
+
+def _roles_frame(profiles: Profiles, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """What each cohort is to the analyses: by role and place, its id and the drugs it is paired with."""
+    place = {cohort_id: i for i, cohort_id in enumerate(profiles.cohort_ids)}
+    paired: dict[int, list[int]] = {}
+    for disease, drug in dict.fromkeys(pairs):
+        paired.setdefault(disease, []).append(drug)
+    rows = [
+        *[(_OF_DISEASE, place[d], d, None) for d in paired],
+        *[(_OF_DRUG, place[g], g, None) for g in _drugs(pairs)],
+        *[
+            (_OF_PAIR, place[d], d, [{"place": place[g], "drug": g} for g in drugs])
+            for d, drugs in paired.items()
+        ],
+    ]
+    schema = "role string, place int, cohort int, partners array<struct<place: int, drug: int>>"
+    return F.broadcast(local_frame(profiles.counted.sparkSession, rows, schema))
 
 
 def analysis_counts(
     profiles: Profiles, pairs: Sequence[tuple[int, int]], analyses: Sequence[str]
 ) -> DataFrame:
-    """Subjects per analysis, cohort or pair of cohorts, period and stratum."""
-    diseases, drugs = _diseases(pairs), _drugs(pairs)
-    paired_with = F.create_map(
-        *[
-            F.lit(x)
-            for disease in diseases
-            for x in (disease, _unique(drug for d, drug in pairs if d == disease))
-        ]
-    )
+    """Subjects per analysis, cohort or pair of cohorts, period and stratum.
+
+    A counted set is unrolled to its members, and a disease's partners to those that are in the set
+    too; what a member is to the study comes from a broadcast table.
+    """
 
     def entered(analysis: str) -> Column:
         of_disease, of_drug = ANALYSES[analysis]
-        if of_drug is None:
-            return F.transform(profiles.members(of_disease, diseases), lambda d: _identity(analysis, d, None))
-        with_drugs = profiles.members(of_drug, drugs)
-        if of_disease is None:
-            return F.transform(with_drugs, lambda g: _identity(analysis, None, g))
-        # Per disease in the set, the drugs it is paired with that are in the set too.
-        return F.flatten(
-            F.transform(
-                profiles.members(of_disease, diseases),
-                lambda d: F.transform(
-                    F.array_intersect(F.element_at(paired_with, d), with_drugs), lambda g: _identity(analysis, d, g)
-                ),
-            )
+        others = profiles.members(of_drug) if of_disease and of_drug else F.lit(None).cast("array<int>")
+        return F.transform(
+            profiles.members(of_disease or of_drug),
+            lambda place: F.struct(
+                F.lit(analysis).alias("analysis"), F.lit(_role(analysis)).alias("role"), place.alias("place"),
+                others.alias("others"),
+            ),
         )
 
+    members = profiles.counted.select(
+        F.inline(F.concat(*[entered(a) for a in analyses])), *_STRATUM, "n_subjects"
+    ).join(_roles_frame(profiles, pairs), ["role", "place"])
+    present = F.filter("partners", lambda p: F.array_contains("others", p["place"]))
+    drugs = F.when(F.col("role") == _OF_PAIR, F.transform(present, lambda p: p["drug"])).otherwise(
+        F.array(F.when(F.col("role") == _OF_DRUG, F.col("cohort")))
+    )
     return (
-        profiles.counted.select(F.inline(F.concat(*[entered(a) for a in analyses])), *_STRATUM, "n_subjects")
+        members.select(
+            "analysis", F.when(F.col("role") != _OF_DRUG, F.col("cohort")).alias("diseaseId"),
+            F.explode(drugs).alias("drugId"), *_STRATUM, "n_subjects",
+        )
         .groupBy(*_IDS, *_STRATUM)
         .agg(F.sum("n_subjects").alias("Counts"))
     )
 
 
+def _for_each_stratum(population: DataFrame, identities: Sequence[tuple]) -> DataFrame:
+    """Every stratum of the population for each of the analyses' cohorts, which are as many as the study's."""
+    listed = local_frame(
+        population.sparkSession, [(0, *x) for x in identities], "part int, analysis string, diseaseId int, drugId int"
+    )
+    # A part that all strata share, but not a constant: that would make the join a nested loop.
+    return population.withColumn("part", F.pmod(F.hash(*_STRATUM), F.lit(1))).join(F.broadcast(listed), "part").select(
+        *_IDS, *_STRATUM, "totalPatients"
+    )
+
+
 def _pairs_frame(spark: SparkSession, pairs: Sequence[tuple[int, int]]) -> DataFrame:
     return F.broadcast(local_frame(spark, pairs, "diseaseId int, drugId int"))
 
@@ -187,12 +227,9 @@ def compute_rates(
     counts = analysis_counts(profiles, pairs, needed)
     denominators = []
     if single:
-        identities = [
-            _identity(a, d, None) for a in single if ANALYSES[a][1] is None for d in _diseases(pairs)
-        ] + [_identity(a, None, g) for a in single if ANALYSES[a][0] is None for g in _drugs(pairs)]
-        denominators.append(
-            population.select(F.inline(F.array(*identities)), *_STRATUM, "totalPatients")
-        )
+        of_diseases = [(a, d, None) for a in single if _role(a) == _OF_DISEASE for d in _diseases(pairs)]
+        of_drugs = [(a, None, g) for a in single if _role(a) == _OF_DRUG for g in _drugs(pairs)]
+        denominators.append(_for_each_stratum(population, [*of_diseases, *of_drugs]))
     if paired:
         with_disease = counts.where(F.col("analysis") == PREVALENCE_OF_DISEASE)
         denominators.append(

@@ -1,8 +1,10 @@
 """Inclusion rules: how many events of another codeset surround the index event.
 
-Criterion events and index events travel in the same frame, so a rule is a window
-count over the person's observation period. No pairs of events are built, and the
-cost stays one sort however many events a person has.
+Criterion events and index events travel in the same frame. An index event asks
+for counts: it is one row per rule of its cohort, placed among the events of the
+rule's codeset where the rule's window ends. One running count per person, period
+and codeset then answers every rule, however many there are; no pairs of events
+are built.
 """
 
 from __future__ import annotations
@@ -13,49 +15,77 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortloom.model import AT_LEAST, RULES_PER_WORD, CohortDefinition, Rule, rule_words, word_names
+from cohortloom.model import AT_LEAST, RULES_PER_WORD, CohortDefinition, word_names
+from cohortloom.operators.events import DEATH
 
+# The codeset of deaths, which have none, and the number of the question for the next one.
+NO_CODESET = 0
+NEXT_DEATH = -1
 
-def distinct_rules(definitions: Iterable[CohortDefinition]) -> list[Rule]:
-    return list(dict.fromkeys(rule for definition in definitions for rule in definition.rules))
+#: What an index event asks: columns of a row of settings per cohort and question.
+ASKS = "ask int, ask_domain string, ask_codeset bigint, days_after int, at_least boolean, occurrences int, word int, bit bigint"
 
 
-def rule_hits(rules: list[Rule]) -> dict[str, Column]:
-    """``hits_<i>``: criterion events in the window of ``rules[i]`` around each placed row."""
-    history = Window.partitionBy("person_id", "op_start_date", "op_end_date").orderBy("day_key")
-    hits = {}
-    for number, rule in enumerate(rules):
-        if rule.days_after is None:
-            frame = history.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        else:
-            frame = history.rangeBetween(Window.unboundedPreceding, 2 * rule.days_after + 1)
-        matching = (F.col("domain") == rule.domain) & F.array_contains(
-            "codesets", F.lit(rule.codeset_id).cast("bigint")
+def questions(definition: CohortDefinition) -> list[tuple]:
+    """Rows of ``ASKS``: the next death, and each rule of a cohort with its bit of the mask."""
+    asked = [(NEXT_DEATH, DEATH, NO_CODESET, 0, None, None, None, None)]
+    for number, rule in enumerate(definition.rules):
+        word, bit = divmod(number, RULES_PER_WORD)
+        asked.append(
+            (
+                number, rule.domain, rule.codeset_id, rule.days_after, rule.kind == AT_LEAST, rule.occurrences,
+                word, 1 << bit,
+            )
         )
-        hits[f"hits_{number}"] = F.coalesce(F.sum(F.when(matching, F.col("n_events"))).over(frame), F.lit(0))
-    return hits
-
-
-def _holds(rule: Rule, hits: Column) -> Column:
-    return hits >= rule.occurrences if rule.kind == AT_LEAST else hits == rule.occurrences
-
-
-def rule_masks(definitions: Iterable[CohortDefinition], rules: list[Rule]) -> dict[str, Column]:
-    """Bit i of the words is set when the cohort's i-th rule holds; cohorts are told by ``cohort_id``."""
-    definitions = list(definitions)
-    sharing: dict[tuple[Rule, ...], list[int]] = {}
-    for definition in definitions:
-        sharing.setdefault(definition.rules, []).append(definition.cohort_id)
-    names = word_names("rule_mask", rule_words(definitions))
-    masks = {name: F.lit(0).cast("bigint") for name in names}
-    for own_rules, cohorts in sharing.items():
-        for number, rule in enumerate(own_rules):
-            word, bit = divmod(number, RULES_PER_WORD)
-            holds = _holds(rule, F.col(f"hits_{rules.index(rule)}"))
-            masks[names[word]] = masks[names[word]] + F.when(
-                F.col("cohort_id").isin(cohorts) & holds, F.lit(1 << bit).cast("bigint")
-            ).otherwise(F.lit(0).cast("bigint"))
-    return masks
+    return asked
+
+
+def criterion_codesets(definitions: Iterable[CohortDefinition]) -> list[tuple[str, int]]:
+    """Domains and codesets that questions are about."""
+    rules = {(rule.domain, rule.codeset_id) for definition in definitions for rule in definition.rules}
+    return sorted({(DEATH, NO_CODESET), *rules})
+
+
+def answered(rows: DataFrame) -> DataFrame:
+    """Each question with ``found``, the events it counts, and ``censor_date``, the next death.
+
+    ``rows`` are criterion events (``asks`` false) and questions of index events, both within a
+    person's period, with the event's ``domain``, ``codeset_id`` and ``day_key``.
+    """
+    asks = F.col("asks")
+    # A window that ends with the period is past all days; others reach over deaths of their last day.
+    end = F.when(F.col("ask") == NEXT_DEATH, F.col("day_key")).otherwise(
+        F.coalesce(F.col("day_key") + 2 * F.col("days_after").cast("bigint") + 1, F.lit((1 << 63) - 1))
+    )
+    placed = rows.withColumns(
+        {
+            "about_domain": F.when(asks, F.col("ask_domain")).otherwise(F.col("domain")),
+            "about_codeset": F.when(asks, F.col("ask_codeset")).otherwise(F.col("codeset_id")),
+            "place": F.when(asks, end).otherwise(F.col("day_key")),
+        }
+    )
+    same = ["person_id", "op_start_date", "op_end_date", "about_domain", "about_codeset"]
+    so_far = Window.partitionBy(*same).orderBy("place", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    following = F.expr(f"lead(death_date) IGNORE NULLS OVER (PARTITION BY {', '.join(same)} ORDER BY place, asks)")
+    counted = F.sum(F.when(~asks, F.col("n_events"))).over(so_far)
+    return placed.withColumns({"found": F.coalesce(counted, F.lit(0)), "censor_date": following}).where(asks)
+
+
+def holds() -> Column:
+    """Whether an answered question's rule is met."""
+    return F.when(F.col("at_least"), F.col("found") >= F.col("occurrences")).otherwise(
+        F.col("found") == F.col("occurrences")
+    )
+
+
+def mask_of_answers(words: int) -> dict[str, Column]:
+    """Aggregates that put the answers to an event's questions into words: bit i is set when rule i holds."""
+    return {
+        name: F.coalesce(
+            F.bit_or(F.when((F.col("word") == word) & holds(), F.col("bit"))), F.lit(0).cast("bigint")
+        )
+        for word, name in enumerate(word_names("rule_mask", words))
+    }
 
 
 def mask_columns(df: DataFrame, name: str) -> list[str]:

@@ -2,67 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortloom.operators.events import DEATH
 
 
 def observation_spans(observation_period: DataFrame) -> DataFrame:
-    """Observation periods, equal ones as one row with their number in ``copies``.
+    """One row per person with their observation periods in order, as one array.
 
-    They are shuffled once, by person, as the join with events needs it.
+    Equal periods are one, with their number in ``copies``. Periods are shuffled once, by person, as the join
+    with events needs it.
     """
-    return observation_period.repartition("person_id").groupBy(
+    distinct = observation_period.repartition("person_id").groupBy(
         "person_id",
         F.col("observation_period_start_date").alias("op_start_date"),
         F.col("observation_period_end_date").alias("op_end_date"),
     ).agg(F.count(F.lit(1)).alias("copies"))
+    return distinct.groupBy("person_id").agg(
+        F.sort_array(F.collect_list(F.struct("op_start_date", "op_end_date", "copies"))).alias("periods")
+    )
 
 
 def place_in_periods(days: DataFrame, spans: DataFrame) -> DataFrame:
-    """Each event day joined to every observation period of the person that covers it.
+    """Each event day once for every observation period of the person that covers it.
 
-    ``day_key`` orders the days of a period, with deaths after other events of their
-    day; it grows by two from day to day. ``death_date`` is set on deaths.
+    Periods are looked through where the person's array meets the day, so that a person of many
+    periods has no more rows than days that are covered. ``day_key`` orders the days of a period, with deaths after
+    other events of their day; it grows by two from day to day. ``death_date`` is set on deaths.
     """
-    placed = days.join(spans, "person_id").where(
-        F.col("start_date").between(F.col("op_start_date"), F.col("op_end_date"))
-    )
+    start = F.col("start_date")
+    covering = F.filter("periods", lambda p: start.between(p["op_start_date"], p["op_end_date"]))
+    placed = days.join(spans, "person_id").select(*days.columns, F.inline(covering))
     is_death = F.col("domain") == DEATH
     return placed.withColumns(
         {
-            "day_key": F.unix_date("start_date") * 2 + is_death.cast("int"),
+            "day_key": F.unix_date("start_date").cast("bigint") * 2 + is_death.cast("int"),
             "death_date": F.when(is_death, F.col("start_date")),
         }
     )
 
 
-def may_matter(placed: DataFrame, prior_days: int, criteria: Iterable[tuple[str, int]]) -> DataFrame:
-    """Drops rows that are too early to enter any cohort and that no rule counts.
-
-    ``prior_days`` is the shortest look-back asked for, ``criteria`` the domains and
-    codesets of the rules.
-    """
-    counted = F.col("domain") == DEATH
-    for domain, codeset_id in sorted(set(criteria)):
-        counted = counted | (
-            (F.col("domain") == domain) & F.array_contains("codesets", F.lit(codeset_id).cast("bigint"))
-        )
-    return placed.where((F.date_add("op_start_date", prior_days) <= F.col("start_date")) | counted)
-
-
-def has_look_back(placed: DataFrame, prior_days="prior_days", post_days="post_days") -> DataFrame:
-    """Event days with enough observed time before and after them in their period.
+def has_look_back() -> Column:
+    """Whether an event day has enough observed time before and after it in its period.
 
-    The numbers of days are column names or integers.
+    That is ``prior_days`` and ``post_days``, columns beside it.
     """
-    prior = F.col(prior_days) if isinstance(prior_days, str) else F.lit(prior_days)
-    post = F.col(post_days) if isinstance(post_days, str) else F.lit(post_days)
-    return placed.where(
-        (F.date_add("op_start_date", prior) <= F.col("start_date"))
-        & (F.date_add("start_date", post) <= F.col("op_end_date"))
+    return (F.date_add("op_start_date", F.col("prior_days")) <= F.col("start_date")) & (
+        F.date_add("start_date", F.col("post_days")) <= F.col("op_end_date")
     )
 
 

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.model import RULES_PER_WORD, CohortDefinition, rule_words, word_names
 from cohortloom.operators.eras import collapse_eras
-from cohortloom.operators.events import tagged_event_days
-from cohortloom.operators.exits import first_exit, next_death
-from cohortloom.operators.rules import distinct_rules, meets_all_rules, rule_hits, rule_masks
-from cohortloom.operators.timeline import (
-    has_look_back, keep_first, may_matter, observation_spans, place_in_periods,
+from cohortloom.operators.events import DEATH, tagged_event_days
+from cohortloom.operators.exits import first_exit
+from cohortloom.operators.rules import (
+    ASKS, NEXT_DEATH, NO_CODESET, answered, criterion_codesets, mask_of_answers, meets_all_rules, questions,
 )
+from cohortloom.operators.timeline import has_look_back, keep_first, observation_spans, place_in_periods
 from cohortloom.session import local_frame
 from cohortloom.sources.tables import Tables
 
@@ -36,30 +36,40 @@ class Codes:
     small: bool = False
 
 
-_PARAMETERS = (
-    "cohort_id int, domain string, codeset_id bigint, start_from date, start_to date, prior_days int, "
-    "post_days int, first_only boolean, exit_days int, censored boolean, era_pad int"
-)
-
-
 def _full_masks(definition: CohortDefinition, words: int) -> list[int]:
     everything = (1 << len(definition.rules)) - 1
     return [everything >> w * RULES_PER_WORD & (1 << RULES_PER_WORD) - 1 for w in range(words)]
 
 
-def _parameters(spark, definitions: Sequence[CohortDefinition]) -> DataFrame:
-    """One row per cohort and entry criterion: as long as the study's settings, so broadcast."""
-    words = rule_words(definitions)
-    schema = ", ".join([_PARAMETERS, *(f"{name} bigint" for name in word_names("full_mask", words))])
-    rows = [
-        (
-            d.cohort_id, c.domain, c.codeset_id, c.start_from, c.start_to, d.prior_days, d.post_days,
-            d.first_only, d.exit_days, d.censor_at_death, d.era_pad, *_full_masks(d, words),
-        )
+def _roles(spark, definitions: Sequence[CohortDefinition]) -> DataFrame:
+    """What the events of a codeset are to the study: counted by rules, or entries of a cohort.
+
+    An entry has one row per question its cohort asks. As long as the study's settings, so broadcast.
+    """
+    no_question = (None,) * 8
+    counted = [(domain, codeset, False, *(None,) * 5, *no_question) for domain, codeset in criterion_codesets(definitions)]
+    entries = [
+        (c.domain, c.codeset_id, True, d.cohort_id, c.start_from, c.start_to, d.prior_days, d.post_days, *question)
         for d in definitions
         for c in d.primary
+        for question in questions(d)
     ]
-    return F.broadcast(local_frame(spark, rows, schema))
+    schema = (
+        "domain string, codeset_id bigint, asks boolean, cohort_id int, start_from date, start_to date, "
+        f"prior_days int, post_days int, {ASKS}"
+    )
+    return F.broadcast(local_frame(spark, [*counted, *entries], schema))
+
+
+def _settings(spark, definitions: Sequence[CohortDefinition]) -> DataFrame:
+    """What a cohort's index events keep of its settings, one row per cohort."""
+    words = word_names("full_mask", rule_words(definitions))
+    schema = ["cohort_id int", *(f"{w} bigint" for w in words), "first_only boolean, exit_days int, censored boolean, era_pad int"]
+    rows = [
+        (d.cohort_id, *_full_masks(d, len(words)), d.first_only, d.exit_days, d.censor_at_death, d.era_pad)
+        for d in definitions
+    ]
+    return F.broadcast(local_frame(spark, rows, ", ".join(schema)))
 
 
 def _codesets_by_domain(definitions: Sequence[CohortDefinition]) -> dict[str, set[int]]:
@@ -73,32 +83,31 @@ def _codesets_by_domain(definitions: Sequence[CohortDefinition]) -> dict[str, se
 def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition]) -> DataFrame:
     """Index events of all cohorts by day and observation period, with rule mask and next death.
 
-    ``n_events`` is the number of source events behind a row; a day has several
-    rows where its events differ in their codesets.
+    ``n_events`` is the number of source events behind a row. All cohorts and all
+    their rules are answered by one running count (see ``operators.rules``).
     """
     spark = tables["observation_period"].sparkSession
     days = tagged_event_days(
         tables, _codesets_by_domain(definitions), codes.concepts, codes.sources, codes.small
     )
     placed = place_in_periods(days, observation_spans(tables["observation_period"]))
-    rules = distinct_rules(definitions)
-    placed = may_matter(
-        placed,
-        min(d.prior_days for d in definitions),
-        [(rule.domain, rule.codeset_id) for rule in rules],
-    ).withColumns({"censor_date": next_death(), **rule_hits(rules)})
-    entered = placed.withColumn("codeset_id", F.explode("codesets")).join(
-        _parameters(spark, definitions), ["domain", "codeset_id"]
+    codesets = F.when(F.col("domain") == DEATH, F.array(F.lit(NO_CODESET).cast("bigint"))).otherwise(F.col("codesets"))
+    met = (
+        placed.select("*", F.explode(codesets).alias("codeset_id"))
+        .drop("codesets")
+        .join(_roles(spark, definitions), ["domain", "codeset_id"])
     )
     in_dates = F.col("start_date").between(
         F.coalesce("start_from", "start_date"), F.coalesce("start_to", "start_date")
     )
-    qualified = has_look_back(entered.where(in_dates)).select(
-        "cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", "censor_date",
-        (F.col("n_events") * F.col("copies")).alias("n_events"),
-        *[mask.alias(name) for name, mask in rule_masks(definitions, rules).items()],
-        *word_names("full_mask", rule_words(definitions)), "first_only", "exit_days", "censored", "era_pad",
-    )
+    answers = answered(met.where(~F.col("asks") | (in_dates & has_look_back())))
+    # Each index event asks for its next death once, which tells how many events it stands for.
+    base = F.col("ask") == NEXT_DEATH
+    qualified = answers.groupBy("cohort_id", "person_id", "start_date", "op_start_date", "op_end_date").agg(
+        F.max(F.when(base, F.col("censor_date"))).alias("censor_date"),
+        F.sum(F.when(base, F.col("n_events") * F.col("copies"))).alias("n_events"),
+        *[mask.alias(name) for name, mask in mask_of_answers(rule_words(definitions)).items()],
+    ).join(_settings(spark, definitions), "cohort_id")
     if any(d.first_only for d in definitions):
         qualified = keep_first(qualified)
     return qualified

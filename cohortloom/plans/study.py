@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortloom.functions.dates import STUDY_FLOOR, as_date, floor_start
 from cohortloom.model import DISEASE, CohortDefinition, cohort_ids, rule_words, word_names
@@ -15,18 +16,25 @@ from cohortloom.operators import impact, population as pop, rates
 from cohortloom.operators.counts import cohort_counts
 from cohortloom.operators.disclosure import mask_small_cells
 from cohortloom.operators.dose import Strength, dose_summary
+from cohortloom.operators.events import DOMAINS
 from cohortloom.operators.margins import add_margins
 from cohortloom.operators.profile import diagnosis_profile
 from cohortloom.plans.cohorts import Codes, cohorts_of, qualified_events
 from cohortloom.schemas import DATASET_COUNTS, RATES_MONTH, RATES_YEAR
-from cohortloom.session import fits_broadcast
+from cohortloom.session import fits_broadcast, local_frame
 from cohortloom.sources import store
+from cohortloom.sources.digest import group_digests, table_digests
 from cohortloom.sources.tables import Tables
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class StudyParameters:
-    """Windows, stages and disclosure limit of a run."""
+    """Windows, stages and disclosure limit of a run.
+
+    Without ``compare_data`` source tables are taken to be those of the run before, and not read for their digests.
+    """
 
     database: str = "Unknown"
     create_cohorts: bool = True
@@ -38,6 +46,7 @@ class StudyParameters:
     floor_date: dt.date | str = STUDY_FLOOR
     min_cell_count: int = 0
     rule_impact: bool = False
+    compare_data: bool = True
 
 
 @dataclass(frozen=True)
@@ -66,6 +75,7 @@ class StudyPaths:
 
 
 _FILES = {
+    "marks": "marks",
     "cohort": "cohort",
     "concept_codes": "tmpData/concept_codes",
     "source_codes": "tmpData/source_codes",
@@ -92,73 +102,205 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def store_qualified(
-    tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition], paths: StudyPaths
-) -> DataFrame:
-    """Codes, then index events, each computed once for all that needs them."""
+class _Marks:
+    """What each part of the output was made from; a part whose mark is the one wanted needn't be made again.
+
+    A part is cleared before it is written and marked after, so a run that was cut short leaves no part
+    that is taken for whole.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.held = store.read_marks(spark, path)
+
+    def changed(self, stage: str, wanted: dict[int, str]) -> list[int]:
+        return [i for i, mark in wanted.items() if self.held.get(f"{stage}/{i}") != mark]
+
+    def gone(self, stage: str, wanted: dict[int, str]) -> list[int]:
+        ids = [int(p.partition("/")[2]) for p in self.held if p.startswith(f"{stage}/")]
+        return [i for i in ids if i not in wanted]
+
+    def of(self, stage: str) -> list[tuple[str, str]]:
+        return sorted((p, m) for p, m in self.held.items() if p.startswith(f"{stage}/"))
+
+    def data(self, tables: Tables, names: set[str], compare: bool) -> dict[str, str]:
+        """Digests of source tables; without ``compare`` those of the run before, where it has them."""
+        read = {n: tables[n] for n in names if n in tables and (compare or f"data/{n}" not in self.held)}
+        self.held |= {f"data/{n}": digest for n, digest in table_digests(read).items()}
+        return {n: self.held[f"data/{n}"] for n in sorted(names) if n in tables}
+
+    def make(self, stage: str, wanted: dict[int, str], write: Callable[[list[int]], None]) -> list[int]:
+        """Calls ``write`` with the ids whose part is to be replaced, those no longer wanted included.
+
+        Returns the ids that were made anew.
+        """
+        changed, gone = self.changed(stage, wanted), self.gone(stage, wanted)
+        if not changed and not gone:
+            return []
+        parts = {f"{stage}/{i}" for i in (*changed, *gone)}
+        self.held = {p: m for p, m in self.held.items() if p not in parts}
+        store.write_marks(self.spark, self.path, self.held)
+        write([*changed, *gone])
+        self.held |= {f"{stage}/{i}": wanted[i] for i in changed}
+        store.write_marks(self.spark, self.path, self.held)
+        logger.info("%s: made %s, removed %s", stage, changed, gone)
+        return changed
+
+
+def store_codes(codes: Codes, paths: StudyPaths) -> Codes:
+    """Resolved codes, computed once for all that needs them."""
     stored = [
         None if df is None else _stored(df, paths[name])
         for name, df in (("concept_codes", codes.concepts), ("source_codes", codes.sources))
     ]
-    codes = Codes(*stored, small=all(fits_broadcast(df) for df in stored if df is not None))
-    return _stored(qualified_events(tables, codes, definitions), paths["qualified"])
+    return Codes(*stored, small=all(fits_broadcast(df) for df in stored if df is not None))
+
+
+def cohort_marks(
+    marks: _Marks, tables: Tables, codes: Codes, definitions: Sequence[CohortDefinition], compare: bool = True
+) -> dict[int, str]:
+    """Per cohort a fingerprint of all that its rows depend on.
+
+    That is its definition, the codes of the codesets it names, and the rows of the tables it reads.
+    """
+    read = {d.cohort_id: {c.domain for c in (*d.primary, *d.rules)} for d in definitions}
+    domains = set().union(*read.values())
+    needed = {DOMAINS[name].table for name in domains} | {"observation_period", "death"}
+    data = marks.data(tables, needed, compare)
+    of_codes = {
+        coded: {} if df is None else group_digests(df, "codeset_id")
+        for coded, df in ((False, codes.concepts), (True, codes.sources))
+    }
+    words = rule_words(definitions)  # a cohort's stored masks have as many
+
+    def mark(d: CohortDefinition) -> str:
+        used = sorted({(c.domain, c.codeset_id) for c in (*d.primary, *d.rules)})
+        own = [(name, i, of_codes[DOMAINS[name].source_coded].get(i)) for name, i in used]
+        names = {DOMAINS[name].table for name in read[d.cohort_id]} | {"observation_period", "death"}
+        return _fingerprint(d, own, [(n, data.get(n)) for n in sorted(names)], words)
+
+    return {d.cohort_id: mark(d) for d in definitions}
+
+
+_QUALIFIED_KEYS = ["cohort_id"]
+
+
+def _qualified_schema(words: int) -> T.StructType:
+    masks = [f"{name} bigint" for mask in ("rule_mask", "full_mask") for name in word_names(mask, words)]
+    return T.StructType.fromDDL(
+        "person_id bigint, start_date date, op_start_date date, op_end_date date, censor_date date, "
+        f"n_events bigint, {', '.join(masks)}, first_only boolean, exit_days int, censored boolean, era_pad int, "
+        "cohort_id int"
+    )
+
+
+def store_qualified(
+    tables: Tables,
+    codes: Codes,
+    definitions: Sequence[CohortDefinition],
+    marks: _Marks,
+    wanted: dict[int, str],
+    paths: StudyPaths,
+) -> DataFrame:
+    """Index events of all cohorts; those of changed cohorts are computed, in one plan for all of these."""
+    spark, words = marks.spark, rule_words(definitions)
+    schema = _qualified_schema(words)
+    if not marks.of("qualified"):
+        store.create_table(spark, paths["qualified"], schema, _QUALIFIED_KEYS)
+
+    def write(ids: list[int]) -> None:
+        own = [d for d in definitions if d.cohort_id in ids]
+        found = qualified_events(tables, codes, own) if own else local_frame(spark, [], schema)
+        # Words of other cohorts' rules that these cohorts don't need.
+        lacking = [f.name for f in schema if f.name not in found.columns]
+        found = found.withColumns({name: F.lit(0).cast("bigint") for name in lacking}).select(*schema.names)
+        store.replace_slices(found, paths["qualified"], _QUALIFIED_KEYS, [(i,) for i in ids])
+
+    marks.make("qualified", wanted, write)
+    return spark.read.schema(schema).parquet(paths["qualified"])
+
+
+def _of(df: DataFrame, key: str, ids: Sequence[int]) -> DataFrame:
+    return df.where(F.col(key).isin(list(ids)))
 
 
 def create_all_cohorts(
-    spark: SparkSession,
     tables: Tables,
     qualified: DataFrame,
     definitions: Sequence[CohortDefinition],
+    marks: _Marks,
+    wanted: dict[int, str],
     paths: StudyPaths,
     parameters: StudyParameters,
-) -> None:
-    """Cohort table, counts, population and prepared rows."""
-    ids = [d.cohort_id for d in definitions]
-    store.create_cohort_table(spark, paths["cohort"])
-    store.write_cohorts(cohorts_of(qualified), paths["cohort"], ids)
+) -> list[int]:
+    """Cohort table, counts, population and prepared rows; returns the cohorts that were built.
+
+    Rows of cohorts that are as they were stay, and rows of cohorts that the study no longer has go.
+    """
+    spark = marks.spark
+    if not marks.of("cohort"):
+        store.create_cohort_table(spark, paths["cohort"])
+    built = marks.make(
+        "cohort", wanted,
+        lambda ids: store.write_cohorts(cohorts_of(_of(qualified, "cohort_id", ids)), paths["cohort"], ids),
+    )
     cohort = store.read_cohorts(spark, paths["cohort"])
     registry = rates.registry_frame(spark, [(d.cohort_id, d.name) for d in definitions])
     store.write_csv(cohort_counts(cohort, registry), paths["cohort_counts"])
 
-    population = pop.observed_population(
-        tables["person"],
-        tables["observation_period"],
-        as_date(parameters.year_start).year,
-        as_date(parameters.year_end).year,
-    )
-    prepared = pop.attach_demographics(cohort, _stored(population, paths["population"]))
-    (
-        prepared.hint("rebalance", *store.COHORT_KEYS)
-        .write.mode("overwrite")
-        .partitionBy(*store.COHORT_KEYS)
-        .parquet(paths["prepared"])
+    years = (as_date(parameters.year_start).year, as_date(parameters.year_end).year)
+    persons = _fingerprint(years, marks.data(tables, {"person", "observation_period"}, parameters.compare_data))
+    marks.make(
+        "population", {0: persons},
+        lambda _: pop.observed_population(tables["person"], tables["observation_period"], *years)
+        .write.mode("overwrite").parquet(paths["population"]),
     )
+    population = spark.read.schema(_population_schema()).parquet(paths["population"])
+    if not marks.of("prepared"):
+        store.create_table(spark, paths["prepared"], _prepared_schema(), store.COHORT_KEYS)
+
+    def prepare(ids: list[int]) -> None:
+        rows = pop.attach_demographics(store.read_cohorts(spark, paths["cohort"], ids), population)
+        store.replace_slices(rows, paths["prepared"], store.COHORT_KEYS, [(i,) for i in ids])
+
+    marks.make("prepared", {i: _fingerprint(mark, persons) for i, mark in wanted.items()}, prepare)
+    return built
 
 
 def write_rule_impact(
-    spark: SparkSession,
     qualified: DataFrame,
     definitions: Sequence[CohortDefinition],
+    marks: _Marks,
+    wanted: dict[int, str],
     paths: StudyPaths,
 ) -> None:
-    """Counts per rule mask, rule and cohort, for all events and for best events."""
-    ruled = [d for d in definitions if d.rules]
-    catalogue = impact.rule_catalogue(spark, ruled)
-    modes = (impact.ALL_EVENTS, impact.BEST_EVENT)
-    slices = [(d.cohort_id, mode) for d in ruled for mode in modes]
-
-    def save(frames: list[DataFrame], path: str) -> None:
-        store.replace_slices(frames[0].unionByName(frames[1]), path, store.IMPACT_KEYS, slices)
+    """Counts per rule mask, rule and cohort, for all events and for best events.
 
-    save([impact.inclusion_result(qualified, m) for m in modes], paths["inclusion_result"])
-    masks = [f"inclusion_{name} bigint" for name in word_names("rule_mask", rule_words(ruled))]
+    Rows of changed cohorts take the place of those stored for them.
+    """
+    spark, modes = marks.spark, (impact.ALL_EVENTS, impact.BEST_EVENT)
+    ruled = {d.cohort_id: d for d in definitions if d.rules}
+    masks = [f"inclusion_{name} bigint" for name in word_names("rule_mask", rule_words(definitions))]
     schema = T.StructType.fromDDL(
         ", ".join(["cohort_definition_id int, mode_id int", *masks, "person_count bigint"])
     )
-    stored = spark.read.schema(schema).parquet(paths["inclusion_result"])
-    results = {m: stored.where(stored["mode_id"] == m) for m in modes}
-    save([impact.inclusion_stats(results[m], catalogue, m) for m in modes], paths["inclusion_stats"])
-    save([impact.attrition_summary(results[m], catalogue, m) for m in modes], paths["summary_stats"])
+
+    def write(ids: list[int]) -> None:
+        slices = [(i, mode) for i in ids for mode in modes]
+        own = [ruled[i] for i in ids if i in ruled]
+        catalogue = impact.rule_catalogue(spark, own)
+        events = _of(qualified, "cohort_id", [d.cohort_id for d in own])
+
+        def save(frames: list[DataFrame], path: str) -> None:
+            store.replace_slices(frames[0].unionByName(frames[1]), path, store.IMPACT_KEYS, slices)
+
+        save([impact.inclusion_result(events, m) for m in modes], paths["inclusion_result"])
+        stored = _of(spark.read.schema(schema).parquet(paths["inclusion_result"]), "cohort_definition_id", ids)
+        results = {m: stored.where(stored["mode_id"] == m) for m in modes}
+        save([impact.inclusion_stats(results[m], catalogue, m) for m in modes], paths["inclusion_stats"])
+        save([impact.attrition_summary(results[m], catalogue, m) for m in modes], paths["summary_stats"])
+
+    marks.make("impact", {i: mark for i, mark in wanted.items() if i in ruled}, write)
 
 
 def _prepared_schema() -> T.StructType:
@@ -185,6 +327,7 @@ def compute_prevalence(
     definitions: Sequence[CohortDefinition],
     pairs: Sequence[tuple[int, int]],
     dose: DoseSettings | None,
+    marks: _Marks,
     paths: StudyPaths,
     parameters: StudyParameters,
 ) -> None:
@@ -198,11 +341,14 @@ def compute_prevalence(
         spark.read.schema(_prepared_schema()).parquet(paths["prepared"]), month_start, month_end
     )
     years = (as_date(parameters.year_start).year, as_date(parameters.year_end).year)
+    persons = marks.of("population")
     store.reuse_or_write_csv(
-        spark, paths["dataset_counts"], DATASET_COUNTS, _fingerprint(years), lambda: pop.dataset_counts(population)
+        spark, paths["dataset_counts"], DATASET_COUNTS, _fingerprint(years, persons), lambda: pop.dataset_counts(population)
     )
     window = (year_start, year_end, month_start, month_end, years)
-    settings = _fingerprint(parameters.database, window, tuple(definitions), tuple(map(tuple, pairs)))
+    settings = _fingerprint(
+        parameters.database, window, tuple(definitions), tuple(map(tuple, pairs)), marks.of("prepared"), persons
+    )
 
     in_pairs = list(dict.fromkeys(i for pair in pairs for i in pair))
 
@@ -246,19 +392,22 @@ def run_study(
 ) -> StudyPaths:
     """Runs the stages switched on and returns where their results are.
 
-    Each stage reads what the one before has stored, so a run can be taken up again
-    and lost executors never cost more than the stage at hand. Stored yearly,
-    monthly and dataset counts are kept as long as windows, definitions, pairs and
-    database name are the same. Data are not compared: a run on new data takes a new
-    output folder.
+    Each stage reads what the one before has stored, so a run can be taken up again and lost executors never
+    cost more than the stage at hand. A run into the same folder builds only cohorts whose definition, codes or
+    source tables have changed, and removes those that the study no longer has; yearly, monthly and dataset
+    counts are kept as long as windows, definitions, pairs, database name and the rows they are made from are
+    the same. Rows are compared by digests of whole tables, so one changed row is noticed.
     """
     paths = StudyPaths(output)
+    marks = _Marks(spark, paths["marks"])
     if parameters.create_cohorts or parameters.rule_impact:
-        qualified = store_qualified(tables, codes, definitions, paths)
+        codes = store_codes(codes, paths)
+        wanted = cohort_marks(marks, tables, codes, definitions, parameters.compare_data)
+        qualified = store_qualified(tables, codes, definitions, marks, wanted, paths)
     if parameters.create_cohorts:
-        create_all_cohorts(spark, tables, qualified, definitions, paths, parameters)
+        create_all_cohorts(tables, qualified, definitions, marks, wanted, paths, parameters)
     if parameters.rule_impact:
-        write_rule_impact(spark, qualified, definitions, paths)
+        write_rule_impact(qualified, definitions, marks, wanted, paths)
     if parameters.run_prevalence:
-        compute_prevalence(spark, definitions, pairs, dose, paths, parameters)
+        compute_prevalence(spark, definitions, pairs, dose, marks, paths, parameters)
     return paths

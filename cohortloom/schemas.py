@@ -84,3 +84,24 @@ def rates(calendar: T.DataType) -> T.StructType:
 RATES_YEAR = rates(_INT)
 RATES_MONTH = rates(_DATE)
 DATASET_COUNTS = _schema(total_counts=_LONG, total_followup_yr=_LONG)
+COHORT_COUNTS = _schema(cohortDefinitionId=_INT, cohortName=_STR, incidencecounts=_LONG)
+DIAGNOSIS_PROFILE = _schema(
+    diseaseId=_INT, ageGroup=_STR, Gender=_STR, totalPatients=_LONG, Counts=_LONG, rate=_DBL,
+)
+INCLUSION_STATS = _schema(
+    cohort_definition_id=_INT, rule_sequence=_INT, person_count=_LONG, gain_count=_LONG, person_total=_LONG,
+    mode_id=_INT,
+)
+
+
+def dose(labels) -> T.StructType:
+    """Rows of a dose summary for strengths of these labels."""
+    return _schema(
+        calDate=_INT, ageGroup=_STR, Gender=_STR, totalPatients=_LONG, totalCounts=_LONG,
+        **{f"Counts_{label}": _LONG for label in labels}, rate=_DBL,
+    )
+
+
+def masked(result: T.StructType) -> T.StructType:
+    """Result rows whose small counts are masked: their numbers are text."""
+    return _schema(**{f.name: _STR if f.name in ("totalPatients", "Counts") else f.dataType for f in result})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -34,6 +36,19 @@ def build_session(app_name: str, master: str | None = None, **settings) -> Spark
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which a cluster's driver and executors share.
+
+    Where that is unset, a session within one process takes a temporary folder; a cluster must name one.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="shared-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def fits_broadcast(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """Whether a table of codes that has been written is small enough to broadcast.
 

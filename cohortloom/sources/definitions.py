@@ -89,9 +89,20 @@ def _beyond_of(known: dict, path: str):
     return lambda value: _beyond(known, value, path)
 
 
+def write_definitions(documents: DataFrame, path: str, text: str = "text") -> None:
+    """Stores documents (``name`` and their text) in a shared folder, each in a folder of its name."""
+    whole = documents.select("name", F.col(text).alias("value"))
+    whole.write.mode("overwrite").option("lineSep", " ").partitionBy("name").text(path)
+
+
 def read_definitions(spark: SparkSession, path: str) -> DataFrame:
-    """Definition files as rows, with the file's name without its ending in ``name``."""
+    """Definition files as rows, with the name of each in ``name``.
+
+    That is the name of the folder that ``write_definitions`` gave it, or else the file's without its ending.
+    """
     files = spark.read.text(path, wholetext=True)
+    if "name" in files.columns:
+        return parse_definitions(files.withColumn("name", F.col("name").cast("string")), "value")
     # The file name is percent-encoded, with a plain plus sign for itself.
     file_name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     named = files.select(F.regexp_replace(file_name, r"\.json$", "").alias("name"), "value")

@@ -67,6 +67,22 @@ def read_cohorts(spark: SparkSession, path: str, cohort_ids: Sequence[int] | Non
     return rows if cohort_ids is None else rows.where(F.col("cohort_definition_id").isin(list(cohort_ids)))
 
 
+def read_marks(spark: SparkSession, path: str) -> dict[str, str]:
+    """What the parts of a stored study were made from, by part; nothing where no marks are."""
+    try:
+        found = spark.read.schema("part string, mark string").parquet(path).collect()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["part"]: r["mark"] for r in found}
+
+
+def write_marks(spark: SparkSession, path: str, marks: dict[str, str]) -> None:
+    """Replaces the marks, which are as many as the study has cohorts. If it is cut short, none are left."""
+    local_frame(spark, sorted(marks.items()), "part string, mark string").coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

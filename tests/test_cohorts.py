@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from dataclasses import replace
 
 from helpers import day, rows
@@ -331,3 +332,83 @@ def test_more_rules_than_bits_in_a_word(spark, make_tables):
     assert rows(impact.attrition_summary(result, catalogue, 0), "base_count", "final_count") == [(2, 1)]
     best = rows(impact.best_events(events), "person_id", "rule_count", "min_rule_id", "rule_mask_1")
     assert best == [(1, 70, 0, high), (2, 69, 0, high >> 1)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_masks(cohort, indexed, events):
+    """Of an index day, the rules that hold, from (concept's codeset, day) of the same period."""
+    start, end = day("2010-01-01"), day("2015-12-31")
+    mask = 0
+    for number, rule in enumerate(cohort.rules):
+        last = end if rule.days_after is None else min(end, indexed + dt.timedelta(days=rule.days_after))
+        n = sum(c == rule.codeset_id and start <= d <= last for c, d in events)
+        if n >= rule.occurrences if rule.kind == AT_LEAST else n == rule.occurrences:
+            mask |= 1 << number
+    return mask
+
+
+def many_rules(n):
+    kinds = [
+        Rule(CONDITION, codeset, kind, times, days_after=days)
+        for times in range(9)
+        for codeset in (ILL, INDICATED, CANCER)
+        for kind in (AT_LEAST, EXACTLY)
+        for days in (None, 0, 30, 400)
+    ]
+    return tuple(kinds[:n])
+
+
+def test_two_hundred_rules_are_one_running_count(spark, make_tables):
+    rng = random.Random(4)
+    events = [
+        (concept, dt.date(2011, 1, 1) + dt.timedelta(days=rng.randrange(1500)))
+        for concept in [rng.choice([100, 101, 200, 300]) for _ in range(40)]
+    ]
+    tables = make_tables(
+        observation_period=[period(1)],
+        condition_occurrence=[condition(1, c, str(d)) for c, d in events],
+        drug_exposure=[exposure(1, "2012-01-01"), exposure(1, "2013-06-01"), exposure(1, "2015-12-31")],
+        death=[death(1, "2015-12-31")],
+    )
+    cohort = replace(PATCH_COHORT, rules=many_rules(200))
+    found = qualified_events(tables, codes(spark), (cohort, DISEASE_COHORT)).where(F.col("cohort_id") == PATCH)
+    words = ["rule_mask", *(f"rule_mask_{w}" for w in range(1, 4))]
+    codeset = {100: ILL, 101: ILL, 200: INDICATED, 300: CANCER}
+    for row in found.collect():
+        mask = sum(row[name] << 62 * w for w, name in enumerate(words))
+        assert mask == brute_masks(cohort, row.start_date, [(codeset[c], d) for c, d in events])
+        assert row.censor_date == day("2015-12-31") and row.n_events == 1
+
+    def windows(rules):
+        plan = plan_of(qualified_events(tables, codes(spark), (replace(PATCH_COHORT, rules=rules),)))
+        return plan.count("Window [")
+
+    assert windows(many_rules(200)) == windows(many_rules(2)) == 1
+
+
+def test_a_person_of_a_thousand_periods(spark, make_tables):
+    begin = dt.date(2000, 1, 1)
+    spans = [
+        period(1, str(begin + dt.timedelta(days=10 * i)), str(begin + dt.timedelta(days=10 * i + 400))) for i in range(1000)
+    ]
+    listed = [begin + dt.timedelta(days=d) for d in (5, 365, 5000, 9999, 20000)]
+    tables = make_tables(
+        observation_period=[*spans, spans[3], spans[3]],
+        condition_occurrence=[condition(1, 100, str(d)) for d in listed],
+    )
+    found = qualified_events(tables, codes(spark), (DISEASE_COHORT,))
+    want = sorted(
+        (d, s["observation_period_start_date"], 3 if s is spans[3] else 1)
+        for d in listed
+        for s in spans
+        if s["observation_period_start_date"] + dt.timedelta(days=365) <= d <= s["observation_period_end_date"]
+    )
+    assert rows(found, "start_date", "op_start_date", "n_events") == want
+    plan = plan_of(found)
+    # Days meet a person's periods as one row, and only periods that cover a day become rows.
+    join = next(line for line in plan.splitlines() if "Join [person_id" in line)
+    assert "start_date" not in join.split("Join", 1)[1].split("]", 3)[-1]
+    assert "periods" in plan and "Generate inline" in plan

@@ -205,6 +205,27 @@ def test_more_cohorts_than_bits_in_a_word(spark):
     assert rows(incident, "diseaseId", "drugId", "calDate") == [(c, 130, 2012) for c in (1, 62, 63, 64, 124, 125)]
 
 
+def test_plans_do_not_grow_with_the_number_of_cohorts(spark):
+    """Five hundred cohorts have a few words more than fifty, and no expression of their own."""
+    people = population(spark, span(1, "2010-01-01", "2015-01-01"))
+
+    def of(n):
+        days = [(c, 1, day("2012-02-02"), day("2012-02-02")) for c in (1, n - 1, n)]
+        prepared = pop.attach_demographics(local_frame(spark, days, COHORT), people)
+        profiles = rates.stratum_profiles(prepared, range(1, n + 1), rates.YEAR)
+        pairs = [(c, g) for c in range(1, n - 9) for g in range(n - 9, n + 1)]
+        found = rates.compute_rates(pop.population_by_year(people, 2012, 2012), profiles, pairs)
+        return found, len(found._jdf.queryExecution().optimizedPlan().toString())
+
+    few, size = of(50)
+    many, most = of(500)
+    assert most < 3 * size
+    assert "NestedLoopJoin" not in many._jdf.queryExecution().executedPlan().toString()
+    both = many.where("Counts > 0 and analysis = 'Prevalence of Drug in Disease Cohort'")
+    assert rows(both, "diseaseId", "drugId", "Counts", "totalPatients") == [(1, 499, 1, 1), (1, 500, 1, 1)]
+    assert many.where("analysis = 'Incidence of Disease'").count() == 490
+
+
 def test_first_entry_is_the_first_inside_the_window(spark):
     people = population(spark, span(1, "2010-01-01", "2015-01-01"))
     cohort = local_frame(
