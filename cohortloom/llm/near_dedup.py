@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.llm.common import normal_words, partitions, text_hash, written
 from cohortloom.llm.components import components
+from cohortloom.llm.membership import with_possible
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -187,7 +188,10 @@ def _multisets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = rows.join(nodes.select("id").distinct(), "id", "left_semi").mapInPandas(bags, "node long, bag binary")
+    ids = nodes.select("id").distinct()
+    # Most texts share no bucket; these aren't shuffled.
+    near = with_possible(rows, [F.col("id")], ids, "near").where("near").drop("near")
+    found = near.join(ids, "id", "left_semi").mapInPandas(bags, "node long, bag binary")
     # Rows given twice, and other texts of the same id.
     return found.join(nodes.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
 
