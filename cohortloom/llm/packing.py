@@ -98,8 +98,8 @@ def token_pieces(
         end, seen = np.array([end_id], "<u4"), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []
-            for i, text in zip(batch["id"].astype("Int64"), batch["text"]):
-                ids = np.concatenate([encode.ids(text).astype("<u4"), end])
+            for i, own in zip(batch["id"].astype("Int64"), encode.each(batch["text"])):
+                ids = np.concatenate([own.astype("<u4"), end])
                 for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                     rows.append((i, piece, start, length, zlib.crc32(ids[start : start + length]), part, seen[length]))
                     seen[length] += 1

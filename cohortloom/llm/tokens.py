@@ -1,97 +1,123 @@
-"""Token ids of whole texts, as the tokenizers library gives them, at the speed that Latin text allows."""
+"""Token ids of whole texts by the tokenizers library, which encodes each different word of a worker's texts once."""
 
 from __future__ import annotations
 
-import json
 import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-# How byte-level pair encoding cuts a text before merging, and how the encoding with
-# word ends does.
-BYTE_PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-#: Anything but plain spaces, printable ASCII and the letters of Latin-1 and Latin Extended-A (without
-#: the dotted capital I, whose small form is two characters). Within these, libraries agree on what is a
-#: letter, a digit and a small letter, and texts are in composed form.
-OTHER = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ſ]")
-#: Of these texts, pieces are what stands between spaces once stops and commas are set apart.
-NOT_PLAIN = re.compile("[^A-Za-zÀ-ÖØ-öø-įı-ſ \n.,]|[.,]{2}")
-END = "\x00"  # stands for a word's end; texts that hold it are among OTHER
-
-
-def _byte_letters() -> dict[str, int]:
-    """The letters that byte-level vocabularies write bytes as."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
-def merge_ranks(spec: dict) -> dict[bytes, int] | None:
-    """Bytes of each token of a byte-level vocabulary to its id, if ids follow the order of merges.
-
-    A word end is written as ``END``. Vocabularies of other kinds give None.
-    """
-    model, letters = spec["model"], _byte_letters()
-    vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
-    added = {t["content"] for t in spec["added_tokens"]}
-
-    def to_bytes(token: str) -> bytes | None:
-        ends = bool(suffix) and token.endswith(suffix)
-        body = token[: len(token) - len(suffix)] if ends else token
-        if not body or any(c not in letters for c in body):
-            return None
-        return bytes(letters[c] for c in body) + END.encode() * ends
-
-    base = 512 if suffix else 256
-    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-    if [vocab.get(token) for token in merged] != list(range(base, base + len(merged))):
-        return None
-    ranks = {to_bytes(token): i for token, i in vocab.items() if token not in added}
-    return None if None in ranks or len(ranks) != base + len(merged) else ranks
+#: Where a text can be cut and encoded in parts: before white space that follows something else. No pre-tokenizer of
+#: the supported kinds makes a piece that goes on over such a place, and normalizers don't look past it.
+CUT = re.compile(r"(?<=\S)(?=[ \t-\r])")
+#: Pre-tokenizers and normalizers for which that holds.
+SPLITTERS = {"ByteLevel", "Split", "Sequence", "Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace", "Sequence"}
+#: What holds within the fixed patterns of splitting and replacing: white space never stands in a piece but at its start.
+PATTERNS = {
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    r"\s+",
+}
+HELD = 400_000  # parts that a worker holds, about 90 MB; when they are as many they are forgotten
+LONGEST = 40  # characters of a part that is held
+CHARACTERS = 1 << 20  # of texts that are in parts at once, or one text
+AT_ONCE = 4096  # parts that the library is given at once
+
+
+def _kinds(part: dict | None) -> Iterable[dict]:
+    """A pre-tokenizer or normalizer and what it is made of."""
+    if part:
+        yield part
+        for inner in (*part.get("pretokenizers", ()), *part.get("normalizers", ())):
+            yield from _kinds(inner)
+
+
+def can_be_cut(spec: dict) -> bool:
+    """Whether texts may be encoded in parts: the file has none but known ways to normalize and split."""
+    for part in _kinds(spec.get("pre_tokenizer")):
+        pattern = part.get("pattern", {}).get("Regex")
+        if part["type"] not in SPLITTERS or (part["type"] == "Split" and pattern not in PATTERNS):
+            return False
+        if part["type"] == "ByteLevel" and part.get("add_prefix_space"):
+            return False
+    for part in _kinds(spec.get("normalizer")):
+        pattern = part.get("pattern", {}).get("Regex")
+        if part["type"] not in NORMALIZERS or (part["type"] == "Replace" and pattern not in PATTERNS):
+            return False
+    return bool(spec.get("pre_tokenizer")) and not any(t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
 
 
 class Encoder:
-    """Ids of one tokenizer file without special tokens added.
+    """Ids of one tokenizer file without special tokens added, all of them made by the tokenizers library.
 
-    The tokenizers library defines them. Where the file is a byte-level vocabulary whose ids are merge
-    ranks, texts of Latin letters are merged by tiktoken from those same ranks, which gives the same
-    ids several times as fast; texts with anything else, or with the start of a special token's name, are
-    encoded by the library itself.
+    Texts are cut before white space. The library is given each part that the worker hasn't met, many at
+    a time, and a text's ids are those of its parts. Where a file's ways to split aren't known to
+    allow that, texts are encoded whole.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import tiktoken
+        import json
+
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        ranks = merge_ranks(spec)
-        self.ends_words = bool(spec["model"].get("end_of_word_suffix"))
-        self.special = "<|"
-        known = all(t["content"].startswith(self.special) for t in spec["added_tokens"])
-        self.ranked = None
-        if ranks and known:
-            pieces = f"[^{END}]+{END}" if self.ends_words else BYTE_PIECES
-            self.ranked = tiktoken.Encoding("ranks", pat_str=pieces, mergeable_ranks=ranks, special_tokens={})
+            self.cut = can_be_cut(json.load(file))
+        self.held: dict[str, bytes] = {}
+
+    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts, as bytes. A list is encoded as words cut beforehand, and each id tells its word."""
+        out = {}
+        for at in range(0, len(parts), AT_ONCE):
+            some = parts[at : at + AT_ONCE]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            data = np.array(found.ids, self.dtype).tobytes()
+            width = np.dtype(self.dtype).itemsize
+            ends = width * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some)), side="right")
+            start = 0
+            for part, end in zip(some, ends.tolist()):
+                out[part] = data[start:end]
+                start = end
+        return out
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def ids_of(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        """Ids of each text; null is empty."""
+        texts = [t or "" for t in texts]
+        if not self.cut:
+            return [self._whole(t) if t else np.zeros(0, self.dtype) for t in texts]
+        parts = [CUT.split(t) if t else [] for t in texts]
+        held = self.held
+        new = {p for own in parts for p in own if p not in held}
+        more = self._encoded(list(new)) if new else {}
+        long = {p: ids for p, ids in more.items() if len(p) > LONGEST}
+        if len(held) + len(more) > HELD:
+            held = {p: held[p] for own in parts for p in own if p in held}
+        held.update(more)
+        out = [np.frombuffer(b"".join(map(held.__getitem__, own)), self.dtype) for own in parts]
+        for p in long:
+            del held[p]
+        self.held = held if len(held) <= HELD else {}
+        return out
 
     def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, self.dtype)
-        if self.ranked is None or self.special in text or OTHER.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
-        if self.ends_words:
-            lower = text.lower()
-            if NOT_PLAIN.search(text):
-                pieces = WORD_PIECES.findall(lower)
-            else:
-                pieces = lower.replace(".", " . ").replace(",", " , ").split()
-            text = END.join([*pieces, ""])
-        return self.ranked.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)
+        return self.ids_of([text])[0]
+
+    def each(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text in turn; about ``CHARACTERS`` of texts are in parts at a time."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text or "")
+            if size >= CHARACTERS:
+                yield from self.ids_of(some)
+                some, size = [], 0
+        yield from self.ids_of(some)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -201,8 +201,7 @@ def write_shards(
             return row
 
         for batch in batches:
-            for i, known, text in zip(batch["id"], batch["valid"], batch["text"]):
-                own = encode.ids(text)
+            for i, known, own in zip(batch["id"], batch["valid"], encode.each(batch["text"])):
                 ids.append(i)
                 valid.append(known)
                 lengths.append(len(own) + 1)

@@ -1,12 +1,13 @@
 """Wavelet matrix files: round trips, and rank and select against lists."""
 
+import random
 import zlib
 
 import numpy as np
 import pytest
 from cohortloom.llm import wavelet
 from cohortloom.llm.queries import QUERIES
-from cohortloom.llm.tokens import Encoder, tokenizer_path
+from cohortloom.llm.tokens import Encoder, can_be_cut, tokenizer_path
 
 TEXTS = [
     "", " ", "  two  spaces ", "a\n\nb", "line.\nNext line, of it's 12 words", "tab\tand\rreturn", "été   x",
@@ -16,13 +17,39 @@ TEXTS = [
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_ranked_ids_are_those_of_the_library(documents, name):
+def test_ids_are_those_of_the_library(documents, name, monkeypatch):
     from tokenizers import Tokenizer
 
+    from cohortloom.llm import tokens
+
     encode, plain = Encoder(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
-    assert encode.ranked is not None
-    for text in [*TEXTS, *(r.text for r in documents.collect())]:
-        assert encode.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text[:80]
+    assert encode.cut
+    rng = random.Random(3)
+    odd = " \t\n\r\x0b\x0c\x1c\x1f\x85\u00a0\u2003\u2028\u3000\u200b.,'!sSΣσé\u0301\u0308İ1²a中\U0001f600<|>_-"
+    random_texts = ["".join(rng.choices(odd, k=rng.randint(1, 30))) for _ in range(3000)]
+    words = ["".join(rng.choices("abc'dé ", k=60)) for _ in range(50)]
+    texts = [*TEXTS, *(r.text for r in documents.collect()), *random_texts, *words, "x" * 50_000, "a b " * 20_000]
+    # Forgets what it holds now and then.
+    monkeypatch.setattr(tokens, "HELD", 700)
+    monkeypatch.setattr(tokens, "AT_ONCE", 50)
+    monkeypatch.setattr(tokens, "CHARACTERS", 5000)
+    for text, ids in zip(texts, encode.each(texts), strict=True):
+        assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids, text[:80]
+    assert len(encode.held) <= 700
+
+
+def test_files_of_unknown_kinds_are_encoded_whole():
+    known = {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False}, "normalizer": None, "added_tokens": []}
+    assert can_be_cut(known)
+    for change in (
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}},
+        {"pre_tokenizer": {"type": "Metaspace"}},
+        {"pre_tokenizer": None},
+        {"pre_tokenizer": {"type": "Split", "pattern": {"Regex": "[a-z ]+"}}},
+        {"normalizer": {"type": "Strip"}},
+        {"added_tokens": [{"content": "<x>", "lstrip": True, "rstrip": False}]},
+    ):
+        assert not can_be_cut({**known, **change})
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 512, 513, 5000])
