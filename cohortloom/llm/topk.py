@@ -14,14 +14,17 @@ SCALE = 1024
 SLICES = 2  # lists that a whole score is the sum of
 ROW_BLOCK = 4096
 QUERY_BLOCK = 512
-EXACT = float(1 << 53)
+EXACT = 1 << 53  # integers up to here are exact as float64
+LIMB = 20  # bits of the parts that larger components are multiplied in
 LARGEST = (1 << 63) - 1
+NO_CUTOFF = -LARGEST - 1
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """Each distinct vector, as integers floor(1024 x), once: vector, size.
+    """Ids with their vectors as integers floor(1024 x).
 
-    Rows whose vector is null, or holds null or a component that isn't finite, take no part.
+    Rows whose vector is null, or holds null or a component that isn't finite, take no part, nor do rows of null id. Integers
+    beyond 64 bits are the largest or smallest long.
     """
     whole = F.transform(F.col(vector_col).cast("array<double>"), lambda x: F.floor(x * SCALE))
     finite = F.forall(
@@ -34,18 +37,26 @@ def integer_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def vector_classes(vectors: DataFrame, k: int) -> DataFrame:
-    """Distinct vectors with their k + 1 smallest ids, which are all that a top-k can need.
+    """Distinct vectors with their k + 1 smallest ids, which are all that a top-k can need: vector, ids, class.
 
-    However many rows share a vector, each task sends k + 1 of them at most.
+    However many rows share a vector, each task sends k + 1 of them at most. Classes are numbered in order of their
+    smallest id, and those that share it, by rows of one id and several vectors, in order of the vector.
     """
     smallest = Window.partitionBy("vector").orderBy("id")
-    return (
+    found = (
         vectors.distinct()
         .withColumn("nth", F.row_number().over(smallest))
         .where(F.col("nth") <= k + 1)
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("id")).alias("ids"))
-        .withColumn("class", F.col("ids")[0])
+    )
+    # Written first, as the ranges are found from a sample.
+    order = [F.col("ids")[0], F.col("vector")]
+    return (
+        written(found)
+        .repartitionByRange(partitions(vectors.sparkSession), *order)
+        .sortWithinPartitions(*order)
+        .withColumn("class", F.monotonically_increasing_id())
     )
 
 
@@ -67,7 +78,7 @@ def _packed_blocks(classes: DataFrame, size: int, extra: list[str]) -> DataFrame
                 "matrix": np.array([r[1] for r in rows], "<i8").reshape(len(rows), dim).tobytes(),
             }
             for i, x in enumerate(extra):
-                out[x] = np.array([r[2 + i] for r in rows], "<f8").tobytes()
+                out[x] = np.array([r[2 + i] for r in rows], "<i8").tobytes()
             return pd.DataFrame([out])
 
         for batch in batches:
@@ -84,27 +95,62 @@ def _packed_blocks(classes: DataFrame, size: int, extra: list[str]) -> DataFrame
     return classes.mapInPandas(pack, schema)
 
 
-def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact products of integer rows: by float64 where no sum can pass 2**53, else as Python integers."""
-    most = float(np.abs(a.astype(float)).max(initial=0)) * float(np.abs(b.astype(float)).max(initial=0)) * a.shape[1]
-    if most < EXACT:
-        return a.astype(np.float64) @ b.astype(np.float64).T
-    exact = [[sum(int(x) * int(y) for x, y in zip(p, q)) for q in b] for p in a]
-    return np.array(exact, object).reshape(len(a), len(b))
+def _most(a: np.ndarray) -> int:
+    return max(int(a.max(initial=0)), -int(a.min(initial=0)))
+
 
+def _limbs(a: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(k, part k) of integers, parts of ``LIMB`` bits but for a signed last one; parts of zeros are left out."""
+    parts = [a >> LIMB * k & (1 << LIMB) - 1 for k in range(3)] + [a >> 3 * LIMB]
+    return [(k, x.astype(np.float64)) for k, x in enumerate(parts) if x.any()]
+
+
+class Products:
+    """Exact inner products of integer queries and rows, slice by slice.
+
+    Where no whole product can pass 2 ** 53, sums of float64 are exact, and slices are integers of 64 bits.
+    Otherwise components are multiplied in parts of 20 bits, whose sums are exact, and put together
+    as Python's integers. Either way the slices of a pair add up without rounding.
+    """
 
-def _long(x) -> int:
-    return max(-LARGEST, min(LARGEST, int(x)))
+    def __init__(self, queries: np.ndarray, rows: np.ndarray):
+        self.queries, self.rows, dim = queries, rows, rows.shape[1]
+        self.small = _most(queries) * _most(rows) * max(dim, 1) < EXACT
+        edges = np.linspace(0, dim, min(SLICES, max(dim, 1)) + 1).astype(int)
+        self.slices = [slice(int(a), int(b)) for a, b in zip(edges, edges[1:])]
+
+    def part(self, s: slice, query=slice(None), row=slice(None)) -> np.ndarray:
+        a, b = self.queries[query, s], self.rows[row, s]
+        if self.small:
+            return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+        out = np.zeros((len(a), len(b)), object)
+        for i, x in _limbs(a):
+            for j, y in _limbs(b):
+                # A slice of 2 ** 13 components at a time keeps these sums below 2 ** 53.
+                for at in range(0, x.shape[1], 1 << 13):
+                    cut = slice(at, at + (1 << 13))
+                    found = (x[:, cut] @ y[:, cut].T).astype(np.int64).astype(object)
+                    out = out + found * (1 << LIMB * (i + j))
+        return out
+
+    def bounds(self, s: slice) -> tuple[np.ndarray, np.ndarray]:
+        """Norms of queries and rows in a slice, rounded up: their products are no less than any score."""
+        return tuple(
+            np.nextafter(np.linalg.norm(m[:, s].astype(np.float64), axis=1) * (1 + 1e-9) + 1e-9, np.inf)
+            for m in (self.queries, self.rows)
+        )
 
 
-def _slices(dim: int) -> list[slice]:
-    edges = np.linspace(0, dim, min(SLICES, max(dim, 1)) + 1).astype(int)
-    return [slice(int(a), int(b)) for a, b in zip(edges, edges[1:])]
+def _longs(scores: np.ndarray) -> np.ndarray:
+    """Scores as longs; those beyond 64 bits are the largest or smallest."""
+    if scores.dtype != object:
+        return scores
+    return np.array([max(-LARGEST, min(LARGEST, x)) for x in scores.ravel()], np.int64).reshape(scores.shape)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to smaller ids."""
-    if len(scores) > k:
+    if len(scores) > 4 * k:
         limit = np.partition(scores, len(scores) - k)[len(scores) - k]
         places = np.flatnonzero(scores >= limit)
     else:
@@ -115,20 +161,31 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 ENTRY = "query long, class long, score long"
 
 
-def _pairs_of_blocks(row_blocks: DataFrame, query_blocks: DataFrame, groups: int) -> DataFrame:
+def _grid(classes: DataFrame, asked: int, groups: int) -> tuple[int, int]:
+    """How often rows are dealt apart, and queries: ``groups`` tasks in all, with the least that is copied."""
+    share = asked / max(1, classes.count())
+    of_queries = min(groups, max(1, round((groups * share) ** 0.5)))
+    return max(1, groups // of_queries), of_queries
+
+
+def _pairs_of_blocks(row_blocks: DataFrame, query_blocks: DataFrame, grid: tuple[int, int]) -> DataFrame:
     """Each row block next to each query block of the same length of vectors.
 
-    Query blocks are sent to ``groups`` groups of row blocks, so tasks get even shares.
+    Blocks are dealt to a grid of tasks: a row block goes along its line, a query block along its column.
     """
-    left = row_blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    right = query_blocks.select(
-        F.col("dim"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group"),
+
+    def dealt(blocks: DataFrame, own: str, number: int, other: str, others: int) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))
+        return blocks.withColumn(own, F.pmod(F.xxhash64("block"), F.lit(number))).withColumn(other, every)
+
+    left = dealt(row_blocks, "line", grid[0], "column", grid[1])
+    right = dealt(query_blocks, "column", grid[1], "line", grid[0]).select(
+        "dim", "line", "column",
         F.col("classes").alias("q_classes"),
         F.col("matrix").alias("q_matrix"),
         *[F.col(c) for c in query_blocks.columns if c == "cutoff"],
     )
-    return left.join(right, ["dim", "group"])
+    return left.join(right, ["dim", "line", "column"])
 
 
 def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -138,48 +195,67 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _local_lists(k: int):
-    """Phase one: of each slice's list, a block's k highest entries, with whole scores."""
+    """Phase one: of each slice's list, a block's k entries of the highest bounds, with whole scores.
+
+    A slice's list is in order of the rows' norms in it, so nothing but its first k entries is scored.
+    """
 
     def lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 ids, rows, q_ids, queries = _unpack(row)
-                parts = [_scores(queries[:, s], rows[:, s]) for s in _slices(row.dim)]
-                total = sum(parts)
-                out = [
-                    (q_ids[i], ids[j], _long(total[i][j]))
-                    for i in range(len(q_ids))
-                    for j in sorted({j for part in parts for j in _best(part[i], ids, k).tolist()})
-                ]
-                yield pd.DataFrame(out, columns=["query", "class", "score"]).astype("int64")
+                products = Products(queries, rows)
+                first = [np.argsort(-products.bounds(s)[1], kind="stable")[:k] for s in products.slices]
+                places = np.unique(np.concatenate(first))
+                total = _longs(sum(products.part(s, row=places) for s in products.slices))
+                yield pd.DataFrame(
+                    {
+                        "query": np.repeat(q_ids, len(places)),
+                        "class": np.tile(ids[places], len(q_ids)),
+                        "score": total.ravel(),
+                    }
+                )
 
     return lists
 
 
 def _sufficient(k: int):
-    """Phases two and three: entries that pass the cutoff in some slice, then their whole scores.
+    """Phases two and three: entries that can reach the cutoff, then their whole scores.
 
-    Whoever's score is the cutoff t at least has a slice with t / slices at least. Only entries with
-    such a slice are resolved; of those that reach t, a block's k best can matter.
+    Whoever's score is the cutoff t at least has a slice with t / slices at least. So the first slice
+    is scored for all rows of a block; an entry goes on if it, or the bound of another slice, reaches that even
+    share and all together can reach t. Only the scores of these are resolved; of those that reach t, a block's k
+    best can matter.
     """
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 ids, rows, q_ids, queries = _unpack(row)
-                cutoffs = np.frombuffer(row.cutoff, "<f8")
-                slices = _slices(row.dim)
-                parts = [_scores(queries[:, s], rows[:, s]) for s in slices]
+                products = Products(queries, rows)
+                first, others = products.slices[0], products.slices[1:]
+                scored = products.part(first)
+                norms = [products.bounds(s) for s in others]
                 out = []
-                for i, t in enumerate(cutoffs):
-                    able = np.zeros(len(ids), bool)
-                    for part in parts:
-                        able |= (part[i] >= t / len(slices)).astype(bool)
-                    places = np.flatnonzero(able)
-                    whole = sum(part[i][places] for part in parts)
-                    reach = whole >= t
-                    places, whole = places[reach.astype(bool)], whole[reach.astype(bool)]
-                    out += [(q_ids[i], ids[places[j]], _long(whole[j])) for j in _best(whole, ids[places], k).tolist()]
+                for i, t in enumerate(np.frombuffer(row.cutoff, "<i8").tolist()):
+                    places = np.arange(len(ids))
+                    if t > -LARGEST:  # else every score reaches it
+                        most = [q[i] * r for q, r in norms]
+                        seen = scored[i].astype(np.float64)
+                        # Bounds are rounded up, the cutoff down: no entry that reaches it is left out.
+                        low = t - 1 - abs(t) * 1e-12
+                        share = low / len(products.slices)
+                        able = seen >= share
+                        for m in most:
+                            able |= m >= share
+                        able &= seen + np.abs(seen) * 1e-12 + sum(most, np.zeros(len(ids))) >= low
+                        places = np.flatnonzero(able)
+                    whole = scored[i][places]
+                    for s in others:
+                        whole = whole + products.part(s, slice(i, i + 1), places)[0]
+                    whole = _longs(whole)
+                    places, whole = places[whole >= t], whole[whole >= t]
+                    out += [(q_ids[i], ids[places[j]], whole[j]) for j in _best(whole, ids[places], k).tolist()]
                 yield pd.DataFrame(out, columns=["query", "class", "score"]).astype("int64")
 
     return entries
@@ -193,12 +269,13 @@ def top_k(
     Ties go to the smaller id; a query with fewer candidates gets all. Candidates are rows with a
     vector of the same length and another id. Equal rows count once, and of rows that share an id each
     different vector is a candidate; a query id with several vectors asks with the smallest. Scores are
-    exact; beyond 64 bits they are the largest or smallest long.
+    exact; those beyond 64 bits count as the largest or smallest long, for ranks too.
 
     The lists of TPUT are the scores of slices of the vectors, over distinct vectors: (1) each block of
-    rows sends its k + 1 highest entries of each list, which together give each query a safe cutoff, its
+    rows sends the first k + 1 entries of each list, which together give each query a safe cutoff, its
     k-th highest whole score so far; (2) cutoffs go out with the queries, and entries are collected
-    that pass an even share of it in some slice; (3) their other slices resolve the scores exactly.
+    that can pass an even share of it in some slice and all of it together; (3) their other slices resolve the
+    scores exactly.
     """
     spark = rows.sparkSession
     take = k + 1  # a query's own vector may be among them
@@ -214,6 +291,7 @@ def top_k(
     asked = written(asked)
     query_classes = classes.join(asked.select("query").distinct(), F.col("class") == F.col("query"), "left_semi")
     groups = partitions(spark)
+    grid = _grid(classes, query_classes.count(), groups)
     row_blocks = written(_packed_blocks(classes.select("class", "vector"), ROW_BLOCK, []))
 
     def blocks_of(queries: DataFrame, *extra: str) -> DataFrame:
@@ -221,7 +299,7 @@ def top_k(
 
     # A vector that k + 1 rows share fills a list by itself, hence the count of its ids.
     counts = classes.select("class", F.size("ids").alias("n"))
-    first = _pairs_of_blocks(row_blocks, blocks_of(query_classes), groups).mapInPandas(_local_lists(take), ENTRY)
+    first = _pairs_of_blocks(row_blocks, blocks_of(query_classes), grid).mapInPandas(_local_lists(take), ENTRY)
     falling = Window.partitionBy("query").orderBy(F.desc("score"), "class")
     listed = (
         first.withColumn("nth", F.row_number().over(falling))
@@ -230,10 +308,10 @@ def top_k(
         .withColumn("so_far", F.sum("n").over(falling.rowsBetween(Window.unboundedPreceding, 0)))
     )
     cutoffs = listed.groupBy("query").agg(
-        F.coalesce(F.max(F.when(F.col("so_far") >= take, F.col("score"))).cast("double"), F.lit(float("-inf"))).alias("cutoff")
+        F.coalesce(F.max(F.when(F.col("so_far") >= take, F.col("score"))), F.lit(NO_CUTOFF)).alias("cutoff")
     )
     with_cutoffs = query_classes.join(cutoffs, F.col("class") == F.col("query"))
-    second = _pairs_of_blocks(row_blocks, blocks_of(with_cutoffs, "cutoff"), groups).mapInPandas(
+    second = _pairs_of_blocks(row_blocks, blocks_of(with_cutoffs, "cutoff"), grid).mapInPandas(
         _sufficient(take), ENTRY
     )
     # Per query vector its k + 1 best (score, id), and from these each query's own k.
