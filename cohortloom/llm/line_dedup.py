@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortloom.llm.common import whole_text, written
+from cohortloom.llm.common import fresh, whole_text, written
 
 MIN_SITES = 10
 LG_K = 10
@@ -89,11 +89,12 @@ def remove_boilerplate(
 
     The document of smallest id keeps the line, so text that stands on many sites isn't lost, and of a
     document copied to many sites one copy stays whole. All other columns are returned unchanged, next
-    to ``text_col`` as it is after removal and a new last column ``count_col``. Every row stays: a text
+    to ``text_col`` as it is after removal and a new last column ``count_col``, with underscores after its name
+    where ``docs`` has a column of that name. Every row stays: a text
     can become empty, null stays null, blank lines stay. Rows given twice are treated alike. A null site
     counts as one site; rows of null id are never the first.
     """
-    text = whole_text(text_col)
+    text, count_col = whole_text(text_col), fresh(docs, count_col)
     # Written, so that the join starts from files: a common line's partition can be split.
     flagged = written(boilerplate_lines(docs, min_sites, lg_k, id_col, text_col, site_col))
     removed = (

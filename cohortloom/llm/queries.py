@@ -26,10 +26,10 @@ from cohortloom.llm.tokens import tokenizer_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return line_dedup.remove_boilerplate(docs).select(
+    left = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return left.select(
         "doc_id",
-        F.col("n_removed_lines").alias("n_removed"),
+        F.col(left.columns[-1]).alias("n_removed"),
         F.length("text").cast("long").alias("n_chars_left"),
         F.md5("text").alias("left_md5"),
     )

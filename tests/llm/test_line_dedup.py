@@ -41,6 +41,16 @@ def test_odd_rows_and_other_columns(odd):
     assert {(r.score, r.id_, r.row_, r.text_) for r in got.collect()} == {("s", "i", "r", "t")}
 
 
+def test_a_column_of_the_name_of_the_count(spark, odd, tmp_path):
+    clashing = odd.withColumnsRenamed({"words": "n_removed_lines", "node": "n_removed_lines_"})
+    got = remove_boilerplate(clashing, min_sites=2)
+    assert got.columns == [*clashing.columns, "n_removed_lines__"]
+    assert {(r.n_removed_lines, r.n_removed_lines_) for r in got.collect()} == {("w", "o")}
+    clashing.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = entry.queries()["op1_line_dedup"](spark, str(tmp_path)).collect()
+    assert len(rows) == clashing.count() and all(isinstance(r.n_removed, int) for r in rows)
+
+
 def test_many_sites_pass_by_their_sketch(spark):
     rows = [(i, f"common\nown {i}", f"site{i}") for i in range(300)] + [(1000, "common\nrare", "site0")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
