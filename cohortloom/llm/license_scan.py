@@ -31,6 +31,10 @@ def _gram(words: Column, i: Column) -> Column:
     return F.xxhash64(*[F.get(words, i + j) for j in range(GRAM)])
 
 
+def _place(pos: Column, gram: Column, words: Column) -> Column:
+    return F.struct(pos.alias("pos"), gram.alias("gram"), words.alias("gram_words"))
+
+
 def template_grams(spark: SparkSession) -> DataFrame:
     """Every k-gram of every template with its place, and the mark that ends a document.
 
@@ -74,16 +78,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.xxhash64(whole_text(text_col)).alias("text_hash"),
         F.filter(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "").alias("words"),
     )
-    grams = F.transform("words", lambda w, i: _gram(F.col("words"), i))
+    # A gram's row has its own words alone; with a text's words in every row the work would grow with their square.
+    grams = F.transform("words", lambda w, i: _place(i, _gram(F.col("words"), i), F.slice("words", i + 1, GRAM)))
+    end = _place(F.size("words"), F.xxhash64(F.lit(END)), F.array().cast("array<string>"))
+    own = F.slice("template_words", F.col("at") + 1, GRAM)
     matches = (
-        read.select("doc_id", "text_hash", "words", F.posexplode(F.concat(grams, F.array(F.xxhash64(F.lit(END))))))
-        .withColumnRenamed("col", "gram")
+        read.select("doc_id", "text_hash", F.inline(F.concat(grams, F.array(end))))
         .join(F.broadcast(template_grams(docs.sparkSession)), "gram")
-        .where(
-            F.when(F.col("template") < 0, F.col("pos") == F.size("words")).otherwise(
-                F.slice("words", F.col("pos") + 1, GRAM) == F.slice("template_words", F.col("at") + 1, GRAM)
-            )
-        )
+        .where(F.when(F.col("template") < 0, F.size("gram_words") == 0).otherwise(F.col("gram_words") == own))
     )
     keys = ["doc_id", "text_hash"]
     diagonals = matches.groupBy(*keys, "template", (F.col("pos") - F.col("at")).alias("diagonal")).agg(

@@ -1,6 +1,7 @@
 """License scan against brute force."""
 
 import re
+import time
 
 from cohortloom.llm.license_scan import BASE, scan_licenses
 from cohortloom.llm.queries import QUERIES
@@ -53,6 +54,16 @@ def test_labels_of_changed_templates(spark):
     assert rows[3].first_word == 0 and rows[3].last_word == 10 and rows[3].score == 1.0
 
 
+def test_work_grows_with_the_length_of_a_text(spark):
+    words = [f"w{i % 1000}" for i in range(320_000)]
+    words[7:11], words[-4:] = "under the mit license".split(), "apache license version 2".split()
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    began = time.monotonic()
+    (row,) = scan_licenses(docs).collect()
+    assert time.monotonic() - began < 60
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (320_000, 2, 7, 320_000 - 4)
+
+
 def test_only_builtin_functions(spark, root):
     plan = QUERIES["op5_license_scan"](spark, root)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
