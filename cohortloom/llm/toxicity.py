@@ -16,6 +16,8 @@ FACTORS = 8
 SAMPLE_ROWS = 16_000  # labelled documents that the model is fitted on, about; the rest of the labels isn't needed
 MIN_ROWS = 3  # a term takes part if it is in at least so many documents of the sample
 MIN_Z = 3.0  # and its share among toxic documents differs by so many standard errors
+PAIR_TERMS = 512  # so many of the most telling, and of the most frequent terms, are looked at in pairs
+PAIR_Z = 6.0  # standard errors by which a term's share must differ among documents that hold another one
 EPOCHS = 30
 RATE, DECAY, SEED = 0.2, 1e-4, 11
 HELD_OUT_OF = 5
@@ -75,14 +77,52 @@ class FactorizationMachine:
         )
 
 
+def _two_shares(a: np.ndarray, n_a, b: np.ndarray, n_b) -> np.ndarray:
+    """Standard errors by which a of n_a is a larger share than b of n_b, half a document added on each side."""
+    p, q = (a + 0.5) / (n_a + 1), (b + 0.5) / (n_b + 1)
+    pooled = (a + b + 1.0) / (n_a + n_b + 2.0)
+    return (p - q) / np.sqrt(pooled * (1 - pooled) * (1 / (n_a + 1) + 1 / (n_b + 1)) + 1e-12)
+
+
+def _in_pairs(docs: list[np.ndarray], y: np.ndarray, terms: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Which of some terms tell toxic documents apart only among documents that hold another, or are that other one."""
+    held = np.zeros((len(docs), len(terms)), np.float32)
+    for row, ids in enumerate(docs):
+        held[row, np.flatnonzero(np.isin(terms, ids, assume_unique=True))] = 1
+    both_toxic, both_rest = held[y == 1].T @ held[y == 1], held[y == 0].T @ held[y == 0]
+    z = _two_shares(
+        both_toxic, np.diag(both_toxic)[:, None], both_rest, np.diag(both_rest)[:, None]
+    )  # by row: among documents that hold that row's term
+    np.fill_diagonal(z, 0)
+    found = (np.abs(z) >= PAIR_Z) & ~alone[None, :] & (both_toxic + both_rest >= MIN_ROWS)
+    return found.any(axis=0) | found.any(axis=1)
+
+
+def gradient(
+    model: FactorizationMachine, rows: np.ndarray, slots: np.ndarray, y: np.ndarray
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Of the mean log loss and ``DECAY``: by bias, weights and factors. Documents are given by their known terms."""
+    n, terms = len(y), len(model.terms)
+    z, sums = model.logits(rows, slots, n)
+    err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
+    each = err[rows]
+    pull = each[:, None] * (sums[rows] - model.factors[slots])
+    d_v = np.stack([np.bincount(slots, pull[:, k], terms) for k in range(FACTORS)], 1) / n
+    return (
+        err.mean(),
+        np.bincount(slots, each, terms) / n + DECAY * model.weights,
+        d_v + DECAY * model.factors,
+    )
+
+
 def fit(docs: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
     """Fit on documents' term ids by full-batch Adagrad.
 
     Without both labels, or where no term stands out, the model has no terms and nothing to tell documents
     apart by. Its constant score is the share of toxic documents but at most ``NO_TERMS``, so it finds none toxic.
-    Terms are those whose share among toxic documents stands out either way; group mentions that
-    turn a sentence toxic together with an insult do so as well, and their pairs get their own weight
-    through the factors.
+    Terms are those whose share among toxic documents stands out either way, by itself or among documents that
+    hold some other term; that one is then a term too. So a mention that turns a sentence toxic only
+    together with an insult gets factors, and so do two terms neither of which tells anything alone.
     """
     y = labels.astype(np.float64)
     n, toxic = len(y), labels.astype(np.float64).sum()
@@ -96,11 +136,13 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
     found, where, seen = np.unique(flat, return_inverse=True, return_counts=True)
     of_toxic = np.bincount(where, owner, len(found))
     rest = seen - of_toxic
-    # Two-proportion z with half a document added on each side.
-    p, q = (of_toxic + 0.5) / (toxic + 1), (rest + 0.5) / (n - toxic + 1)
-    pooled = (seen + 1.0) / (n + 2.0)
-    z = (p - q) / np.sqrt(pooled * (1 - pooled) * (1 / (toxic + 1) + 1 / (n - toxic + 1)) + 1e-12)
-    terms = found[(seen >= MIN_ROWS) & (np.abs(z) >= MIN_Z)].astype(np.uint32)
+    z = _two_shares(of_toxic, toxic, rest, n - toxic)
+    alone = (seen >= MIN_ROWS) & (np.abs(z) >= MIN_Z)
+    looked_at = np.union1d(
+        np.argsort(-np.abs(z) * (seen >= MIN_ROWS), kind="stable")[:PAIR_TERMS],
+        np.argsort(-seen, kind="stable")[:PAIR_TERMS],
+    )
+    terms = np.union1d(found[alone], found[looked_at[_in_pairs(docs, y, found[looked_at], alone[looked_at])]]).astype(np.uint32)
     if not len(terms):
         return empty
     rng = np.random.default_rng(SEED)
@@ -108,14 +150,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
     rows, slots = model.rows(docs)
     g_w, g_v, g_b = np.full(len(terms), 1e-8), np.full((len(terms), FACTORS), 1e-8), 1e-8
     for _ in range(EPOCHS):
-        z, sums = model.logits(rows, slots, n)
-        err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        each = err[rows]
-        d_b = err.mean()
-        d_w = np.bincount(slots, each, len(terms)) / n + DECAY * model.weights
-        pull = each[:, None] * (sums[rows] - model.factors[slots])
-        d_v = np.stack([np.bincount(slots, pull[:, k], len(terms)) for k in range(FACTORS)], 1) / n
-        d_v += DECAY * model.factors
+        d_b, d_w, d_v = gradient(model, rows, slots, y)
         g_b, g_w, g_v = g_b + d_b * d_b, g_w + d_w * d_w, g_v + d_v * d_v
         model.bias -= RATE * d_b / np.sqrt(g_b)
         model.weights = model.weights - RATE * d_w / np.sqrt(g_w)
@@ -127,21 +162,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     """About ``sample_rows`` labelled documents that aren't held out, as term ids and label.
 
     Which rows are taken depends on a hash of their ids alone. The sampled labels are bounded by
-    ``sample_rows`` and so are broadcast; texts aren't shuffled.
+    ``sample_rows`` and so are broadcast; texts aren't shuffled. Of several labels of an id the higher counts, of
+    several documents of an id the one whose terms come first, so that no id adds more than a row.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).where(
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT_OF != 0
     )
     share = min(1.0, sample_rows / max(1, usable.count()))
-    picked = usable.where(
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000)
-    )
+    chance = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(SEED)), 11) * 2.0**-53
+    picked = usable.where(chance < share)
     picked = picked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame(
                 {
+                    "doc_id": batch["doc_id"],
                     "toxic": batch["toxic"].astype("int32"),
                     "terms": [term_ids(t).astype("<u4").tobytes() for t in batch["text"]],
                 }
@@ -150,8 +186,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     return (
         docs.select("doc_id", "text")
         .join(F.broadcast(picked), "doc_id")
-        .select("text", "toxic")
-        .mapInPandas(terms, "toxic int, terms binary")
+        .select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic")
+        .mapInPandas(terms, "doc_id long, toxic int, terms binary")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("terms").alias("terms"))
+        .drop("doc_id")
     )
 
 
@@ -198,7 +237,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     """Per document: doc_id, held_out, score and predicted (1 from a score of 0.5).
 
     The model is fitted on labels of documents that aren't held out (crc32 of the id mod 5 is not 0);
-    null ids count as held out. Where the usable labels don't hold both kinds (none at all, all null or held
+    null ids count as held out. An id that stands on several documents adds one row to the sample. Where the usable labels don't hold both kinds (none at all, all null or held
     out, only toxic ones), every document gets one score of ``NO_TERMS`` at most and is predicted 0.
     """
     model = train(docs, labels, sample_rows)

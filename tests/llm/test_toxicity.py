@@ -45,6 +45,82 @@ def test_pairs_of_terms_are_learned():
     assert pair > 0
 
 
+@pytest.mark.parametrize("kind", ["both or neither", "insult with mention"])
+def test_terms_that_tell_nothing_alone(kind):
+    rng = np.random.default_rng(5)
+    docs, labels = [], []
+    for _ in range(4000):
+        a, b = rng.random(2) < 0.5
+        noise = rng.integers(100, 3000, 20)
+        docs.append(np.unique(np.concatenate([[1] * int(a), [2] * int(b), noise])).astype(np.uint32))
+        # Of the second kind, a mention tells something only beside the insult.
+        labels.append(int(a == b) if kind == "both or neither" else int(a and b or not a and rng.random() < 0.3))
+    model = toxicity.fit(docs, np.array(labels))
+    none, one, two, both = model.scores([np.array(x, np.uint32) for x in ([], [1], [2], [1, 2])])
+    assert {1, 2} <= set(model.terms.tolist())
+    assert both > 0.5 > one
+    if kind == "both or neither":
+        assert none > 0.5 > two
+    assert model.factors[model.slot[1]] @ model.factors[model.slot[2]] > 0
+
+
+def machine(rng, n=30):
+    terms = np.sort(rng.choice(1000, n, replace=False)).astype(np.uint32)
+    return toxicity.FactorizationMachine(terms, -0.3, rng.normal(size=n), rng.normal(size=(n, toxicity.FACTORS)))
+
+
+def test_scores_are_sums_over_pairs():
+    rng = np.random.default_rng(1)
+    model = machine(rng)
+    docs = [np.unique(rng.choice(1000, k)).astype(np.uint32) for k in (0, 1, 5, 200, 600)]
+    for doc, score in zip(docs, model.scores(docs)):
+        known = [i for i, t in enumerate(model.terms) if t in set(doc.tolist())]
+        z = model.bias + sum(model.weights[i] for i in known)
+        z += sum(model.factors[i] @ model.factors[j] for n, i in enumerate(known) for j in known[:n])
+        assert score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-9)
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(2)
+    model = machine(rng, 6)
+    docs = [np.unique(rng.choice(model.terms, 3)).astype(np.uint32) for _ in range(40)]
+    y = rng.integers(0, 2, 40).astype(float)
+    rows, slots = model.rows(docs)
+
+    def loss():
+        p = 1 / (1 + np.exp(-model.logits(rows, slots, 40)[0]))
+        penalty = toxicity.DECAY / 2 * ((model.weights**2).sum() + (model.factors**2).sum())
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean() + penalty
+
+    d_b, d_w, d_v = toxicity.gradient(model, rows, slots, y)
+    step = 1e-6
+    for values, found in ((model.weights, d_w), (model.factors, d_v)):
+        for at in np.ndindex(values.shape):
+            kept = values[at]
+            values[at] = kept + step
+            up = loss()
+            values[at] = kept - step
+            down = loss()
+            values[at] = kept
+            assert found[at] == pytest.approx((up - down) / (2 * step), abs=1e-6)
+    kept, model.bias = model.bias, model.bias + step
+    up, model.bias = loss(), kept - step
+    assert d_b == pytest.approx((up - loss()) / (2 * step), abs=1e-6)
+
+
+def test_an_id_of_many_documents_is_one_row(spark):
+    docs = spark.createDataFrame(
+        [(i, f"text {i}") for i in range(1, 40)] + [(3, f"many {i}") for i in range(3000)] + [(3, "many 5")] * 50,
+        "doc_id long, text string",
+    )
+    labels = spark.createDataFrame(
+        [(i, 1, i % 2) for i in range(1, 40)] + [(3, 0, 0), (3, 0, 1), (3, 0, 0)], "doc_id long, quality int, toxic int"
+    )
+    rows = toxicity.training_rows(docs, labels).collect()
+    assert len(rows) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1, 40))
+    assert toxicity.training_rows(docs, labels, sample_rows=10).count() <= 25
+
+
 @pytest.mark.parametrize("labels", [[], [(4, 1, 1)], [(4, None, 1), (None, 1, 1), (5, 0, 0), (5, 0, 1), (77, 1, 0)]])
 def test_odd_rows(spark, odd, nothing, labels):
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
