@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortloom.llm import decontamination, line_dedup, near_dedup, packing, toxicity
 from cohortloom.llm.common import fresh, table, text_hash, written
+from cohortloom.llm.membership import with_possible
 from cohortloom.llm.tokens import tokenizer_path
 
 TOXIC = 0.5
@@ -18,8 +19,17 @@ TOXIC = 0.5
 
 def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``docs`` but for the rows of these keys: doc_id and text_, the hash of the text."""
+    apart, near = _parted(docs, keys)
     own, of = _key_matches(docs, keys)
-    return docs.join(own, of, "left_anti")
+    return apart.unionByName(near.join(own, of, "left_anti"))
+
+
+def _parted(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two: rows that surely have none of the keys, whose texts needn't be shuffled, and the others."""
+    possible = fresh(docs, "possible")
+    key = [F.col("doc_id").cast("long"), text_hash("text")]
+    told = with_possible(docs, key, keys.select("doc_id", "text_"), possible)
+    return told.where(~F.col(possible)).drop(possible), told.where(possible).drop(possible)
 
 
 def _key_matches(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, Column]:
@@ -31,11 +41,12 @@ def _key_matches(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, Column]:
 
 def _one_of_each(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """One row for each of these keys, the first by its columns' JSON."""
+    _, near = _parted(docs, keys)
     own, of = _key_matches(docs, keys)
     row = F.struct(*[F.col(c) for c in docs.columns])
     # Put together on the map side first, so that a key of many rows is one row per task.
     return (
-        docs.join(own, of, "left_semi")
+        near.join(own, of, "left_semi")
         .select(F.col("doc_id").alias("key_id"), text_hash("text").alias("key_text"), row.alias("row"))
         .groupBy("key_id", "key_text")
         .agg(F.min_by("row", F.to_json("row")).alias("row"))
