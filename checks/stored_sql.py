@@ -93,6 +93,7 @@ SQL: dict[str, str] = {
                     WHERE x.cohort_id = a.cohort_id AND y.cohort_id = b.cohort_id) AS subjects
             FROM cohort_name a CROSS JOIN cohort_name b WHERE a.{_IS_DISEASE} AND NOT b.{_IS_DISEASE}""",
     ),
+    "stored_rates_view": RETAIL["rates_view_year"],
     "stored_cohort_counts": RETAIL["cohort_counts"],
     "stored_dataset_counts": RETAIL["dataset_counts"],
     "stored_dose_summary": RETAIL["dose_summary"],

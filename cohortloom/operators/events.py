@@ -49,6 +49,44 @@ DOMAINS: Mapping[str, Domain] = {
 }
 
 
+# As many codes are listed in a scan's filter; more are filtered by their range.
+LISTED_CODES = 1000
+
+
+@dataclass(frozen=True)
+class PushedCodes:
+    """What a study knows of its codesets' codes: all of them where they are few, else each set's least and greatest."""
+
+    values: Mapping[int, tuple] | None
+    ranges: Mapping[int, tuple]
+
+    def condition(self, code: Column, codesets: set[int]) -> Column:
+        """A filter that the source can apply; rows beyond the codesets may still meet it."""
+        known = [i for i in sorted(codesets) if i in self.ranges]
+        if not known:
+            return F.lit(False)
+        if self.values is not None:
+            return code.isin(sorted({v for i in known for v in self.values[i]}))
+        return code.between(min(self.ranges[i][0] for i in known), max(self.ranges[i][1] for i in known))
+
+
+def pushed_codes(codes: DataFrame, code: str, most: int = LISTED_CODES) -> PushedCodes:
+    """Reads from stored codes what scans may be limited to: at most ``most`` codes, and a range for each codeset."""
+    ranges = {
+        r["codeset_id"]: (r["low"], r["high"], r["n"])
+        for r in codes.where(F.col(code).isNotNull())
+        .groupBy("codeset_id")
+        .agg(F.min(code).alias("low"), F.max(code).alias("high"), F.count(F.lit(1)).alias("n"))
+        .collect()
+    }
+    values = None
+    if sum(n for _, _, n in ranges.values()) <= most:
+        values = {i: () for i in ranges}
+        for r in codes.where(F.col(code).isNotNull()).select("codeset_id", code).collect():
+            values[r["codeset_id"]] += (r[code],)
+    return PushedCodes(values, {i: (low, high) for i, (low, high, _) in ranges.items()})
+
+
 def _code_column(domain_name: str) -> str:
     return "source_code" if DOMAINS[domain_name].source_coded else "concept_id"
 
@@ -120,11 +158,13 @@ def tagged_event_days(
     concept_codes: DataFrame | None,
     source_codes: DataFrame | None,
     small_codes: bool = False,
+    pushed: Mapping[bool, PushedCodes] | None = None,
 ) -> DataFrame:
     """Event days of every codeset in use, and of deaths, reading each domain's table once.
 
     ``used`` maps domain names to the codesets needed from that domain. Codes known to
-    be few (``small_codes``) are broadcast; otherwise Spark chooses the join.
+    be few (``small_codes``) are broadcast; otherwise Spark chooses the join. What is known of the codes
+    (``pushed``) reaches the scans as a filter, so files and databases return little else than the study's events.
     """
     found = []
     for domain_name, wanted in sorted(used.items()):
@@ -133,7 +173,11 @@ def tagged_event_days(
             raise ValueError(f"domain {domain_name!r} needs codes that were not given")
         codes = codes.where(F.col("codeset_id").isin(sorted(wanted)))
         tagged = codesets_by_code(codes, domain_name)
-        found.append(event_days(domain_events(tables, domain_name, F.broadcast(tagged) if small_codes else tagged)))
+        domain, read = DOMAINS[domain_name], tables
+        if pushed and domain.source_coded in pushed:
+            limit = pushed[domain.source_coded].condition(F.col(domain.code), wanted)
+            read = {**tables, domain.table: tables[domain.table].where(limit)}
+        found.append(event_days(domain_events(read, domain_name, F.broadcast(tagged) if small_codes else tagged)))
     if "death" in tables:
         deaths = death_events(tables["death"]).select(
             F.lit(DEATH).alias("domain"), F.array().cast("array<bigint>").alias("codesets"), "person_id", "start_date"

@@ -52,13 +52,22 @@ def rates_view(
     )
 
 
-def available_diseases(rates: DataFrame, analysis: str) -> DataFrame:
-    return rates.where(F.col("analysis") == analysis).select("diseaseCohortName").distinct()
+def _shown(rates: DataFrame, analysis: str, after: int | dt.date | None) -> DataFrame:
+    """Results of an analysis that are shown; choices without dates are shown whole."""
+    chosen = rates.where(F.col("analysis") == analysis)
+    return displayed(chosen, after) if "calDate" in rates.columns else chosen
 
 
-def available_drugs(rates: DataFrame, analysis: str, disease: str) -> DataFrame:
+def available_diseases(rates: DataFrame, analysis: str, after: int | dt.date | None = None) -> DataFrame:
+    """Diseases to choose from: those with results that are shown."""
+    return _shown(rates, analysis, after).select("diseaseCohortName").distinct()
+
+
+def available_drugs(
+    rates: DataFrame, analysis: str, disease: str, after: int | dt.date | None = None
+) -> DataFrame:
     """Drugs to choose from; for some analyses they depend on the disease chosen."""
-    matching = rates.where(F.col("analysis") == analysis)
+    matching = _shown(rates, analysis, after)
     if analysis not in (INCIDENCE_OF_DISEASE, PREVALENCE_OF_DISEASE, PREVALENCE_OF_DRUG):
         matching = matching.where(F.col("diseaseCohortName") == disease)
     return matching.select("drugCohortName").distinct()

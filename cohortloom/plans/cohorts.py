@@ -7,14 +7,14 @@ and rules, exits and eras reuse that partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
 from cohortloom.model import RULES_PER_WORD, CohortDefinition, rule_words, word_names
 from cohortloom.operators.eras import collapse_eras
-from cohortloom.operators.events import DEATH, tagged_event_days
+from cohortloom.operators.events import DEATH, PushedCodes, tagged_event_days
 from cohortloom.operators.exits import first_exit
 from cohortloom.operators.rules import (
     ASKS, NEXT_DEATH, NO_CODESET, answered, criterion_codesets, mask_of_answers, meets_all_rules, questions,
@@ -28,12 +28,14 @@ from cohortloom.sources.tables import Tables
 class Codes:
     """Resolved codesets: vocabulary concepts and local source codes.
 
-    ``small`` says that both are known to be few enough to broadcast.
+    ``small`` says that both are known to be few enough to broadcast. ``pushed`` has, for concepts (false)
+    and source codes (true), what scans of events may be limited to.
     """
 
     concepts: DataFrame | None = None
     sources: DataFrame | None = None
     small: bool = False
+    pushed: Mapping[bool, PushedCodes] = field(default_factory=dict)
 
 
 def _full_masks(definition: CohortDefinition, words: int) -> list[int]:
@@ -88,7 +90,7 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
     """
     spark = tables["observation_period"].sparkSession
     days = tagged_event_days(
-        tables, _codesets_by_domain(definitions), codes.concepts, codes.sources, codes.small
+        tables, _codesets_by_domain(definitions), codes.concepts, codes.sources, codes.small, codes.pushed
     )
     placed = place_in_periods(days, observation_spans(tables["observation_period"]))
     codesets = F.when(F.col("domain") == DEATH, F.array(F.lit(NO_CODESET).cast("bigint"))).otherwise(F.col("codesets"))

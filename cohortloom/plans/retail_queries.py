@@ -344,9 +344,9 @@ def rates_view_month(spark, root):
 
 
 def available_choices(spark, root):
-    shown = views.displayed(Study(spark, root).combined(rates.YEAR), after=1996)
-    diseases = views.available_diseases(shown, rates.PREVALENCE_OF_DISEASE)
-    drugs = views.available_drugs(shown, rates.PREVALENCE_OF_DRUG_IN_DISEASE, "disease one")
+    results = Study(spark, root).combined(rates.YEAR)
+    diseases = views.available_diseases(results, rates.PREVALENCE_OF_DISEASE, after=1996)
+    drugs = views.available_drugs(results, rates.PREVALENCE_OF_DRUG_IN_DISEASE, "disease one", after=1996)
     return diseases.select(F.lit("disease").alias("kind"), F.col("diseaseCohortName").alias("name")).unionByName(
         drugs.select(F.lit("drug").alias("kind"), F.col("drugCohortName").alias("name"))
     )

@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortloom.model import DISEASE, CohortDefinition
-from cohortloom.operators import rates
+from cohortloom.operators import rates, views
 from cohortloom.operators.concepts import source_codes
 from cohortloom.operators.events import DRUG_SOURCE, domain_events
 from cohortloom.plans import patch_study, retail_study as study
@@ -196,6 +196,16 @@ def inline_code_events(spark: SparkSession, root: str) -> DataFrame:
     return domain_events(retail_tables(spark, root), DRUG_SOURCE, listed).drop("domain")
 
 
+def stored_rates_view(spark: SparkSession, root: str) -> DataFrame:
+    """A choice among displayed results, which reads the folder of that choice."""
+    paths = _run(spark, root, shared_folder(spark, "study"))
+    return views.rates_view(
+        store.read_display(spark, paths["display_by_year"], RATES_YEAR),
+        database=study.DATABASE, analysis=rates.INCIDENCE_OF_DISEASE, disease="disease one", drug=rates.ABSENT,
+        age_groups=["<18", "25-34", ">=65", "All"], genders=["Female", "All"], after=1996,
+    ).withColumnRenamed("Incidence(%)", "incidence_percent")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inline_code_events": inline_code_events,
     "stored_cohorts_replaced": stored_cohorts_replaced,
@@ -205,6 +215,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_rule_impact": stored_rule_impact,
     "stored_file_study": stored_file_study,
     "stored_registry_pairs": stored_registry_pairs,
+    "stored_rates_view": stored_rates_view,
     "stored_cohort_counts": _stored(
         lambda spark, paths: store.read_csv(spark, paths["cohort_counts"], COHORT_COUNTS), run_prevalence=False
     ),
@@ -217,6 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda spark, paths: store.read_csv(spark, paths["by_year_masked"], masked(RATES_YEAR)), min_cell_count=MINIMUM_CELL
     ),
     "stored_display_month": _stored(
-        lambda spark, paths: spark.read.parquet(paths["display_by_month"]), min_cell_count=MINIMUM_CELL
+        lambda spark, paths: store.read_display(spark, paths["display_by_month"], masked(RATES_MONTH)),
+        min_cell_count=MINIMUM_CELL,
     ),
 }

@@ -16,13 +16,14 @@ from cohortloom.operators import impact, population as pop, rates
 from cohortloom.operators.counts import cohort_counts
 from cohortloom.operators.disclosure import mask_small_cells
 from cohortloom.operators.dose import Strength, dose_summary
-from cohortloom.operators.events import DOMAINS
+from cohortloom.operators.events import DOMAINS, pushed_codes
 from cohortloom.operators.margins import add_margins
 from cohortloom.operators.profile import diagnosis_profile
 from cohortloom.plans.cohorts import Codes, cohorts_of, qualified_events
-from cohortloom.schemas import DATASET_COUNTS, RATES_MONTH, RATES_YEAR
+from cohortloom.schemas import COHORT, DATASET_COUNTS, RATES_MONTH, RATES_YEAR
 from cohortloom.session import fits_broadcast, local_frame
 from cohortloom.sources import store
+from cohortloom.sources.buckets import BucketedTable
 from cohortloom.sources.digest import group_digests, table_digests
 from cohortloom.sources.tables import Tables
 
@@ -34,6 +35,8 @@ class StudyParameters:
     """Windows, stages and disclosure limit of a run.
 
     Without ``compare_data`` source tables are taken to be those of the run before, and not read for their digests.
+    With ``buckets`` cohorts, population and prepared rows are stored in as many buckets of their subjects,
+    so that what is done with them afterwards needs no exchange by subject; a folder keeps its number of them.
     """
 
     database: str = "Unknown"
@@ -47,6 +50,7 @@ class StudyParameters:
     min_cell_count: int = 0
     rule_impact: bool = False
     compare_data: bool = True
+    buckets: int = 0
 
 
 @dataclass(frozen=True)
@@ -147,13 +151,58 @@ class _Marks:
         return changed
 
 
+def _layout(name: str) -> tuple[T.StructType, tuple[str, ...]]:
+    """Columns of a stored table of subjects, and the keys of its slices."""
+    schemas = {"cohort": COHORT, "population": _population_schema(), "prepared": _prepared_schema()}
+    return schemas[name], () if name == "population" else tuple(store.COHORT_KEYS)
+
+
+def _buckets(spark: SparkSession, paths: StudyPaths, name: str, buckets: int) -> BucketedTable:
+    schema, keys = _layout(name)
+    return BucketedTable(spark, paths[name], schema, "subject_id", buckets, keys)
+
+
+def stored_table(spark: SparkSession, paths: StudyPaths, name: str, buckets: int = 0) -> DataFrame:
+    """Stored cohorts, population or prepared rows."""
+    if buckets:
+        return _buckets(spark, paths, name, buckets).read()
+    return spark.read.schema(_layout(name)[0]).parquet(paths[name])
+
+
+def _create(spark: SparkSession, paths: StudyPaths, name: str, buckets: int) -> None:
+    if buckets:
+        _buckets(spark, paths, name, buckets).create()
+    else:
+        store.create_table(spark, paths[name], _layout(name)[0], list(_layout(name)[1]))
+
+
+def _replace(rows: DataFrame, paths: StudyPaths, name: str, buckets: int, ids: Sequence[int]) -> None:
+    """Replaces cohorts' slices of a stored table, or all of a table without them."""
+    schema, keys = _layout(name)
+    slices = [(i,) for i in ids]
+    if buckets:
+        _buckets(rows.sparkSession, paths, name, buckets).replace(rows.select(*schema.names), slices)
+    elif keys:
+        store.replace_slices(rows.select(*schema.names), paths[name], list(keys), slices)
+    else:
+        rows.select(*schema.names).write.mode("overwrite").parquet(paths[name])
+
+
 def store_codes(codes: Codes, paths: StudyPaths) -> Codes:
     """Resolved codes, computed once for all that needs them."""
     stored = [
         None if df is None else _stored(df, paths[name])
         for name, df in (("concept_codes", codes.concepts), ("source_codes", codes.sources))
     ]
-    return Codes(*stored, small=all(fits_broadcast(df) for df in stored if df is not None))
+    return Codes(
+        *stored,
+        small=all(fits_broadcast(df) for df in stored if df is not None),
+        pushed={
+            coded: pushed_codes(df, column)
+            for coded, df, column in ((False, stored[0], "concept_id"), (True, stored[1], "source_code"))
+            if df is not None
+        },
+    )
 
 
 def cohort_marks(
@@ -237,14 +286,15 @@ def create_all_cohorts(
 
     Rows of cohorts that are as they were stay, and rows of cohorts that the study no longer has go.
     """
-    spark = marks.spark
-    if not marks.of("cohort"):
-        store.create_cohort_table(spark, paths["cohort"])
+    spark, buckets = marks.spark, parameters.buckets
+    for name in ("cohort", "prepared", "population"):
+        if not marks.of(name):
+            _create(spark, paths, name, buckets)
     built = marks.make(
         "cohort", wanted,
-        lambda ids: store.write_cohorts(cohorts_of(_of(qualified, "cohort_id", ids)), paths["cohort"], ids),
+        lambda ids: _replace(cohorts_of(_of(qualified, "cohort_id", ids)), paths, "cohort", buckets, ids),
     )
-    cohort = store.read_cohorts(spark, paths["cohort"])
+    cohort = stored_table(spark, paths, "cohort", buckets)
     registry = rates.registry_frame(spark, [(d.cohort_id, d.name) for d in definitions])
     store.write_csv(cohort_counts(cohort, registry), paths["cohort_counts"])
 
@@ -252,16 +302,16 @@ def create_all_cohorts(
     persons = _fingerprint(years, marks.data(tables, {"person", "observation_period"}, parameters.compare_data))
     marks.make(
         "population", {0: persons},
-        lambda _: pop.observed_population(tables["person"], tables["observation_period"], *years)
-        .write.mode("overwrite").parquet(paths["population"]),
+        lambda _: _replace(
+            pop.observed_population(tables["person"], tables["observation_period"], *years),
+            paths, "population", buckets, (),
+        ),
     )
-    population = spark.read.schema(_population_schema()).parquet(paths["population"])
-    if not marks.of("prepared"):
-        store.create_table(spark, paths["prepared"], _prepared_schema(), store.COHORT_KEYS)
+    population = stored_table(spark, paths, "population", buckets)
 
     def prepare(ids: list[int]) -> None:
-        rows = pop.attach_demographics(store.read_cohorts(spark, paths["cohort"], ids), population)
-        store.replace_slices(rows, paths["prepared"], store.COHORT_KEYS, [(i,) for i in ids])
+        rows = pop.attach_demographics(_of(cohort, "cohort_definition_id", ids), population)
+        _replace(rows, paths, "prepared", buckets, ids)
 
     marks.make("prepared", {i: _fingerprint(mark, persons) for i, mark in wanted.items()}, prepare)
     return built
@@ -336,9 +386,9 @@ def compute_prevalence(
     month_start = floor_start(parameters.month_start, parameters.floor_date)
     year_end, month_end = as_date(parameters.year_end), as_date(parameters.month_end)
     registry = rates.registry_frame(spark, [(d.cohort_id, d.name) for d in definitions])
-    population = spark.read.schema(_population_schema()).parquet(paths["population"])
+    population = stored_table(spark, paths, "population", parameters.buckets)
     prepared = rates.within_months(
-        spark.read.schema(_prepared_schema()).parquet(paths["prepared"]), month_start, month_end
+        stored_table(spark, paths, "prepared", parameters.buckets), month_start, month_end
     )
     years = (as_date(parameters.year_start).year, as_date(parameters.year_end).year)
     persons = marks.of("population")
@@ -377,7 +427,7 @@ def compute_prevalence(
         store.write_csv(mask_small_cells(by_month, least), paths["by_month_masked"])
     for result, path in ((by_year, paths["display_by_year"]), (by_month, paths["display_by_month"])):
         shown = add_margins(result)
-        (mask_small_cells(shown, least) if least > 0 else shown).write.mode("overwrite").parquet(path)
+        store.write_display(mask_small_cells(shown, least) if least > 0 else shown, path)
 
 
 def run_study(

@@ -13,6 +13,7 @@ from cohortloom.session import local_frame
 
 COHORT_KEYS = ["cohort_definition_id"]
 IMPACT_KEYS = ["cohort_definition_id", "mode_id"]
+DISPLAY_KEYS = ["analysis", "diseaseCohortName"]
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> None:
@@ -67,6 +68,25 @@ def read_cohorts(spark: SparkSession, path: str, cohort_ids: Sequence[int] | Non
     return rows if cohort_ids is None else rows.where(F.col("cohort_definition_id").isin(list(cohort_ids)))
 
 
+def write_display(shown: DataFrame, path: str) -> None:
+    """Displayed results, clustered by analysis and disease: a view reads the folder of its choice.
+
+    Results are as long as the study's cohorts, periods and strata; the slices of one analysis are spread over tasks.
+    """
+    (
+        shown.hint("rebalance", *DISPLAY_KEYS)
+        .sortWithinPartitions(*DISPLAY_KEYS, "drugCohortName", "calDate")
+        .write.mode("overwrite")
+        .partitionBy(*DISPLAY_KEYS)
+        .parquet(path)
+    )
+
+
+def read_display(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Displayed results in their declared columns."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def read_marks(spark: SparkSession, path: str) -> dict[str, str]:
     """What the parts of a stored study were made from, by part; nothing where no marks are."""
     try:

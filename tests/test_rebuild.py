@@ -141,17 +141,19 @@ def test_data_taken_as_they_were_are_not_read(spark, run, tmp_path):
 def test_a_part_that_was_cut_short_is_made_again(spark, run, tmp_path, monkeypatch):
     from cohortloom.plans import study
 
-    real = store.write_cohorts
+    real = store.replace_slices
 
-    def lost(*arguments):
-        real(*arguments)
-        raise RuntimeError("lost")
+    def lost(df, path, *arguments):
+        found = real(df, path, *arguments)
+        if path.endswith("/cohort"):
+            raise RuntimeError("lost")
+        return found
 
     run(tmp_path, run_prevalence=False)
-    monkeypatch.setattr(study.store, "write_cohorts", lost)
+    monkeypatch.setattr(study.store, "replace_slices", lost)
     with pytest.raises(RuntimeError):
         run(tmp_path, defined=definitions(exit_days=5), run_prevalence=False)
-    monkeypatch.setattr(study.store, "write_cohorts", real)
+    monkeypatch.setattr(study.store, "replace_slices", real)
     paths, made = run(tmp_path, run_prevalence=False)
     assert made["cohort"] == [1]
     fresh, _ = run(tmp_path / "fresh", run_prevalence=False)

@@ -10,7 +10,11 @@ from cohortloom.plans.study import DoseSettings, StudyParameters, run_study
 from cohortloom.schemas import COHORT, DATASET_COUNTS, RATES_MONTH, RATES_YEAR, SOURCE_TABLES
 from cohortloom.session import fits_broadcast, local_frame
 from cohortloom.sources import store
-from cohortloom.sources.tables import conform, jdbc_options, read_parquet_tables, split_column
+from cohortloom.operators import views
+from cohortloom.operators.events import CONDITION, pushed_codes, tagged_event_days
+from cohortloom.sources.tables import (
+    conform, even_bounds, even_predicates, jdbc_options, read_parquet_tables, split_column,
+)
 
 
 def cohort(spark, *listed):
@@ -92,6 +96,66 @@ def test_database_scans_are_split():
     }
 
 
+def test_ids_are_cut_into_even_parts(spark):
+    # Half of the rows have ids below 100, the others are spread over a million; one id has many rows.
+    ids = [i % 100 for i in range(5000)] + [100 + 200 * i for i in range(5000)] + [77] * 1000
+    frame = local_frame(spark, [(i,) for i in ids] + [(None,)] * 10, "person_id bigint")
+    bounds = even_bounds(frame, "person_id", 8)
+    assert bounds == sorted(set(bounds)) and 5 <= len(bounds) <= 7
+    parts = even_predicates("person_id", bounds)
+    sizes = [frame.where(p).count() for p in parts]
+    assert sum(sizes) == frame.count() and max(sizes) < 2 * 11_010 / 8 + 1050
+    assert sorted(n for n in sizes)[0] > 500
+    equal_width = [frame.where(f"person_id >= {k * 125_000} AND person_id < {(k + 1) * 125_000}").count() for k in range(8)]
+    assert max(sizes) < max(equal_width) / 2
+    assert even_bounds(frame, "person_id", 1) == [] and even_predicates("person_id", []) == ["1 = 1"]
+    assert even_bounds(frame.where("false"), "person_id", 8) == []
+    same = local_frame(spark, [(5,)] * 100, "person_id bigint")
+    assert sum(same.where(p).count() for p in even_predicates("person_id", even_bounds(same, "person_id", 4))) == 100
+
+
+@pytest.mark.parametrize("most, pushed", [(1000, "In(condition_concept_id, [900,901])"), (1, "GreaterThanOrEqual(condition_concept_id,900)")])
+def test_codes_reach_the_scan_of_events(spark, tmp_path, most, pushed):
+    stored = local_frame(spark, [(1, 900), (1, 901), (2, 5000)], "codeset_id bigint, concept_id bigint")
+    rows_ = [(i, 1, c, day("2012-01-01"), None, None) for i, c in enumerate([900, 901, 902, 5000, None])]
+    local_frame(spark, rows_, SOURCE_TABLES["condition_occurrence"]).write.parquet(str(tmp_path / "condition_occurrence"))
+    tables = read_parquet_tables(spark, str(tmp_path), ["condition_occurrence"])
+    limits = {False: pushed_codes(stored, "concept_id", most)}
+    found = tagged_event_days(tables, {CONDITION: {1, 7}}, stored, None, True, limits)
+    assert pushed in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found, "start_date", "n_events") == [(day("2012-01-01"), 2)]
+    nothing = tagged_event_days(tables, {CONDITION: {7}}, stored, None, True, limits)
+    assert rows(nothing) == []
+
+
+def test_a_view_reads_its_slice_of_the_display(spark, tmp_path):
+    path = str(tmp_path / "display")
+    cells = [
+        ("db", "1", name, "Nil", "Nil", 2020, "All", "All", 10, 1, 0.1, analysis)
+        for name in ("12", "ill", "a/b c") for analysis in ("Incidence of Disease", "Prevalence of Disease")
+    ]
+    store.write_display(local_frame(spark, cells, RATES_YEAR), path)
+    shown = store.read_display(spark, path, RATES_YEAR)
+    assert rows(shown) == sorted(cells)
+    view = views.rates_view(shown, database="db", analysis="Incidence of Disease", disease="a/b c", drug="Nil")
+    assert rows(view, "diseaseCohortName", "Incidence(%)") == [("a/b c", 10.0)]
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
+    assert "analysis" in filters and "diseaseCohortName" in filters
+
+
+def test_choices_are_those_that_are_shown(spark):
+    cells = [
+        ("db", "1", name, "2", drug, year, "All", "All", 10, 1, 0.1, "Prevalence of Drug in Disease Cohort")
+        for name, drug, year in (("ill", "patch", 2017), ("ill", "old patch", 2016), ("well", "patch", 2010))
+    ]
+    results = local_frame(spark, cells, RATES_YEAR)
+    of_pairs = "Prevalence of Drug in Disease Cohort"
+    assert rows(views.available_diseases(results, of_pairs)) == [("ill",)]
+    assert rows(views.available_drugs(results, of_pairs, "ill")) == [("patch",)]
+    assert rows(views.available_drugs(results, of_pairs, "ill", after=2010)) == [("old patch",), ("patch",)]
+
+
 def test_stored_codes_are_measured(spark):
     small = local_frame(spark, [(i,) for i in range(5)], "i int")
     assert fits_broadcast(small, 5) and not fits_broadcast(small, 4)
