@@ -8,11 +8,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Where a text can be cut and encoded in parts: before white space that follows something else. No pre-tokenizer of
-#: the supported kinds makes a piece that goes on over such a place, and normalizers don't look past it.
-CUT = re.compile(r"(?<=\S)(?=[ \t-\r])")
+#: Where a text can be cut and encoded in parts: before white space that follows something else, and before a stop or
+#: comma that follows a Latin letter or digit (some other letters' small forms end in a mark, which stays with it). No pre-tokenizer of the supported kinds makes a piece that goes on over
+#: such a place, and normalizers don't look past it.
+CUT = re.compile(r"(?<=\S)(?=[ \t-\r])|(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
 #: Pre-tokenizers and normalizers for which that holds.
-SPLITTERS = {"ByteLevel", "Split", "Sequence", "Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+SPLITTERS = {"ByteLevel", "Split", "Sequence"}
 NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace", "Sequence"}
 #: What holds within the fixed patterns of splitting and replacing: white space never stands in a piece but at its start.
 PATTERNS = {
