@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.llm.common import normal_words, text_hash
+from cohortloom.llm.common import normal_words, text_hash, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -18,7 +18,7 @@ RADIUS = 3
 BLOCKS = RADIUS + 1  # with at most RADIUS bits off, one of the blocks is untouched
 BLOCK_BITS = 64 // BLOCKS
 GROWTH = 1.4  # window sizes grow by this factor
-SHIFT = 2  # a place may begin or end so many words off
+SHIFT = 2  # an item shorter than a shingle may begin so many words off
 BLOCK_WORDS = 200_000  # words of benchmark items that are searched for in one pass over the documents
 BATCH_WORDS = 1 << 18
 
@@ -155,20 +155,45 @@ def similarity(a: Counter, b: Counter) -> float:
     return common / (a.total() + b.total() - common) if a or b else 0.0
 
 
-def best_place(item: Counter, length: int, hashes: np.ndarray, start: int) -> tuple[float, int, int]:
-    """(similarity, start, number of words) of the part of a document most like an item, near ``start``."""
+def best_place(item: Counter, length: int, hashes: np.ndarray, start: int, threshold: float) -> tuple[float, int, int]:
+    """(similarity, start, number of words) of the part of a document most like an item, around ``start``.
+
+    All parts that can be as similar as ``threshold`` are judged, however much shorter or longer than the
+    item: those that begin and end with a shingle of the item, as what stands beyond the outermost one only adds
+    to the part. Of equally similar parts the first, then the shortest counts. Without a part like that the
+    similarity is 0.
+    """
+    if length < SHINGLE:  # one shingle of all words: only the same words are similar
+        raw, width = hashes.tobytes(), 8 * length
+        for begin in sorted(range(max(0, start - SHIFT), start + SHIFT + 1), key=lambda b: abs(b - start)):
+            if raw[8 * begin : 8 * begin + width] in item and begin + length <= len(hashes):
+                return 1.0, begin, length
+        return 0.0, start, 0
+    total = item.total()
+    most = int(total / threshold + 1e-9)  # shingles that a similar part has at most
+    around = most - total + 1
+    low, high = max(0, start - around), min(len(hashes), start + length + around)
+    raw, width = hashes[low:high].tobytes(), 8 * SHINGLE
+    shingles = [raw[k : k + width] for k in range(0, len(raw) - width + 1, 8)]
+    shared = [k for k, x in enumerate(shingles) if x in item]
     best = (0.0, start, 0)
-    for shift in sorted(range(-SHIFT, SHIFT + 1), key=abs):
-        for longer in sorted(range(-SHIFT, SHIFT + 1), key=abs):
-            begin, end = start + shift, start + shift + length + longer
-            begin, end = max(begin, 0), min(end, len(hashes))
-            if end <= begin:
-                continue
-            found = similarity(item, _bag(hashes[begin:end]))
+    if len(shared) < threshold * total - 1e-9:
+        return best
+    for n, first in enumerate(shared):
+        if len(shared) - n < threshold * total - 1e-9:
+            break
+        held, common = Counter(), 0
+        for last in shared[n:]:
+            size = last - first + 1
+            if size > most:
+                break
+            held[shingles[last]] += 1
+            common += held[shingles[last]] <= item[shingles[last]]
+            found = common / (total + size - common)
             if found > best[0]:
-                best = (found, begin, end - begin)
-            if found == 1.0:
-                return best
+                best = (found, low + first, size + SHINGLE - 1)
+        if best[0] == 1.0:
+            break
     return best
 
 
@@ -183,7 +208,7 @@ def places(index: ItemIndex, texts: list[list[bytes]], threshold: float) -> list
         middle = min(max(start + len(words) // 2, 0), len(hashes) - 1)
         text = int(np.searchsorted(ends, middle, side="right"))
         first = int(ends[text]) - len(texts[text])
-        found, at, n = best_place(bag, len(words), hashes[first : int(ends[text])], start - first)
+        found, at, n = best_place(bag, len(words), hashes[first : int(ends[text])], start - first, threshold)
         if found >= threshold:
             out[text, item_id, at] = max(out.get((text, item_id, at), (0, 0.0)), (n, found), key=lambda x: x[1])
     return [(text, item, at, n, found) for (text, item, at), (n, found) in sorted(out.items())]
@@ -214,12 +239,12 @@ def find_leaks(
     All windows of each whole document get SimHash fingerprints, in the sizes that items ask for.
     Fingerprints of items are looked up by ``RADIUS`` + 1 blocks of bits, so that every window within the
     radius is found. Around each such window the weighted Jaccard similarity of five-word shingles
-    decides exactly. Words are lower-case letters, digits and characters beyond ASCII.
+    decides exactly, over parts of whatever length. Words are lower-case letters, digits and characters beyond ASCII.
 
-    Items are searched for in groups of about ``block_words`` words (each group is one pass over the
-    documents), so what is sent to tasks is bounded. Items without words match nothing; items of
+    Items are searched for in groups of about ``block_words`` words; each group is one pass over the
+    documents and is sent to tasks, and its result stored, before the next one is read. Items without words match nothing; items of
     fewer than five words are one shingle. Null and empty texts hold nothing. Repeated documents and items
-    are rows like others. Documents aren't shuffled.
+    are rows like others, and so are rows of null id, which are returned with a null id. Documents aren't shuffled.
     """
     found = _leaks(docs, benchmark, threshold, id_col, text_col, item_id_col, item_text_col, block_words)
     return found.drop("text_")
@@ -256,7 +281,8 @@ def _leaks(
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_hash(text_col).alias("text_")
     )
-    for block in _item_blocks(benchmark, item_id_col, item_text_col, block_words):
+    blocks = _item_blocks(benchmark, item_id_col, item_text_col, block_words)
+    for block in blocks:
         shared = spark.sparkContext.broadcast([(r[0], normal_words(r[1])) for r in block.collect()])
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -283,6 +309,9 @@ def _leaks(
                 yield found(ids, own, texts)
 
         part = rows.mapInPandas(search, schema)
+        if len(blocks) > 1:  # one block's items are held at a time
+            part = written(part)
+            shared.unpersist()
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
