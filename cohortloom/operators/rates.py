@@ -118,7 +118,7 @@ _STRATUM = ["calDate", "age_band", "gender"]
 _IDS = ["analysis", "diseaseId", "drugId"]
 
 
-def _unique(values) -> list[int]:
+def _unique(values) -> list:
     return list(dict.fromkeys(values))
 
 
@@ -138,20 +138,23 @@ def _role(analysis: str) -> str:
     return _OF_DRUG if of_disease is None else _OF_DISEASE if of_drug is None else _OF_PAIR
 
 
-def _roles_frame(profiles: Profiles, pairs: Sequence[tuple[int, int]]) -> DataFrame:
-    """What each cohort is to the analyses: by role and place, its id and the drugs it is paired with."""
+def _roles_frame(profiles: Profiles, pairs: Sequence[tuple[int, int]], analyses: Sequence[str]) -> DataFrame:
+    """What each cohort is to the analyses: by role and place, its id and the drugs it is paired with.
+
+    Profiles needn't hold cohorts that no analysis is about.
+    """
     place = {cohort_id: i for i, cohort_id in enumerate(profiles.cohort_ids)}
     paired: dict[int, list[int]] = {}
     for disease, drug in dict.fromkeys(pairs):
         paired.setdefault(disease, []).append(drug)
-    rows = [
-        *[(_OF_DISEASE, place[d], d, None) for d in paired],
-        *[(_OF_DRUG, place[g], g, None) for g in _drugs(pairs)],
-        *[
-            (_OF_PAIR, place[d], d, [{"place": place[g], "drug": g} for g in drugs])
-            for d, drugs in paired.items()
+    rows_of = {
+        _OF_DISEASE: lambda: [(_OF_DISEASE, place[d], d, None) for d in paired],
+        _OF_DRUG: lambda: [(_OF_DRUG, place[g], g, None) for g in _drugs(pairs)],
+        _OF_PAIR: lambda: [
+            (_OF_PAIR, place[d], d, [{"place": place[g], "drug": g} for g in drugs]) for d, drugs in paired.items()
         ],
-    ]
+    }
+    rows = [row for role in _unique(map(_role, analyses)) for row in rows_of[role]()]
     schema = "role string, place int, cohort int, partners array<struct<place: int, drug: int>>"
     return F.broadcast(local_frame(profiles.counted.sparkSession, rows, schema))
 
@@ -178,7 +181,7 @@ def analysis_counts(
 
     members = profiles.counted.select(
         F.inline(F.concat(*[entered(a) for a in analyses])), *_STRATUM, "n_subjects"
-    ).join(_roles_frame(profiles, pairs), ["role", "place"])
+    ).join(_roles_frame(profiles, pairs, analyses), ["role", "place"])
     present = F.filter("partners", lambda p: F.array_contains("others", p["place"]))
     drugs = F.when(F.col("role") == _OF_PAIR, F.transform(present, lambda p: p["drug"])).otherwise(
         F.array(F.when(F.col("role") == _OF_DRUG, F.col("cohort")))
