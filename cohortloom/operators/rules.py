@@ -21,54 +21,66 @@ from cohortloom.operators.events import DEATH
 # The codeset of deaths, which have none, and the number of the question for the next one.
 NO_CODESET = 0
 NEXT_DEATH = -1
+# Deaths come first among what questions are about.
+DEATHS = 0
 
-#: What an index event asks: columns of a row of settings per cohort and question.
-ASKS = "ask int, ask_domain string, ask_codeset bigint, days_after int, at_least boolean, occurrences int, word int, bit bigint"
+#: A question of a cohort: columns of a row of settings, looked up by ``asked`` once the question is answered.
+ASKED = "asked int, cohort_id int, ask int, at_least boolean, occurrences int, word int, bit bigint"
 
 
-def questions(definition: CohortDefinition) -> list[tuple]:
-    """Rows of ``ASKS``: the next death, and each rule of a cohort with its bit of the mask."""
-    asked = [(NEXT_DEATH, DEATH, NO_CODESET, 0, None, None, None, None)]
-    for number, rule in enumerate(definition.rules):
-        word, bit = divmod(number, RULES_PER_WORD)
-        asked.append(
-            (
-                number, rule.domain, rule.codeset_id, rule.days_after, rule.kind == AT_LEAST, rule.occurrences,
-                word, 1 << bit,
+def criterion_codesets(definitions: Iterable[CohortDefinition]) -> list[tuple[str, int]]:
+    """Domains and codesets that questions are about; a question names one by its place in this list."""
+    rules = {(rule.domain, rule.codeset_id) for definition in definitions for rule in definition.rules}
+    return [(DEATH, NO_CODESET), *sorted(rules - {(DEATH, NO_CODESET)})]
+
+
+def questions(definitions: Iterable[CohortDefinition]) -> list[tuple]:
+    """Rows of ``ASKED``: for each cohort the next death, and each rule with its bit of the mask."""
+    asked: list[tuple] = []
+    for definition in definitions:
+        asked.append((len(asked), definition.cohort_id, NEXT_DEATH, None, None, None, None))
+        for number, rule in enumerate(definition.rules):
+            word, bit = divmod(number, RULES_PER_WORD)
+            asked.append(
+                (
+                    len(asked), definition.cohort_id, number, rule.kind == AT_LEAST, rule.occurrences, word, 1 << bit,
+                )
             )
-        )
     return asked
 
 
-def criterion_codesets(definitions: Iterable[CohortDefinition]) -> list[tuple[str, int]]:
-    """Domains and codesets that questions are about."""
-    rules = {(rule.domain, rule.codeset_id) for definition in definitions for rule in definition.rules}
-    return sorted({(DEATH, NO_CODESET), *rules})
+def targets(definition: CohortDefinition, codesets: list[tuple[str, int]]) -> list[tuple[int, int | None]]:
+    """What a cohort's questions are about and how far they reach beyond the event's ``day_key``, in their order.
+
+    Rules reach over deaths of their window's last day; a window that ends with the period has no reach.
+    """
+    rules = (
+        (codesets.index((r.domain, r.codeset_id)), None if r.days_after is None else 2 * r.days_after + 1)
+        for r in definition.rules
+    )
+    return [(DEATHS, 0), *rules]
 
 
 def answered(rows: DataFrame) -> DataFrame:
     """Each question with ``found``, the events it counts, and ``censor_date``, the next death.
 
-    ``rows`` are criterion events (``asks`` false) and questions of index events, both within a
-    person's period, with the event's ``domain``, ``codeset_id`` and ``day_key``.
+    ``rows`` are criterion events (``asked`` null) and questions of index events, both within a person's period,
+    with what they are ``about``, ``day_key`` and ``reach``, and their events ``n``. They are sorted, so they hold
+    numbers only; what else is known of a question is looked up by ``asked`` afterwards.
     """
-    asks = F.col("asks")
-    # A window that ends with the period is past all days; others reach over deaths of their last day.
-    end = F.when(F.col("ask") == NEXT_DEATH, F.col("day_key")).otherwise(
-        F.coalesce(F.col("day_key") + 2 * F.col("days_after").cast("bigint") + 1, F.lit((1 << 63) - 1))
+    same = ["person_id", "op_start_date", "op_end_date", "about"]
+    # A window without reach is past all days.
+    place = F.coalesce(F.col("day_key") + F.col("reach"), F.lit((1 << 63) - 1))
+    placed = rows.select(*same, "start_date", "asked", "n", place.alias("place"))
+    so_far = Window.partitionBy(*same).orderBy("place", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    following = F.expr(
+        f"lead(CASE WHEN asked IS NULL AND about = {DEATHS} THEN start_date END) IGNORE NULLS "
+        f"OVER (PARTITION BY {', '.join(same)} ORDER BY place, asked)"
     )
-    placed = rows.withColumns(
-        {
-            "about_domain": F.when(asks, F.col("ask_domain")).otherwise(F.col("domain")),
-            "about_codeset": F.when(asks, F.col("ask_codeset")).otherwise(F.col("codeset_id")),
-            "place": F.when(asks, end).otherwise(F.col("day_key")),
-        }
+    counted = F.sum(F.when(F.col("asked").isNull(), F.col("n"))).over(so_far)
+    return placed.withColumns({"found": F.coalesce(counted, F.lit(0)), "censor_date": following}).where(
+        "asked IS NOT NULL"
     )
-    same = ["person_id", "op_start_date", "op_end_date", "about_domain", "about_codeset"]
-    so_far = Window.partitionBy(*same).orderBy("place", "asks").rowsBetween(Window.unboundedPreceding, 0)
-    following = F.expr(f"lead(death_date) IGNORE NULLS OVER (PARTITION BY {', '.join(same)} ORDER BY place, asks)")
-    counted = F.sum(F.when(~asks, F.col("n_events"))).over(so_far)
-    return placed.withColumns({"found": F.coalesce(counted, F.lit(0)), "censor_date": following}).where(asks)
 
 
 def holds() -> Column:

@@ -7,13 +7,27 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortloom.operators.events import DEATH
 
 
+# Behind the join with periods a day is a row for each question of each cohort it enters, so days are dealt into as many
+# partitions for each that the session has for shuffles.
+SPREAD = 4
+
+
+def by_person(df: DataFrame) -> DataFrame:
+    """Rows dealt by person, into partitions whose number is set.
+
+    Adaptive execution would merge them by what the shuffle wrote, which is a small part of what tasks then sort.
+    """
+    parts = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, "person_id")
+
+
 def observation_spans(observation_period: DataFrame) -> DataFrame:
     """One row per person with their observation periods in order, as one array.
 
     Equal periods are one, with their number in ``copies``. Periods are shuffled once, by person, as the join
     with events needs it.
     """
-    distinct = observation_period.repartition("person_id").groupBy(
+    distinct = by_person(observation_period).groupBy(
         "person_id",
         F.col("observation_period_start_date").alias("op_start_date"),
         F.col("observation_period_end_date").alias("op_end_date"),
@@ -28,17 +42,13 @@ def place_in_periods(days: DataFrame, spans: DataFrame) -> DataFrame:
 
     Periods are looked through where the person's array meets the day, so that a person of many
     periods has no more rows than days that are covered. ``day_key`` orders the days of a period, with deaths after
-    other events of their day; it grows by two from day to day. ``death_date`` is set on deaths.
+    other events of their day; it grows by two from day to day.
     """
     start = F.col("start_date")
     covering = F.filter("periods", lambda p: start.between(p["op_start_date"], p["op_end_date"]))
-    placed = days.join(spans, "person_id").select(*days.columns, F.inline(covering))
-    is_death = F.col("domain") == DEATH
-    return placed.withColumns(
-        {
-            "day_key": F.unix_date("start_date").cast("bigint") * 2 + is_death.cast("int"),
-            "death_date": F.when(is_death, F.col("start_date")),
-        }
+    placed = by_person(days).join(spans, "person_id").select(*days.columns, F.inline(covering))
+    return placed.withColumn(
+        "day_key", F.unix_date("start_date").cast("bigint") * 2 + (F.col("domain") == DEATH).cast("int")
     )
 
 

@@ -17,7 +17,7 @@ from cohortloom.operators.eras import collapse_eras
 from cohortloom.operators.events import DEATH, PushedCodes, tagged_event_days
 from cohortloom.operators.exits import first_exit
 from cohortloom.operators.rules import (
-    ASKS, NEXT_DEATH, NO_CODESET, answered, criterion_codesets, mask_of_answers, meets_all_rules, questions,
+    ASKED, NEXT_DEATH, NO_CODESET, answered, criterion_codesets, mask_of_answers, meets_all_rules, questions, targets,
 )
 from cohortloom.operators.timeline import has_look_back, keep_first, observation_spans, place_in_periods
 from cohortloom.session import local_frame
@@ -48,19 +48,22 @@ def _roles(spark, definitions: Sequence[CohortDefinition]) -> DataFrame:
 
     An entry has one row per question its cohort asks. As long as the study's settings, so broadcast.
     """
-    no_question = (None,) * 8
-    counted = [(domain, codeset, False, *(None,) * 5, *no_question) for domain, codeset in criterion_codesets(definitions)]
-    entries = [
-        (c.domain, c.codeset_id, True, d.cohort_id, c.start_from, c.start_to, d.prior_days, d.post_days, *question)
-        for d in definitions
-        for c in d.primary
-        for question in questions(d)
-    ]
+    codesets = criterion_codesets(definitions)
+    rows = [(domain, codeset, None, about, 0, *(None,) * 4) for about, (domain, codeset) in enumerate(codesets)]
+    asked = 0
+    for d in definitions:
+        asks = list(enumerate(targets(d, codesets), start=asked))
+        asked += len(asks)
+        rows += [
+            (c.domain, c.codeset_id, number, about, reach, c.start_from, c.start_to, d.prior_days, d.post_days)
+            for c in d.primary
+            for number, (about, reach) in asks
+        ]
     schema = (
-        "domain string, codeset_id bigint, asks boolean, cohort_id int, start_from date, start_to date, "
-        f"prior_days int, post_days int, {ASKS}"
+        "domain string, codeset_id bigint, asked int, about int, reach bigint, start_from date, start_to date, "
+        "prior_days int, post_days int"
     )
-    return F.broadcast(local_frame(spark, [*counted, *entries], schema))
+    return F.broadcast(local_frame(spark, rows, schema))
 
 
 def _settings(spark, definitions: Sequence[CohortDefinition]) -> DataFrame:
@@ -102,12 +105,16 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
     in_dates = F.col("start_date").between(
         F.coalesce("start_from", "start_date"), F.coalesce("start_to", "start_date")
     )
-    answers = answered(met.where(~F.col("asks") | (in_dates & has_look_back())))
+    counted = F.col("asked").isNull()
+    n = F.when(counted, F.col("n_events")).otherwise(F.col("n_events") * F.col("copies"))
+    answers = answered(met.where(counted | (in_dates & has_look_back())).withColumn("n", n)).join(
+        F.broadcast(local_frame(spark, questions(definitions), ASKED)), "asked"
+    )
     # Each index event asks for its next death once, which tells how many events it stands for.
     base = F.col("ask") == NEXT_DEATH
     qualified = answers.groupBy("cohort_id", "person_id", "start_date", "op_start_date", "op_end_date").agg(
         F.max(F.when(base, F.col("censor_date"))).alias("censor_date"),
-        F.sum(F.when(base, F.col("n_events") * F.col("copies"))).alias("n_events"),
+        F.sum(F.when(base, F.col("n"))).alias("n_events"),
         *[mask.alias(name) for name, mask in mask_of_answers(rule_words(definitions)).items()],
     ).join(_settings(spark, definitions), "cohort_id")
     if any(d.first_only for d in definitions):

@@ -145,9 +145,8 @@ def death_events_query(spark, root):
 
 
 def _per_day(events: DataFrame, *more: str) -> DataFrame:
-    return events.groupBy("cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", *more).agg(
-        F.sum("n_events").alias("n_events")
-    )
+    """Index events, of which there is one row a cohort, person, day and period."""
+    return events.select("cohort_id", "person_id", "start_date", "op_start_date", "op_end_date", *more, "n_events")
 
 
 def primary_events_lookback(spark, root):

@@ -1,0 +1,44 @@
+"""What tasks sort behind the join of days with periods: few partitions' worth each, and rows of numbers only."""
+
+from cohortloom.model import AT_LEAST, DRUG, CohortDefinition, Criterion, Rule
+from cohortloom.operators.events import CONDITION, DRUG_SOURCE
+from cohortloom.operators.timeline import SPREAD
+from cohortloom.plans.cohorts import qualified_events
+
+from test_cohorts import CANCER, INDICATED, PATCH, codes, condition, exposure, period
+from helpers import rows
+
+RULES = tuple(Rule(CONDITION, s, AT_LEAST, 1, days_after=d) for s in (INDICATED, CANCER) for d in (0, 30))
+COHORTS = [
+    CohortDefinition(i, f"patch {i}", DRUG, (Criterion(DRUG_SOURCE, PATCH), Criterion(CONDITION, INDICATED)), RULES)
+    for i in (PATCH, PATCH + 100)
+]
+
+
+def events(spark, make_tables):
+    tables = make_tables(
+        observation_period=[period(1), period(1, "2010-06-01", "2014-12-31")],
+        drug_exposure=[exposure(1, "2013-03-03"), exposure(1, "2013-03-03")],
+        condition_occurrence=[condition(1, 200, "2013-03-03"), condition(1, 200, "2013-01-01")],
+    )
+    return qualified_events(tables, codes(spark), COHORTS)
+
+
+def test_sorted_rows_hold_ten_numbers(spark, make_tables):
+    node = events(spark, make_tables)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Window":
+        node = node.children().apply(0)
+    output = node.child().output()
+    types = [output.apply(i).dataType().typeName() for i in range(output.size())]
+    assert len(types) <= 10 and set(types) <= {"integer", "long", "date"}
+
+
+def test_days_are_dealt_into_more_partitions_than_the_shuffle(spark, make_tables):
+    found = events(spark, make_tables)
+    assert found.rdd.getNumPartitions() == SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_one_row_a_cohort_day_and_period(spark, make_tables):
+    found = rows(events(spark, make_tables), "cohort_id", "start_date", "op_start_date", "n_events")
+    assert len(found) == len({r[:3] for r in found}) == 8
+    assert [r[3] for r in found if str(r[1]) == "2013-03-03"] == [3] * 4
