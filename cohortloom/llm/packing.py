@@ -95,13 +95,14 @@ def token_pieces(
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, part = encoder(tokenizer), TaskContext.get().partitionId()
-        end, seen = np.array([end_id], "<u4"), np.zeros(capacity + 1, np.int64)
+        end, seen = np.array([end_id], "<u4").tobytes(), [0] * (capacity + 1)
         for batch in batches:
             rows = []
             for i, own in zip(batch["id"].astype("Int64"), encode.each(batch["text"])):
-                ids = np.concatenate([own.astype("<u4"), end])
-                for piece, (start, length) in enumerate(cut(len(ids), capacity)):
-                    rows.append((i, piece, start, length, zlib.crc32(ids[start : start + length]), part, seen[length]))
+                ids = memoryview(own.astype("<u4").tobytes() + end)
+                for piece, (start, length) in enumerate(cut(len(own) + 1, capacity)):
+                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                    rows.append((i, piece, start, length, crc, part, seen[length]))
                     seen[length] += 1
             frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
             frame["doc_id"] = frame["doc_id"].astype("Int64")

@@ -12,6 +12,10 @@ import numpy as np
 #: comma that follows a Latin letter or digit (some other letters' small forms end in a mark, which stays with it). No pre-tokenizer of the supported kinds makes a piece that goes on over
 #: such a place, and normalizers don't look past it.
 CUT = re.compile(r"(?<=\S)(?=[ \t-\r])|(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
+#: The second kind of place, as what stands behind it.
+STOP = re.compile(r"[.,](?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ][.,])")
+#: Parts that are one word each, of which many can be encoded as one text.
+WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Pre-tokenizers and normalizers for which that holds.
 SPLITTERS = {"ByteLevel", "Split", "Sequence"}
 NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace", "Sequence"}
@@ -24,6 +28,7 @@ HELD = 400_000  # parts that a worker holds, about 90 MB; when they are as many
 LONGEST = 40  # characters of a part that is held
 CHARACTERS = 1 << 20  # of texts that are in parts at once, or one text
 AT_ONCE = 4096  # parts that the library is given at once
+JOINED = 256  # parts that are encoded as one text
 
 
 def _kinds(part: dict | None) -> Iterable[dict]:
@@ -49,6 +54,39 @@ def can_be_cut(spec: dict) -> bool:
     return bool(spec.get("pre_tokenizer")) and not any(t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
 
 
+def parts_of(text: str) -> list[str]:
+    """A text cut at every place of ``CUT``.
+
+    Texts in which spaces and line ends all stand alone, as in most, are cut without looking at each place.
+    """
+    line = text.replace("\n", " ")
+    if not line.isprintable() or "  " in line or line.startswith(" "):
+        return CUT.split(text)
+    marked = STOP.sub("\0\\g<0>", text) if "." in text or "," in text else text
+    return marked.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+
+def word_marks(spec: dict, tokenizer) -> tuple[np.ndarray, bool] | None:
+    """Which ids stand at one end of every word, and whether that is its first id; None if unknown for this file.
+
+    Words are those of ``WORD``: each is one piece, which opens with the byte of its space or closes with the
+    model's suffix.
+    """
+    suffix, pre = spec["model"].get("end_of_word_suffix"), spec["pre_tokenizer"]
+    if any(re.fullmatch(r"[A-Za-zÀ-ÖØ-öø-ÿ ]+", t["content"]) for t in spec["added_tokens"]):
+        return None
+    if pre["type"] == "ByteLevel" and pre.get("use_regex", True) and not suffix and not spec.get("normalizer"):
+        opens = True
+    elif suffix and pre["type"] == "Sequence" and pre["pretokenizers"][0].get("behavior") == "Removed":
+        opens = False
+    else:
+        return None
+    marks = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, i in tokenizer.get_vocab().items():
+        marks[i] = token.startswith("Ġ") if opens else token.endswith(suffix)
+    return marks, opens
+
+
 class Encoder:
     """Ids of one tokenizer file without special tokens added, all of them made by the tokenizers library.
 
@@ -66,24 +104,49 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         with open(path, encoding="utf-8") as file:
-            self.cut = can_be_cut(json.load(file))
+            spec = json.load(file)
+        self.cut = can_be_cut(spec)
+        self.marks = word_marks(spec, self.tokenizer) if self.cut else None
         self.held: dict[str, bytes] = {}
 
     def _encoded(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts, as bytes. A list is encoded as words cut beforehand, and each id tells its word."""
-        out = {}
+        """Ids of parts, as bytes: words joined, where it is known which ids open or close one, others as a list."""
+        out: dict[str, bytes] = {}
+        if self.marks:
+            words = [p for p in parts if WORD.fullmatch(p)]
+            for at in range(0, len(words), AT_ONCE):
+                self._joined(words[at : at + AT_ONCE], out)
+            parts = [p for p in parts if p not in out]
         for at in range(0, len(parts), AT_ONCE):
-            some = parts[at : at + AT_ONCE]
-            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            data = np.array(found.ids, self.dtype).tobytes()
-            width = np.dtype(self.dtype).itemsize
-            ends = width * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some)), side="right")
-            start = 0
-            for part, end in zip(some, ends.tolist()):
-                out[part] = data[start:end]
-                start = end
+            self._listed(parts[at : at + AT_ONCE], out)
         return out
 
+    def _joined(self, words: list[str], out: dict[str, bytes]) -> None:
+        """Encodes words as texts of ``JOINED`` words; words that can't be told apart are left out."""
+        marks, opens = self.marks
+        width = np.dtype(self.dtype).itemsize
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            (found,) = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype)
+            data = ids.tobytes()
+            places = np.flatnonzero(marks[ids])
+            bounds = [*(width * places).tolist(), len(data)] if opens else [0, *(width * (places + 1)).tolist()]
+            if len(bounds) == len(some) + 1 and bounds[0] == 0 and bounds[-1] == len(data):
+                for word, start, end in zip(some, bounds, bounds[1:]):
+                    out[word] = data[start:end]
+
+    def _listed(self, parts: list[str], out: dict[str, bytes]) -> None:
+        """Encodes a list as words cut beforehand; each id tells its word."""
+        found = self.tokenizer.encode(parts, is_pretokenized=True, add_special_tokens=False)
+        data = np.array(found.ids, self.dtype).tobytes()
+        width = np.dtype(self.dtype).itemsize
+        ends = width * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(parts)), side="right")
+        start = 0
+        for part, end in zip(parts, ends.tolist()):
+            out[part] = data[start:end]
+            start = end
+
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
@@ -92,19 +155,19 @@ class Encoder:
         texts = [t or "" for t in texts]
         if not self.cut:
             return [self._whole(t) if t else np.zeros(0, self.dtype) for t in texts]
-        parts = [CUT.split(t) if t else [] for t in texts]
+        parts = [parts_of(t) if t else [] for t in texts]
         held = self.held
-        new = {p for own in parts for p in own if p not in held}
+        found = [[*map(held.get, own)] for own in parts]
+        lacking = [k for k, got in enumerate(found) if None in got]
+        new = {p for k in lacking for p, ids in zip(parts[k], found[k]) if ids is None}
         more = self._encoded(list(new)) if new else {}
-        long = {p: ids for p, ids in more.items() if len(p) > LONGEST}
         if len(held) + len(more) > HELD:
-            held = {p: held[p] for own in parts for p in own if p in held}
-        held.update(more)
-        out = [np.frombuffer(b"".join(map(held.__getitem__, own)), self.dtype) for own in parts]
-        for p in long:
-            del held[p]
+            held = {p: ids for own, got in zip(parts, found) for p, ids in zip(own, got) if ids is not None}
+        held.update((p, ids) for p, ids in more.items() if len(p) <= LONGEST)
         self.held = held if len(held) <= HELD else {}
-        return out
+        for k in lacking:
+            found[k] = [more[p] if ids is None else ids for p, ids in zip(parts[k], found[k])]
+        return [np.frombuffer(b"".join(got), self.dtype) for got in found]
 
     def ids(self, text: str | None) -> np.ndarray:
         return self.ids_of([text])[0]

@@ -123,3 +123,23 @@ def test_files_flag_null_ids(spark, odd, tmp_path):
     shards = [wavelet.WaveletMatrix(r.file) for r in spark.read.parquet(path).orderBy("part", "seq").collect()]
     ids = [int(i) if ok else None for s in shards for i, ok in zip(s.doc_ids, s.valid)]
     assert ids == [None, *sorted(r.doc_id for r in odd.collect() if r.doc_id is not None)]
+
+
+def test_texts_are_cut_at_the_same_places_without_looking_at_each(documents):
+    from cohortloom.llm.tokens import CUT, parts_of
+
+    rng = random.Random(5)
+    made = ["".join(rng.choices("ab é.,\n\t\x00 ", k=rng.randint(1, 20))) for _ in range(5000)]
+    for text in [*TEXTS, *made, *(r.text for r in documents.collect() if r.text)]:
+        assert parts_of(text) == CUT.split(text), text[:80]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_are_encoded_joined(name, monkeypatch):
+    encode, listed = Encoder(tokenizer_path(name)), []
+    real = Encoder._listed
+    monkeypatch.setattr(Encoder, "_listed", lambda self, parts, out: listed.extend(parts) or real(self, parts, out))
+    words = [f" {a}{b}" for a in ("x", "Ünder", "ß", "WORD", "lerieux") for b in ("a", "é", "Qu", "tion")]
+    found = encode._encoded([*words, ".", " 12", "first"])
+    assert sorted(listed) == [" 12", ".", "first"]
+    assert all(found[w] == encode._whole(w).tobytes() for w in (*words, ".", " 12", "first"))
