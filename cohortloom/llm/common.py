@@ -4,15 +4,35 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+T = TypeVar("T")
+
 # ASCII letters in lower case, digits and all bytes beyond ASCII stay; the rest becomes a space.
 LETTERS_AND_DIGITS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 
 
+# What a worker process holds from one task to the next.
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], T]) -> T:
+    """What ``make`` returns, made once for a worker and kept until other work lets go of it."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def let_go() -> None:
+    """Frees what the worker has kept; tasks that have no use for it begin with this, as workers outlive stages."""
+    _KEPT.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

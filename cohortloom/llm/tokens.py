@@ -7,6 +7,10 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from cohortloom.llm.common import kept
 
 #: Where a text can be cut and encoded in parts: before white space that follows something else, and before a stop or
 #: comma that follows a Latin letter or digit (some other letters' small forms end in a mark, which stays with it). No pre-tokenizer of the supported kinds makes a piece that goes on over
@@ -14,8 +18,11 @@ import numpy as np
 CUT = re.compile(r"(?<=\S)(?=[ \t-\r])|(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
 #: The second kind of place, as what stands behind it.
 STOP = re.compile(r"[.,](?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ][.,])")
+#: Stands at these places; not a printable character.
+MARK = "\0"
 #: Parts that are one word each, of which many can be encoded as one text.
-WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
+WORD = re.compile(r"[ \n][A-Za-zÀ-ÖØ-öø-ÿ]+")
+WORDS = re.compile(f"(?<=\0){WORD.pattern}(?=\0)")
 #: Pre-tokenizers and normalizers for which that holds.
 SPLITTERS = {"ByteLevel", "Split", "Sequence"}
 NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace", "Sequence"}
@@ -26,7 +33,7 @@ PATTERNS = {
 }
 HELD = 400_000  # parts that a worker holds, about 90 MB; when they are as many they are forgotten
 LONGEST = 40  # characters of a part that is held
-CHARACTERS = 1 << 20  # of texts that are in parts at once, or one text
+CHARACTERS = 1 << 21  # of texts that are in parts at once, or one text
 AT_ONCE = 4096  # parts that the library is given at once
 JOINED = 256  # parts that are encoded as one text
 
@@ -54,26 +61,48 @@ def can_be_cut(spec: dict) -> bool:
     return bool(spec.get("pre_tokenizer")) and not any(t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
 
 
-def parts_of(text: str) -> list[str]:
-    """A text cut at every place of ``CUT``.
+def marked_parts(text: str) -> str | None:
+    """A text with ``MARK`` at every place of ``CUT``, or None if it isn't as most are.
 
-    Texts in which spaces and line ends all stand alone, as in most, are cut without looking at each place.
+    In those spaces and line ends all stand alone, so that not each place need be looked at.
     """
     line = text.replace("\n", " ")
     if not line.isprintable() or "  " in line or line.startswith(" "):
-        return CUT.split(text)
-    marked = STOP.sub("\0\\g<0>", text) if "." in text or "," in text else text
-    return marked.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        return None
+    marked = STOP.sub(f"{MARK}\\g<0>", text) if "." in text or "," in text else text
+    return marked.replace(" ", f"{MARK} ").replace("\n", f"{MARK}\n")
+
+
+def parts_of(text: str) -> list[str]:
+    """A text cut at every place of ``CUT``."""
+    marked = marked_parts(text)
+    return CUT.split(text) if marked is None else marked.split(MARK)
+
+
+def words_among(parts: list[str]) -> list[str]:
+    """Those of ``parts`` that are a ``WORD``."""
+    joined = MARK.join(["", *parts, ""])
+    if joined.count(MARK) == len(parts) + 1:
+        return WORDS.findall(joined)
+    return [p for p in parts if WORD.fullmatch(p)]
+
+
+def _strings(found: pa.Array) -> list[str]:
+    """Strings of Arrow as a list; by one long string, if none has a ``MARK``."""
+    if not len(found) or pc.any(pc.match_substring(found, MARK)).as_py():
+        return found.to_pylist()
+    every = pa.ListArray.from_arrays([0, len(found)], found)
+    return pc.binary_join(every, pa.scalar(MARK, found.type))[0].as_py().split(MARK)
 
 
 def word_marks(spec: dict, tokenizer) -> tuple[np.ndarray, bool] | None:
     """Which ids stand at one end of every word, and whether that is its first id; None if unknown for this file.
 
-    Words are those of ``WORD``: each is one piece, which opens with the byte of its space or closes with the
-    model's suffix.
+    Words are those of ``WORD``: each is one piece, which opens with the byte of its space (a line end is a piece of
+    its own before it) or closes with the model's suffix.
     """
     suffix, pre = spec["model"].get("end_of_word_suffix"), spec["pre_tokenizer"]
-    if any(re.fullmatch(r"[A-Za-zÀ-ÖØ-öø-ÿ ]+", t["content"]) for t in spec["added_tokens"]):
+    if any(re.fullmatch(r"[A-Za-zÀ-ÖØ-öø-ÿ \n]+", t["content"]) for t in spec["added_tokens"]):
         return None
     if pre["type"] == "ByteLevel" and pre.get("use_regex", True) and not suffix and not spec.get("normalizer"):
         opens = True
@@ -83,7 +112,7 @@ def word_marks(spec: dict, tokenizer) -> tuple[np.ndarray, bool] | None:
         return None
     marks = np.zeros(tokenizer.get_vocab_size(), bool)
     for token, i in tokenizer.get_vocab().items():
-        marks[i] = token.startswith("Ġ") if opens else token.endswith(suffix)
+        marks[i] = token.startswith(("Ġ", "Ċ")) if opens else token.endswith(suffix)
     return marks, opens
 
 
@@ -113,10 +142,11 @@ class Encoder:
         """Ids of parts, as bytes: words joined, where it is known which ids open or close one, others as a list."""
         out: dict[str, bytes] = {}
         if self.marks:
-            words = [p for p in parts if WORD.fullmatch(p)]
+            words = words_among(parts)
             for at in range(0, len(words), AT_ONCE):
                 self._joined(words[at : at + AT_ONCE], out)
-            parts = [p for p in parts if p not in out]
+            if len(out) < len(parts):
+                parts = [p for p in parts if p not in out]
         for at in range(0, len(parts), AT_ONCE):
             self._listed(parts[at : at + AT_ONCE], out)
         return out
@@ -133,8 +163,7 @@ class Encoder:
             places = np.flatnonzero(marks[ids])
             bounds = [*(width * places).tolist(), len(data)] if opens else [0, *(width * (places + 1)).tolist()]
             if len(bounds) == len(some) + 1 and bounds[0] == 0 and bounds[-1] == len(data):
-                for word, start, end in zip(some, bounds, bounds[1:]):
-                    out[word] = data[start:end]
+                out.update(zip(some, map(data.__getitem__, map(slice, bounds, bounds[1:]))))
 
     def _listed(self, parts: list[str], out: dict[str, bytes]) -> None:
         """Encodes a list as words cut beforehand; each id tells its word."""
@@ -155,19 +184,39 @@ class Encoder:
         texts = [t or "" for t in texts]
         if not self.cut:
             return [self._whole(t) if t else np.zeros(0, self.dtype) for t in texts]
-        parts = [parts_of(t) if t else [] for t in texts]
+        marked = [marked_parts(t) if t else None for t in texts]
+        plain = [k for k, m in enumerate(marked) if m is not None]
+        odd = [k for k, m in enumerate(marked) if m is None and texts[k]]
+        cut = pc.split_pattern(pa.array([marked[k] for k in plain], pa.large_string()), MARK)
+        others = [CUT.split(texts[k]) for k in odd]
+        # Different parts are looked up; how they follow one another stays in Arrow.
+        coded = pa.concat_arrays(
+            [cut.flatten(), pa.array([p for own in others for p in own], pa.large_string())]
+        ).dictionary_encode()
+        found = self._looked_up(_strings(coded.dictionary))
+        joined = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, places, data = joined.buffers()
+        ids = np.frombuffer(data, self.dtype) if data else np.zeros(0, self.dtype)
+        places = np.frombuffer(places, np.int64, len(joined) + 1) // ids.itemsize if len(joined) else np.zeros(1, np.int64)
+        many = np.concatenate([pc.list_value_length(cut).to_numpy(), [len(own) for own in others]]).astype(np.int64)
+        bounds = places[np.concatenate([[0], np.cumsum(many)])].tolist()
+        out = [ids[:0]] * len(texts)
+        for k, start, end in zip([*plain, *odd], bounds, bounds[1:]):
+            out[k] = ids[start:end]
+        return out
+
+    def _looked_up(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts, as bytes; those that aren't held are encoded, and held from then on."""
         held = self.held
-        found = [[*map(held.get, own)] for own in parts]
-        lacking = [k for k, got in enumerate(found) if None in got]
-        new = {p for k in lacking for p, ids in zip(parts[k], found[k]) if ids is None}
-        more = self._encoded(list(new)) if new else {}
-        if len(held) + len(more) > HELD:
-            held = {p: ids for own, got in zip(parts, found) for p, ids in zip(own, got) if ids is not None}
-        held.update((p, ids) for p, ids in more.items() if len(p) <= LONGEST)
-        self.held = held if len(held) <= HELD else {}
-        for k in lacking:
-            found[k] = [more[p] if ids is None else ids for p, ids in zip(parts[k], found[k])]
-        return [np.frombuffer(b"".join(got), self.dtype) for got in found]
+        found = [*map(held.get, parts)]
+        more = self._encoded([p for p, ids in zip(parts, found) if ids is None])
+        if more:
+            if len(held) + len(more) > HELD:
+                held = {p: ids for p, ids in zip(parts, found) if ids is not None}
+            held.update((p, ids) for p, ids in more.items() if len(p) <= LONGEST)
+            self.held = held if len(held) <= HELD else {}
+            found = [more[p] if ids is None else ids for p, ids in zip(parts, found)]
+        return found
 
     def ids(self, text: str | None) -> np.ndarray:
         return self.ids_of([text])[0]
@@ -184,14 +233,9 @@ class Encoder:
         yield from self.ids_of(some)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder for a file, kept between tasks that encode."""
+    return kept(f"encoder of {path}", lambda: Encoder(path))
 
 
 def tokenizer_path(name: str) -> str:
