@@ -49,10 +49,11 @@ def build(
     for plane in reversed(range(planes)):
         ones = (now >> plane & 1).astype(bool)
         bits = np.packbits(ones)
-        out.append(SECTION.pack(len(ids) - int(ones.sum())))
+        zeros, others = np.flatnonzero(~ones), np.flatnonzero(ones)
+        out.append(SECTION.pack(len(zeros)))
         section(bits.tobytes())
         section(_ranks(bits).astype("<u4").tobytes())
-        now = np.concatenate([now[~ones], now[ones]])
+        now = np.concatenate([now[zeros], now[others]])  # by places: several times as fast as by a mask
     return b"".join(out)
 
 
@@ -156,14 +157,14 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order: partitions are undone from the last plane up."""
-        value = np.zeros(self.n, np.uint32)
+        value = np.zeros(self.n, np.uint16 if self.planes <= 16 else np.uint32)
         for k in reversed(range(self.planes)):
-            ones = np.unpackbits(self.bits[k], count=self.n).astype(bool)
+            ones = np.unpackbits(self.bits[k], count=self.n).view(bool)
             earlier = np.empty_like(value)
-            earlier[~ones] = value[: self.zeros[k]]
-            earlier[ones] = value[self.zeros[k] :] | np.uint32(1 << (self.planes - 1 - k))
+            earlier[np.flatnonzero(~ones)] = value[: self.zeros[k]]
+            earlier[np.flatnonzero(ones)] = value[self.zeros[k] :] | value.dtype.type(1 << (self.planes - 1 - k))
             value = earlier
-        return value
+        return value.astype(np.uint32, copy=False)
 
 
 def write_shards(
