@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.llm.common import normal_words, text_hash, written
+from cohortloom.llm.common import let_go, normal_words, text_hash, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -20,7 +20,7 @@ BLOCK_BITS = 64 // BLOCKS
 GROWTH = 1.4  # window sizes grow by this factor
 SHIFT = 2  # an item shorter than a shingle may begin so many words off
 BLOCK_WORDS = 200_000  # words of benchmark items that are searched for in one pass over the documents
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 16  # words whose windows are looked up at once; their bit counts take some 500 bytes a word
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -286,6 +286,7 @@ def _leaks(
         shared = spark.sparkContext.broadcast([(r[0], normal_words(r[1])) for r in block.collect()])
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            let_go()
             index = ItemIndex(sorted(shared.value, key=lambda x: (x[0] is None, x[0], x[1])))
 
             def found(ids: list, own: list, texts: list[list[bytes]]) -> pd.DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.llm.common import normal_words, partitions, text_hash, written
+from cohortloom.llm.common import let_go, normal_words, partitions, text_hash, written
 from cohortloom.llm.components import components
 from cohortloom.llm.membership import with_possible
 
@@ -126,6 +126,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per document the hash of its text, a 128-bit key of its words, its number of shingles and its band keys."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for batch in batches:
             start, held, bags = 0, 0, []
             keys = []

@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.llm.common import normal_words
+from cohortloom.llm.common import let_go, normal_words
 
 BUCKETS = 1 << 20  # hashed terms
 FACTORS = 8
@@ -21,6 +21,7 @@ PAIR_Z = 6.0  # standard errors by which a term's share must differ among docume
 EPOCHS = 30
 RATE, DECAY, SEED = 0.2, 1e-4, 11
 HELD_OUT_OF = 5
+AT_ONCE = 512  # texts whose terms' factors are looked up at once
 NO_TERMS = 0.25  # the highest score of a model without terms
 
 
@@ -89,7 +90,9 @@ def _in_pairs(docs: list[np.ndarray], y: np.ndarray, terms: np.ndarray, alone: n
     held = np.zeros((len(docs), len(terms)), np.float32)
     for row, ids in enumerate(docs):
         held[row, np.flatnonzero(np.isin(terms, ids, assume_unique=True))] = 1
-    both_toxic, both_rest = held[y == 1].T @ held[y == 1], held[y == 0].T @ held[y == 0]
+    of_toxic = held[y == 1]
+    both_toxic = of_toxic.T @ of_toxic
+    both_rest = held.T @ held - both_toxic  # whole numbers of documents, exact as such
     z = _two_shares(
         both_toxic, np.diag(both_toxic)[:, None], both_rest, np.diag(both_rest)[:, None]
     )  # by row: among documents that hold that row's term
@@ -174,6 +177,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     picked = picked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for batch in batches:
             yield pd.DataFrame(
                 {
@@ -198,6 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Fit in one task on the bounded sample; only the model reaches the driver."""
 
     def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         pdf = pdf.sort_values(["toxic", "terms"])
         model = fit([np.frombuffer(t, "<u4") for t in pdf["terms"]], pdf["toxic"].to_numpy())
         return pd.DataFrame([model.to_row()])
@@ -226,9 +231,12 @@ def score_texts(
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         machine = FactorizationMachine.from_row(shared.value)
         for texts in batches:
-            yield pd.Series(machine.scores([term_ids(t) for t in texts]) if len(texts) else [], dtype="float64")
+            some = (texts.iloc[k : k + AT_ONCE] for k in range(0, len(texts), AT_ONCE))
+            found = [machine.scores([term_ids(t) for t in own]) for own in some]
+            yield pd.Series(np.concatenate(found) if found else [], dtype="float64")
 
     return docs.withColumn(score_col, score(F.col(text_col)))
 
