@@ -19,7 +19,7 @@ from cohortloom.operators.exits import first_exit
 from cohortloom.operators.rules import (
     ASKED, NEXT_DEATH, NO_CODESET, answered, criterion_codesets, mask_of_answers, meets_all_rules, questions, targets,
 )
-from cohortloom.operators.timeline import has_look_back, keep_first, observation_spans, place_in_periods
+from cohortloom.operators.timeline import has_look_back, keep_first, observation_spans, person_parts, place_in_periods
 from cohortloom.session import local_frame
 from cohortloom.sources.tables import Tables
 
@@ -95,7 +95,8 @@ def qualified_events(tables: Tables, codes: Codes, definitions: Sequence[CohortD
     days = tagged_event_days(
         tables, _codesets_by_domain(definitions), codes.concepts, codes.sources, codes.small, codes.pushed
     )
-    placed = place_in_periods(days, observation_spans(tables["observation_period"]))
+    parts = person_parts(days, tables["observation_period"])
+    placed = place_in_periods(days, observation_spans(tables["observation_period"], parts), parts)
     codesets = F.when(F.col("domain") == DEATH, F.array(F.lit(NO_CODESET).cast("bigint"))).otherwise(F.col("codesets"))
     met = (
         placed.select("*", F.explode(codesets).alias("codeset_id"))

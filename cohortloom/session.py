@@ -58,6 +58,26 @@ def fits_broadcast(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> boo
     return stored.count() <= max_rows
 
 
+def bytes_read(df: DataFrame) -> int:
+    """Bytes of all files and local rows that a frame is made from, by Spark's statistics of its sources.
+
+    A source that is read twice counts twice. No job is started. Sources of unknown size, as databases are, count as nothing.
+    """
+    unknown = df._jdf.sparkSession().sessionState().conf().defaultSizeInBytes()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < unknown)
+
+
+def parts_for(size: int, *frames: DataFrame, least: int = 1) -> int:
+    """A number of partitions for rows made from frames: one for so many bytes read.
+
+    It is at least ``least`` for each that the session has for shuffles.
+    """
+    own = least * int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(own, -(-sum(map(bytes_read, frames)) // size))
+
+
 def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str) -> DataFrame:
     """Settings as a local relation, which Catalyst can fold and broadcast without a job."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -15,10 +15,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortloom.functions.strata import FEMALE_CONCEPT, MALE_CONCEPT
+from cohortloom.session import parts_for
 from cohortloom.sources.tables import Tables
 
 PART_BASE = 10_000
 BRAND_BASE = 100
+# Bytes of lines and orders for each partition of their join.
+BYTES_JOINED = 32 << 20
 SPLIT_DAY = dt.date(1998, 7, 1)
 DEATH_LEAD_DAYS = 200
 
@@ -45,7 +48,8 @@ def retail_tables(spark: SparkSession, root: str) -> Tables:
     lines = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag",
         F.col("l_shipdate").cast("date").alias("ship_date"),
-    ).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    )
+    lines = _joined_evenly(lines, "l_orderkey", orders, "o_orderkey")
     return {
         "person": _person(customer),
         "observation_period": _observation_period(orders),
@@ -59,6 +63,14 @@ def retail_tables(spark: SparkSession, root: str) -> Tables:
     }
 
 
+def _joined_evenly(lines: DataFrame, key: str, orders: DataFrame, order_key: str) -> DataFrame:
+    """Lines with their order. Where tables are too large for the session's partitions, both are dealt into more."""
+    parts = parts_for(BYTES_JOINED, lines, orders)
+    if parts > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        lines, orders = lines.repartition(parts, key), orders.repartition(parts, order_key)
+    return lines.join(orders, F.col(key) == F.col(order_key))
+
+
 def _person(customer: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     return customer.select(

@@ -1,9 +1,14 @@
 """What tasks sort behind the join of days with periods: few partitions' worth each, and rows of numbers only."""
 
+import datetime as dt
+
 from cohortloom.model import AT_LEAST, DRUG, CohortDefinition, Criterion, Rule
 from cohortloom.operators.events import CONDITION, DRUG_SOURCE
+from cohortloom.operators import timeline
 from cohortloom.operators.timeline import SPREAD
 from cohortloom.plans.cohorts import qualified_events
+from cohortloom.session import bytes_read, local_frame, parts_for
+from cohortloom.sources import retail
 
 from test_cohorts import CANCER, INDICATED, PATCH, codes, condition, exposure, period
 from helpers import rows
@@ -42,3 +47,43 @@ def test_one_row_a_cohort_day_and_period(spark, make_tables):
     found = rows(events(spark, make_tables), "cohort_id", "start_date", "op_start_date", "n_events")
     assert len(found) == len({r[:3] for r in found}) == 8
     assert [r[3] for r in found if str(r[1]) == "2013-03-03"] == [3] * 4
+
+
+def test_large_tables_are_dealt_into_more_partitions_with_the_same_rows(spark, make_tables, monkeypatch):
+    few = rows(events(spark, make_tables))
+    monkeypatch.setattr(timeline, "BYTES_READ", 4)
+    found = events(spark, make_tables)
+    assert found.rdd.getNumPartitions() > 2 * SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows(found) == few
+
+
+def test_bytes_read_are_those_of_files_and_unknown_sources_count_as_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    stored = spark.read.parquet(path)
+    assert bytes_read(stored.where("id > 3").groupBy("id").count()) == size
+    assert bytes_read(stored.union(stored)) == 2 * size
+    assert bytes_read(spark.createDataFrame(stored.rdd, stored.schema)) == 0
+    assert parts_for(size // 100, stored) > 99
+    assert parts_for(1 << 40, stored, least=3) == 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_large_lines_and_orders_are_joined_in_more_partitions_with_the_same_rows(spark, monkeypatch, tmp_path):
+    lines = [(i % 40, i % 7, 1 + i % 5, 2.0, "N", dt.datetime(1997, 1, 1 + i % 28)) for i in range(100)]
+    orders = [(i, i % 9, dt.datetime(1997, 1, 1)) for i in range(35)]
+    for name, some, schema in (
+        ("lineitem", lines, "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+         "l_returnflag string, l_shipdate timestamp_ntz"),
+        ("orders", orders, "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"),
+        ("customer", [(1, 2.0)], "c_custkey bigint, c_acctbal double"),
+        ("part", [(1, "Brand#1", 3)], "p_partkey bigint, p_brand string, p_size int"),
+    ):
+        local_frame(spark, some, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    joined = {}
+    for size in (retail.BYTES_JOINED, 100):
+        monkeypatch.setattr(retail, "BYTES_JOINED", size)
+        joined[size] = retail.retail_tables(spark, str(tmp_path))["condition_occurrence"]
+    assert joined[100].rdd.getNumPartitions() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few, many = map(rows, joined.values())
+    assert few and few == many
