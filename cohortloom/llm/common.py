@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 T = TypeVar("T")
@@ -30,7 +32,17 @@ def kept(name: str, make: Callable[[], T]) -> T:
 
 def let_go() -> None:
     """Frees what the worker has kept; tasks that have no use for it begin with this, as workers outlive stages."""
-    _KEPT.clear()
+    if _KEPT:
+        _KEPT.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, which the worker would else hold for as long as it lives."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortloom.llm.common import let_go, normal_words
+from cohortloom.llm.common import give_back, let_go, normal_words
 
 BUCKETS = 1 << 20  # hashed terms
 FACTORS = 8
@@ -22,6 +22,7 @@ EPOCHS = 30
 RATE, DECAY, SEED = 0.2, 1e-4, 11
 HELD_OUT_OF = 5
 AT_ONCE = 512  # texts whose terms' factors are looked up at once
+PAIRED_AT_ONCE = 2048  # documents whose terms are looked at in pairs at once
 NO_TERMS = 0.25  # the highest score of a model without terms
 
 
@@ -48,11 +49,10 @@ class FactorizationMachine:
         return rows[slots >= 0], slots[slots >= 0]
 
     def logits(self, rows: np.ndarray, slots: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Logits, and each document's sum of factors."""
+        """Logits, and each document's sum of factors, by one factor at a time."""
         linear = np.bincount(rows, self.weights[slots], n)
-        v = self.factors[slots]
-        sums = np.stack([np.bincount(rows, v[:, k], n) for k in range(v.shape[1])], 1)
-        squares = np.bincount(rows, (v * v).sum(1), n)
+        sums = np.stack([np.bincount(rows, own[slots], n) for own in self.factors.T], 1)
+        squares = np.bincount(rows, (self.factors * self.factors).sum(1)[slots], n)
         return self.bias + linear + 0.5 * ((sums * sums).sum(1) - squares), sums
 
     def scores(self, docs: list[np.ndarray]) -> np.ndarray:
@@ -87,12 +87,16 @@ def _two_shares(a: np.ndarray, n_a, b: np.ndarray, n_b) -> np.ndarray:
 
 def _in_pairs(docs: list[np.ndarray], y: np.ndarray, terms: np.ndarray, alone: np.ndarray) -> np.ndarray:
     """Which of some terms tell toxic documents apart only among documents that hold another, or are that other one."""
-    held = np.zeros((len(docs), len(terms)), np.float32)
-    for row, ids in enumerate(docs):
-        held[row, np.flatnonzero(np.isin(terms, ids, assume_unique=True))] = 1
-    of_toxic = held[y == 1]
-    both_toxic = of_toxic.T @ of_toxic
-    both_rest = held.T @ held - both_toxic  # whole numbers of documents, exact as such
+    both_toxic, both = np.zeros((2, len(terms), len(terms)), np.float32)  # whole numbers of documents, exact as such
+    for at in range(0, len(docs), PAIRED_AT_ONCE):
+        some = docs[at : at + PAIRED_AT_ONCE]
+        held = np.zeros((len(some), len(terms)), np.float32)
+        for row, ids in enumerate(some):
+            held[row, np.flatnonzero(np.isin(terms, ids, assume_unique=True))] = 1
+        of_toxic = held[y[at : at + PAIRED_AT_ONCE] == 1]
+        both_toxic += of_toxic.T @ of_toxic
+        both += held.T @ held
+    both_rest = both - both_toxic
     z = _two_shares(
         both_toxic, np.diag(both_toxic)[:, None], both_rest, np.diag(both_rest)[:, None]
     )  # by row: among documents that hold that row's term
@@ -109,8 +113,9 @@ def gradient(
     z, sums = model.logits(rows, slots, n)
     err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
     each = err[rows]
-    pull = each[:, None] * (sums[rows] - model.factors[slots])
-    d_v = np.stack([np.bincount(slots, pull[:, k], terms) for k in range(FACTORS)], 1) / n
+    # One factor at a time, so that no array has more numbers than documents have terms.
+    pulls = (each * (own[rows] - factor[slots]) for own, factor in zip(sums.T, model.factors.T))
+    d_v = np.stack([np.bincount(slots, pull, terms) for pull in pulls], 1) / n
     return (
         err.mean(),
         np.bincount(slots, each, terms) / n + DECAY * model.weights,
@@ -135,9 +140,10 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
     empty = FactorizationMachine(np.zeros(0, np.uint32), low, np.zeros(0), np.zeros((0, FACTORS)))
     if not 0 < toxic < n:
         return empty
-    flat, owner = np.concatenate(docs), np.repeat(y, [len(d) for d in docs])
-    found, where, seen = np.unique(flat, return_inverse=True, return_counts=True)
-    of_toxic = np.bincount(where, owner, len(found))
+    in_all = np.bincount(np.concatenate(docs), minlength=BUCKETS)
+    in_toxic = np.bincount(np.concatenate([d for d, own in zip(docs, y) if own]), minlength=BUCKETS)
+    found = np.flatnonzero(in_all).astype(np.uint32)
+    seen, of_toxic = in_all[found], in_toxic[found].astype(np.float64)
     rest = seen - of_toxic
     z = _two_shares(of_toxic, toxic, rest, n - toxic)
     alone = (seen >= MIN_ROWS) & (np.abs(z) >= MIN_Z)
@@ -204,8 +210,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
         let_go()
         pdf = pdf.sort_values(["toxic", "terms"])
-        model = fit([np.frombuffer(t, "<u4") for t in pdf["terms"]], pdf["toxic"].to_numpy())
-        return pd.DataFrame([model.to_row()])
+        row = fit([np.frombuffer(t, "<u4") for t in pdf["terms"]], pdf["toxic"].to_numpy()).to_row()
+        give_back()
+        return pd.DataFrame([row])
 
     sample = training_rows(docs, labels, sample_rows)
     rows = (

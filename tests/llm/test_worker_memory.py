@@ -1,8 +1,10 @@
 """What a worker holds at once, and from one task to the next."""
 
+import os
 import tracemalloc
 
 import numpy as np
+import pytest
 
 from cohortloom.llm import common, decontamination, toxicity
 
@@ -39,3 +41,30 @@ def test_pairs_of_terms_take_little_more_than_their_table():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 2.2 * table
+
+
+def _resident():
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/statm"), reason="needs Linux")
+def test_what_is_let_go_goes_back_to_the_system():
+    common.let_go()
+    pins = []
+    # Blocks that the worker frees lie between others that it still holds.
+    common.kept("blocks", lambda: [bytes(20_000) for k in range(6000) if not pins.append(bytes(2000))])
+    before = _resident()
+    common.let_go()
+    assert before - _resident() > 50e6
+
+
+def test_a_fit_takes_few_numbers_for_each_term_of_a_document():
+    rng = np.random.default_rng(3)
+    labels = (np.arange(4000) % 5 == 0).astype(int)
+    docs = [np.unique(rng.integers(400 * k, 400 * k + 600, 200)).astype(np.uint32) for k in labels]
+    tracemalloc.start()
+    toxicity.fit(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 105 * sum(map(len, docs))
