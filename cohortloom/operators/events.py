@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortloom.functions.dates import event_end
+from cohortloom.session import beyond_broadcast, parts_for
 from cohortloom.sources.tables import Tables
 
 
@@ -51,6 +52,8 @@ DOMAINS: Mapping[str, Domain] = {
 
 # As many codes are listed in a scan's filter; more are filtered by their range.
 LISTED_CODES = 1000
+# Bytes of a domain's files for each partition that its events are counted in.
+BYTES_COUNTED = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -140,16 +143,22 @@ def codesets_by_code(codes: DataFrame, domain_name: str) -> DataFrame:
     )
 
 
+_COUNTED = ["domain", "codesets", "person_id", "start_date"]
+
+
 def event_days(events: DataFrame) -> DataFrame:
     """Events counted by person, start date and codesets.
 
     Everything after entry depends on the start date alone, so equal days are
     added up before any shuffle by person. A person then has at most one row per
-    calendar day and combination of codesets, however many events they have.
+    calendar day and combination of codesets, however many events they have. Where tables are too large
+    for the session's partitions, events are dealt by person and day into more, so that a task counts as much
+    however large they are; events of a day then meet behind that shuffle.
     """
-    return events.groupBy("domain", "codesets", "person_id", "start_date").agg(
-        F.count(F.lit(1)).alias("n_events")
-    )
+    parts = parts_for(BYTES_COUNTED, events)
+    if parts > int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        events = events.select(*_COUNTED).repartition(parts, "person_id", "start_date")
+    return events.groupBy(*_COUNTED).agg(F.count(F.lit(1)).alias("n_events"))
 
 
 def tagged_event_days(
@@ -163,7 +172,8 @@ def tagged_event_days(
     """Event days of every codeset in use, and of deaths, reading each domain's table once.
 
     ``used`` maps domain names to the codesets needed from that domain. Codes known to
-    be few (``small_codes``) are broadcast; otherwise Spark chooses the join. What is known of the codes
+    be few (``small_codes``) are broadcast; otherwise Spark chooses the join, but codes read from more than it would
+    broadcast are hashed, so that the events, which are many more, aren't sorted. What is known of the codes
     (``pushed``) reaches the scans as a filter, so files and databases return little else than the study's events.
     """
     found = []
@@ -177,7 +187,11 @@ def tagged_event_days(
         if pushed and domain.source_coded in pushed:
             limit = pushed[domain.source_coded].condition(F.col(domain.code), wanted)
             read = {**tables, domain.table: tables[domain.table].where(limit)}
-        found.append(event_days(domain_events(read, domain_name, F.broadcast(tagged) if small_codes else tagged)))
+        if small_codes:
+            tagged = F.broadcast(tagged)
+        elif beyond_broadcast(tagged):
+            tagged = tagged.hint("shuffle_hash")
+        found.append(event_days(domain_events(read, domain_name, tagged)))
     if "death" in tables:
         deaths = death_events(tables["death"]).select(
             F.lit(DEATH).alias("domain"), F.array().cast("array<bigint>").alias("codesets"), "person_id", "start_date"

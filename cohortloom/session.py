@@ -69,6 +69,12 @@ def bytes_read(df: DataFrame) -> int:
     return sum(size for size in sizes if size < unknown)
 
 
+def beyond_broadcast(df: DataFrame) -> bool:
+    """Whether a frame is made from more bytes than Spark broadcasts by itself. With broadcasts off, no frame is."""
+    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= limit < bytes_read(df)
+
+
 def parts_for(size: int, *frames: DataFrame, least: int = 1) -> int:
     """A number of partitions for rows made from frames: one for so many bytes read.
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from cohortloom.model import AT_LEAST, DRUG, CohortDefinition, Criterion, Rule
 from cohortloom.operators.events import CONDITION, DRUG_SOURCE
-from cohortloom.operators import timeline
+from cohortloom.operators import events as event_tables, timeline
 from cohortloom.operators.timeline import SPREAD
 from cohortloom.plans.cohorts import qualified_events
 from cohortloom.session import bytes_read, local_frame, parts_for
@@ -87,3 +87,37 @@ def test_large_lines_and_orders_are_joined_in_more_partitions_with_the_same_rows
     assert joined[100].rdd.getNumPartitions() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     few, many = map(rows, joined.values())
     assert few and few == many
+
+
+def test_event_days_of_large_tables_are_counted_in_more_partitions_with_the_same_rows(spark, monkeypatch):
+    day = dt.date(2013, 3, 3)
+    found = [("condition", [7], i % 9 or None, day + dt.timedelta(i % 40), None) for i in range(200)] * 3
+    found += [("condition", [7], 1, None, None), ("condition", None, 1, day, None)]
+    frame = local_frame(
+        spark, found, "domain string, codesets array<bigint>, person_id bigint, start_date date, end_date date"
+    )
+    days = {}
+    for size in (event_tables.BYTES_COUNTED, 64):
+        monkeypatch.setattr(event_tables, "BYTES_COUNTED", size)
+        days[size] = event_tables.event_days(frame)
+    assert days[64].rdd.getNumPartitions() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few, many = (sorted(map(repr, df.collect())) for df in days.values())
+    assert few and few == many
+
+
+def test_codes_too_large_to_broadcast_are_hashed_and_events_not_sorted(spark, make_tables):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    broadcast = events(spark, make_tables)
+    expected = rows(broadcast)
+    assert "ShuffledHashJoin" not in plan(broadcast)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16")
+    try:
+        found = events(spark, make_tables)
+        assert "ShuffledHashJoin [condition_concept_id" in plan(found)
+        assert "SortMergeJoin [condition_concept_id" not in plan(found)
+        assert rows(found) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
