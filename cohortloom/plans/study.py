@@ -19,9 +19,10 @@ from cohortloom.operators.dose import Strength, dose_summary
 from cohortloom.operators.events import DOMAINS, pushed_codes
 from cohortloom.operators.margins import add_margins
 from cohortloom.operators.profile import diagnosis_profile
+from cohortloom.operators.timeline import BYTES_READ, by_person
 from cohortloom.plans.cohorts import Codes, cohorts_of, qualified_events
 from cohortloom.schemas import COHORT, DATASET_COUNTS, RATES_MONTH, RATES_YEAR
-from cohortloom.session import fits_broadcast, local_frame
+from cohortloom.session import fits_broadcast, local_frame, parts_for
 from cohortloom.sources import store
 from cohortloom.sources.buckets import BucketedTable
 from cohortloom.sources.digest import group_digests, table_digests
@@ -340,11 +341,14 @@ def write_rule_impact(
         own = [ruled[i] for i in ids if i in ruled]
         catalogue = impact.rule_catalogue(spark, own)
         events = _of(qualified, "cohort_id", [d.cohort_id for d in own])
+        # Best events are sorted; dealt by person, a task's share doesn't grow with the files.
+        dealt = by_person(events, parts_for(BYTES_READ, events))
 
         def save(frames: list[DataFrame], path: str) -> None:
             store.replace_slices(frames[0].unionByName(frames[1]), path, store.IMPACT_KEYS, slices)
 
-        save([impact.inclusion_result(events, m) for m in modes], paths["inclusion_result"])
+        found = [impact.inclusion_result(df, m) for df, m in zip((events, dealt), modes)]
+        save(found, paths["inclusion_result"])
         stored = _of(spark.read.schema(schema).parquet(paths["inclusion_result"]), "cohort_definition_id", ids)
         results = {m: stored.where(stored["mode_id"] == m) for m in modes}
         save([impact.inclusion_stats(results[m], catalogue, m) for m in modes], paths["inclusion_stats"])

@@ -4,8 +4,9 @@ import datetime as dt
 
 from cohortloom.model import AT_LEAST, DRUG, CohortDefinition, Criterion, Rule
 from cohortloom.operators.events import CONDITION, DRUG_SOURCE
-from cohortloom.operators import events as event_tables, timeline
+from cohortloom.operators import events as event_tables, impact, timeline
 from cohortloom.operators.timeline import SPREAD
+from cohortloom.plans import study
 from cohortloom.plans.cohorts import qualified_events
 from cohortloom.session import bytes_read, local_frame, parts_for
 from cohortloom.sources import retail
@@ -121,3 +122,24 @@ def test_codes_too_large_to_broadcast_are_hashed_and_events_not_sorted(spark, ma
         assert rows(found) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_best_events_of_large_files_are_dealt_by_person_with_the_same_rows(spark, make_tables, monkeypatch, tmp_path):
+    events(spark, make_tables).write.parquet(f"{tmp_path}/qualified")
+    qualified, real = spark.read.parquet(f"{tmp_path}/qualified"), impact.inclusion_result
+    parts, results = {}, []
+    for size in (study.BYTES_READ, 64):
+
+        def counted(df, mode):
+            parts[size, mode] = df.rdd.getNumPartitions()
+            return real(df, mode)
+
+        monkeypatch.setattr(study, "BYTES_READ", size)
+        monkeypatch.setattr(impact, "inclusion_result", counted)
+        paths = study.StudyPaths(f"{tmp_path}/{size}")
+        marks = study._Marks(spark, paths["marks"])
+        study.write_rule_impact(qualified, COHORTS, marks, {d.cohort_id: "made" for d in COHORTS}, paths)
+        results.append(rows(spark.read.parquet(paths["inclusion_result"])))
+    assert parts[64, impact.BEST_EVENT] > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few, many = results
+    assert few and few == many
