@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortloom.llm.common import partitions, written
@@ -14,7 +17,15 @@ SCALE = 1024
 SLICES = 2  # lists that a whole score is the sum of
 ROW_BLOCK = 4096
 QUERY_BLOCK = 512
-EXACT = 1 << 53  # integers up to here are exact as float64
+BLOCK_COMPONENTS = 1 << 18  # blocks of long vectors have fewer of them
+CELL_NUMBERS = 1 << 23  # of the queries that a task holds, with their entries
+STRIP = 64  # queries of a block whose entries are looked at together
+DENSE = 16  # as many entries of one product cost what one entry does that is scored by itself
+EXACT = {np.float32: 1 << 24, np.float64: 1 << 53}  # integers up to here are exact
+# A scratch file's groups of rows are read at once, and Parquet would look at their size after 100 blocks only.
+SMALL_GROUPS = {
+    "parquet.block.size": 1 << 24, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1
+}
 LIMB = 20  # bits of the parts that larger components are multiplied in
 LARGEST = (1 << 63) - 1
 NO_CUTOFF = -LARGEST - 1
@@ -40,7 +51,7 @@ def vector_classes(vectors: DataFrame, k: int) -> DataFrame:
     """Distinct vectors with their k + 1 smallest ids, which are all that a top-k can need: vector, ids, class.
 
     However many rows share a vector, each task sends k + 1 of them at most. Classes are numbered in order of their
-    smallest id, and those that share it, by rows of one id and several vectors, in order of the vector.
+    smallest id, and those that share it, by rows of one id and several vectors, by a hash.
     """
     smallest = Window.partitionBy("vector").orderBy("id")
     found = (
@@ -50,8 +61,8 @@ def vector_classes(vectors: DataFrame, k: int) -> DataFrame:
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("id")).alias("ids"))
     )
-    # Written first, as the ranges are found from a sample.
-    order = [F.col("ids")[0], F.col("vector")]
+    # Written first, as the ranges are found from a sample, which the driver gets.
+    order = [F.col("ids")[0], F.xxhash64("vector")]
     return (
         written(found)
         .repartitionByRange(partitions(vectors.sparkSession), *order)
@@ -61,38 +72,49 @@ def vector_classes(vectors: DataFrame, k: int) -> DataFrame:
 
 
 def _packed_blocks(classes: DataFrame, size: int, extra: list[str]) -> DataFrame:
-    """Vectors of equal length as blocks of ``size``: dim, block, ids, matrix."""
+    """Vectors of equal length as blocks of ``size`` at most: dim, block, classes, matrix of narrow integers."""
     schema = "dim int, block long, classes binary, matrix binary" + "".join(f", {x} binary" for x in extra)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: dict[int, list] = {}
-        made = 0
-
-        def block(dim: int, rows: list) -> pd.DataFrame:
-            nonlocal made
-            made += 1
-            out = {
-                "dim": np.int32(dim),
-                "block": hash((int(rows[0][0]), made)) & 0x7FFFFFFFFFFFFFFF,
-                "classes": np.array([r[0] for r in rows], "<i8").tobytes(),
-                "matrix": np.array([r[1] for r in rows], "<i8").reshape(len(rows), dim).tobytes(),
-            }
-            for i, x in enumerate(extra):
-                out[x] = np.array([r[2 + i] for r in rows], "<i8").tobytes()
-            return pd.DataFrame([out])
-
+    def block(dim: int, matrix: np.ndarray, numbers: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
+        out = {
+            "dim": pa.array([dim], pa.int32()),
+            "block": pa.array(numbers[:1], pa.int64()),
+            "classes": pa.array([numbers.astype("<i8").tobytes()], pa.binary()),
+            "matrix": pa.array([_narrow(matrix).tobytes()], pa.binary()),
+        }
+        out |= {x: pa.array([m.astype("<i8").tobytes()], pa.binary()) for x, m in zip(extra, more)}
+        return pa.RecordBatch.from_pydict(out)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                held = waiting.setdefault(len(row[1]), [])
-                held.append(row)
-                if len(held) == size:
-                    yield block(len(row[1]), held)
-                    held.clear()
+            vectors, numbers = batch.column("vector"), [batch.column(c).to_numpy() for c in ("class", *extra)]
+            lengths = pc.list_value_length(vectors).to_numpy()
+            for dim in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == dim)
+                matrix = vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), dim)
+                held = [matrix, *(x[at] for x in numbers)]
+                if dim in waiting:
+                    held = [np.concatenate(x) for x in zip(waiting.pop(dim), held)]
+                most = max(1, min(size, BLOCK_COMPONENTS // max(1, dim)))
+                whole = len(held[0]) // most * most
+                for i in range(0, whole, most):
+                    yield block(dim, *(x[i : i + most] for x in held))
+                if whole < len(held[0]):
+                    waiting[dim] = [x[whole:].copy() for x in held]
         for dim, held in waiting.items():
-            if held:
-                yield block(dim, held)
+            yield block(dim, *held)
+
+    return classes.mapInArrow(pack, schema)
 
-    return classes.mapInPandas(pack, schema)
+
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """Integers in as few bytes as hold them all."""
+    for kind in ("<i2", "<i4"):
+        limits = np.iinfo(kind)
+        if a.min(initial=0) >= limits.min and a.max(initial=0) <= limits.max:
+            return a.astype(kind)
+    return a.astype("<i8")
 
 
 def _most(a: np.ndarray) -> int:
@@ -105,24 +127,65 @@ def _limbs(a: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(k, x.astype(np.float64)) for k, x in enumerate(parts) if x.any()]
 
 
+class Block:
+    """Vectors of one length as integers, and what is worked out of them once for all blocks they meet."""
+
+    def __init__(self, matrix: np.ndarray):
+        self.matrix = matrix
+        self._floats: dict[type, np.ndarray] = {}
+        self._norms: dict[tuple[int, int], np.ndarray] = {}
+        self._orders: dict[tuple[int, int], np.ndarray] = {}
+
+    @cached_property
+    def most(self) -> int:
+        return _most(self.matrix)
+
+    @cached_property
+    def longest(self) -> float:
+        return float(self.norms(slice(0, self.matrix.shape[1])).max(initial=0))
+
+    def floats(self, kind: type) -> np.ndarray:
+        if kind not in self._floats:
+            self._floats[kind] = self.matrix.astype(kind)
+        return self._floats[kind]
+
+    def norms(self, s: slice) -> np.ndarray:
+        """Norms of the vectors' parts in a slice, rounded up."""
+        at = s.start, s.stop
+        if at not in self._norms:
+            norm = np.linalg.norm(self.matrix[:, s].astype(np.float64), axis=1)
+            self._norms[at] = np.nextafter(norm * (1 + 1e-9) + 1e-9, np.inf)
+        return self._norms[at]
+
+    def order(self, s: slice) -> np.ndarray:
+        """Places of the vectors in falling order of their norms in a slice."""
+        at = s.start, s.stop
+        if at not in self._orders:
+            self._orders[at] = np.argsort(-self.norms(s), kind="stable")
+        return self._orders[at]
+
+
 class Products:
     """Exact inner products of integer queries and rows, slice by slice.
 
-    Where no whole product can pass 2 ** 53, sums of float64 are exact, and slices are integers of 64 bits.
-    Otherwise components are multiplied in parts of 20 bits, whose sums are exact, and put together
-    as Python's integers. Either way the slices of a pair add up without rounding.
+    Where no sum of products can pass 2 ** 24, or 2 ** 53, sums of float32, or float64, are exact: as products of norms bound
+    the sums of any of their terms. Otherwise components are multiplied in parts of 20 bits, whose sums are exact, and put
+    together as Python's integers. Either way the slices of a pair add up without rounding.
     """
 
-    def __init__(self, queries: np.ndarray, rows: np.ndarray):
-        self.queries, self.rows, dim = queries, rows, rows.shape[1]
-        self.small = _most(queries) * _most(rows) * max(dim, 1) < EXACT
+    def __init__(self, queries: np.ndarray | Block, rows: np.ndarray | Block):
+        self.queries, self.rows = (x if isinstance(x, Block) else Block(x) for x in (queries, rows))
+        dim = self.rows.matrix.shape[1]
+        small = self.queries.most * self.rows.most * max(dim, 1)
+        bound = self.queries.longest * self.rows.longest if small < EXACT[np.float64] else small
+        self.kind = next((x for x, limit in EXACT.items() if min(small, bound) < limit), object)
         edges = np.linspace(0, dim, min(SLICES, max(dim, 1)) + 1).astype(int)
         self.slices = [slice(int(a), int(b)) for a, b in zip(edges, edges[1:])]
 
     def part(self, s: slice, query=slice(None), row=slice(None)) -> np.ndarray:
-        a, b = self.queries[query, s], self.rows[row, s]
-        if self.small:
-            return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+        if self.kind is not object:
+            return self.queries.matrix[query, s].astype(self.kind) @ self.rows.floats(self.kind)[row, s].T
+        a, b = (x.astype(np.int64) for x in (self.queries.matrix[query, s], self.rows.matrix[row, s]))
         out = np.zeros((len(a), len(b)), object)
         for i, x in _limbs(a):
             for j, y in _limbs(b):
@@ -134,64 +197,141 @@ class Products:
         return out
 
     def bounds(self, s: slice) -> tuple[np.ndarray, np.ndarray]:
-        """Norms of queries and rows in a slice, rounded up: their products are no less than any score."""
-        return tuple(
-            np.nextafter(np.linalg.norm(m[:, s].astype(np.float64), axis=1) * (1 + 1e-9) + 1e-9, np.inf)
-            for m in (self.queries, self.rows)
-        )
+        """Norms of queries and rows in a slice: their products are no less than any score."""
+        return self.queries.norms(s), self.rows.norms(s)
 
 
 def _longs(scores: np.ndarray) -> np.ndarray:
     """Scores as longs; those beyond 64 bits are the largest or smallest."""
     if scores.dtype != object:
-        return scores
+        return scores.astype(np.int64)
     return np.array([max(-LARGEST, min(LARGEST, x)) for x in scores.ravel()], np.int64).reshape(scores.shape)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to smaller ids."""
-    if len(scores) > 4 * k:
-        limit = np.partition(scores, len(scores) - k)[len(scores) - k]
-        places = np.flatnonzero(scores >= limit)
-    else:
-        places = np.arange(len(scores))
-    return places[np.lexsort((ids[places], -scores[places]))][:k]
+def _best(queries: np.ndarray, classes: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's k highest scores, ties to smaller classes, in order."""
+    order = np.lexsort((classes, -scores, queries))
+    sorted_queries = queries[order]
+    start = np.flatnonzero(np.diff(sorted_queries, prepend=-1))
+    nth = np.arange(len(order)) - np.repeat(start, np.diff(start, append=len(order)))
+    return order[nth < k]
 
 
 ENTRY = "query long, class long, score long"
 
 
-def _grid(classes: DataFrame, asked: int, groups: int) -> tuple[int, int]:
-    """How often rows are dealt apart, and queries: ``groups`` tasks in all, with the least that is copied."""
+def _grid(classes: DataFrame, asked: int, numbers: int, groups: int) -> tuple[int, int]:
+    """How often rows are dealt apart, and queries: ``groups`` tasks, with the least that is copied.
+
+    There are more if a task would have to hold more than ``CELL_NUMBERS`` of queries.
+    """
     share = asked / max(1, classes.count())
     of_queries = min(groups, max(1, round((groups * share) ** 0.5)))
+    of_queries = max(of_queries, -(-numbers // CELL_NUMBERS))
     return max(1, groups // of_queries), of_queries
 
 
-def _pairs_of_blocks(row_blocks: DataFrame, query_blocks: DataFrame, grid: tuple[int, int]) -> DataFrame:
-    """Each row block next to each query block of the same length of vectors.
+def _dealt(row_blocks: DataFrame, query_blocks: DataFrame, grid: tuple[int, int]) -> DataFrame:
+    """Blocks in the cells of a grid, a task for each: the queries of a length first, then the rows of that length.
 
-    Blocks are dealt to a grid of tasks: a row block goes along its line, a query block along its column.
+    A row block goes to the cells of its line, a query block to those of its column. So each row block meets each
+    query block in one cell, and no pair of blocks is ever a row.
     """
 
-    def dealt(blocks: DataFrame, own: str, number: int, other: str, others: int) -> DataFrame:
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))
-        return blocks.withColumn(own, F.pmod(F.xxhash64("block"), F.lit(number))).withColumn(other, every)
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def own(n: int) -> Column:
+        return F.pmod(F.xxhash64("block"), F.lit(n)).cast("int")
 
-    left = dealt(row_blocks, "line", grid[0], "column", grid[1])
-    right = dealt(query_blocks, "column", grid[1], "line", grid[0]).select(
-        "dim", "line", "column",
+    lines, columns = grid
+    blocks = row_blocks.select("dim", "classes", "matrix", own(lines).alias("line"), every(columns).alias("column"))
+    asked = query_blocks.select(
+        "dim",
         F.col("classes").alias("q_classes"),
         F.col("matrix").alias("q_matrix"),
         *[F.col(c) for c in query_blocks.columns if c == "cutoff"],
+        own(columns).alias("column"),
+        every(lines).alias("line"),
+    )
+    return (
+        blocks.unionByName(asked, allowMissingColumns=True)
+        .withColumn("cell", F.col("line") * columns + F.col("column"))
+        .drop("line", "column")
+        .repartitionById(lines * columns, "cell")
+        .sortWithinPartitions("cell", "dim", F.col("q_classes").isNull())
     )
-    return left.join(right, ["dim", "line", "column"])
 
 
-def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    ids, q_ids = np.frombuffer(row.classes, "<i8"), np.frombuffer(row.q_classes, "<i8")
-    rows = np.frombuffer(row.matrix, "<i8").reshape(len(ids), row.dim)
-    return ids, rows, q_ids, np.frombuffer(row.q_matrix, "<i8").reshape(len(q_ids), row.dim)
+def _unpack(classes: bytes, matrix: bytes, dim: int) -> tuple[np.ndarray, Block]:
+    numbers = np.frombuffer(classes, "<i8")
+    width = len(matrix) // (len(numbers) * dim) if dim else 8
+    return numbers, Block(np.frombuffer(matrix, f"<i{width}").reshape(len(numbers), dim))
+
+
+class Asked:
+    """A block of queries with the k best entries of each that were found so far, and the cutoffs that these allow."""
+
+    def __init__(self, classes: np.ndarray, block: Block, cutoffs: np.ndarray, k: int):
+        self.classes, self.block, self.cutoffs, self.k = classes, block, cutoffs, k
+        self.found: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+
+    def add(self, queries: np.ndarray, classes: np.ndarray, scores: np.ndarray) -> None:
+        """Takes entries by the queries' places in the block."""
+        if len(queries):
+            self.found.append((queries, classes, scores))
+            self.waiting += len(queries)
+        if self.waiting > 2 * self.k * len(self.classes):
+            self.cut()
+
+    def cut(self) -> None:
+        queries, classes, scores = (np.concatenate(x) for x in zip(*self.found))
+        best = _best(queries, classes, scores, self.k)
+        self.found = [(queries[best], classes[best], scores[best])]
+        self.waiting = 0
+        # The k-th of a query is a cutoff for all that its cell has yet to look at.
+        full = np.bincount(queries[best], minlength=len(self.classes)) == self.k
+        last = np.full(len(self.classes), NO_CUTOFF)
+        last[queries[best]] = scores[best]
+        self.cutoffs = np.where(full, np.maximum(self.cutoffs, last), self.cutoffs)
+
+    def entries(self) -> pd.DataFrame:
+        self.cut()
+        ((queries, classes, scores),) = self.found
+        return pd.DataFrame({"query": self.classes[queries], "class": classes, "score": scores}).astype("int64")
+
+
+def _by_cell(entries: Callable, k: int):
+    """Each query's k best of what ``entries`` finds in the row blocks of a cell, whose query blocks come first."""
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, held = None, []
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                here = getattr(row, "cell", None), row.dim
+                if here != place:
+                    yield from (x.entries() for x in held if x.found)
+                    place, held = here, []
+                if row.q_classes is not None:
+                    asked, queries = _unpack(row.q_classes, row.q_matrix, row.dim)
+                    known = getattr(row, "cutoff", None)
+                    cutoffs = np.full(len(asked), NO_CUTOFF) if known is None else np.frombuffer(known, "<i8")
+                    held.append(Asked(asked, queries, cutoffs, k))
+                if row.classes is not None and held:
+                    ids, rows = _unpack(row.classes, row.matrix, row.dim)
+                    for x in held:
+                        x.add(*entries(Products(x.block, rows), ids, x.cutoffs, k))
+        yield from (x.entries() for x in held if x.found)
+
+    return found
+
+
+def _first_entries(products: Products, ids: np.ndarray, cutoffs: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    places = np.unique(np.concatenate([products.rows.order(s)[:k] for s in products.slices]))
+    total = _longs(sum(products.part(s, row=places) for s in products.slices))
+    queries, at = np.divmod(np.flatnonzero(total >= cutoffs[:, None]), len(places))
+    return queries, ids[places[at]], total[queries, at]
 
 
 def _local_lists(k: int):
@@ -199,66 +339,62 @@ def _local_lists(k: int):
 
     A slice's list is in order of the rows' norms in it, so nothing but its first k entries is scored.
     """
-
-    def lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                ids, rows, q_ids, queries = _unpack(row)
-                products = Products(queries, rows)
-                first = [np.argsort(-products.bounds(s)[1], kind="stable")[:k] for s in products.slices]
-                places = np.unique(np.concatenate(first))
-                total = _longs(sum(products.part(s, row=places) for s in products.slices))
-                yield pd.DataFrame(
-                    {
-                        "query": np.repeat(q_ids, len(places)),
-                        "class": np.tile(ids[places], len(q_ids)),
-                        "score": total.ravel(),
-                    }
-                )
-
-    return lists
+    return _by_cell(_first_entries, k)
+
+
+def _sufficient_entries(products: Products, ids: np.ndarray, cutoffs: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    first, others = products.slices[0], products.slices[1:]
+    scored = products.part(first)
+    kind = np.float64 if products.kind is object else products.kind
+    # Cutoffs are rounded down by more than bounds lose, so no entry that reaches its cutoff is left out.
+    largest = products.queries.longest * products.rows.longest + np.abs(cutoffs.astype(np.float64))
+    low = (cutoffs - largest * 16 * float(np.finfo(kind).eps) - 4).astype(kind)[:, None]
+    norms = [tuple(x.astype(kind) for x in products.bounds(s)) for s in others]
+    out = []
+    for start in range(0, len(scored), STRIP):
+        strip = slice(start, min(start + STRIP, len(scored)))
+        seen, limits = scored[strip], cutoffs[strip]
+        most = seen.astype(kind)
+        for q, r in norms:
+            most += q[strip, None] * r
+        able = most >= low[strip]
+        able[limits <= -LARGEST] = True  # every score reaches these
+        rows, number = np.flatnonzero(able.any(axis=0)), np.count_nonzero(able)
+        if number * DENSE >= len(able) * len(rows):
+            whole = seen[:, rows] if len(rows) < len(ids) else seen
+            for s in others:
+                whole = whole + products.part(s, strip, rows)
+            whole = _longs(whole) if products.kind is object else whole
+            reach = whole >= (limits[:, None] if products.kind is object else low[strip])
+            queries, at = np.divmod(np.flatnonzero(reach), max(1, len(rows)))
+            places, whole = rows[at], whole[queries, at]
+        else:
+            queries, places = np.divmod(np.flatnonzero(able), len(ids))
+            whole = seen[queries, places]
+            edges = np.searchsorted(queries, np.arange(len(able) + 1)).tolist()
+            for i, (a, b) in enumerate(zip(edges, edges[1:])):
+                for s in others if a < b else []:
+                    whole[a:b] += products.part(s, slice(start + i, start + i + 1), places[a:b])[0]
+        whole = _longs(whole)
+        reach = whole >= limits[queries]
+        queries, classes, whole = queries[reach], ids[places[reach]], whole[reach]
+        if len(queries) > k * len(able):
+            best = _best(queries, classes, whole, k)
+            queries, classes, whole = queries[best], classes[best], whole[best]
+        out.append((queries + start, classes, whole))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _sufficient(k: int):
     """Phases two and three: entries that can reach the cutoff, then their whole scores.
 
-    Whoever's score is the cutoff t at least has a slice with t / slices at least. So the first slice
-    is scored for all rows of a block; an entry goes on if it, or the bound of another slice, reaches that even
-    share and all together can reach t. Only the scores of these are resolved; of those that reach t, a block's k
-    best can matter.
+    Whoever's score is the cutoff t at least has a slice with t / slices at least. So the first slice is scored for
+    all rows of a block; an entry goes on if that score and the bounds of the other slices can reach t
+    together, of which one then has the even share. Only the scores of these are resolved, in one product
+    of the rows that any query of the block still asks for if they are many; of those that reach t, a cell's k
+    best can matter, and the k-th of them is the cutoff from there on.
     """
-
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                ids, rows, q_ids, queries = _unpack(row)
-                products = Products(queries, rows)
-                first, others = products.slices[0], products.slices[1:]
-                scored = products.part(first)
-                norms = [products.bounds(s) for s in others]
-                out = []
-                for i, t in enumerate(np.frombuffer(row.cutoff, "<i8").tolist()):
-                    places = np.arange(len(ids))
-                    if t > -LARGEST:  # else every score reaches it
-                        most = [q[i] * r for q, r in norms]
-                        seen = scored[i].astype(np.float64)
-                        # Bounds are rounded up, the cutoff down: no entry that reaches it is left out.
-                        low = t - 1 - abs(t) * 1e-12
-                        share = low / len(products.slices)
-                        able = seen >= share
-                        for m in most:
-                            able |= m >= share
-                        able &= seen + np.abs(seen) * 1e-12 + sum(most, np.zeros(len(ids))) >= low
-                        places = np.flatnonzero(able)
-                    whole = scored[i][places]
-                    for s in others:
-                        whole = whole + products.part(s, slice(i, i + 1), places)[0]
-                    whole = _longs(whole)
-                    places, whole = places[whole >= t], whole[whole >= t]
-                    out += [(q_ids[i], ids[places[j]], whole[j]) for j in _best(whole, ids[places], k).tolist()]
-                yield pd.DataFrame(out, columns=["query", "class", "score"]).astype("int64")
-
-    return entries
+    return _by_cell(_sufficient_entries, k)
 
 
 def top_k(
@@ -281,28 +417,31 @@ def top_k(
     take = k + 1  # a query's own vector may be among them
     vectors = integer_vectors(rows, id_col, vector_col)
     classes = written(vector_classes(vectors, k))
-    asked = (
+    asked = written(
         integer_vectors(rows.where(is_query), id_col, vector_col)
         .groupBy("id")
         .agg(F.min("vector").alias("vector"))
         .join(classes.select("vector", "class"), "vector")
-        .select(F.col("id").alias("query_id"), F.col("class").alias("query"))
+        .select(F.col("id").alias("query_id"), F.col("class").alias("query"), "vector")
     )
-    asked = written(asked)
-    query_classes = classes.join(asked.select("query").distinct(), F.col("class") == F.col("query"), "left_semi")
-    groups = partitions(spark)
-    grid = _grid(classes, query_classes.count(), groups)
-    row_blocks = written(_packed_blocks(classes.select("class", "vector"), ROW_BLOCK, []))
+    query_classes = written(asked.groupBy(F.col("query").alias("class")).agg(F.first("vector").alias("vector")))
+    # Up to three lists of entries, of three numbers each, are held for a query.
+    number, numbers = query_classes.agg(F.count("*"), F.coalesce(F.sum(F.size("vector") + 9 * take), F.lit(0))).first()
+    grid = _grid(classes, number, numbers, partitions(spark))
+    row_blocks = written(_packed_blocks(classes.select("class", "vector"), ROW_BLOCK, []), **SMALL_GROUPS)
 
     def blocks_of(queries: DataFrame, *extra: str) -> DataFrame:
-        return _packed_blocks(queries.select("class", "vector", *extra).coalesce(groups), QUERY_BLOCK, list(extra))
+        whole = max(1, min(partitions(spark), number // (4 * QUERY_BLOCK)))
+        return _packed_blocks(queries.select("class", "vector", *extra).coalesce(whole), QUERY_BLOCK, list(extra))
 
-    # A vector that k + 1 rows share fills a list by itself, hence the count of its ids.
+    # A vector that k + 1 rows share fills a list by itself, hence the count of its ids. Entries are dealt by query
+    # before they are sorted, so that no task sorts them beside its blocks.
     counts = classes.select("class", F.size("ids").alias("n"))
-    first = _pairs_of_blocks(row_blocks, blocks_of(query_classes), grid).mapInPandas(_local_lists(take), ENTRY)
+    first = _dealt(row_blocks, blocks_of(query_classes), grid).mapInPandas(_local_lists(take), ENTRY)
     falling = Window.partitionBy("query").orderBy(F.desc("score"), "class")
     listed = (
-        first.withColumn("nth", F.row_number().over(falling))
+        first.repartition("query")
+        .withColumn("nth", F.row_number().over(falling))
         .where(F.col("nth") <= take)
         .join(counts, "class")
         .withColumn("so_far", F.sum("n").over(falling.rowsBetween(Window.unboundedPreceding, 0)))
@@ -311,12 +450,11 @@ def top_k(
         F.coalesce(F.max(F.when(F.col("so_far") >= take, F.col("score"))), F.lit(NO_CUTOFF)).alias("cutoff")
     )
     with_cutoffs = query_classes.join(cutoffs, F.col("class") == F.col("query"))
-    second = _pairs_of_blocks(row_blocks, blocks_of(with_cutoffs, "cutoff"), grid).mapInPandas(
-        _sufficient(take), ENTRY
-    )
+    second = _dealt(row_blocks, blocks_of(with_cutoffs, "cutoff"), grid).mapInPandas(_sufficient(take), ENTRY)
     # Per query vector its k + 1 best (score, id), and from these each query's own k.
     best = (
-        second.withColumn("nth", F.row_number().over(falling))
+        second.repartition("query")
+        .withColumn("nth", F.row_number().over(falling))
         .where(F.col("nth") <= take)
         .join(classes.select("class", "ids"), "class")
         .groupBy("query")
@@ -342,7 +480,8 @@ def top_k(
     )
     others = F.slice(F.filter("ranked", lambda e: e["vec_id"] != F.col("query_id")), 1, k)
     return (
-        asked.join(best, "query")
+        asked.select("query_id", "query")
+        .join(best, "query")
         .select("query_id", F.posexplode(others))
         .select(
             "query_id",

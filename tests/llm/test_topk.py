@@ -114,5 +114,83 @@ def test_entries_below_the_cutoff_are_not_resolved(monkeypatch):
     assert sum(resolved) < 600  # of 1200
 
 
+def packed(spark, vectors, size, first=0):
+    rows = [(first + i, [int(x) for x in v]) for i, v in enumerate(vectors)]
+    return topk._packed_blocks(spark.createDataFrame(rows, "class long, vector array<long>").coalesce(1), size, [])
+
+
+def test_every_pair_of_blocks_meets_in_one_cell_and_is_no_row(spark):
+    rng = np.random.default_rng(4)
+    row_blocks = packed(spark, rng.integers(-9, 9, (70, 4)), 10)
+    query_blocks = packed(spark, rng.integers(-9, 9, (25, 4)), 5, 1000)
+    dealt = topk._dealt(row_blocks, query_blocks, (3, 2)).withColumn("task", F.spark_partition_id()).collect()
+    assert len(dealt) == 7 * 2 + 5 * 3  # and not 7 x 5
+    met = []
+    for cell in {r.cell for r in dealt}:
+        here = [r for r in dealt if r.cell == cell]
+        assert len({r.task for r in here}) == 1
+        asked = [r.q_classes for r in here if r.q_classes is not None]
+        assert [r.q_classes for r in here[: len(asked)]] == asked  # queries come first
+        met += [(bytes(r.classes), bytes(q)) for r in here[len(asked) :] for q in asked]
+    assert len(met) == len(set(met)) == 7 * 5
+
+
+@pytest.mark.parametrize("scale, add", [(1, 0), (1 << 14, 1), (1 << 40, 1)])  # float32, float64 and Python's integers
+@pytest.mark.parametrize("dense", [0, 16, 1 << 30])
+def test_a_cell_sends_k_entries_of_a_query(monkeypatch, scale, add, dense):
+    """However many blocks of rows a query meets in a task, its k best are all that is sorted later."""
+    monkeypatch.setattr(topk, "DENSE", dense)
+    monkeypatch.setattr(topk, "STRIP", 3)
+    rng = np.random.default_rng(5)
+    rows, queries = rng.integers(-50, 50, (400, 8)) * scale + add, rng.integers(-50, 50, (8, 8)) * scale - add
+    whole = topk._longs(queries.astype(object) @ rows.T.astype(object))
+    best = {(i, j, whole[i, j]) for i in range(8) for j in np.lexsort((np.arange(400), -whole[i]))[:11].tolist()}
+
+    def stream(cutoffs):
+        none = dict.fromkeys(("classes", "matrix", "q_classes", "q_matrix", "cutoff"))
+        out = []
+        for i in (slice(0, 4), slice(4, 8)):
+            asked = {"q_classes": np.arange(8)[i].tobytes(), "q_matrix": queries[i].tobytes()}
+            out.append({"cell": 0, "dim": 8} | none | asked | {"cutoff": cutoffs[i].tobytes()})
+        for a in range(0, 400, 40):
+            block = {"classes": np.arange(a, a + 40).tobytes(), "matrix": rows[a : a + 40].tobytes()}
+            out.append({"cell": 0, "dim": 8} | none | block)
+        return [pd.DataFrame(out[:5]), pd.DataFrame(out[5:])]
+
+    def entries(found):
+        return [tuple(r) for f in found for r in f.itertuples(index=False)]
+
+    nothing = np.full(8, topk.NO_CUTOFF)
+    lists = entries(topk._local_lists(11)(stream(nothing)))
+    assert len(lists) == 8 * 11
+    assert all(whole[q, c] == s for q, c, s in lists)
+    low = np.array([min(s for q, _, s in lists if q == i) for i in range(8)])
+    for cutoffs in (nothing, low, np.sort(whole, axis=1)[:, -11]):
+        found = entries(topk._sufficient(11)(stream(cutoffs)))
+        assert len(found) == 8 * 11
+        assert set(found) == best
+
+
+def test_blocks_are_bounded_and_narrow(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_COMPONENTS", 64)
+    vectors = [[i] * 32 for i in range(5)] + [[1 << 20, -i] for i in range(9)] + [[], []] + [[1 << 40] * 32]
+    blocks = packed(spark, vectors, 4).collect()
+    assert sorted((b.dim, len(b.classes) // 8, len(b.matrix)) for b in blocks) == [
+        (0, 2, 0), (2, 1, 8), (2, 4, 32), (2, 4, 32), (32, 2, 128), (32, 2, 128), (32, 2, 512),
+    ]
+    found = {}
+    for b in blocks:
+        ids, block = topk._unpack(b.classes, b.matrix, b.dim)
+        found |= dict(zip(ids.tolist(), block.matrix.tolist()))
+    assert found == dict(enumerate(vectors))
+
+
+def test_a_task_holds_bounded_queries(spark):
+    classes = spark.range(1000)
+    assert topk._grid(classes, 10, 10 * 100, 24) == (24, 1)
+    lines, columns = topk._grid(classes, 10, 5 * topk.CELL_NUMBERS, 24)
+    assert columns == 5 and lines == 4
+
+
 def test_no_rows(spark):
     assert run(spark.createDataFrame([], "vec_id long, embedding array<float>")) == []
