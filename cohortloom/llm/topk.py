@@ -411,7 +411,8 @@ def top_k(
     rows sends the first k + 1 entries of each list, which together give each query a safe cutoff, its
     k-th highest whole score so far; (2) cutoffs go out with the queries, and entries are collected
     that can pass an even share of it in some slice and all of it together; (3) their other slices resolve the
-    scores exactly.
+    scores exactly. Blocks of rows and queries meet in the cells of a grid, a task for each, which holds a bounded
+    number of queries, looks at one block of rows at a time and sends k + 1 entries of a query at most.
     """
     spark = rows.sparkSession
     take = k + 1  # a query's own vector may be among them
